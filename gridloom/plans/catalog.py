@@ -211,3 +211,11 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+
+
+def _load_plans() -> None:
+    """Plan modules register their queries on import."""
+    from gridloom.plans import q_generalize  # noqa: F401
+
+
+_load_plans()

@@ -20,6 +20,7 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # broadcast only what the planner can prove small; our own broadcasts are
     # explicit and size-checked (see functions.sizing)
