@@ -260,8 +260,8 @@ def clamp_lat(lat, limit: float = 85.06) -> Column:
     return F.greatest(F.lit(-limit), F.least(F.lit(limit), _c(lat)))
 
 
-# Fixed value: the mean earth radius in km used by the track length tool.
-HAVERSINE_RADIUS_KM = 6371.0
+# Fixed value: the earth radius (km) of the track length tool (turf).
+HAVERSINE_RADIUS_KM = 6371.0088
 
 
 def haversine_km(lon1, lat1, lon2, lat2) -> Column:

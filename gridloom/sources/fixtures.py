@@ -207,7 +207,7 @@ def elements(t: Tables) -> DataFrame:
         ("leisure", F.when(e % 19 == 0, F.lit("nature_reserve")).when(e % 19 == 1, F.lit("park"))),
         ("building", F.when(e % 16 == 0, F.lit("yes")).when(e % 16 == 1, F.lit("house"))),
         ("entrance", F.when(e % 18 == 0, F.lit("main"))),
-        ("place", F.when(e % 20 == 0, _pick(PLACE_VALUES, e % 100 // 20))),
+        ("place", F.when(e % 20 == 0, _pick(PLACE_VALUES, F.floor((e % 100) / 20)))),
         ("ele", F.when(e % 2 == 0, (e % 2000).cast("string")).when(e % 23 == 1, F.lit("12m"))),
     ]
     tags = F.map_filter(
