@@ -178,17 +178,7 @@ def _largest_part(g: Column) -> Column:
     return F.array_max(scored)["p"]
 
 
-def point_on_surface(g) -> Column:
-    """A point strictly inside a polygon (scanline construction).
-
-    Scan at the middle of the widest gap between consecutive distinct vertex
-    heights of the largest part (so no vertex lies on the scan line); the edges
-    crossing it give sorted x-crossings; inside runs are (x0,x1), (x2,x3)...;
-    take the middle of the widest run (leftmost on ties). Points return
-    themselves, lines their middle vertex.
-    """
-    g = _c(g)
-    rings = _largest_part(g)
+def _scan_y(rings: Column) -> Column:
     ys = F.array_sort(F.array_distinct(F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p["y"])))))
     k = F.size(ys)
     gaps = F.zip_with(
@@ -196,41 +186,50 @@ def point_on_surface(g) -> Column:
         F.slice(ys, F.lit(2), k - 1),
         lambda a, b: F.struct((b - a).alias("gap"), (-a).alias("o"), ((a + b) / 2.0).alias("y")),
     )
-    y0 = F.array_max(gaps)["y"]
-    xs = F.array_sort(
-        F.flatten(
-            F.transform(
-                rings,
-                lambda r: F.filter(
-                    _legs(
-                        r,
-                        lambda a, b: F.when(
-                            (a["y"] > y0) != (b["y"] > y0),
-                            a["x"] + (y0 - a["y"]) * (b["x"] - a["x"]) / (b["y"] - a["y"]),
-                        ),
-                    ),
-                    lambda v: v.isNotNull(),
-                ),
-            )
-        )
-    )
+    return F.array_max(gaps)["y"]
+
+
+def _crossings(rings: Column, y0: Column) -> Column:
+    return F.array_sort(F.flatten(F.transform(rings, lambda r: F.filter(_legs(r, lambda a, b: F.when(
+        (a["y"] > y0) != (b["y"] > y0), a["x"] + (y0 - a["y"]) * (b["x"] - a["x"]) / (b["y"] - a["y"]))),
+        lambda v: v.isNotNull()))))
+
+
+def _widest_run_mid(xs: Column) -> Column:
     nruns = F.floor(F.size(xs) / 2).cast("int")
     runs = F.transform(
-        F.sequence(F.lit(0), nruns - 1),
+        F.sequence(F.lit(0), F.greatest(nruns - 1, F.lit(0))),
         lambda j: F.struct(
             (F.element_at(xs, 2 * j + 2) - F.element_at(xs, 2 * j + 1)).alias("w"),
             (-F.element_at(xs, 2 * j + 1)).alias("o"),
             ((F.element_at(xs, 2 * j + 1) + F.element_at(xs, 2 * j + 2)) / 2.0).alias("x"),
         ),
     )
-    poly_pt = F.when(nruns > 0, vertex(F.array_max(runs)["x"], y0))
+    return F.when(nruns > 0, F.array_max(runs)["x"])
+
+
+def with_point_on_surface(df, geom: str = "geom", x: str = "px", y: str = "py"):
+    """G9 as staged columns: a point strictly inside each polygon.
+
+    Scan at the middle of the widest gap between consecutive distinct vertex
+    heights of the largest part (so no vertex lies on the scan line); the edges
+    crossing it give sorted x-crossings; inside runs are (x0,x1), (x2,x3)...;
+    take the middle of the widest run (leftmost on ties). Points give
+    themselves, lines their middle vertex. Each stage is its own column so the
+    scan height and crossings are computed once per row, not once per edge.
+    """
+    g = F.col(geom)
     first_line = F.element_at(F.element_at(g["parts"], 1), 1)
     mid_vertex = F.element_at(first_line, F.floor((F.size(first_line) + 1) / 2).cast("int"))
-    return (
-        F.when(g["type"].isin(*POLYGONAL), poly_pt)
-        .when(g["type"].isin(*LINEAL), mid_vertex)
-        .otherwise(F.element_at(first_line, 1))
-    )
+    out = df.withColumn("_pos_r", F.when(g["type"].isin(*POLYGONAL), _largest_part(g)))
+    out = out.withColumn("_pos_y", _scan_y(F.col("_pos_r")))
+    out = out.withColumn("_pos_x", _widest_run_mid(_crossings(F.col("_pos_r"), F.col("_pos_y"))))
+    poly = g["type"].isin(*POLYGONAL)
+    out = out.withColumn(x, F.when(poly, F.col("_pos_x")).when(g["type"].isin(*LINEAL), mid_vertex["x"])
+                         .otherwise(F.element_at(first_line, 1)["x"]))
+    out = out.withColumn(y, F.when(poly, F.when(F.col("_pos_x").isNotNull(), F.col("_pos_y")))
+                         .when(g["type"].isin(*LINEAL), mid_vertex["y"]).otherwise(F.element_at(first_line, 1)["y"]))
+    return out.drop("_pos_r", "_pos_y", "_pos_x")
 
 
 # ---------------------------------------------------------------- projections

@@ -12,8 +12,8 @@ def reduce_to_point(polys: DataFrame, columns: list, condition: Column | None =
     """``ST_PointOnSurface(geometry)`` of each polygon passing the filter."""
     if condition is not None:
         polys = polys.where(condition)
-    p = G.point_on_surface("geom")
-    return polys.select(p["x"].alias("x"), p["y"].alias("y"), *columns)
+    p = G.with_point_on_surface(polys, "geom", "_px", "_py")
+    return p.select(F.col("_px").alias("x"), F.col("_py").alias("y"), *columns)
 
 
 def merge_to_point(polys: DataFrame, points: DataFrame, columns: list, condition: Column | None = None) -> DataFrame:

@@ -215,7 +215,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_plans() -> None:
     """Plan modules register their queries on import."""
-    from gridloom.plans import q_generalize, q_mapping, q_points, q_tiles  # noqa: F401
+    from gridloom.plans import q_generalize, q_lines, q_mapping, q_points, q_tiles  # noqa: F401
 
 
 _load_plans()

@@ -37,8 +37,8 @@ pos AS (SELECT osm_id, arg_max((l + r) / 2.0, (r - l, -l)) AS px, any_value(y0)
 SELECT osm_id, round(px, 4) AS px, round(py, 4) AS py FROM pos""")
 def q_point_on_surface(spark, d):
     p = FX.polygons(Tables(spark, d))
-    pt = G.point_on_surface("geom")
-    return p.select("osm_id", F.round(pt["x"], 4).alias("px"), F.round(pt["y"], 4).alias("py"))
+    p = G.with_point_on_surface(p, "geom", "px", "py")
+    return p.select("osm_id", F.round("px", 4).alias("px"), F.round("py", 4).alias("py"))
 
 
 @query("merge_to_point", OF.with_(OF.POLY, POS_SQL, OF.POI) + f"""
