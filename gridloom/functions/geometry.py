@@ -274,18 +274,26 @@ def haversine_km(lon1, lat1, lon2, lat2) -> Column:
 
 # ---------------------------------------------------------------- G18 clip to a box
 
+def _bind(value: Column, f) -> Column:
+    """Evaluate ``value`` once and hand it to ``f`` as a lambda variable, so an
+    expression used several times is not copied into the tree each time."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def _clip_ring_half(ring: Column, inside, cross) -> Column:
     """One Sutherland-Hodgman pass of a closed ring against a half plane."""
-    out = F.flatten(
-        _legs(
-            ring,
-            lambda a, b: F.when(inside(a) & inside(b), F.array(b))
-            .when(inside(a) & ~inside(b), F.array(cross(a, b)))
-            .when(~inside(a) & inside(b), F.array(cross(a, b), b))
-            .otherwise(F.array().cast(RING)),
+    def one(r):
+        out = F.flatten(
+            _legs(
+                r,
+                lambda a, b: F.when(inside(a) & inside(b), F.array(b))
+                .when(inside(a) & ~inside(b), F.array(cross(a, b)))
+                .when(~inside(a) & inside(b), F.array(cross(a, b), b))
+                .otherwise(F.array().cast(RING)),
+            )
         )
-    )
-    return F.when(F.size(out) > 0, F.concat(F.slice(out, -1, 1), out)).otherwise(out)
+        return _bind(out, lambda o: F.when(F.size(o) > 0, F.concat(F.slice(o, -1, 1), o)).otherwise(o))
+    return _bind(ring, one)
 
 
 def clip_ring_to_box(ring, xmin: float, ymin: float, xmax: float, ymax: float) -> Column:
@@ -296,10 +304,10 @@ def clip_ring_to_box(ring, xmin: float, ymin: float, xmax: float, ymax: float) -
         return lambda a, b: vertex(a["x"] + (y0 - a["y"]) * (b["x"] - a["x"]) / (b["y"] - a["y"]), F.lit(float(y0)))
 
     r = _c(ring)
-    r = _clip_ring_half(r, lambda p: p["x"] >= xmin, xcut(xmin))
-    r = _clip_ring_half(r, lambda p: p["x"] <= xmax, xcut(xmax))
-    r = _clip_ring_half(r, lambda p: p["y"] >= ymin, ycut(ymin))
-    r = _clip_ring_half(r, lambda p: p["y"] <= ymax, ycut(ymax))
+    r = _bind(r, lambda v: _clip_ring_half(v, lambda p: p["x"] >= xmin, xcut(xmin)))
+    r = _bind(r, lambda v: _clip_ring_half(v, lambda p: p["x"] <= xmax, xcut(xmax)))
+    r = _bind(r, lambda v: _clip_ring_half(v, lambda p: p["y"] >= ymin, ycut(ymin)))
+    r = _bind(r, lambda v: _clip_ring_half(v, lambda p: p["y"] <= ymax, ycut(ymax)))
     return r
 
 
