@@ -43,13 +43,16 @@ def seg_distance(x, y, ax, ay, bx, by) -> Column:
     return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
 
 
-def significance(vertices: DataFrame, key: list[str], max_rounds: int = 100000) -> DataFrame:
+def significance(vertices: DataFrame, key: list[str], max_rounds: int = 100000,
+                 only_if_nonempty: bool = False) -> DataFrame:
     """vertices(key..., seq, x, y) -> same rows + sig (inf at the ends) + protect.
 
     ``protect`` marks the two most significant interior vertices of closed
     rings (kept at every tolerance).
     """
     v = vertices.select(*key, "seq", "x", "y")
+    if only_if_nonempty and v.limit(1).count() == 0:
+        return v.select(*key, "seq", "x", "y", F.lit(INF).alias("sig"), F.lit(False).alias("protect")).limit(0)
     bounds = v.groupBy(*key).agg(
         F.min("seq").alias("_s0"), F.max("seq").alias("_s1"),
         F.min_by(F.struct("x", "y"), "seq").alias("_p0"), F.max_by(F.struct("x", "y"), "seq").alias("_p1"),
@@ -99,6 +102,93 @@ def significance(vertices: DataFrame, key: list[str], max_rounds: int = 100000)
     return allv.join(prot, [*key, "seq"], "left").withColumn("protect", F.coalesce("protect", F.lit(False)))
 
 
+def _bind(value: Column, f) -> Column:
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def inline_significance(verts: Column) -> Column:
+    """Significance of every vertex of one line, inside its row.
+
+    Douglas-Peucker with an explicit stack run by ``aggregate``: each step pops
+    a segment, finds its farthest interior vertex (ties: smaller index), gives
+    it min(distance, parent significance) and pushes the two halves. A line of
+    n vertices takes 2n-3 steps of O(n) each -- meant for lines up to a few
+    thousand vertices; longer ones go through the distributed rounds.
+    Returns ARRAY<DOUBLE> aligned with ``verts`` (+inf at both ends).
+    """
+    n = F.size(verts)
+    seg_t = "struct<a:int,b:int,ps:double>"
+    init = F.struct(
+        F.array(F.struct(F.lit(0).alias("a"), (n - 1).alias("b"), F.lit(INF).alias("ps"))).cast(f"array<{seg_t}>")
+        .alias("stack"),
+        F.array_repeat(F.lit(INF), n).alias("sig"),
+    )
+
+    def step(st, _):
+        def with_top(top):
+            a, b = top["a"], top["b"]
+            pa, pb = F.element_at(verts, a + 1), F.element_at(verts, b + 1)
+            cand = F.transform(
+                F.sequence(a + 1, F.greatest(b - 1, a + 1)),
+                lambda k: F.struct(
+                    seg_distance(F.element_at(verts, k + 1)["x"], F.element_at(verts, k + 1)["y"],
+                                 pa["x"], pa["y"], pb["x"], pb["y"]).alias("d"),
+                    (-k).alias("nk"),
+                ),
+            )
+
+            def with_best(best):
+                m = -best["nk"]
+                sg = F.least(best["d"], top["ps"])
+                rest = F.slice(st["stack"], 1, F.size(st["stack"]) - 1)
+                split = b - a >= 2
+                stack = F.when(split, F.concat(rest, F.array(
+                    F.struct(m.alias("a"), b.alias("b"), sg.alias("ps")),
+                    F.struct(a.alias("a"), m.alias("b"), sg.alias("ps"))).cast(f"array<{seg_t}>"))).otherwise(rest)
+                sig = F.when(split, F.transform(st["sig"], lambda v, i: F.when(i == m, sg).otherwise(v))) \
+                    .otherwise(st["sig"])
+                return F.struct(stack.alias("stack"), sig.alias("sig"))
+            return _bind(F.array_max(cand), with_best)
+
+        return F.when(F.size(st["stack"]) == 0, st).otherwise(_bind(F.element_at(st["stack"], -1), with_top))
+
+    steps = F.sequence(F.lit(1), F.greatest(2 * n - 3, F.lit(1)))
+    return F.aggregate(steps, init, step, lambda st: st["sig"])
+
+
+def significance_of_lines(lines: DataFrame, fid: str = "fid", inline_max: int = 4096) -> DataFrame:
+    """Hybrid C2 over geometries: (fid, part, ring, seq, x, y, sig, protect).
+
+    Rings/lines up to ``inline_max`` vertices are simplified inside their row
+    (no shuffle); longer ones -- whose row-local cost would be quadratic --
+    take the distributed rounds of :func:`significance`.
+    """
+    from gridloom.operators.assemble import vertex_rows
+
+    rings = lines.select(fid, F.posexplode("geom.parts").alias("part", "_rs")).select(
+        fid, "part", F.posexplode("_rs").alias("ring", "_r"))
+    small = rings.where(F.size("_r") <= inline_max)
+    big = rings.where(F.size("_r") > inline_max)
+    s = small.withColumn("_sig", inline_significance(F.col("_r")))
+    first, last = F.element_at("_r", 1), F.element_at("_r", -1)
+    closed = (first["x"] == last["x"]) & (first["y"] == last["y"])
+    # ring guard: the two largest interior significances of closed rings
+    inner = F.slice(F.col("_sig"), 2, F.size("_r") - 2)
+    top = F.slice(F.sort_array(F.transform(inner, lambda v, i: F.struct(v.alias("v"), (-(i + 1)).alias("ni"))),
+                               asc=False), 1, 2)
+    s = s.withColumn("_prot", F.when(closed, F.transform(top, lambda t: -t["ni"])).otherwise(F.array().cast(
+        "array<int>")))
+    small_rows = s.select(fid, "part", "ring", "_prot", F.posexplode(F.arrays_zip("_r", "_sig")).alias("seq", "_z"))
+    small_rows = small_rows.select(
+        fid, "part", "ring", "seq", F.col("_z._r.x").alias("x"), F.col("_z._r.y").alias("y"),
+        F.col("_z._sig").alias("sig"), F.array_contains("_prot", F.col("seq")).alias("protect"))
+    big_geom = big.select(fid, "part", "ring", "_r")
+    big_v = big_geom.select(fid, "part", "ring", F.posexplode("_r").alias("seq", "_v")).select(
+        fid, "part", "ring", "seq", F.col("_v.x").alias("x"), F.col("_v.y").alias("y"))
+    big_rows = significance(big_v, [fid, "part", "ring"], only_if_nonempty=True)
+    return small_rows.unionByName(big_rows)
+
+
 def kept(sig_rows: DataFrame, tol: float) -> Column:
     """Vertex survives simplification at ``tol``."""
     return (F.col("sig") > F.lit(float(tol))) | F.col("protect")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import geometry as G
 from gridloom.operators.assemble import relation_members, vertex_rows
 from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
-from gridloom.operators.simplify import significance
+from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import lines, query
 from gridloom.sources import fixtures as FX
@@ -59,8 +59,18 @@ dp_sig AS (
 dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """
 SELECT gid AS fid, CAST(seq AS INTEGER) AS seq, round(sig, 4) AS sig FROM dp_sig""")
 def q_significance(spark, d):
-    v = vertex_rows(lines(Tables(spark, d)))
-    s = significance(v, LKEY)
+    """C2 per-vertex significance, hybrid (in-row for ordinary lines)."""
+    s = significance_of_lines(lines(Tables(spark, d)))
+    return s.select("fid", F.col("seq").cast("int").alias("seq"),
+                    F.when(F.col("sig") != F.lit(float("inf")), F.round("sig", 4)).alias("sig"))
+
+
+@query("generalize_significance_rounds", "WITH RECURSIVE " + OF.WAY_NODES.strip() + """,
+dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """
+SELECT gid AS fid, CAST(seq AS INTEGER) AS seq, round(sig, 4) AS sig FROM dp_sig""")
+def q_significance_rounds(spark, d):
+    """C2 through the distributed rounds only (the path long lines take)."""
+    s = significance_of_lines(lines(Tables(spark, d)), inline_max=0)
     return s.select("fid", F.col("seq").cast("int").alias("seq"),
                     F.when(F.col("sig") != F.lit(float("inf")), F.round("sig", 4)).alias("sig"))
 
@@ -116,7 +126,7 @@ GROUP BY gen, fid""")
 def q_ladder_roads(spark, d):
     t = Tables(spark, d)
     base = roads_base(t)
-    sig = significance(vertex_rows(base.select("fid", "geom")), LKEY)
+    sig = significance_of_lines(base.select("fid", "geom"))
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS]
     return _ladder_out(ladder_vertices(sig, rung_membership(base, rungs)))
 
@@ -144,7 +154,7 @@ GROUP BY r.gen, r.osm_id""")
 def q_ladder_landuse(spark, d):
     p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
     base = p.withColumn("area", G.area("geom"))
-    sig = significance(vertex_rows(p), LKEY)
+    sig = significance_of_lines(p)
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in LANDUSE_RUNGS]
     lv = ladder_vertices(sig, rung_membership(base, rungs))
     return lv.groupBy("gen", "fid").agg(F.count("*").cast("int").alias("nv")).select(

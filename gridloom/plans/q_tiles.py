@@ -12,7 +12,7 @@ from gridloom.operators.assemble import vertex_rows
 from gridloom.operators.attributes import name_fallback
 from gridloom.operators.labels import dedup_labels
 from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
-from gridloom.operators.simplify import significance
+from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.operators.tiles import features_at_zooms, layer_counts, tile_join, top_k_per_tile, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import NAME_SQL, query
@@ -107,7 +107,7 @@ def flagship_features(spark, d):
                                     F.col("x").alias("maxx"), F.col("y").alias("maxy"))
     lab = features_at_zooms(lab, [(z, 0) for z in range(max(ZMIN, LAYER_GATES["label"]), ZMAX + 1)], None)
     base = roads_base(t)
-    sig = significance(vertex_rows(base.select("fid", "geom")), LKEY)
+    sig = significance_of_lines(base.select("fid", "geom"))
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS]
     lv = ladder_vertices(sig, rung_membership(base, rungs))
     rb = lv.groupBy("gen", "fid").agg(F.min("x").alias("minx"), F.min("y").alias("miny"),
