@@ -138,14 +138,22 @@ def route_relations(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- polygons
 
-def polygon_rings(p_partkey, p_size) -> F.Column:
+def _octagon_params(df: DataFrame) -> DataFrame:
+    """Centre, radius, corner cut and hole half-side as their own columns, so
+    the vertex expressions below reference columns instead of repeating the
+    arithmetic (keeps generated code small)."""
+    k, sz = F.col("p_partkey"), F.col("p_size")
+    return df.withColumns({
+        "_cx": (k * 7919) % GRID, "_cy": (k * 104729) % GRID,
+        "_r": sz * 10, "_c": sz * 3, "_h": sz,
+    })
+
+
+def polygon_rings() -> F.Column:
     """Integer octagon (radius 10*size, corner cut 3*size); square hole of
-    half-side size when key % 7 = 0. Shell counter-clockwise, hole clockwise."""
-    cx = (p_partkey * 7919) % GRID
-    cy = (p_partkey * 104729) % GRID
-    r = p_size * 10
-    c = p_size * 3
-    h = p_size
+    half-side size when key % 7 = 0. Shell counter-clockwise, hole clockwise.
+    Needs the columns of :func:`_octagon_params`."""
+    cx, cy, r, c, h = (F.col(n) for n in ("_cx", "_cy", "_r", "_c", "_h"))
     shell = F.array(
         G.vertex(cx - r + c, cy - r), G.vertex(cx + r - c, cy - r), G.vertex(cx + r, cy - r + c),
         G.vertex(cx + r, cy + r - c), G.vertex(cx + r - c, cy + r), G.vertex(cx - r + c, cy + r),
@@ -155,15 +163,15 @@ def polygon_rings(p_partkey, p_size) -> F.Column:
         G.vertex(cx - h, cy - h), G.vertex(cx - h, cy + h), G.vertex(cx + h, cy + h),
         G.vertex(cx + h, cy - h), G.vertex(cx - h, cy - h),
     )
-    return F.when(p_partkey % 7 == 0, F.array(shell, hole)).otherwise(F.array(shell))
+    return F.when(F.col("p_partkey") % 7 == 0, F.array(shell, hole)).otherwise(F.array(shell))
 
 
 def polygons(t: Tables) -> DataFrame:
     """One polygon per part, with landuse- and water-like attributes."""
     k = F.col("p_partkey")
-    return t.part.select(
+    return _octagon_params(t.part).select(
         k.alias("osm_id"),
-        G.polygon_geom(polygon_rings(k, F.col("p_size"))).alias("geom"),
+        G.polygon_geom(polygon_rings()).alias("geom"),
         F.col("p_type").alias("ptype"),
         F.col("p_brand").alias("brand"),
         _pick([p[0] for p in LANDUSE_PAIRS], k).alias("submap"),
@@ -235,3 +243,24 @@ def track_points(t: Tables) -> DataFrame:
         F.col("value").alias("ele"),
         F.when(e % 4 == 0, F.lit(None)).otherwise(60 + e % 100).cast("double").alias("hr"),
     )
+
+
+def _bind(value, f):
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def faulty_polygons(t: Tables) -> DataFrame:
+    """Octagons with injected faults (for the validity report): vertices 2 and
+    3 swapped (a bow-tie crossing) when key % 11 = 0, vertex 4 repeated when
+    key % 13 = 0, the closing vertex dropped when key % 17 = 0."""
+    k = F.col("p_partkey")
+
+    def fault(r):
+        v = [F.element_at(r, i) for i in range(1, 10)]
+        s1 = F.when(k % 11 == 0, F.array(v[0], v[2], v[1], *v[3:])).otherwise(r)
+        return _bind(s1, lambda a: _bind(
+            F.when(k % 13 == 0, F.concat(F.slice(a, 1, 4), F.slice(a, 4, 6))).otherwise(a),
+            lambda b: F.when(k % 17 == 0, F.slice(b, F.lit(1), F.size(b) - 1)).otherwise(b)))
+
+    ring = _bind(F.element_at(polygon_rings(), 1), fault)
+    return _octagon_params(t.part).select(k.alias("osm_id"), G.polygon_geom(F.array(ring)).alias("geom"))
