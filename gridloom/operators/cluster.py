@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.components import connected_components
+from gridloom.session import cut_lineage
 
 # half of the 5x5 neighbourhood (without the cell itself)
 _OFFSETS = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if (dx, dy) > (0, 0)]
@@ -51,10 +52,11 @@ def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id") -> tuple[Da
     """-> (cell_of_point(pid, node), edges(u, v)) for ``points(id, x, y)``."""
     side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
     eps2 = float(eps) * float(eps)
-    p = points.select(
+    # read three times below (cells, positions, cell of point): materialize once
+    p = cut_lineage(points.select(
         F.col(id_col).alias("pid"), "x", "y",
         F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"),
-    )
+    ))
     cells = p.groupBy("cx", "cy").agg(
         F.min("pid").alias("node"), F.min("x").alias("x0"), F.max("x").alias("x1"),
         F.min("y").alias("y0"), F.max("y").alias("y1"),

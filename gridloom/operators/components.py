@@ -23,6 +23,11 @@ from pyspark.sql import functions as F
 
 from gridloom.session import cut_lineage
 
+# Node labels are rewritten every round but only read at the end; their
+# lineage (one join per round against checkpointed parent tables) is cut
+# every few rounds instead of every round.
+LABEL_CHECKPOINT_EVERY = 4
+
 
 def _jump(parent: DataFrame, max_jumps: int = 64) -> DataFrame:
     """parent(node, p) -> node pointing at its forest root."""
@@ -45,6 +50,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     labels = nodes.select(F.col("node"), F.col("node").alias("label"))
     e = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
     e = cut_lineage(e)
+    rounds = 0
     for _ in range(max_rounds):
         if e.limit(1).count() == 0:
             return labels
@@ -60,7 +66,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
             e2.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u <> v").distinct()
         )
         pl = parent.select(F.col("node").alias("_l"), F.col("p").alias("_pl"))
-        labels = cut_lineage(
-            labels.join(pl, labels.label == pl._l, "left").select("node", F.coalesce("_pl", "label").alias("label"))
-        )
+        labels = labels.join(pl, labels.label == pl._l, "left").select(
+            "node", F.coalesce("_pl", "label").alias("label"))
+        rounds += 1
+        if rounds % LABEL_CHECKPOINT_EVERY == 0:
+            labels = cut_lineage(labels)
     raise RuntimeError("connected components did not converge")
