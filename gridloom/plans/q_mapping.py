@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.functions.rules import ENUMS, FEATURE_TABLES, rules_df
+from gridloom.functions.rules import ENUMS, FEATURE_TABLES, MINIMAL_TABLES, rules_df
 from gridloom.operators.mapping import feature_table, match_rules
 from gridloom.plans.catalog import query
 from gridloom.plans.oracle_fixtures import _lst, pick
@@ -35,7 +35,8 @@ WITH elem AS (
    CASE WHEN event_id % 21 = 0 THEN 'danger_area' END AS t_military,
    CASE WHEN event_id % 19 = 0 THEN 'nature_reserve' WHEN event_id % 19 = 1 THEN 'park' END AS t_leisure,
    CASE WHEN event_id % 16 = 0 THEN 'yes' WHEN event_id % 16 = 1 THEN 'house' END AS t_building,
-   CASE WHEN event_id % 18 = 0 THEN 'main' END AS t_entrance
+   CASE WHEN event_id % 18 = 0 THEN 'main' END AS t_entrance,
+   CASE WHEN event_id % 12 = 0 THEN 'pub' WHEN event_id % 12 = 1 THEN 'bench' END AS t_amenity
  FROM events)"""
 
 
@@ -91,3 +92,16 @@ def q_map_submap(spark, d):
     el = FX.elements(Tables(spark, d))
     m = match_rules(el, rules_df(spark))
     return feature_table(el, m, "landuse_import", columns=[]).select("osm_id", "submap", "class", "subclass")
+
+
+@query("map_features_minimal", ELEM + """
+SELECT id AS osm_id, 'roads' AS "table", 'highway' AS class, t_highway AS subclass FROM elem
+WHERE geom_type = 'linestring' AND t_highway IS NOT NULL
+UNION ALL SELECT id, 'buildings', 'building', t_building FROM elem WHERE geom_type = 'polygon' AND t_building IS NOT NULL
+UNION ALL SELECT id, 'amenities', 'amenity', t_amenity FROM elem WHERE geom_type = 'point' AND t_amenity IS NOT NULL""")
+def q_map_minimal(spark, d):
+    """The minimal variant mapping (roads, buildings, admin, amenities)
+    through the same routing operator."""
+    el = FX.elements(Tables(spark, d))
+    m = match_rules(el, rules_df(spark, MINIMAL_TABLES))
+    return m.select(F.col("id").alias("osm_id"), "table", "class", "subclass")
