@@ -1,0 +1,19 @@
+"""Broadcast only behind a size check, with a shuffle join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_enough(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Bounded check: reads at most max_rows + 1 rows of ``df``."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` as is
+    (the planner then shuffles both sides)."""
+    return F.broadcast(df) if small_enough(df, max_rows) else df

@@ -48,8 +48,12 @@ def _span(lo1, hi1, lo2, hi2):
     return F.greatest(hi2 - lo1, hi1 - lo2)
 
 
-def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id") -> tuple[DataFrame, DataFrame]:
-    """-> (cell_of_point(pid, node), edges(u, v)) for ``points(id, x, y)``."""
+def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id",
+              with_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """-> (cell_of_point(pid, node), edges(u, v[, ub, vb])) for ``points(id, x, y)``.
+
+    With ``with_blocks`` each edge also carries the block keys of its two cells.
+    """
     side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
     eps2 = float(eps) * float(eps)
     # read three times below (cells, positions, cell of point): materialize once
@@ -77,8 +81,14 @@ def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id") -> tuple[Da
     sx, sy = _span(F.col("a_x0"), F.col("a_x1"), F.col("b_x0"), F.col("b_x1")), _span(
         F.col("a_y0"), F.col("a_y1"), F.col("b_y0"), F.col("b_y1"))
     cand = cand.where(gx * gx + gy * gy <= eps2).withColumn("_sure", sx * sx + sy * sy <= eps2)
-    sure = cand.where("_sure").select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
+    if with_blocks:
+        nb = with_blocks
+        cand = cand.withColumn("ub", F.xxhash64(F.floor(F.col("a_cx") / nb), F.floor(F.col("a_cy") / nb))) \
+            .withColumn("vb", F.xxhash64(F.floor(F.col("b_cx") / nb), F.floor(F.col("b_cy") / nb)))
+    extra = ["ub", "vb"] if with_blocks else []
+    sure = cand.where("_sure").select(F.col("a_node").alias("u"), F.col("b_node").alias("v"), *extra)
     amb = cand.where(~F.col("_sure"))
+    blocks = amb.select("a_node", "b_node", *extra)
 
     # distinct positions per cell (copies collapse), only near the other box
     pos = p.select("cx", "cy", "x", "y").distinct()
@@ -99,19 +109,63 @@ def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id") -> tuple[Da
     checked = (
         pa.join(pb, ["a_node", "b_node"])
         .where(_dist2(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= eps2)
-        .select(F.col("a_node").alias("u"), F.col("b_node").alias("v"))
+        .select("a_node", "b_node")
         .distinct()
     )
+    if with_blocks:
+        checked = checked.join(blocks, ["a_node", "b_node"])
+    checked = checked.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"), *extra)
     edges = sure.unionByName(checked)
     cell_of = p.join(cells.select("cx", "cy", "node"), ["cx", "cy"]).select("pid", "node")
     return cell_of, edges
 
 
+BLOCK_CELLS = 64  # block side in cells: a block holds at most 64*64 nodes, whatever the data
+
+
+def _union_find(pdf):
+    """Per-block union-find over (u, v) node pairs -> (node, label = min node)."""
+    import pandas as pd
+    parent: dict = {}
+
+    def find(a):
+        root = a
+        while parent.get(root, root) != root:
+            root = parent[root]
+        while parent.get(a, a) != root:
+            parent[a], a = root, parent[a]
+        return root
+
+    for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist()):
+        ru, rv = find(u), find(v)
+        if ru != rv:
+            parent[max(ru, rv)] = min(ru, rv)
+    nodes = list(parent.keys())
+    return pd.DataFrame({"node": nodes, "label": [find(n) for n in nodes]}, dtype="int64")
+
+
 def cluster_ids(points: DataFrame, eps: float, id_col: str = "osm_id") -> DataFrame:
-    """Adds ``cluster_id`` (smallest member id of the component) to points."""
-    cell_of, edges = eps_graph(points, eps, id_col)
+    """Adds ``cluster_id`` (smallest member id of the component) to points.
+
+    Two levels: links inside a block of BLOCK_CELLS x BLOCK_CELLS cells are
+    resolved by a union-find in one task per block (a block's node count is
+    bounded by its area in cells, not by how many points fall in it); only the
+    links between blocks, rewritten to block-local labels, go through the
+    distributed component rounds.
+    """
+    cell_of, edges = eps_graph(points, eps, id_col, with_blocks=BLOCK_CELLS)
+    inner = edges.where(F.col("ub") == F.col("vb")).select(F.col("ub").alias("block"), "u", "v")
+    local = inner.groupBy("block").applyInPandas(_union_find, "node long, label long")
+    local = cut_lineage(local)
+    lu = local.select(F.col("node").alias("_u"), F.col("label").alias("_lu"))
+    lv = local.select(F.col("node").alias("_v"), F.col("label").alias("_lv"))
+    cross = edges.where(F.col("ub") != F.col("vb")).select("u", "v")
+    cross = cross.join(lu, cross.u == lu._u, "left").join(lv, cross.v == lv._v, "left").select(
+        F.coalesce("_lu", "u").alias("u"), F.coalesce("_lv", "v").alias("v"))
     nodes = cell_of.select("node").distinct()
-    comp = connected_components(nodes, edges)
+    loc = nodes.join(local, "node", "left").select("node", F.coalesce("label", "node").alias("local"))
+    glob = connected_components(loc.select(F.col("local").alias("node")).distinct(), cross)
+    comp = loc.join(glob.withColumnRenamed("node", "local"), "local").select("node", "label")
     lab = cell_of.join(comp, "node").select(F.col("pid").alias(id_col), F.col("label").alias("cluster_id"))
     return points.join(lab, id_col)
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.sizing import maybe_broadcast
 from gridloom.operators.tiles import tile_join
 
 
@@ -32,4 +33,5 @@ def write_tile_cache(rows: DataFrame, path: str, order: list, partitions: int |
 def read_tile(spark: SparkSession, path: str, tiles: DataFrame) -> DataFrame:
     """T10 one tile (or a few): semi-join the cache with the wanted tiles."""
     cache = spark.read.parquet(path)
-    return cache.join(F.broadcast(tiles.select("z", "x", "y")), ["z", "x", "y"], "left_semi")
+    wanted = maybe_broadcast(tiles.select("z", "x", "y").distinct())
+    return cache.join(wanted, ["z", "x", "y"], "left_semi")
