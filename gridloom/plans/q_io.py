@@ -74,3 +74,24 @@ def q_stream_reseed(spark, d):
     q.awaitTermination()
     out = spark.read.parquet(sink)
     return out.select(F.col("z").cast("int").alias("z"), "x", "y", "layer", "n")
+
+
+@query("layer_dir_load", OF.with_(OF.TRACK) + f"""
+SELECT 'track_' || CAST(track_id % 3 AS VARCHAR) AS layer, point_id,
+       round(lon * {3.141592653589793 / 180.0!r} * 6378137.0, 3) AS x,
+       round(ln(tan({3.141592653589793 / 4.0!r} + lat * {3.141592653589793 / 360.0!r})) * 6378137.0, 3) AS y
+FROM track_pts WHERE lat BETWEEN -85.06 AND 85.06""")
+def q_layer_dir_load(spark, d):
+    """Track points written as GeoJSON into one folder per layer
+    (plus an empty one), loaded back by folder, clipped and reprojected."""
+    from gridloom.sources.gpx import points_to_geojson, write_geojson_lines
+    from gridloom.sources.layers_dir import load_geojson_layers
+    root = _scratch(spark, "layers")
+    pts = FX.track_points(Tables(spark, d))
+    for i in range(3):
+        part = pts.where(F.col("track_id") % 3 == i)
+        write_geojson_lines(points_to_geojson(part, "lon", "lat", ["point_id"]), f"{root}/track_{i}")
+    spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{root}/empty_layer")
+    out = load_geojson_layers(spark, root)
+    return out.select("layer", F.col("properties")["point_id"].cast("long").alias("point_id"),
+                      F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))

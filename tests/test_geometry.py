@@ -150,3 +150,23 @@ def test_components_path_and_star(spark):
     assert all(lab[i] == 0 for i in range(21))
     assert all(lab[j] == 30 for j in range(30, 40))
     assert lab[44] == 44 and lab[45] == 44 and lab[49] == 49
+
+
+def test_closing_fills_small_hole(spark):
+    from gridloom.operators.closing import closing, rasterize
+    big = [[(0, 0), (20, 0), (20, 20), (0, 20), (0, 0)], [(9, 9), (9, 11), (11, 11), (11, 9), (9, 9)]]
+    df = _geom_df(spark, [(1, "Polygon", [big])])
+    cells = rasterize(df, 1.0)
+    assert cells.count() == 400 - 4
+    closed = closing(cells, 2)
+    got = {(r.cx, r.cy) for r in closed.collect()}
+    assert (9, 9) in got and (10, 10) in got  # the 2x2 hole is closed
+    assert len(got) == 400                    # a convex square is unchanged otherwise
+
+
+def test_union_find_block(spark):
+    import pandas as pd
+    from gridloom.operators.cluster import _union_find
+    out = _union_find(pd.DataFrame({"u": [5, 7, 9, 2], "v": [7, 9, 3, 8]}))
+    lab = dict(zip(out["node"], out["label"]))
+    assert lab[9] == 3 and lab[5] == 3 and lab[8] == 2
