@@ -168,6 +168,21 @@ TABLE_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
         ("layer", "integer", "layer"), ("rank", "enumerate:rank", "highway"),
     ],
     "landuse_import": NAME_COLUMNS,
+    "railway": [("zorder", "wayzorder", ""), ("tunnel", "bool", "tunnel"), ("bridge", "bool", "bridge"),
+                ("service", "string", "service"), ("usage", "enumerate:usage", "usage"),
+                ("attraction", "string", "attraction"), ("layer", "integer", "layer")],
 }
 # Tables with a reject filter: tag key -> regex.
 REJECT_REGEXP = {"roads_temp": {"mtb:scale": MTB_SCALE_REJECT}}
+
+
+# ------------------------------------------------------------------ FIXED VALUES (wayzorder) [ext]
+# The mapping only names the column type; the score follows the importer's
+# documented behaviour: a rank per highway class, a bonus for railways, ten
+# per layer, plus ten on bridges, minus ten in tunnels.
+WAYZORDER_HIGHWAY_RANK = {
+    "minor": 3, "road": 3, "unclassified": 3, "residential": 3, "tertiary_link": 3, "tertiary": 4,
+    "secondary_link": 3, "secondary": 5, "primary_link": 3, "primary": 6, "trunk_link": 3, "trunk": 8,
+    "motorway_link": 3, "motorway": 9,
+}
+WAYZORDER_RAILWAY = 7

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.rules import ENUMS, REJECT_REGEXP, TABLE_COLUMNS, TRUE_WORDS
+from gridloom.functions.rules import ENUMS, REJECT_REGEXP, TABLE_COLUMNS, TRUE_WORDS, WAYZORDER_HIGHWAY_RANK, \
+    WAYZORDER_RAILWAY
 
 
 def match_rules(elements: DataFrame, rules: DataFrame, id_col: str = "id") -> DataFrame:
@@ -44,6 +45,8 @@ def extract(tags: Column, kind: str, key: str) -> Column:
         return v.try_cast("int")
     if kind == "bool":
         return F.coalesce(F.lower(v).isin(*TRUE_WORDS), F.lit(False))
+    if kind == "wayzorder":
+        return wayzorder(tags)
     if kind.startswith("enumerate:"):
         values = ENUMS[kind.split(":", 1)[1]]
         return F.coalesce(F.array_position(F.array(*[F.lit(x) for x in values]), v).cast("int"), F.lit(0))
@@ -63,3 +66,14 @@ def feature_table(elements: DataFrame, matches: DataFrame, table: str, id_col: s
     out += [extract(F.col("tags"), kind, key).alias(name) for name, kind, key in cols]
     keep = [c for c in elements.columns if c not in (id_col, "geom_type", "tags")]
     return j.select(*out, *keep)
+
+
+def wayzorder(tags: Column) -> Column:
+    """M9 ``wayzorder``: draw order score of a highway / railway way."""
+    ranks = F.create_map(*[x for k, v in WAYZORDER_HIGHWAY_RANK.items() for x in (F.lit(k), F.lit(v))])
+    hw = F.coalesce(ranks[tags["highway"]], F.lit(0))
+    rw = F.when(tags["railway"].isNotNull(), F.lit(WAYZORDER_RAILWAY)).otherwise(F.lit(0))
+    layer = F.coalesce(tags["layer"].try_cast("int"), F.lit(0)) * 10
+    tunnel = F.when(F.lower(tags["tunnel"]).isin(*TRUE_WORDS), F.lit(-10)).otherwise(F.lit(0))
+    bridge = F.when(F.lower(tags["bridge"]).isin(*TRUE_WORDS), F.lit(10)).otherwise(F.lit(0))
+    return (hw + rw + layer + tunnel + bridge).cast("int")

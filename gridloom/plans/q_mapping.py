@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.functions.rules import ENUMS, FEATURE_TABLES, MINIMAL_TABLES, rules_df
+from gridloom.functions.rules import ENUMS, FEATURE_TABLES, MINIMAL_TABLES, WAYZORDER_HIGHWAY_RANK, \
+    WAYZORDER_RAILWAY, rules_df
 from gridloom.operators.mapping import feature_table, match_rules
 from gridloom.plans.catalog import query
 from gridloom.plans.oracle_fixtures import _lst, pick
@@ -36,7 +37,11 @@ WITH elem AS (
    CASE WHEN event_id % 19 = 0 THEN 'nature_reserve' WHEN event_id % 19 = 1 THEN 'park' END AS t_leisure,
    CASE WHEN event_id % 16 = 0 THEN 'yes' WHEN event_id % 16 = 1 THEN 'house' END AS t_building,
    CASE WHEN event_id % 18 = 0 THEN 'main' END AS t_entrance,
-   CASE WHEN event_id % 12 = 0 THEN 'pub' WHEN event_id % 12 = 1 THEN 'bench' END AS t_amenity
+   CASE WHEN event_id % 12 = 0 THEN 'pub' WHEN event_id % 12 = 1 THEN 'bench' END AS t_amenity,
+   CASE WHEN event_id % 29 < 5 THEN {pick(['rail', 'tram', 'subway', 'funicular', 'light_rail'], 'event_id % 29')}
+        END AS t_railway,
+   CASE WHEN event_id % 31 = 0 THEN 'summer_toboggan' WHEN event_id % 31 = 1 THEN '' END AS t_attraction,
+   CASE WHEN event_id % 37 = 0 THEN 'main' WHEN event_id % 37 = 1 THEN 'tourism' END AS t_usage
  FROM events)"""
 
 
@@ -105,3 +110,29 @@ def q_map_minimal(spark, d):
     el = FX.elements(Tables(spark, d))
     m = match_rules(el, rules_df(spark, MINIMAL_TABLES))
     return m.select(F.col("id").alias("osm_id"), "table", "class", "subclass")
+
+
+_RAIL = FEATURE_TABLES["railway"][1][0][2]
+_ZR = "CASE t_highway " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in WAYZORDER_HIGHWAY_RANK.items()) + " ELSE 0 END"
+
+
+@query("railway_layer", ELEM + f"""
+SELECT id AS gid, 'railway' AS class, t_railway AS subclass,
+  CAST({_ZR} + CASE WHEN t_railway IS NOT NULL THEN {WAYZORDER_RAILWAY} ELSE 0 END
+       + coalesce(TRY_CAST(t_layer AS INTEGER), 0) * 10
+       + CASE WHEN lower(t_tunnel) IN ('yes', 'true', '1') THEN -10 ELSE 0 END
+       + CASE WHEN lower(t_bridge) IN ('yes', 'true', '1') THEN 10 ELSE 0 END AS INTEGER) AS zorder,
+  {_bool('t_bridge')} AS bridge, {_bool('t_tunnel')} AS tunnel, coalesce(t_service, '') AS service,
+  {_enum('usage', 't_usage')} AS usage
+FROM elem
+WHERE geom_type = 'linestring' AND list_contains({_lst(_RAIL)}, t_railway)
+  AND t_railway NOT IN ('subway', 'tram') AND (coalesce(t_attraction, '') <> '') IS NOT TRUE""")
+def q_railway_layer(spark, d):
+    """M9 wayzorder + the osm.railway layer filter."""
+    from gridloom.operators.attributes import is_not_true
+    el = FX.elements(Tables(spark, d))
+    m = match_rules(el, rules_df(spark))
+    rw = feature_table(el, m, "railway")
+    rw = rw.where(~F.col("subclass").isin("subway", "tram") & is_not_true(F.col("attraction") != ""))
+    return rw.select(F.col("osm_id").alias("gid"), "class", "subclass", "zorder", "bridge", "tunnel", "service",
+                     "usage")

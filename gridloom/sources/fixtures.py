@@ -217,6 +217,9 @@ def elements(t: Tables) -> DataFrame:
         ("entrance", F.when(e % 18 == 0, F.lit("main"))),
         ("place", F.when(e % 20 == 0, _pick(PLACE_VALUES, F.floor((e % 100) / 20)))),
         ("ele", F.when(e % 2 == 0, (e % 2000).cast("string")).when(e % 23 == 1, F.lit("12m"))),
+        ("railway", F.when(e % 29 < 5, _pick(["rail", "tram", "subway", "funicular", "light_rail"], e % 29))),
+        ("attraction", F.when(e % 31 == 0, F.lit("summer_toboggan")).when(e % 31 == 1, F.lit(""))),
+        ("usage", F.when(e % 37 == 0, F.lit("main")).when(e % 37 == 1, F.lit("tourism"))),
     ]
     tags = F.map_filter(
         F.map_from_arrays(
