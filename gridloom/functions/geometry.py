@@ -326,3 +326,24 @@ def clip_polygon_to_box(g, xmin: float, ymin: float, xmax: float, ymax: float) -
 
 def point_in_box(x, y, xmin, ymin, xmax, ymax) -> Column:
     return (_c(x) >= xmin) & (_c(x) <= xmax) & (_c(y) >= ymin) & (_c(y) <= ymax)
+
+
+# ---------------------------------------------------------------- G16
+
+_MULTI = {"Point": "MultiPoint", "LineString": "MultiLineString", "Polygon": "MultiPolygon"}
+
+
+def to_multi(g) -> Column:
+    """G16 ST_Multi: single geometries become their multi type (parts unchanged)."""
+    g = _c(g)
+    mt = F.coalesce(F.create_map(*[x for k, v in _MULTI.items() for x in (F.lit(k), F.lit(v))])[g["type"]],
+                    g["type"])
+    return make_geom(mt, g["parts"])
+
+
+def polygon_parts(g) -> Column:
+    """G16 ST_CollectionExtract(g, 3) + ST_Multi: the polygonal parts as a
+    MultiPolygon (empty for points and lines)."""
+    g = _c(g)
+    parts = F.when(g["type"].isin(*POLYGONAL), g["parts"]).otherwise(F.array().cast(T.ArrayType(T.ArrayType(RING))))
+    return make_geom("MultiPolygon", parts)

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
-from gridloom.operators.simplify import significance_of_lines
+from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import lines, query
 from gridloom.plans.q_generalize import dp_sql
@@ -44,10 +43,9 @@ def q_border_ladder(spark, d):
     path = _scratch(spark, "borders")
     write_borders(border_rows(Tables(spark, d)), path)
     b = read_borders(spark, path).withColumnRenamed("osm_id", "fid")
-    sig = significance_of_lines(b.select("fid", "geom"))
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in BORDER_RUNGS]
-    lv = ladder_vertices(sig, rung_membership(b, rungs))
-    out = lv.groupBy("gen", "fid").agg(F.count("*").cast("int").alias("nv"))
+    lr = ladder_rings(b, rungs)  # one line per border
+    out = lr.select("gen", "fid", F.size("verts").cast("int").alias("nv"))
     out = out.join(b.select("fid", "admin_level", "maritime"), "fid")
     return out.select(F.col("gen").cast("int").alias("gen"), F.col("fid").alias("osm_id"), "admin_level",
                       "maritime", "nv")

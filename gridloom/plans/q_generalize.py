@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
 from gridloom.operators.assemble import relation_members, vertex_rows
-from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
+from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import lines, query
@@ -92,8 +92,10 @@ ROAD_RUNGS = [
 
 
 def roads_base(t: Tables):
-    ln = lines(t)
-    return ln.join(FX.way_attrs(t), "fid").withColumn("length", G.length("geom"))
+    """Ways with their attributes and base length (measured below the join so
+    rung filters read a column, not a copy of the length expression)."""
+    ln = lines(t).withColumn("length", G.length("geom"))
+    return ln.join(FX.way_attrs(t), "fid")
 
 
 def _ladder_out(lv):
@@ -124,11 +126,13 @@ FROM (SELECT gen, fid, x, y, lead(x) OVER (PARTITION BY gen, fid ORDER BY seq) A
              lead(y) OVER (PARTITION BY gen, fid ORDER BY seq) AS ny FROM kept)
 GROUP BY gen, fid""")
 def q_ladder_roads(spark, d):
+    """C8 roads ladder: 8 rungs from one significance pass (in-row per way)."""
     t = Tables(spark, d)
     base = roads_base(t)
-    sig = significance_of_lines(base.select("fid", "geom"))
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS]
-    return _ladder_out(ladder_vertices(sig, rung_membership(base, rungs)))
+    lr = ladder_rings(base, rungs)  # ways have one part and one line
+    return lr.select(F.col("gen").cast("int").alias("gen"), "fid", F.size("verts").cast("int").alias("nv"),
+                     F.round(G.ring_length(F.col("verts")), 3).alias("length"))
 
 
 LANDUSE_RUNGS = [(14, 5, "area > 1000"), (13, 10, "area > 2000")]
@@ -154,10 +158,9 @@ GROUP BY r.gen, r.osm_id""")
 def q_ladder_landuse(spark, d):
     p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
     base = p.withColumn("area", G.area("geom"))
-    sig = significance_of_lines(p)
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in LANDUSE_RUNGS]
-    lv = ladder_vertices(sig, rung_membership(base, rungs))
-    return lv.groupBy("gen", "fid").agg(F.count("*").cast("int").alias("nv")).select(
+    lr = ladder_rings(base, rungs)
+    return lr.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
         F.col("gen").cast("int").alias("gen"), "fid", "nv")
 
 

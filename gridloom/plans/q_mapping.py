@@ -53,7 +53,7 @@ def _bool(col: str) -> str:
     return f"coalesce(lower({col}) IN ('yes', 'true', '1'), FALSE)"
 
 
-@query("map_features_roads", ELEM + f"""
+REGISTRY_SQL_ROADS = ELEM + f"""
 SELECT id AS osm_id,
   CASE WHEN list_contains({_lst(ROADS)}, t_highway) THEN 'highway' ELSE 'bicycle' END AS class,
   CASE WHEN list_contains({_lst(ROADS)}, t_highway) THEN t_highway ELSE 'designated' END AS subclass,
@@ -64,7 +64,10 @@ SELECT id AS osm_id,
   TRY_CAST(t_layer AS INTEGER) AS layer, {_enum('rank', 't_highway')} AS rank
 FROM elem
 WHERE geom_type = 'linestring' AND (list_contains({_lst(ROADS)}, t_highway) OR t_bicycle = 'designated')
-  AND NOT coalesce(regexp_matches(t_mtb, '^\\D+.*$'), FALSE)""")
+  AND NOT coalesce(regexp_matches(t_mtb, '^\\D+.*$'), FALSE)"""
+
+
+@query("map_features_roads", REGISTRY_SQL_ROADS)
 def q_map_roads(spark, d):
     el = FX.elements(Tables(spark, d))
     m = match_rules(el, rules_df(spark))
@@ -136,3 +139,16 @@ def q_railway_layer(spark, d):
     rw = rw.where(~F.col("subclass").isin("subway", "tram") & is_not_true(F.col("attraction") != ""))
     return rw.select(F.col("osm_id").alias("gid"), "class", "subclass", "zorder", "bridge", "tunnel", "service",
                      "usage")
+
+
+@query("osm_xml_scan", REGISTRY_SQL_ROADS)
+def q_osm_xml_scan(spark, d):
+    """Elements written as OSM XML, scanned back with Spark's XML source,
+    then routed into roads_temp (same answer as map_features_roads)."""
+    from gridloom.plans.q_io import _scratch
+    from gridloom.sources.osm import elements_to_xml_rows, read_osm_elements, write_osm_xml
+    path = _scratch(spark, "osm")
+    write_osm_xml(elements_to_xml_rows(FX.elements(Tables(spark, d))), path)
+    el = read_osm_elements(spark, path)
+    m = match_rules(el, rules_df(spark))
+    return feature_table(el, m, "roads_temp").drop("submap")

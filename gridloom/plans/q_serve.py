@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.operators import attributes as A
-from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
+from gridloom.functions import geometry as G
+from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.serve import read_tile, tile_rows, write_tile_cache
-from gridloom.operators.simplify import significance_of_lines
 from gridloom.operators.tiles import features_at_zooms, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import NAME_SQL, query
@@ -25,11 +25,9 @@ def served_features(spark, d):
     osm.label features with their served attributes."""
     t = Tables(spark, d)
     base = roads_base(t)
-    sig = significance_of_lines(base.select("fid", "geom"))
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS] + [Rung(0, 0.0)]
-    lv = ladder_vertices(sig, rung_membership(base, rungs))
-    rb = lv.groupBy("gen", "fid").agg(F.min("x").alias("minx"), F.min("y").alias("miny"),
-                                      F.max("x").alias("maxx"), F.max("y").alias("maxy"))
+    lr = ladder_rings(base, rungs)  # one line per way
+    rb = lr.select("gen", "fid", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
     attrs = base.select("fid", "rank", "ref", "layer", "name_de", "name_en", "name")
     rb = rb.join(attrs, "fid")
     roads = features_at_zooms(rb, zoom_rungs(SERVE_ZOOMS[0], SERVE_ZOOMS[1], ROAD_BANDS))

@@ -11,7 +11,7 @@ from gridloom.functions.tiles import LOCAL_TILE_BUFFER, TILE_EXTENT, descendants
 from gridloom.operators.assemble import vertex_rows
 from gridloom.operators.attributes import name_fallback
 from gridloom.operators.labels import dedup_labels
-from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
+from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.operators.tiles import features_at_zooms, layer_counts, tile_join, top_k_per_tile, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
@@ -107,11 +107,9 @@ def flagship_features(spark, d):
                                     F.col("x").alias("maxx"), F.col("y").alias("maxy"))
     lab = features_at_zooms(lab, [(z, 0) for z in range(max(ZMIN, LAYER_GATES["label"]), ZMAX + 1)], None)
     base = roads_base(t)
-    sig = significance_of_lines(base.select("fid", "geom"))
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS]
-    lv = ladder_vertices(sig, rung_membership(base, rungs))
-    rb = lv.groupBy("gen", "fid").agg(F.min("x").alias("minx"), F.min("y").alias("miny"),
-                                      F.max("x").alias("maxx"), F.max("y").alias("maxy"))
+    lr = ladder_rings(base, rungs)  # one line per way: the bbox is the kept vertices' box
+    rb = lr.select("gen", "fid", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
     rb = rb.select(F.lit("roads").alias("layer"), "fid", "gen", "minx", "miny", "maxx", "maxy")
     roads = features_at_zooms(rb, zoom_rungs(max(ZMIN, LAYER_GATES["roads"]), ZMAX, ROAD_BANDS)).drop("gen")
     poly = FX.polygons(t).where(G.area("geom") > 80)

@@ -12,7 +12,7 @@ from gridloom.functions.geometry import WORLD_EDGE
 from gridloom.functions.tiles import TILE_EXTENT
 from gridloom.operators import attributes as A
 from gridloom.operators.assemble import vertex_rows
-from gridloom.operators.ladder import Rung, ladder_vertices, rung_membership
+from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.operators.unions import typed_union
 from gridloom.plans import oracle_fixtures as OF
@@ -116,11 +116,10 @@ def q_water_bands(spark, d):
     significance pass and one rung per band (tolerance = a tile pixel)."""
     p = FX.polygons(Tables(spark, d)).where(F.col("water_subclass").isin("water", "pond", "reservoir", "basin"))
     p = p.select(F.col("osm_id").alias("fid"), "geom")
-    sig = significance_of_lines(p)
     zooms = [(z, g) for lo, hi, g in WATER_BANDS for z in range(lo, min(hi, 11))]
     rungs = [Rung(z, band_tolerance(g)) for z, g in zooms]
-    lv = ladder_vertices(sig, rung_membership(p, rungs))
-    return lv.groupBy("gen", "fid").agg(F.count("*").cast("int").alias("nv")).select(
+    lr = ladder_rings(p, rungs)
+    return lr.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
         F.col("gen").cast("int").alias("z"), F.col("fid").alias("osm_id"), "nv")
 
 

@@ -170,3 +170,10 @@ def test_union_find_block(spark):
     out = _union_find(pd.DataFrame({"u": [5, 7, 9, 2], "v": [7, 9, 3, 8]}))
     lab = dict(zip(out["node"], out["label"]))
     assert lab[9] == 3 and lab[5] == 3 and lab[8] == 2
+
+
+def test_multi_and_polygon_parts(shapes):
+    rows = shapes.select("fid", G.to_multi("geom").alias("m"), G.polygon_parts("geom").alias("p")).collect()
+    by = {r.fid: r for r in rows}
+    assert by[1].m.type == "MultiPolygon" and by[5].m.type == "MultiLineString"
+    assert len(by[1].p.parts) == 1 and by[5].p.type == "MultiPolygon" and len(by[5].p.parts) == 0
