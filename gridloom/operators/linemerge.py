@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
 from gridloom.operators.components import connected_components
+from gridloom.session import cut_lineage
 
 
 def merge_chains(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
@@ -36,3 +37,105 @@ def merge_chains(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFra
     return j.groupBy(*keys, "label").agg(
         F.min(fid).alias("chain"), F.count("*").alias("n_lines"), F.sum("_len").alias("length"),
     ).drop("label")
+
+
+def _line_states(lines: DataFrame, keys: list[str], fid: str):
+    v = F.element_at(F.element_at("geom.parts", 1), 1)
+    base = lines.select(*keys, fid, v.alias("_v"))
+    ends = base.select(*keys, fid, F.explode(F.array(
+        F.struct(F.lit(0).alias("end"), F.element_at("_v", 1).alias("p")),
+        F.struct(F.lit(1).alias("end"), F.element_at("_v", -1).alias("p")))).alias("_e")).select(
+        *keys, fid, F.col("_e.end").alias("end"), F.col("_e.p.x").alias("x"), F.col("_e.p.y").alias("y"))
+    node = ends.groupBy(*keys, "x", "y").agg(F.count("*").alias("deg"), F.min(F.struct(fid, "end")).alias("m1"),
+                                             F.max(F.struct(fid, "end")).alias("m2"))
+    two = node.where((F.col("deg") == 2) & (F.col("m1")[fid] != F.col("m2")[fid]))
+    links = two.select(*keys, F.col("m1")[fid].alias(fid), F.col("m1.end").alias("end"),
+                       F.col("m2")[fid].alias("pfid"), F.col("m2.end").alias("pend")).unionByName(
+        two.select(*keys, F.col("m2")[fid].alias(fid), F.col("m2.end").alias("end"),
+                   F.col("m1")[fid].alias("pfid"), F.col("m1.end").alias("pend")))
+    return base, ends, links
+
+
+def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
+    """C4 with geometry: one LineString per chain, members ordered and oriented.
+
+    Chains come from :func:`merge_chains`' rule (degree-2 end points). Each
+    line has two traversal states (entered at its start or at its end); a
+    state's successor is the line met at its exit end. A cycle is cut at its
+    smallest line's start. List ranking by pointer jumping (log rounds, one
+    checkpoint each) gives every state its distance to the chain end; the
+    states that end where the chain's first state ends are the forward path,
+    in order. Members are reversed where entered at their end, junction
+    vertices are not repeated, and the pieces are concatenated per chain.
+    Returns (keys..., chain, n_lines, geom).
+    """
+    # group keys may be NULL (a route without ref): join on one non-null key
+    key_cols = keys
+    lines = lines.withColumn("_gk", F.to_json(F.struct(*[F.col(k) for k in key_cols])))
+    key_tab = lines.select("_gk", *key_cols).dropDuplicates(["_gk"])
+    lines = lines.drop(*key_cols)
+    keys = ["_gk"]
+    base, ends, links = _line_states(lines, keys, fid)
+    # chains
+    node = F.xxhash64(*[F.col(k) for k in keys], F.col(fid))
+    lab_src = base.select(*keys, fid, node.alias("node"))
+    edges = links.select(F.xxhash64(*[F.col(k) for k in keys], F.col(fid)).alias("u"),
+                         F.xxhash64(*[F.col(k) for k in keys], F.col("pfid")).alias("v"))
+    comp = connected_components(lab_src.select("node"), edges)
+    lines_l = lab_src.join(comp, "node").select(*keys, fid, F.col("label").alias("_chain"))
+    chain_min = lines_l.groupBy(*keys, "_chain").agg(F.min(fid).alias("chain"))
+    lines_c = lines_l.join(chain_min, [*keys, "_chain"]).drop("_chain")
+    # cycles: chains without a free end are cut at (smallest line, start)
+    linked = links.select(*keys, fid, "end").withColumn("_linked", F.lit(True))
+    ends_c = ends.join(lines_c, [*keys, fid]).join(linked, [*keys, fid, "end"], "left")
+    free = ends_c.groupBy(*keys, "chain").agg(F.sum(F.when(F.col("_linked").isNull(), 1).otherwise(0))
+                                              .alias("_free"))
+    cut = free.where(F.col("_free") == 0).select(*keys, F.col("chain").alias(fid), F.lit(0).alias("end"))
+    cut_pairs = links.join(cut, [*keys, fid, "end"], "left_semi")
+    drop = cut_pairs.select(*keys, fid, "end").unionByName(
+        cut_pairs.select(*keys, F.col("pfid").alias(fid), F.col("pend").alias("end")))
+    links = links.join(drop, [*keys, fid, "end"], "left_anti")
+    # states (fid, entry); successor through the exit end
+    st = lines_c.select(*keys, fid, "chain", F.explode(F.array(F.lit(0), F.lit(1))).alias("entry"))
+    nx = links.select(*keys, fid, F.col("end").alias("_exit"), F.col("pfid").alias("nfid"),
+                      F.col("pend").alias("nentry"))
+    st = st.withColumn("_exit", 1 - F.col("entry")).join(nx, [*keys, fid, "_exit"], "left").drop("_exit")
+    st = st.select(*keys, fid, "entry", "chain", "nfid", "nentry",
+                   F.when(F.col("nfid").isNotNull(), 1).otherwise(0).alias("d"),
+                   F.coalesce("nfid", fid).alias("lfid"), F.coalesce("nentry", "entry").alias("lentry"))
+    st = cut_lineage(st)
+    for _ in range(64):
+        if st.where(F.col("nfid").isNotNull()).limit(1).count() == 0:
+            break
+        t = st.select(*keys, F.col(fid).alias("nfid"), F.col("entry").alias("nentry"),
+                      F.col("nfid").alias("_nn"), F.col("nentry").alias("_ne"), F.col("d").alias("_d"),
+                      F.col("lfid").alias("_lf"), F.col("lentry").alias("_le"))
+        j = st.join(t, [*keys, "nfid", "nentry"], "left")
+        st = cut_lineage(j.select(
+            *keys, fid, "entry", "chain",
+            F.when(F.col("nfid").isNotNull(), F.col("_nn")).alias("nfid"),
+            F.when(F.col("nfid").isNotNull(), F.col("_ne")).alias("nentry"),
+            (F.col("d") + F.coalesce("_d", F.lit(0))).alias("d"),
+            F.coalesce("_lf", "lfid").alias("lfid"), F.coalesce("_le", "lentry").alias("lentry")))
+    # start state per chain: smallest free (fid, end), entered there
+    free_ends = ends_c.join(drop.withColumn("_cut", F.lit(True)), [*keys, fid, "end"], "left").where(
+        F.col("_linked").isNull() | F.col("_cut").isNotNull())
+    start = free_ends.groupBy(*keys, "chain").agg(F.min(F.struct(fid, "end")).alias("_s"))
+    start = start.join(st.select(*keys, F.col(fid).alias("_sf"), F.col("entry").alias("_se"), "chain",
+                                 F.col("d").alias("_sd"), F.col("lfid").alias("_slf"),
+                                 F.col("lentry").alias("_sle")), [*keys, "chain"]).where(
+        (F.col("_sf") == F.col("_s")[fid]) & (F.col("_se") == F.col("_s.end")))
+    fwd = st.join(start.select(*keys, "chain", "_sd", "_slf", "_sle"), [*keys, "chain"]).where(
+        (F.col("lfid") == F.col("_slf")) & (F.col("lentry") == F.col("_sle")))
+    fwd = fwd.select(*keys, "chain", fid, "entry", (F.col("_sd") - F.col("d")).alias("pos"))
+    pieces = fwd.join(base, [*keys, fid]).select(
+        *keys, "chain", "pos",
+        F.when(F.col("entry") == 0, F.col("_v")).otherwise(F.reverse("_v")).alias("_o"))
+    pieces = pieces.select(*keys, "chain", "pos",
+                           F.when(F.col("pos") == 0, F.col("_o")).otherwise(F.slice("_o", 2, F.size("_o")))
+                           .alias("_o"))
+    merged = pieces.groupBy(*keys, "chain").agg(F.count("*").alias("n_lines"),
+                                                F.sort_array(F.collect_list(F.struct("pos", "_o"))).alias("_ps"))
+    verts = F.flatten(F.transform("_ps", lambda p: p["_o"]))
+    out = merged.select("_gk", "chain", "n_lines", G.line_geom(verts).alias("geom"))
+    return out.join(key_tab, "_gk").select(*key_cols, "chain", "n_lines", "geom")

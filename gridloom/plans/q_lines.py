@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.assemble import relation_members
 from gridloom.operators.labels import global_row_number
-from gridloom.operators.linemerge import merge_chains
+from gridloom.functions import geometry as G
+from gridloom.operators.linemerge import merge_chains, merge_lines
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import lines, query
 from gridloom.sources import fixtures as FX
@@ -61,3 +62,40 @@ def q_cycleroute(spark, d):
     merged = q_line_merge(spark, d)
     return global_row_number(merged, [F.col("ref").desc_nulls_last(), F.col("name").desc_nulls_last(),
                                       F.col("chain")]).select("gid", "ref", "name", "chain", "n_lines", "length")
+
+
+@query("line_merge_geom", "WITH RECURSIVE " + OF.WAY_NODES.strip() + "," + MEMBERS_SQL + """,
+mem_nv AS (SELECT fid, count(*) AS nv FROM line_verts GROUP BY fid),
+eps_ AS (SELECT ref, name, fid, 0 AS e, ex0 AS x, ey0 AS y FROM me UNION ALL SELECT ref, name, fid, 1, ex1, ey1 FROM me),
+term AS (SELECT p.ref, p.name, p.fid, p.e, p.x, p.y FROM eps_ p JOIN deg d
+           ON d.ref IS NOT DISTINCT FROM p.ref AND d.name = p.name AND d.x = p.x AND d.y = p.y
+         WHERE d.deg <> 2 OR d.u = d.v),
+tc AS (SELECT t.*, cl.chain FROM term t JOIN cl ON cl.ref IS NOT DISTINCT FROM t.ref AND cl.name = t.name
+         AND cl.node = t.fid),
+ends2 AS (SELECT ref, name, chain, arg_min(x, (fid, e)) AS x0, arg_min(y, (fid, e)) AS y0,
+                 arg_max(x, (fid, e)) AS x1, arg_max(y, (fid, e)) AS y1 FROM tc GROUP BY ref, name, chain),
+cyc AS (SELECT c.ref, c.name, c.chain, m.ex0 AS x0, m.ey0 AS y0, m.ex0 AS x1, m.ey0 AS y1
+        FROM chains c JOIN me m ON m.ref IS NOT DISTINCT FROM c.ref AND m.name = c.name AND m.fid = c.chain
+        WHERE NOT EXISTS (SELECT 1 FROM tc WHERE tc.ref IS NOT DISTINCT FROM c.ref AND tc.name = c.name
+                          AND tc.chain = c.chain)),
+se AS (SELECT * FROM ends2 UNION ALL SELECT * FROM cyc),
+nvs AS (SELECT me.ref, me.name, cl.chain, sum(n.nv) AS snv FROM me
+        JOIN cl ON cl.ref IS NOT DISTINCT FROM me.ref AND cl.name = me.name AND cl.node = me.fid
+        JOIN mem_nv n ON n.fid = me.fid GROUP BY me.ref, me.name, cl.chain)
+SELECT c.ref, c.name, c.chain, c.n_lines, CAST(v.snv - (c.n_lines - 1) AS INTEGER) AS nv,
+       se.x0, se.y0, se.x1, se.y1, round(c.length, 3) AS length
+FROM chains c
+JOIN nvs v ON v.ref IS NOT DISTINCT FROM c.ref AND v.name = c.name AND v.chain = c.chain
+JOIN se ON se.ref IS NOT DISTINCT FROM c.ref AND se.name = c.name AND se.chain = c.chain""")
+def q_line_merge_geom(spark, d):
+    """C4 with geometry: bicycle-route member lines merged per (ref, name)
+    into one ordered LineString per chain (members oriented, junctions once)."""
+    t = Tables(spark, d)
+    m = relation_members(FX.route_relations(t), lines(t)).where(F.col("route") == "bicycle")
+    m = m.where(F.col("geom.type") == "LineString").select("ref", F.col("rname").alias("name"), "fid", "geom")
+    out = merge_lines(m, ["ref", "name"])
+    v = F.element_at(F.element_at("geom.parts", 1), 1)
+    return out.select("ref", "name", "chain", "n_lines", F.size(v).cast("int").alias("nv"),
+                      F.element_at(v, 1)["x"].alias("x0"), F.element_at(v, 1)["y"].alias("y0"),
+                      F.element_at(v, -1)["x"].alias("x1"), F.element_at(v, -1)["y"].alias("y1"),
+                      F.round(G.length("geom"), 3).alias("length"))

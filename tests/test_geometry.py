@@ -177,3 +177,26 @@ def test_multi_and_polygon_parts(shapes):
     by = {r.fid: r for r in rows}
     assert by[1].m.type == "MultiPolygon" and by[5].m.type == "MultiLineString"
     assert len(by[1].p.parts) == 1 and by[5].p.type == "MultiPolygon" and len(by[5].p.parts) == 0
+
+
+def test_merge_lines_orders_and_orients(spark):
+    from gridloom.operators.linemerge import merge_lines
+    rows = [
+        (1, "k", "LineString", [[[(2, 0), (3, 0)]]]),        # third piece
+        (2, "k", "LineString", [[[(1, 0), (0, 0)]]]),        # first piece, reversed
+        (3, "k", "LineString", [[[(1, 0), (2, 0)]]]),        # second piece
+        (4, "k", "LineString", [[[(4, 0), (3, 0)]]]),        # last piece, reversed
+        (5, "c", "LineString", [[[(0, 5), (1, 5)]]]),        # a triangle cycle
+        (6, "c", "LineString", [[[(1, 5), (0, 6)]]]),
+        (7, "c", "LineString", [[[(0, 6), (0, 5)]]]),
+    ]
+    schema = T.StructType([T.StructField("fid", T.LongType()), T.StructField("key", T.StringType()),
+                           T.StructField("geom", G.GEOMETRY)])
+    data = [(f, k, (t, [[[(float(x), float(y)) for x, y in r] for r in p] for p in parts])) for f, k, t, parts in rows]
+    df = spark.createDataFrame(data, schema)
+    out = {r.key: r for r in merge_lines(df, ["key"]).collect()}
+    path = [(v.x, v.y) for v in out["k"].geom.parts[0][0]]
+    assert out["k"].n_lines == 4 and out["k"].chain == 1
+    assert path in ([(0, 0), (1, 0), (2, 0), (3, 0), (4, 0)], [(4, 0), (3, 0), (2, 0), (1, 0), (0, 0)])
+    ring = [(v.x, v.y) for v in out["c"].geom.parts[0][0]]
+    assert out["c"].n_lines == 3 and len(ring) == 4 and ring[0] == ring[-1] == (0, 5)
