@@ -192,6 +192,29 @@ FROM c JOIN pos ON c.class = pos.class AND c.subclass = pos.subclass AND c.cid =
 GROUP BY c.class, c.subclass, c.cid"""
 
 
+def cluster_ctes(eps: float, cond: str | None, sfx: str) -> str:
+    """CTEs ending in ``clus{sfx}`` (the cluster summary of the poi CTE)."""
+    where = f"WHERE {cond}" if cond else ""
+    return f"""
+pts{sfx} AS (SELECT * FROM poi {where}),
+de{sfx} AS (SELECT a.osm_id AS u, b.osm_id AS v FROM pts{sfx} a JOIN pts{sfx} b
+           ON a.osm_id <> b.osm_id AND (a.x - b.x)*(a.x - b.x) + (a.y - b.y)*(a.y - b.y) <= {eps * eps}),
+reach{sfx}(node, r) AS (
+  SELECT osm_id, osm_id FROM pts{sfx}
+  UNION
+  SELECT d.v, reach{sfx}.r FROM reach{sfx} JOIN de{sfx} d ON d.u = reach{sfx}.node),
+cl{sfx} AS (SELECT node, min(r) AS cid FROM reach{sfx} GROUP BY node),
+c{sfx} AS (SELECT pts{sfx}.*, cl{sfx}.cid FROM pts{sfx} JOIN cl{sfx} ON cl{sfx}.node = pts{sfx}.osm_id),
+pos{sfx} AS (SELECT class, subclass, cid, avg(x) AS ax, avg(y) AS ay
+        FROM (SELECT DISTINCT class, subclass, cid, x, y FROM c{sfx}) GROUP BY class, subclass, cid),
+clus{sfx} AS (
+  SELECT min(osm_id) AS id, count(osm_id) AS count, c.class, c.subclass,
+         any_value(pos{sfx}.ax) AS x, any_value(pos{sfx}.ay) AS y
+  FROM c{sfx} c JOIN pos{sfx} ON c.class = pos{sfx}.class AND c.subclass = pos{sfx}.subclass
+                AND c.cid = pos{sfx}.cid
+  GROUP BY c.class, c.subclass, c.cid)"""
+
+
 def _cluster_query(eps: float, cond: str | None) -> QueryFn:
     def run(spark, d):
         p = FX.poi_points(Tables(spark, d))

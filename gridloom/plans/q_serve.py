@@ -10,7 +10,7 @@ from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.serve import read_tile, tile_rows, write_tile_cache
 from gridloom.operators.tiles import features_at_zooms, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
-from gridloom.plans.catalog import NAME_SQL, query
+from gridloom.plans.catalog import NAME_SQL, cluster_ctes, query
 from gridloom.plans.q_generalize import ROAD_RUNGS, dp_sql, roads_base
 from gridloom.plans.q_io import _scratch
 from gridloom.plans.q_tiles import BUF, ROAD_BANDS, cover_sql
@@ -112,3 +112,42 @@ def q_tile_one(spark, d):
                         F.floor((F.col("x") + F.lit(20037508.342789244)) / size).alias("x"),
                         F.floor((F.lit(20037508.342789244) - F.col("y")) / size).alias("y"))
     return read_tile(spark, path, tile).select(F.col("z").cast("int").alias("z"), *cols[1:])
+
+
+# cluster.poi: zoom z in 11..17 serves rung gen z, zoom 18 and above the raw points
+POI_ZOOMS = list(range(11, 19))
+
+
+def _poi_rungs():
+    from gridloom.plans.catalog import _CLUSTER_RUNGS
+    return {int(k[len("cluster_gen"):]): v for k, v in _CLUSTER_RUNGS.items() if k.startswith("cluster_gen")}
+
+
+_POI_SQL = "WITH RECURSIVE " + OF.POI.strip() + "," + ",".join(
+    cluster_ctes(eps, cond, f"_{g}") for g, (eps, cond) in sorted(_poi_rungs().items())) + ",\nfeats AS (" + \
+    "\n  UNION ALL ".join(
+        f"SELECT 'poi' AS layer, id AS fid, {g} AS z, x AS minx, y AS miny, x AS maxx, y AS maxy, count, subclass "
+        f"FROM clus_{g}" for g in sorted(_poi_rungs())) + \
+    "\n  UNION ALL SELECT 'poi', osm_id, 18, x, y, x, y, 1, subclass FROM poi)," + cover_sql("feats", BUF) + """
+SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, count, subclass FROM hits"""
+
+
+@query("tile_poi_clusters", _POI_SQL)
+def q_tile_poi_clusters(spark, d):
+    """cluster.poi layer: each zoom 11-17 serves its clustering rung (C1 +
+    A1-A5), zoom 18 the raw points; features joined to their tiles (J1)."""
+    from gridloom.operators.cluster import cluster_points
+    p = FX.poi_points(Tables(spark, d))
+    feats = []
+    for g, (eps, cond) in sorted(_poi_rungs().items()):
+        c = cluster_points(p, eps, F.expr(cond) if cond else None)
+        feats.append(c.select(F.lit(g).alias("z"), F.col("id").alias("gid"), "count", "subclass", "x", "y"))
+    feats.append(p.select(F.lit(18).alias("z"), F.col("osm_id").alias("gid"), F.lit(1).cast("long").alias("count"),
+                          "subclass", "x", "y"))
+    u = feats[0]
+    for f in feats[1:]:
+        u = u.unionByName(f)
+    u = u.select("*", F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"),
+                 F.col("y").alias("maxy"))
+    hits = tile_rows(u, None, BUF)
+    return hits.select(F.col("z").cast("int").alias("z"), hits["x"], hits["y"], "gid", "count", "subclass")
