@@ -259,7 +259,7 @@ def clamp_lat(lat, limit: float = 85.06) -> Column:
     return F.greatest(F.lit(-limit), F.least(F.lit(limit), _c(lat)))
 
 
-# Fixed value: the earth radius (km) of the track length tool (turf).
+# Fixed value: the earth radius (km) used by the track length tool.
 HAVERSINE_RADIUS_KM = 6371.0088
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.geometry import WORLD_EDGE, lonlat_to_mercator
 
-# tegola's tile grid extent and the local map's tile buffer.
+# The tile grid extent of the served layers and the local map's tile buffer.
 TILE_EXTENT = 4096
 LOCAL_TILE_BUFFER = 256
 

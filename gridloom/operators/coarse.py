@@ -5,7 +5,7 @@ normalized 5x5 kernel and keeps the area under level 128. Only cells within two
 cells of water can drop under 128, so the blur is computed sparsely: every
 water cell votes its kernel weight onto its 25 neighbours (explode + partial
 ``sum``); a cell is coarse water when 255 * (1 - water share) < 128. The grid
-slicing (one ``ogr2ogr -clipsrc`` per grid id in the reference) is one
+slicing (one clipping pass per grid id in the reference) is one
 equi-key: the grid slice of a cell is (cx // n, cy // n). Cells stand for the
 contour polygons; they are not traced into outlines.
 """

@@ -39,7 +39,7 @@ WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect
 GROUP BY r.gen, r.fid, r.admin_level, r.maritime""")
 def q_border_ladder(spark, d):
     """Borders dumped as TSV and read back with the declared schema (S7), then
-    the osmborder ladder: one significance pass, seven filtered rungs."""
+    the border ladder: one significance pass, seven filtered rungs."""
     path = _scratch(spark, "borders")
     write_borders(border_rows(Tables(spark, d)), path)
     b = read_borders(spark, path).withColumnRenamed("osm_id", "fid")
