@@ -19,8 +19,15 @@ def test_query_matches_oracle(name, spark, sf_dir, duck_con):
     assert ok, msg
 
 
-def test_every_query_has_stable_schema(spark, sf_dir):
-    for name in QUERIES:
+# Building a query twice runs the iterative ones twice (clustering, line merge),
+# so the schema check covers one query per area; the oracle test above already
+# pins every query's columns.
+SCHEMA_SAMPLE = ["tile_layer_counts", "cluster_gen15", "ladder_roads", "map_features_roads", "label_dedup",
+                 "merge_to_point", "track_length", "gpx_roundtrip", "validity_report", "coarse_water"]
+
+
+def test_sampled_queries_have_stable_schema(spark, sf_dir):
+    for name in SCHEMA_SAMPLE:
         a = E.queries()[name](spark, sf_dir).schema
         b = E.queries()[name](spark, sf_dir).schema
         assert a == b, name
