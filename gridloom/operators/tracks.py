@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.geometry import haversine_km
-
-
-def order_points(points: DataFrame, track: str = "track_id", order=("time", "point_id")) -> DataFrame:
-    """Give each point its sequence number along its track."""
-    w = Window.partitionBy(track).orderBy(*order)
-    return points.withColumn("seq", F.row_number().over(w) - 1)
+from gridloom.operators.labels import global_row_number
 
 
 def legs(points: DataFrame, track: str = "track_id", order=("time", "point_id")) -> DataFrame:
     """Each point with the previous one of its track and the leg length (km).
 
-    The window sorts within a track; a track is one recorded trip, so its size
-    is bounded by the device, not by the data set.
+    No window per track (a track holding a third of all points would be one
+    task): points are numbered globally in (track, order) by range
+    partitioning + partition offsets, and each point is equi-joined with the
+    point numbered one less in the same track.
     """
-    w = Window.partitionBy(track).orderBy(*order)
-    p = points.withColumn("plon", F.lag("lon").over(w)).withColumn("plat", F.lag("lat").over(w))
+    num = global_row_number(points, [F.col(track), *[F.col(o) for o in order]], "_g")
+    prev = num.select(F.col(track).alias("_pt"), (F.col("_g") + 1).alias("_pg"), F.col("lon").alias("plon"),
+                      F.col("lat").alias("plat"))
+    p = num.join(prev, (num["_g"] == prev["_pg"]) & (num[track] == prev["_pt"]), "left").drop("_pt", "_pg", "_g")
     return p.withColumn("leg_km", F.when(F.col("plon").isNotNull(),
                                          haversine_km("plon", "plat", "lon", "lat")).otherwise(F.lit(0.0)))
 

@@ -44,22 +44,24 @@ def segments_intersect(p1x, p1y, p2x, p2y, q1x, q1y, q2x, q2y) -> Column:
     return proper | touch
 
 
-def ring_edges(vertices: DataFrame, key: list[str]) -> DataFrame:
-    """vertex rows (key..., seq, x, y) -> edges (key..., i, ax, ay, bx, by, m) with m edges per ring."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(*key).orderBy("seq")
-    e = vertices.select(*key, "seq", "x", "y", F.lead("x").over(w).alias("bx"), F.lead("y").over(w).alias("by"))
-    e = e.where(F.col("bx").isNotNull()).select(*key, F.col("seq").alias("i"), F.col("x").alias("ax"),
-                                                F.col("y").alias("ay"), "bx", "by")
-    m = e.groupBy(*key).agg(F.count("*").alias("m"),
-                            F.avg(F.sqrt((F.col("bx") - F.col("ax")) ** 2 + (F.col("by") - F.col("ay")) ** 2))
-                            .alias("mean_len"))
-    return e.join(m, key)
-
-
-def crossing_pairs(vertices: DataFrame, key: list[str]) -> DataFrame:
+def ring_edges(rings: DataFrame, key: list[str]) -> DataFrame:
+    """ring rows (key..., _r ARRAY<STRUCT<x,y>>) -> edges (key..., i, ax, ay, bx, by, m, mean_len).
+
+    Built inside each ring's row (zip of consecutive vertices + posexplode),
+    so no window sorts a ring's vertices again.
+    """
+    legs = G._legs(F.col("_r"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    m = (F.size("_r") - 1).cast("long")
+    r = rings.select(*key, legs.alias("_legs"), m.alias("m"),
+                     (G.ring_length(F.col("_r")) / F.greatest(m, F.lit(1))).alias("mean_len"))
+    e = r.select(*key, "m", "mean_len", F.posexplode("_legs").alias("i", "_e"))
+    return e.select(*key, "i", F.col("_e.a.x").alias("ax"), F.col("_e.a.y").alias("ay"),
+                    F.col("_e.b.x").alias("bx"), F.col("_e.b.y").alias("by"), "m", "mean_len")
+
+
+def crossing_pairs(rings: DataFrame, key: list[str]) -> DataFrame:
     """(key..., i, j) for intersecting non-adjacent edge pairs i < j of a ring."""
-    e = ring_edges(vertices, key)
+    e = ring_edges(rings, key)
     side = F.greatest(F.col("mean_len"), F.lit(1e-9))
     cells = e.select(
         *key, "i", "ax", "ay", "bx", "by", "m",
@@ -92,9 +94,7 @@ def validity_report(geoms: DataFrame, fid: str = "fid") -> DataFrame:
     stats = per_ring.groupBy(fid).agg(F.sum("rep").cast("int").alias("n_repeated"),
                                       F.sum("unclosed").cast("int").alias("n_unclosed"),
                                       F.sum("short").cast("int").alias("n_short"))
-    verts = rings.select(fid, "part", "ring", F.posexplode("_r").alias("seq", "_v")).select(
-        fid, "part", "ring", "seq", F.col("_v.x").alias("x"), F.col("_v.y").alias("y"))
-    cross = crossing_pairs(verts, [fid, "part", "ring"]).groupBy(fid).agg(
+    cross = crossing_pairs(rings, [fid, "part", "ring"]).groupBy(fid).agg(
         F.count("*").cast("int").alias("n_crossings"))
     out = stats.join(cross, fid, "left").withColumn("n_crossings", F.coalesce("n_crossings", F.lit(0)))
     valid = (F.col("n_repeated") == 0) & (F.col("n_unclosed") == 0) & (F.col("n_short") == 0) & (

@@ -3,7 +3,7 @@ JSON data sources (one file per partition, read back in parallel)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +35,13 @@ def feature_description(props: Column) -> Column:
 
 def tracks_to_gpx_rows(points: DataFrame, track: str = "track_id", order=("time", "point_id")) -> DataFrame:
     """Track points -> one <trk> row per track (S13): name/desc from the
-    track's properties, one segment, points in order with ele, time, hr."""
-    w = Window.partitionBy(track).orderBy(*order)
-    p = points.withColumn("_seq", F.row_number().over(w))
-    pt = F.struct(F.col("_seq"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("ele"),
-                  F.date_format("time", TIME_FMT).alias("time"), F.col("hr"))
-    g = p.groupBy(track).agg(F.sort_array(F.collect_list(pt)).alias("_pts"))
+    track's properties, one segment, points in order with ele, time, hr.
+    A track is one output element, so its points meet in one row; the order
+    comes from sorting the collected structs (no window)."""
+    pt = F.struct(*[F.col(o).alias(f"_k{i}") for i, o in enumerate(order)], F.col("lat").alias("_lat"),
+                  F.col("lon").alias("_lon"), F.col("ele"), F.date_format("time", TIME_FMT).alias("time"),
+                  F.col("hr"))
+    g = points.groupBy(track).agg(F.sort_array(F.collect_list(pt)).alias("_pts"))
     props = F.create_map(F.lit("id"), F.col(track).cast("string"), F.lit("name"),
                          F.concat(F.lit("Track "), F.col(track).cast("string")))
     pts = F.transform("_pts", lambda s: F.struct(s["_lat"], s["_lon"], s["ele"], s["time"], s["hr"]))

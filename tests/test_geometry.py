@@ -200,3 +200,16 @@ def test_merge_lines_orders_and_orients(spark):
     assert path in ([(0, 0), (1, 0), (2, 0), (3, 0), (4, 0)], [(4, 0), (3, 0), (2, 0), (1, 0), (0, 0)])
     ring = [(v.x, v.y) for v in out["c"].geom.parts[0][0]]
     assert out["c"].n_lines == 3 and len(ring) == 4 and ring[0] == ring[-1] == (0, 5)
+
+
+def test_repair_cheap_faults(spark):
+    from gridloom.operators.validity import repair, validity_report
+    bad = [[(0, 0), (10, 0), (10, 0), (10, 10), (0, 10)]]   # repeated vertex, not closed
+    tiny = [[(0, 0), (1, 0), (0, 0)]]                        # collapses to a ring under 4 vertices
+    df = _geom_df(spark, [(1, "Polygon", [bad]), (2, "Polygon", [bad, tiny])])
+    rep = validity_report(df).collect()
+    assert all(not r.valid for r in rep)
+    fixed = df.select("fid", repair("geom").alias("geom"))
+    again = {r.fid: r for r in validity_report(fixed).collect()}
+    assert again[1].valid and again[2].valid
+    assert {r.fid: r.a for r in fixed.select("fid", G.area("geom").alias("a")).collect()} == {1: 100.0, 2: 100.0}
