@@ -48,7 +48,7 @@ closed AS (SELECT osm_id, cx, cy FROM ero GROUP BY osm_id, cx, cy HAVING count(*
 nr AS (SELECT osm_id, count(*) AS n_raster FROM cells GROUP BY osm_id),
 nc AS (SELECT osm_id, count(*) AS n_closed FROM closed GROUP BY osm_id)
 SELECT nr.osm_id AS fid, nr.n_raster, coalesce(nc.n_closed, 0) AS n_closed,
-       coalesce(nc.n_closed, 0) * {TOL * TOL} AS area
+       CAST(coalesce(nc.n_closed, 0) * {TOL * TOL} AS DOUBLE) AS area
 FROM nr LEFT JOIN nc USING (osm_id)""")
 def q_closing(spark, d):
     """landuse_gen11: gen13 geometry (DP 10) filtered by its area > 50000,
