@@ -39,14 +39,22 @@ def rows_of(cols, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows]
 
 
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
+    s_types = dict(spark_df.dtypes)
     s_rows = [tuple(r) for r in spark_df.collect()]
-    res = con.execute(sql)
-    d_cols = [c[0] for c in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    bad = {c: (s_types[c], t) for c, t in d_types.items() if _TYPES.get(t, t) != s_types[c]}
+    if bad:
+        return False, f"column types differ (spark, duck): {bad}"
     a = sorted(rows_of(s_cols, s_rows), key=repr)
     b = sorted(rows_of(d_cols, d_rows), key=repr)
     if len(a) != len(b):
