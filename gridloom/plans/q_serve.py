@@ -151,3 +151,46 @@ def q_tile_poi_clusters(spark, d):
                  F.col("y").alias("maxy"))
     hits = tile_rows(u, None, BUF)
     return hits.select(F.col("z").cast("int").alias("z"), hits["x"], hits["y"], "gid", "count", "subclass")
+
+
+# osm.landuse at zooms 13-16: 13 -> gen13 (DP 10, area > 2000), 14 -> gen14 (DP 5, area > 1000), >= 15 -> base
+LANDUSE_SERVED = [(13, 13, 10.0, "area > 2000"), (14, 14, 5.0, "area > 1000"), (15, 0, 0.0, None),
+                  (16, 0, 0.0, None)]
+
+
+def _landuse_sql() -> str:
+    from gridloom.plans.q_generalize import dp_sql
+    rung_sql = "\n  UNION ALL ".join(
+        f"SELECT {z} AS z, CAST({tol} AS DOUBLE) AS tol, osm_id FROM parea" + (f" WHERE {cond}" if cond else "")
+        for z, _, tol, cond in LANDUSE_SERVED)
+    return "WITH RECURSIVE " + OF.POLY.strip() + """,
+dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_sql("dp_in") + """,
+ring_area AS (
+  SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
+  FROM (SELECT osm_id, ring, seq, x, y,
+               lead(x) OVER (PARTITION BY osm_id, ring ORDER BY seq) AS nx,
+               lead(y) OVER (PARTITION BY osm_id, ring ORDER BY seq) AS ny FROM poly_verts)
+  WHERE nx IS NOT NULL GROUP BY osm_id, ring),
+parea AS (SELECT osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM ring_area GROUP BY osm_id),
+rz AS (""" + rung_sql + """),
+kept AS (SELECT r.z, v.osm_id, v.x, v.y FROM rz r JOIN poly_verts v ON v.osm_id = r.osm_id
+         JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
+         WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect OR r.tol = 0),
+feats AS (SELECT 'landuse' AS layer, osm_id AS fid, z, min(x) AS minx, min(y) AS miny, max(x) AS maxx,
+                 max(y) AS maxy FROM kept GROUP BY z, osm_id),""" + cover_sql("feats", BUF) + """
+SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid FROM hits"""
+
+
+@query("tile_landuse_bands", _landuse_sql())
+def q_tile_landuse_bands(spark, d):
+    """osm.landuse served at zooms 13-16: the rung of each zoom (P8, J2) from one
+    in-row ladder (C2/C8), joined to tiles by its simplified bbox (J1)."""
+    p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
+    p = p.withColumn("area", G.area("geom"))
+    rungs = [Rung(z, tol if tol > 0 else -1.0, F.expr(c) if c else None) for z, _, tol, c in LANDUSE_SERVED]
+    lr = ladder_rings(p, rungs)
+    verts = lr.select(F.col("gen").alias("z"), "fid", F.explode("verts").alias("_v"))
+    bb = verts.groupBy("z", "fid").agg(F.min("_v.x").alias("minx"), F.min("_v.y").alias("miny"),
+                                       F.max("_v.x").alias("maxx"), F.max("_v.y").alias("maxy"))
+    hits = tile_rows(bb, None, BUF)
+    return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"))
