@@ -84,7 +84,8 @@ way_attrs AS (
          CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE '' END AS name_en,
          'R' || CAST(o_custkey % 40 AS VARCHAR) AS name,
          CASE WHEN o_orderkey % 8 = 0 THEN 'summer_toboggan' WHEN o_orderkey % 8 = 1 THEN NULL ELSE '' END
-           AS attraction
+           AS attraction,
+         ['river', 'canal', 'stream', 'ditch'][(o_orderkey % 4) + 1] AS water_subclass
   FROM orders),
 way_attrs_r AS (
   SELECT *, CAST(coalesce(list_position({_RANK_LIST}, subclass), 0) AS INTEGER) AS rank FROM way_attrs)"""

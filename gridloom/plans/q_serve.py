@@ -194,3 +194,53 @@ def q_tile_landuse_bands(spark, d):
                                        F.max("_v.x").alias("maxx"), F.max("_v.y").alias("maxy"))
     hits = tile_rows(bb, None, BUF)
     return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"))
+
+
+# osm.waterway: <10 -> gen8, 10-11 -> gen10, 12-13 -> gen12, >= 14 -> base (ladder filters on the base line)
+WATERWAY_RUNGS = [(12, 20.0, "length > 50"), (10, 50.0, "subclass IN ('river', 'canal', 'stream') AND length > 200"),
+                  (8, 100.0, "subclass IN ('river', 'canal') AND length > 400"), (0, -1.0, None)]
+WATERWAY_BANDS = [(0, 10, 8), (10, 12, 10), (12, 14, 12), (14, 99, 0)]
+WATERWAY_ZOOMS = (9, 14)
+
+
+def _waterway_sql() -> str:
+    from gridloom.plans.q_generalize import dp_sql
+    from gridloom.operators.tiles import zoom_rungs
+    zg = zoom_rungs(WATERWAY_ZOOMS[0], WATERWAY_ZOOMS[1], WATERWAY_BANDS)
+    rung_sql = "\n  UNION ALL ".join(
+        f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, fid FROM base" + (f" WHERE {c}" if c else "")
+        for g, tol, c in WATERWAY_RUNGS)
+    zsql = " UNION ALL ".join(f"SELECT {z} AS z, {g} AS gen" for z, g in zg)
+    return "WITH RECURSIVE " + ",\n".join([OF.WAY_NODES.strip(), OF.WAY_ATTRS.strip()]) + """,
+dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """,
+base AS (SELECT a.fid, a.water_subclass AS subclass, l.length FROM way_attrs_r a JOIN (
+  SELECT fid, sum(CASE WHEN nx IS NULL THEN 0 ELSE sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y)) END) AS length
+  FROM (SELECT fid, x, y, lead(x) OVER (PARTITION BY fid ORDER BY seq) AS nx,
+               lead(y) OVER (PARTITION BY fid ORDER BY seq) AS ny FROM line_verts) GROUP BY fid) l USING (fid)),
+rungs AS (""" + rung_sql + """),
+zg AS (""" + zsql + """),
+kept AS (SELECT r.gen, r.fid, v.x, v.y FROM rungs r JOIN line_verts v ON v.fid = r.fid
+         JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq WHERE s.sig IS NULL OR s.sig > r.tol),
+feats AS (SELECT 'waterway' AS layer, k.fid, zg.z, min(x) AS minx, min(y) AS miny, max(x) AS maxx,
+                 max(y) AS maxy, any_value(b.subclass) AS subclass
+          FROM kept k JOIN zg ON zg.gen = k.gen JOIN base b ON b.fid = k.fid GROUP BY k.fid, zg.z),""" + \
+        cover_sql("feats", BUF) + """
+SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, subclass FROM hits"""
+
+
+@query("tile_waterway_bands", _waterway_sql())
+def q_tile_waterway_bands(spark, d):
+    """osm.waterway at zooms 9-14: ladder rungs gen8/10/12 (subclass and
+    length filters on the base line, P4/P7) and the base table, by zoom band."""
+    from gridloom.operators.tiles import features_at_zooms, zoom_rungs
+    from gridloom.plans.catalog import lines
+    t = Tables(spark, d)
+    ln = lines(t).withColumn("length", G.length("geom"))
+    base = ln.join(FX.way_attrs(t).select("fid", F.col("water_subclass").alias("subclass")), "fid")
+    rungs = [Rung(g, tol, F.expr(c) if c else None) for g, tol, c in WATERWAY_RUNGS]
+    lr = ladder_rings(base, rungs)
+    bb = lr.select("gen", "fid", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
+    bb = bb.join(base.select("fid", "subclass"), "fid")
+    feats = features_at_zooms(bb, zoom_rungs(WATERWAY_ZOOMS[0], WATERWAY_ZOOMS[1], WATERWAY_BANDS))
+    hits = tile_rows(feats, None, BUF)
+    return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"), "subclass")

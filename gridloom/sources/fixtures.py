@@ -116,6 +116,7 @@ def way_attrs(t: Tables) -> DataFrame:
         F.concat(F.lit("R"), (c % 40).cast("string")).alias("name"),
         F.when(k % 8 == 0, F.lit("summer_toboggan")).when(k % 8 == 1, F.lit(None)).otherwise(F.lit(""))
         .alias("attraction"),
+        _pick(["river", "canal", "stream", "ditch"], k % 4).alias("water_subclass"),
     ).withColumn("rank", F.coalesce(F.array_position(F.array(*[F.lit(v) for v in ENUMS["rank"]]), F.col("subclass"))
                                     .cast("int"), F.lit(0)))
 
