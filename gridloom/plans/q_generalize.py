@@ -198,3 +198,51 @@ def q_relation_members(spark, d):
     m = relation_members(FX.route_relations(t), lines(t))
     m = m.where(F.col("route") == "bicycle")
     return m.select("relation_id", "fid", "route", "ref", F.col("nv").cast("int").alias("nv"))
+
+
+# waterarea ladder: gen14/13 from the base, gen12..8 from gen13 -- their filters
+# read the area of the gen13 geometry (the source rung), not the base area
+WATERAREA_BASE_RUNGS = [(14, 5, "area > 1000"), (13, 10, "area > 2000")]
+WATERAREA_CASCADE = [(12, 20, "area13 > 5000"), (11, 50, "area13 > 50000"), (10, 100, "area13 > 200000"),
+                     (9, 200, "area13 > 2000000"), (8, 250, "area13 > 5000000")]
+
+
+def _rings_area(lr):
+    """(gen, fid, part, ring, verts) -> (gen, fid, area): shell minus holes."""
+    a = F.abs(G.ring_signed_area(F.col("verts")))
+    return lr.groupBy("gen", "fid").agg(F.sum(F.when(F.col("ring") == 0, a).otherwise(-a)).alias("area"))
+
+
+@query("ladder_waterarea", "WITH RECURSIVE " + OF.POLY.strip() + """,
+dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_sql("dp_in") + """,
+k13 AS (SELECT v.osm_id, v.ring, v.seq, v.x, v.y FROM poly_verts v
+        JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
+        WHERE s.sig IS NULL OR s.sig > 10 OR s.protect),
+ra13 AS (SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
+         FROM (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM k13
+               WINDOW w AS (PARTITION BY osm_id, ring ORDER BY seq)) WHERE nx IS NOT NULL GROUP BY osm_id, ring),
+a13 AS (SELECT osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area13 FROM ra13 GROUP BY osm_id),
+ra AS (SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
+       FROM (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM poly_verts
+             WINDOW w AS (PARTITION BY osm_id, ring ORDER BY seq)) WHERE nx IS NOT NULL GROUP BY osm_id, ring),
+base AS (SELECT b.osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area, any_value(a13.area13) AS area13
+         FROM ra b JOIN a13 USING (osm_id) GROUP BY b.osm_id),
+rungs AS (""" + "\n  UNION ALL ".join(
+    f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, osm_id FROM base WHERE {c}"
+    for g, tol, c in WATERAREA_BASE_RUNGS + WATERAREA_CASCADE) + """)
+SELECT CAST(r.gen AS INTEGER) AS gen, r.osm_id AS fid, CAST(count(*) AS INTEGER) AS nv
+FROM rungs r JOIN poly_verts v ON v.osm_id = r.osm_id
+JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
+WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect
+GROUP BY r.gen, r.osm_id""")
+def q_ladder_waterarea(spark, d):
+    """C8 cascaded ladder: gen12..8 simplify the gen13 copy (equal to simplifying
+    the base at the larger tolerance) and filter on the gen13 area."""
+    p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
+    base = p.withColumn("area", G.area("geom"))
+    a13 = _rings_area(ladder_rings(base, [Rung(13, 10.0)])).select("fid", F.col("area").alias("area13"))
+    base = base.join(a13, "fid")
+    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in WATERAREA_BASE_RUNGS + WATERAREA_CASCADE]
+    lr = ladder_rings(base, rungs)
+    return lr.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
+        F.col("gen").cast("int").alias("gen"), "fid", "nv")
