@@ -244,3 +244,61 @@ def q_tile_waterway_bands(spark, d):
     feats = features_at_zooms(bb, zoom_rungs(WATERWAY_ZOOMS[0], WATERWAY_ZOOMS[1], WATERWAY_BANDS))
     hits = tile_rows(feats, None, BUF)
     return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"), "subclass")
+
+
+# osm.manmade at zooms 13-14: lines (gen13 rung = DP 10 of taxiway/runway-like lines below 14, base from 14),
+# polygons with their perimeter, points with constant columns
+def _manmade_sql() -> str:
+    from gridloom.plans.q_generalize import dp_sql
+    return "WITH RECURSIVE " + ",\n".join([OF.WAY_NODES.strip(), OF.WAY_ATTRS.strip(), OF.POLY.strip(),
+                                           OF.POI.strip()]) + """,
+dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """,
+mm AS (SELECT fid FROM way_attrs),
+k13 AS (SELECT v.fid, v.seq, v.x, v.y FROM line_verts v JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq
+        JOIN way_attrs a ON a.fid = v.fid
+        WHERE v.fid IN (SELECT fid FROM mm) AND a.subclass IN ('service', 'track')
+          AND (s.sig IS NULL OR s.sig > 10 OR s.protect)),
+kb AS (SELECT fid, seq, x, y FROM line_verts WHERE fid IN (SELECT fid FROM mm)),
+len_ AS (SELECT src, fid, sum(CASE WHEN nx IS NULL THEN 0 ELSE sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y)) END) AS l,
+                bool_and(CASE WHEN seq0 THEN x = lx AND y = ly ELSE TRUE END) AS closed
+         FROM (SELECT src, fid, seq, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny,
+                      seq = min(seq) OVER w2 AS seq0, last_value(x) OVER w2 AS lx, last_value(y) OVER w2 AS ly
+               FROM (SELECT 13 AS src, * FROM k13 UNION ALL SELECT 14, * FROM kb)
+               WINDOW w AS (PARTITION BY src, fid ORDER BY seq),
+                      w2 AS (PARTITION BY src, fid ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING
+                             AND UNBOUNDED FOLLOWING))
+         GROUP BY src, fid),
+pp AS (SELECT osm_id, sum(sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y))) AS per
+       FROM (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM poly_verts
+             WINDOW w AS (PARTITION BY osm_id, ring ORDER BY seq)) WHERE nx IS NOT NULL
+       GROUP BY osm_id)
+SELECT src AS z, fid AS gid, 'line' AS kind, CAST(round_even(l, 0) AS INTEGER) AS length, closed AS polygon
+FROM len_
+UNION ALL SELECT z, osm_id, 'polygon', CAST(round_even(per, 0) AS INTEGER), TRUE
+FROM pp, (SELECT unnest([13, 14]) AS z) zs
+UNION ALL SELECT z, osm_id, 'point', 0, FALSE FROM poi, (SELECT unnest([13, 14]) AS z) zs"""
+
+
+@query("manmade_layer", _manmade_sql())
+def q_manmade_layer(spark, d):
+    """osm.manmade at zooms 13 and 14: lines from the gen13 rung (DP 10 with a
+    subclass filter) below 14 and the base from 14, each with
+    ``length::integer`` and ``ST_IsClosed AS polygon``; polygons with
+    ``ST_Perimeter::integer`` and TRUE; points with 0 and FALSE (union by name)."""
+    from gridloom.operators.attributes import as_pg_int
+    from gridloom.plans.catalog import lines
+    t = Tables(spark, d)
+    ln = lines(t).join(FX.way_attrs(t).select("fid", "subclass"), "fid")
+    lr = ladder_rings(ln, [Rung(13, 10.0, F.col("subclass").isin("service", "track")), Rung(14, -1.0)])
+    g = G.line_geom(F.col("verts"))
+    lines_out = lr.select(F.col("gen").alias("z"), F.col("fid").alias("gid"), F.lit("line").alias("kind"),
+                          as_pg_int(G.length(g)).alias("length"), G.is_closed(g).alias("polygon"))
+    polys = FX.polygons(t)
+    zs = F.explode(F.array(F.lit(13), F.lit(14))).alias("z")
+    poly_out = polys.select(zs, F.col("osm_id").alias("gid"), F.lit("polygon").alias("kind"),
+                            as_pg_int(G.perimeter("geom")).alias("length"), F.lit(True).alias("polygon"))
+    pts = FX.poi_points(t)
+    pt_out = pts.select(zs, F.col("osm_id").alias("gid"), F.lit("point").alias("kind"),
+                        F.lit(0).alias("length"), F.lit(False).alias("polygon"))
+    return lines_out.unionByName(poly_out).unionByName(pt_out).select(
+        F.col("z").cast("int").alias("z"), "gid", "kind", "length", "polygon")
