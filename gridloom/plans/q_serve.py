@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.operators import attributes as A
 from gridloom.functions import geometry as G
+from gridloom.operators import attributes as A
 from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.serve import read_tile, tile_rows, write_tile_cache
 from gridloom.operators.tiles import features_at_zooms, zoom_rungs
@@ -13,6 +13,7 @@ from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import NAME_SQL, cluster_ctes, query
 from gridloom.plans.q_generalize import ROAD_RUNGS, dp_sql, roads_base
 from gridloom.plans.q_io import _scratch
+from gridloom.plans.q_points import POS_SQL
 from gridloom.plans.q_tiles import BUF, ROAD_BANDS, cover_sql
 from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables
@@ -302,3 +303,53 @@ def q_manmade_layer(spark, d):
                         F.lit(0).alias("length"), F.lit(False).alias("polygon"))
     return lines_out.unionByName(poly_out).unionByName(pt_out).select(
         F.col("z").cast("int").alias("z"), "gid", "kind", "length", "polygon")
+
+
+@query("transportation_layer", "WITH " + ",\n".join([OF.WAY_NODES.strip(), OF.WAY_ATTRS.strip()]) + f""",
+ends AS (SELECT fid, arg_min(x, seq) AS x0, arg_min(y, seq) AS y0, arg_max(x, seq) AS x1, arg_max(y, seq) AS y1
+         FROM line_verts GROUP BY fid)
+SELECT a.fid AS gid, a.class, a.subclass, {NAME_SQL.replace('name_de', 'a.name_de').replace('name_en', 'a.name_en').replace('ELSE name', 'ELSE a.name')} AS name
+FROM way_attrs a JOIN ends e USING (fid) WHERE NOT (e.x0 = e.x1 AND e.y0 = e.y1)""")
+def q_transportation_layer(spark, d):
+    """osm.transportation: open lines only (``NOT ST_IsClosed``, P11), name by
+    the three-valued fallback (P3)."""
+    from gridloom.plans.catalog import lines
+    t = Tables(spark, d)
+    ln = lines(t).where(~G.is_closed("geom")).join(FX.way_attrs(t), "fid")
+    return ln.select(F.col("fid").alias("gid"), "class", "subclass", A.name_fallback().alias("name"))
+
+
+def housenumber_points(t: Tables):
+    """Entrance points with a house number (from customers)."""
+    k = F.col("c_custkey")
+    num = F.when(k % 4 == 0, F.lit("")).when(k % 9 == 0, F.lit(None).cast("string")).otherwise(
+        (k % 300 + 1).cast("string"))
+    return FX.poi_points(t).select("osm_id", "x", "y", "name_de", "name_en", "name").join(
+        t.customer.select(k.alias("osm_id"), num.alias("number")), "osm_id")
+
+
+@query("housenumbers_layer", OF.with_(OF.POLY, OF.POI) + ",\n" + POS_SQL.strip() + f""",
+hn AS (SELECT p.osm_id, p.x, p.y, p.name_de, p.name_en, p.name,
+              CASE WHEN c.c_custkey % 4 = 0 THEN '' WHEN c.c_custkey % 9 = 0 THEN NULL
+                   ELSE CAST(c.c_custkey % 300 + 1 AS VARCHAR) END AS number
+       FROM poi p JOIN customer c ON c.c_custkey = p.osm_id),
+bld AS (SELECT b.osm_id, round(px, 4) AS x, round(py, 4) AS y, b.name_de, b.name_en, b.name,
+               CASE WHEN b.osm_id % 5 = 0 THEN '' ELSE CAST(b.osm_id % 120 + 1 AS VARCHAR) END AS number
+        FROM poly_base b JOIN pos USING (osm_id))
+SELECT 'building' AS src, osm_id AS gid, x, y, number, {NAME_SQL} AS name FROM bld
+WHERE (number <> '') IS NOT FALSE
+UNION ALL
+SELECT 'entrance', osm_id, round(x, 4), round(y, 4), number, {NAME_SQL} FROM hn WHERE (number <> '') IS NOT FALSE""")
+def q_housenumbers_layer(spark, d):
+    """osm.housenumbers: buildings reduced to points (C5) UNION ALL entrance
+    points, the same ``(number <> '') IS NOT FALSE`` filter on both sides."""
+    from gridloom.operators.topoint import merge_to_point
+    t = Tables(spark, d)
+    k = F.col("osm_id")
+    bld = FX.polygons(t).withColumn("number", F.when(k % 5 == 0, F.lit("")).otherwise(
+        (k % 120 + 1).cast("string"))).withColumn("src", F.lit("building"))
+    pts = housenumber_points(t).withColumn("src", F.lit("entrance"))
+    cond = A.is_not_false(F.col("number") != "")
+    out = merge_to_point(bld, pts, ["src", F.col("osm_id").alias("gid"), "number", A.name_fallback().alias("name")],
+                         cond)
+    return out.select("src", "gid", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "number", "name")
