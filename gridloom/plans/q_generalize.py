@@ -246,3 +246,13 @@ def q_ladder_waterarea(spark, d):
     lr = ladder_rings(base, rungs)
     return lr.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
         F.col("gen").cast("int").alias("gen"), "fid", "nv")
+
+
+def waterarea_rungs(spark, d):
+    """(gen, fid, part, ring, verts) of every waterarea rung (cascaded filters)."""
+    p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
+    base = p.withColumn("area", G.area("geom"))
+    a13 = _rings_area(ladder_rings(base, [Rung(13, 10.0)])).select("fid", F.col("area").alias("area13"))
+    base = base.join(a13, "fid")
+    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in WATERAREA_BASE_RUNGS + WATERAREA_CASCADE] + [Rung(0, -1.0)]
+    return ladder_rings(base, rungs)

@@ -353,3 +353,54 @@ def q_housenumbers_layer(spark, d):
     out = merge_to_point(bld, pts, ["src", F.col("osm_id").alias("gid"), "number", A.name_fallback().alias("name")],
                          cond)
     return out.select("src", "gid", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), "number", "name")
+
+
+# osm.waterarea: <9 gen8, 9..14 gen z, >= 15 base
+WATERAREA_BANDS = [(0, 9, 8)] + [(z, z + 1, z) for z in range(9, 15)] + [(15, 99, 0)]
+WATERAREA_ZOOMS = (8, 15)
+
+
+def _waterarea_sql() -> str:
+    from gridloom.plans.q_generalize import WATERAREA_BASE_RUNGS, WATERAREA_CASCADE
+    zg = zoom_rungs(WATERAREA_ZOOMS[0], WATERAREA_ZOOMS[1], WATERAREA_BANDS)
+    rung_sql = "\n  UNION ALL ".join(
+        [f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, osm_id FROM base WHERE {c}"
+         for g, tol, c in WATERAREA_BASE_RUNGS + WATERAREA_CASCADE] + ["SELECT 0, -1.0, osm_id FROM base"])
+    zsql = " UNION ALL ".join(f"SELECT {z} AS z, {g} AS gen" for z, g in zg)
+    return "WITH RECURSIVE " + OF.POLY.strip() + """,
+dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_sql("dp_in") + """,
+k13 AS (SELECT v.osm_id, v.ring, v.seq, v.x, v.y FROM poly_verts v
+        JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
+        WHERE s.sig IS NULL OR s.sig > 10 OR s.protect),
+ra13 AS (SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
+         FROM (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM k13
+               WINDOW w AS (PARTITION BY osm_id, ring ORDER BY seq)) WHERE nx IS NOT NULL GROUP BY osm_id, ring),
+a13 AS (SELECT osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area13 FROM ra13 GROUP BY osm_id),
+ra AS (SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
+       FROM (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM poly_verts
+             WINDOW w AS (PARTITION BY osm_id, ring ORDER BY seq)) WHERE nx IS NOT NULL GROUP BY osm_id, ring),
+base AS (SELECT b.osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area, any_value(a13.area13) AS area13
+         FROM ra b JOIN a13 USING (osm_id) GROUP BY b.osm_id),
+rungs AS (""" + rung_sql + """),
+zg AS (""" + zsql + """),
+kept AS (SELECT r.gen, r.osm_id, v.x, v.y FROM rungs r JOIN poly_verts v ON v.osm_id = r.osm_id
+         JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
+         WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect),
+feats AS (SELECT 'waterarea' AS layer, k.osm_id AS fid, zg.z, min(x) AS minx, min(y) AS miny, max(x) AS maxx,
+                 max(y) AS maxy FROM kept k JOIN zg ON zg.gen = k.gen GROUP BY k.osm_id, zg.z),""" + \
+        cover_sql("feats", BUF) + """
+SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid FROM hits"""
+
+
+@query("tile_waterarea_bands", _waterarea_sql())
+def q_tile_waterarea_bands(spark, d):
+    """osm.waterarea at zooms 8-15: each zoom's rung of the cascaded ladder
+    (gen8..14, base from 15), joined to tiles by the rung's bbox."""
+    from gridloom.plans.q_generalize import waterarea_rungs
+    lr = waterarea_rungs(spark, d)
+    v = lr.select("gen", "fid", F.explode("verts").alias("_v"))
+    bb = v.groupBy("gen", "fid").agg(F.min("_v.x").alias("minx"), F.min("_v.y").alias("miny"),
+                                     F.max("_v.x").alias("maxx"), F.max("_v.y").alias("maxy"))
+    feats = features_at_zooms(bb, zoom_rungs(WATERAREA_ZOOMS[0], WATERAREA_ZOOMS[1], WATERAREA_BANDS))
+    hits = tile_rows(feats, None, BUF)
+    return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"))
