@@ -6,17 +6,14 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
 from gridloom.functions.geometry import WORLD_EDGE
-from gridloom.functions.tiles import LOCAL_TILE_BUFFER, TILE_EXTENT, descendants, explode_cover, parse_tile_list, \
-    tile_bounds
-from gridloom.operators.assemble import vertex_rows
+from gridloom.functions.tiles import LOCAL_TILE_BUFFER, TILE_EXTENT, descendants, parse_tile_list, tile_bounds
 from gridloom.operators.attributes import name_fallback
 from gridloom.operators.labels import dedup_labels
 from gridloom.operators.ladder import Rung, ladder_rings
-from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.operators.tiles import features_at_zooms, layer_counts, tile_join, top_k_per_tile, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import NAME_SQL, query
-from gridloom.plans.q_generalize import LKEY, ROAD_RUNGS, dp_sql, roads_base
+from gridloom.plans.q_generalize import ROAD_RUNGS, dp_sql, roads_base
 from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables
 
