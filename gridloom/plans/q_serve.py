@@ -404,3 +404,23 @@ def q_tile_waterarea_bands(spark, d):
     feats = features_at_zooms(bb, zoom_rungs(WATERAREA_ZOOMS[0], WATERAREA_ZOOMS[1], WATERAREA_BANDS))
     hits = tile_rows(feats, None, BUF)
     return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"))
+
+
+@query("piste_layer", "WITH " + OF.WAY_NODES.strip() + """,
+ends AS (SELECT fid, arg_min(x, seq) AS x0, arg_min(y, seq) AS y0, arg_max(x, seq) AS x1, arg_max(y, seq) AS y1
+         FROM line_verts GROUP BY fid)
+SELECT fid AS gid, CAST(coalesce(list_position(""" + "['novice', 'easy', 'intermediate', 'advanced', 'expert', " \
+    "'freeride', 'extreme']" + """, ['novice', 'easy', 'intermediate', 'advanced', 'expert', 'freeride', 'extreme',
+       'unknown'][(fid % 8) + 1]), 0) AS INTEGER) AS difficulty
+FROM ends WHERE NOT (x0 = x1 AND y0 = y1)""")
+def q_piste_layer(spark, d):
+    """osm.piste: open lines only (P11) with ``difficulty`` as an enumeration
+    (M8: 1-based position, 0 for a value outside the list)."""
+    from gridloom.functions.rules import ENUMS
+    from gridloom.plans.catalog import lines
+    ln = lines(Tables(spark, d)).where(~G.is_closed("geom"))
+    tag = F.element_at(F.array(*[F.lit(v) for v in ENUMS["difficulty"] + ["unknown"]]), (F.col("fid") % 8 + 1)
+                       .cast("int"))
+    diff = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in ENUMS["difficulty"]]), tag).cast("int"),
+                      F.lit(0))
+    return ln.select(F.col("fid").alias("gid"), diff.alias("difficulty"))
