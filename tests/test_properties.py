@@ -74,3 +74,15 @@ def test_ladder_is_monotone(spark, sf_dir):
         if gen < 3:
             assert n[(gen + 1, fid)] <= cnt
         assert cnt >= 2
+
+
+def test_global_row_number_with_a_hot_key(spark):
+    """A third of the rows share one key; numbering still equals a plain window."""
+    from pyspark.sql import Window
+    from gridloom.operators.labels import global_row_number
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 97)
+                                     .alias("k"), F.col("id"))
+    order = [F.col("k"), F.col("id")]
+    a = {r.id: r.gid for r in global_row_number(df, order, "gid", partitions=6).collect()}
+    b = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert a == b
