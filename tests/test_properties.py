@@ -86,3 +86,16 @@ def test_global_row_number_with_a_hot_key(spark):
     a = {r.id: r.gid for r in global_row_number(df, order, "gid", partitions=6).collect()}
     b = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
     assert a == b
+
+
+def test_two_stage_topk_equals_window_on_a_hot_tile(spark):
+    from pyspark.sql import Window
+    from gridloom.operators.tiles import top_k_per_tile
+    df = spark.range(0, 3000).select(
+        F.lit(10).alias("z"), F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 13).alias("x"),
+        F.lit(5).alias("y"), F.col("id").alias("osm_id"), (F.col("id") * 7919 % 1000).alias("pop"))
+    order = [F.col("pop").desc(), F.col("osm_id")]
+    got = {(r.x, r.osm_id): r.rank for r in top_k_per_tile(df, 50, order, salt_buckets=4).collect()}
+    w = Window.partitionBy("z", "x", "y").orderBy(*order)
+    exp = {(r.x, r.osm_id): r.rn for r in df.withColumn("rn", F.row_number().over(w)).where("rn <= 50").collect()}
+    assert got == exp
