@@ -99,3 +99,30 @@ def test_two_stage_topk_equals_window_on_a_hot_tile(spark):
     w = Window.partitionBy("z", "x", "y").orderBy(*order)
     exp = {(r.x, r.osm_id): r.rn for r in df.withColumn("rn", F.row_number().over(w)).where("rn <= 50").collect()}
     assert got == exp
+
+
+def test_clustering_with_a_hot_spot_matches_brute_force(spark):
+    import random
+    from gridloom.operators.cluster import cluster_ids
+    rnd = random.Random(3)
+    pts = [(i, 500.0, 500.0) for i in range(200)]                      # a third at one position
+    pts += [(200 + i, float(rnd.randint(0, 3000)), float(rnd.randint(0, 3000))) for i in range(400)]
+    df = spark.createDataFrame(pts, "osm_id long, x double, y double")
+    got = {r.osm_id: r.cluster_id for r in cluster_ids(df, 120.0).collect()}
+    parent = {p[0]: p[0] for p in pts}
+
+    def find(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+    for i, (a, xa, ya) in enumerate(pts):
+        for b, xb, yb in pts[i + 1:]:
+            if (xa - xb) ** 2 + (ya - yb) ** 2 <= 120.0 ** 2:
+                ra, rb = find(a), find(b)
+                parent[max(ra, rb)] = min(ra, rb)
+    comp = {}
+    for p in pts:
+        comp.setdefault(find(p[0]), []).append(p[0])
+    expect = {m: min(ms) for ms in comp.values() for m in ms}
+    assert got == expect
