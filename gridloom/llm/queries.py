@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import piece_bpe, repetition, sharding
+from gridloom.llm import licence_rules, piece_bpe, repetition, sharding, url_rules, warc_bundles
+from gridloom.llm.words import scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 8
@@ -34,19 +35,44 @@ def op1_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op3_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into seekable bundles, then read back from them."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    folder = scratch(spark, "warc")
+    warc_bundles.write_bundles(warc_bundles.with_revisits(pages), folder)
+    return warc_bundles.read_records(spark, folder, payloads=False).select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 def op4_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document by the suffix-array repetition rules."""
     return repetition.measure(_read(spark, sf_dir, "documents"), spans=False)
 
 
+def op5_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence rules that each document matches."""
+    return licence_rules.recognise(_read(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by backtracking and decoded again, as counts and digests."""
     return piece_bpe.encode(_read(spark, sf_dir, "documents"), TOKENIZER, ids=False, digests=True)
 
 
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: given rules, then rules mined from all labelled pages (bad: toxic or of low quality)."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    labels = _read(spark, sf_dir, "labels")
+    bad = labels.groupBy("doc_id").agg(F.max((F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)).alias("bad"))
+    labelled = pages.join(bad, pages["page_id"] == bad["doc_id"]).select("url", "bad")
+    return url_rules.judge(pages, labelled)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jump_sharding, op4_suffix_array_repetition, op8_sentencepiece)}
+    return {f.__name__: f for f in (
+        op1_jump_sharding, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op8_sentencepiece, op10_url_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_licence_rules": licence_rules.sql()}
