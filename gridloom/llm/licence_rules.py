@@ -157,7 +157,7 @@ def sql(docs: str = "documents") -> str:
     known = "[" + ", ".join(q(s) for s in KNOWN) + "]"
     low = f"translate(text, {q(UPPER)}, {q(LOWER)})"
     ids = {
-        k: f"list_aggregate(list_transform(list_filter(list_transform(string_split(regexp_replace(regexp_replace(replace(low, chr(1), ' '), {q(e)}, chr(1), 'g'), {q(NOISE)}, ' ', 'g'), chr(1)), s -> list_position({known}, trim(s))), i -> i > 0), i -> '<' || i || '>'), 'string_agg', '')"
+        k: f"list_aggregate(list_transform(list_filter(list_transform(string_split(regexp_replace(regexp_replace(replace(low, chr(1), ' '), {q(e)}, chr(1), 'g'), {q(NOISE)}, ' ', 'g'), chr(1)), lambda s: list_position({known}, trim(s))), lambda i: i > 0), lambda i: '<' || i || '>'), 'string_agg', '')"
         for k, e in ENDS.items()
     }
     parts = [f"t as (select doc_id, {low} as low from {docs})", f"s0 as (select doc_id, coalesce({ids['lines']}, '') as a, coalesce({ids['wrapped']}, '') as b from t)"]

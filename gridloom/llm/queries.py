@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import licence_rules, piece_bpe, repetition, sharding, url_rules, warc_bundles
+from gridloom.llm import licence_rules, piece_bpe, repetition, sharding, simhash_trie, url_rules, warc_bundles
 from gridloom.llm.words import scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
@@ -55,6 +55,12 @@ def op5_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_rules.recognise(_read(spark, sf_dir, "documents"))
 
 
+def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash fingerprint and near-duplicate component."""
+    found = simhash_trie.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by backtracking and decoded again, as counts and digests."""
     return piece_bpe.encode(_read(spark, sf_dir, "documents"), TOKENIZER, ids=False, digests=True)
@@ -69,10 +75,20 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, labelled)
 
 
+OP3_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+     d as (select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha1(html) as payload_digest from p),
+     g as (select *, payload_bytes >= 1000 and page_id < max(page_id) over (partition by payload_digest) as again,
+                  max(page_id) over (partition by payload_digest) as top from d)
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
+       case when again then top end as refers_to from g
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_jump_sharding, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op8_sentencepiece, op10_url_rules)}
+        op1_jump_sharding, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op7_simhash_trie, op8_sentencepiece, op10_url_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_licence_rules": licence_rules.sql()}
+    return {"op3_seekable_warc": OP3_SQL, "op5_licence_rules": licence_rules.sql()}

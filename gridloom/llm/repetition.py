@@ -174,7 +174,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
                 made.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
                     [pa.array(cuts - starts[text_of[cuts]] if len(cuts) else cuts, pa.int64()), pa.array(lengths, pa.int64())], ["first_word", "n"])))
             made += [pa.array(failed), pa.array(good)]
-            keys = [table.column(f"k{i}").combine_chunks() for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([k.chunk(0) if isinstance(k, pa.ChunkedArray) else k for k in keys] + made, names=schema.names)
+            keys = [pa.concat_arrays(table.column(f"k{i}").chunks) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays(keys + made, names=schema.names)
 
     return source.mapInArrow(run, schema).toDF(*keep, *(f.name for f in added))
