@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import licence_rules, piece_bpe, repetition, sharding, simhash_trie, url_rules, warc_bundles
+from gridloom.llm import licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
 from gridloom.llm.words import scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
@@ -66,6 +66,11 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.encode(_read(spark, sf_dir, "documents"), TOKENIZER, ids=False, digests=True)
 
 
+def op9_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that repeats, at each of its places."""
+    return sparse_suffixes.repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL: given rules, then rules mined from all labelled pages (bad: toxic or of low quality)."""
     pages = _read(spark, sf_dir, "pages").select("page_id", "url")
@@ -87,7 +92,7 @@ select page_id, payload_bytes, payload_digest, case when again then 'revisit' el
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_jump_sharding, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op7_simhash_trie, op8_sentencepiece, op10_url_rules)}
+        op1_jump_sharding, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
