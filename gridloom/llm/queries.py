@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
+from gridloom.llm import latent_leaks, licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
 from gridloom.llm.words import scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
@@ -35,6 +35,11 @@ def op1_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op2_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it leaks."""
+    return latent_leaks.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op3_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record into seekable bundles, then read back from them."""
     pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -92,7 +97,7 @@ select page_id, payload_bytes, payload_digest, case when again then 'revisit' el
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_jump_sharding, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules)}
+        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
