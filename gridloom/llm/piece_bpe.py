@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from gridloom.llm.words import kept
+
 SPACE = "▁"
 UNKNOWN = "�"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -95,13 +97,19 @@ class PieceModel:
         self.id_bytes = {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.scan = ahocorasick.Automaton()
         for p, i in normal.items():
-            self.scan.add_word(p, (len(p), i))
+            if self.merged(p) == [p]:  # others never come out of merging
+                self.scan.add_word(p, (len(p), i))
         self.scan.make_automaton()
+        # characters that stand side by side in no piece are never merged across
+        self.inside = {p[k:k + 2] for p in normal for k in range(len(p) - 1)}
+        self.plain = [b"" if k == CONTROL else " ⁇ ".encode() if k == UNK else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, kinds, strict=True)]
+        for i, b in self.id_bytes.items():
+            self.plain[i] = b
         # no piece holds a line feed or goes on past a space: each unit is encoded by itself
         self.units = re.compile(" *[^ \n]+|\n| +" if "\n" not in chars else " *[^ ]+| +")
-        self._stable: dict[int, bool] = {}
         self._fits: dict[tuple[int, int], bool] = {}
         self._units: dict[str, tuple[tuple[int, ...], bytes]] = {}
+        self._runs: dict[str, list[int]] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge from characters: always the pair with the best score, the leftmost of equals."""
@@ -117,12 +125,6 @@ class PieceModel:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _is_stable(self, piece: int) -> bool:
-        known = self._stable.get(piece)
-        if known is None:
-            known = self._stable[piece] = self.merged(self.pieces[piece]) == [self.pieces[piece]]
-        return known
-
     def _compatible(self, left: int, right: int) -> bool:
         known = self._fits.get((left, right))
         if known is None:
@@ -136,27 +138,32 @@ class PieceModel:
         """Ids of a text whose characters are all pieces, by backtracking."""
         size = len(text)
         found: list[list[tuple[int, int]]] = [[] for _ in range(size)]
-        for end, (length, piece) in self.scan.iter(text):
-            found[end - length + 1].append((length, piece))
-        for options in found:
-            options.sort(reverse=True)
+        for end, match in self.scan.iter(text):
+            found[end - match[0] + 1].append(match)  # shorter ones come first
         failed = bytearray(size // 8 + 1)  # bit p: no segmentation goes on from p
+        fits = self._fits
         out: list[int] = []
-        ends = [0]
-        tried = [0]  # options already used at each open place
-        while ends[-1] < size:
-            at, k = ends[-1], tried[-1]
-            options = found[at]
-            while k < len(options):
+        ends, left = [0], [len(found[0])]  # open places and how many of their options are untried
+        at = 0
+        while at < size:
+            options, k = found[at], left[-1]
+            before = out[-1] if out else -1
+            while k:
+                k -= 1
                 length, piece = options[k]
-                k += 1
                 end = at + length
-                if not failed[end >> 3] >> (end & 7) & 1 and self._is_stable(piece) and (not out or self._compatible(out[-1], piece)):
-                    tried[-1] = k
-                    out.append(piece)
-                    ends.append(end)
-                    tried.append(0)
-                    break
+                if failed[end >> 3] >> (end & 7) & 1:
+                    continue
+                if before >= 0:
+                    good = fits.get((before, piece))
+                    if not (self._compatible(before, piece) if good is None else good):
+                        continue
+                left[-1] = k
+                out.append(piece)
+                ends.append(end)
+                at = end
+                left.append(len(found[at]) if at < size else 0)
+                break
             else:
                 # nothing fits behind the piece that ends here: give it back
                 if not out:
@@ -164,23 +171,42 @@ class PieceModel:
                 failed[at >> 3] |= 1 << (at & 7)
                 out.pop()
                 ends.pop()
-                tried.pop()
+                left.pop()
+                at = ends[-1]
         return out
 
+    def _known(self, text: str) -> list[int]:
+        """Ids of characters of the model, run by run between places that no merge crosses."""
+        ids: list[int] = []
+        first, memo = 0, self._runs
+        for k in range(1, len(text) + 1):
+            if k == len(text) or text[k - 1:k + 1] not in self.inside:
+                run = text[first:k]
+                got = memo.get(run)
+                if got is None:
+                    got = self._run(run)
+                    if len(memo) >= CACHE:
+                        memo.clear()
+                    if len(run) <= 64:
+                        memo[run] = got
+                ids += got
+                first = k
+        return ids
+
     def _unit(self, text: str) -> tuple[tuple[int, ...], bytes]:
         """Ids of one unit and the same as decimal text; characters outside the model become bytes."""
-        ids: list[int] = []
-        known: list[str] = []
-        for c in text:
-            if c in self.chars:
-                known.append(c)
-                continue
-            if known:
-                ids += self._run("".join(known))
-                known = []
-            ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
-        if known:
-            ids += self._run("".join(known))
+        if self.chars.issuperset(text):
+            ids = self._known(text)
+        else:
+            ids, known = [], ""
+            for c in text:
+                if c in self.chars:
+                    known += c
+                    continue
+                ids += self._known(known)
+                known = ""
+                ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
+            ids += self._known(known)
         return tuple(ids), ",".join(map(str, ids)).encode()
 
     def units_of(self, text: str) -> list[tuple[tuple[int, ...], bytes]]:
@@ -205,32 +231,42 @@ class PieceModel:
         return [i for ids, _ in self.units_of(text or "") for i in ids]
 
     def decode(self, ids) -> str:
-        """Text of ids: byte pieces are read as UTF-8 (faults become U+FFFD), one leading space goes."""
+        """Text of ids: byte pieces are read as UTF-8 (each faulty byte becomes U+FFFD), one leading space goes."""
+        raw = b"".join(map(self.plain.__getitem__, ids))
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            text = self._mended(ids)
+        if text.startswith(" "):
+            first = next(i for i in ids if self.kinds[i] != CONTROL)
+            if self.pieces[first].startswith(SPACE):
+                text = text[1:]
+        return text
+
+    def _mended(self, ids) -> str:
+        """Byte pieces that aren't UTF-8: each run is read by itself, fault by fault."""
         out: list[str] = []
         raw = b""
-        first = True
-        for i in ids:
-            byte = self.id_bytes.get(i)
-            if byte is not None:
-                raw += byte
-                first = False
+        for i in [*ids, -1]:
+            if i in self.id_bytes:
+                raw += self.id_bytes[i]
                 continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = b""
-            kind = self.kinds[i]
-            if kind == CONTROL:
-                continue
-            piece = " ⁇ " if kind == UNK else self.pieces[i]
-            if first and piece.startswith(SPACE):
-                piece = piece[1:]
-            first = False
-            out.append(piece.replace(SPACE, " "))
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
+            while raw:
+                size = next((n for n in (1, 2, 3, 4) if _is_char(raw[:n])), 0)
+                out.append(raw[:size].decode() if size else UNKNOWN)
+                raw = raw[size or 1:]
+            if i >= 0:
+                out.append(self.plain[i].decode())
         return "".join(out)
 
 
+def _is_char(raw: bytes) -> bool:
+    try:
+        return len(raw.decode()) == 1
+    except UnicodeDecodeError:
+        return False
+
+
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[str] | None = None, ids: bool = True, digests: bool = False) -> DataFrame:
     """Columns ``keep`` of every row plus its tokens; no shuffle, rows stay where they are.
 
@@ -250,9 +286,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
     schema = T.StructType([T.StructField(f"k{i}", docs.schema[k].dataType) for i, k in enumerate(keep)] + [T.StructField(n, t) for n, t in added])
 
     def run(batches):
-        model = None
         for batch in batches:
-            model = model or PieceModel(model_path)
+            model = kept(f"pieces {model_path}", lambda: PieceModel(model_path))
             step = 256
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)

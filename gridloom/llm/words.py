@@ -7,6 +7,8 @@ inside a multi-byte UTF-8 character.
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -25,6 +27,14 @@ class Vocab(dict):
         return number
 
 
+def kept(name: str, make):
+    """The object ``make()`` returns, made once in each worker process."""
+    store = sys.modules.setdefault("_gridloom_worker", types.ModuleType("_gridloom_worker")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def pieces(batches, limit: int = 16 << 20):
     """Regroup Arrow batches into tables of about ``limit`` bytes, in order.
 
