@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import latent_leaks, licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
+from gridloom.llm import katz, latent_leaks, licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
 from gridloom.llm.words import scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
@@ -60,6 +60,12 @@ def op5_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_rules.recognise(_read(spark, sf_dir, "documents"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a Katz model of those whose crc32(doc_id) mod 7 isn't 2."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.train_and_score(_read(spark, sf_dir, "documents"), held_out)[0]
+
+
 def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash fingerprint and near-duplicate component."""
     found = simhash_trie.near_duplicates(_read(spark, sf_dir, "documents"))
@@ -97,7 +103,7 @@ select page_id, payload_bytes, payload_digest, case when again then 'revisit' el
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules)}
+        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op6_katz, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
