@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import latent_leaks, piece_bpe, repetition, simhash_trie, sparse_suffixes
 from gridloom.llm.queries import TOKENIZER
-from gridloom.llm.words import stored
+from gridloom.llm.words import packed, stored, unpacked
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the suffix-array repetition rules reject."""
-    names = docs.columns
-    packed = docs.select(F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"), docs["text"].alias("_text"))
-    judged = repetition.measure(packed, id_col="_row", text_col="_text", keep=["_row"], spans=False)
-    return judged.where("kept").select(*[F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(names)])
+    judged = repetition.measure(packed(docs, text=docs["text"]), id_col="_row", keep=["_row"], spans=False)
+    return judged.where("kept").select(*unpacked(docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,16 +30,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = stored(simhash_trie.near_duplicates(keyed, "_id", "_text"), "pipeline-components")
     stay = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
     stay = stored(stay.select(F.col("doc_id.row").alias("_row"), "count"), "pipeline-stay")
-    kept = docs.withColumn("_row", key["row"]).join(stay.select("_row"), "_row", "left_semi")
+    kept = packed(docs, row=key["row"]).join(stay.select(F.col("_row").alias("row")), "row", "left_semi")
     if stay.where("count > 1").limit(1).count():  # the same row several times: one of them
-        kept = kept.dropDuplicates(["_row"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["row"])
+    return kept.select(*unpacked(docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every passage of 50 words or more that repeats, but at its first place; a text with no word left goes."""
     cut = sparse_suffixes.without_repeats(docs)
-    left = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    left = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))  # in its place
     return left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 

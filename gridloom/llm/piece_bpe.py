@@ -273,15 +273,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
     ``ids`` adds ``ids`` (the token ids) and ``decoded`` (the text that they give
     back); ``digests`` adds ``n_tokens``, ``ids_sha256`` (of the decimal ids joined
     by commas) and ``decoded_sha256``. A null or empty text has no tokens and
-    decodes to the empty text. Repeated rows, null ids and clashing extra columns
-    don't matter: only ``keep`` and the text are read. Texts of any length are
-    encoded whole.
+    decodes to the empty text. Repeated rows and null ids don't matter, other columns
+    aren't read, and a column of ``keep`` with the name of an added one gives way to it.
+    Texts of any length are encoded whole.
     """
     keep = ["doc_id"] if keep is None else keep
     added = [("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType())] if ids else []
     added += [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())] if digests else []
-    if clash := {n.lower() for n, _ in added} & {k.lower() for k in keep}:
-        raise ValueError(f"columns {sorted(clash)} would be there twice")
+    keep = [k for k in keep if k.lower() not in {n for n, _ in added}]
     source = docs.select(*[docs[k].alias(f"k{i}") for i, k in enumerate(keep)], docs[text_col].alias("text"))
     schema = T.StructType([T.StructField(f"k{i}", docs.schema[k].dataType) for i, k in enumerate(keep)] + [T.StructField(n, t) for n, t in added])
 

@@ -126,12 +126,12 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     words or more), n_covered (the same for ``repeat_words``), longest_repeat (words),
     repeat_spans (first word, words; with ``spans``), base_failed, kept. Null and empty
     texts have no words and fail the base rule. Repeated rows are measured alike; null
-    ids stay null; columns other than ``keep`` and the text are not read.
+    ids stay null; columns other than ``keep`` and the text are not read; one of ``keep`` with
+    the name of a result gives way to it.
     """
     keep = [id_col] if keep is None else keep
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat"]
-    if clash := {c.lower() for c in keep} & {*longs, "repeat_spans", "base_failed", "kept"}:
-        raise ValueError(f"columns {sorted(clash)} would be there twice")
+    keep = [c for c in keep if c.lower() not in {*longs, "repeat_spans", "base_failed", "kept"}]
     span = T.ArrayType(T.StructType([T.StructField("first_word", T.LongType()), T.StructField("n", T.LongType())]))
     added = [T.StructField(n, T.LongType()) for n in longs] + [T.StructField("repeat_spans", span)] * spans
     added += [T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())]

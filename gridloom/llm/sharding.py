@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from gridloom.llm.words import packed, unpacked
 from gridloom.session import cut_lineage
 
 # fixed values: the generator of the published algorithm
@@ -53,37 +54,33 @@ def assign(rows: DataFrame, key_col: str, shards: int, into: str = "shard", grow
     """``rows`` with the shard of each row in column ``into``, without any shuffle.
 
     ``grown`` names a further column for the shard once one more shard is there.
-    Equal keys share a shard; null keys are key 0. A name that is in use is refused.
+    Equal keys share a shard; null keys are key 0; repeated rows share theirs. A column of
+    the same name that is there already is replaced.
     """
-    for name in filter(None, (into, grown)):
-        if name.lower() in {c.lower() for c in rows.columns}:
-            raise ValueError(f"column {name} is there already")
-    out = rows.withColumn(into, shard_of(rows[key_col], shards))
-    return out.withColumn(grown, shard_of(rows[key_col], shards + 1)) if grown else out
+    made = {into: shard_of(rows[key_col], shards)} | ({grown: shard_of(rows[key_col], shards + 1)} if grown else {})
+    taken = {n.lower() for n in made}
+    return rows.select(*[rows[c] for c in rows.columns if c.lower() not in taken], *[c.alias(n) for n, c in made.items()])
 
 
 def with_slots(rows: DataFrame, shard_col: str, order: list[str], into: str = "slot") -> DataFrame:
-    """Number the rows of each shard from 0 without gaps, in ``order`` (ties: any order).
+    """Number the rows of each shard from 0 without gaps, in ``order`` (nulls first; ties: any order).
 
     No window runs over a whole shard: rows are range-partitioned by shard and
     order, so a large shard spans many tasks, and each partition adds what the
     partitions before it hold. Pass narrow rows only. The table of counts has at most
     one row for each partition and shard that meet, partitions + shards - 1 in all.
+    A column ``into`` that is there already is replaced.
     """
-    rows = cut_lineage(rows)  # range partitioning reads its input twice
-    spread = rows.withColumn("_tie", F.monotonically_increasing_id())
-    keys = [shard_col, *order, "_tie"]
-    fixed = cut_lineage(spread.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie"))
+    names = rows.columns
+    keys = ["s", *(f"o{i}" for i in range(len(order)))]
+    narrow = cut_lineage(packed(rows, s=rows[shard_col], **{f"o{i}": rows[c] for i, c in enumerate(order)}))  # range partitioning reads its input twice
+    spread = narrow.withColumn("tie", F.monotonically_increasing_id())
+    fixed = cut_lineage(spread.repartitionByRange(*keys, "tie").sortWithinPartitions(*keys, "tie").select("_row", "s"))
     low = (1 << 33) - 1
-    placed = (
-        fixed.withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_row", 33))
-        .withColumn("_row", F.col("_row").bitwiseAND(F.lit(low)))
-    )
-    counts = placed.groupBy(shard_col, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    before = Window.partitionBy(shard_col).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(shard_col).alias("_s"), F.col("_part").alias("_p"),
-        (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
-    joined = placed.join(F.broadcast(offsets), (placed[shard_col] == offsets["_s"]) & (placed["_part"] == offsets["_p"]))
-    return joined.select(*rows.columns, (F.col("_row") + F.col("_shift")).alias(into))
+    at = F.monotonically_increasing_id()
+    placed = fixed.select("_row", "s", F.shiftright(at, 33).alias("part"), at.bitwiseAND(F.lit(low)).alias("place"))
+    counts = placed.groupBy("s", "part").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    before = Window.partitionBy("s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("s", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    joined = placed.join(F.broadcast(offsets), ["s", "part"])
+    return joined.select(*unpacked(names, (into,)), (F.col("place") + F.col("shift")).alias(into))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.words import numbered, pieces, stored, texts_of
+from gridloom.llm.words import numbered, packed, pieces, stored, texts_of, unpacked
 
 LEAST = 50  # words of the shortest passage that counts
 K = 10      # words of a minimiser; LEAST - K + 1 sequences are in a window, 63 at most
@@ -278,7 +278,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The white space before a passage goes with it. Texts without a repeated passage are left as they are.
     """
     rows = with_keys(docs, id_col, text_col)
-    found = stored(passages(rows, least, k).where(F.size("lose") > 0).select(F.col("key").alias("_key"), "lose"), "suffix-cuts")
+    found = stored(passages(rows, least, k).where(F.size("lose") > 0).select("key", "lose"), "suffix-cuts")
 
     @F.pandas_udf(T.StringType())
     def cut(texts, spans):
@@ -287,11 +287,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pd.Series([_cut(t, s) for t, s in zip(texts, spans, strict=True)])
 
     names = docs.columns
-    keyed = docs.select(F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"), F.xxhash64(docs[id_col], docs[text_col]).alias("_k"))
-    joined = keyed.join(found, keyed["_k"] == found["_key"], "left")
-    text = names.index(next(c for c in names if c.lower() == text_col.lower()))
-    own = joined["_row"][f"c{text}"]
-    return joined.select(*[(F.when(F.col("lose").isNull(), own).otherwise(cut(own, F.col("lose"))) if i == text else joined["_row"][f"c{i}"]).alias(c) for i, c in enumerate(names)])
+    keyed = packed(docs, key=F.xxhash64(docs[id_col], docs[text_col]))
+    joined = keyed.join(found, "key", "left")
+    text = next(c for c in names if c.lower() == text_col.lower())
+    own = F.col("_row")[f"c{names.index(text)}"]
+    new = F.when(F.col("lose").isNull(), own).otherwise(cut(own, F.col("lose"))).alias(text)
+    return joined.select(*[new if c == text else old for c, old in zip(names, unpacked(names), strict=True)])
 
 
 def _cut(text: str | None, spans) -> str | None:

@@ -13,7 +13,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridloom.session import ensure_checkpoint_dir
 
@@ -70,6 +71,18 @@ def numbered(word_lists) -> tuple[np.ndarray, np.ndarray, Vocab]:
     return np.array(numbers, dtype=np.int64), np.array(starts, dtype=np.int64), vocab
 
 
+def packed(df: DataFrame, **named: Column) -> DataFrame:
+    """``df`` as one column ``_row`` besides the ``named`` ones, so no column's name can clash with another's."""
+    row = F.struct(*[df[c].alias(f"c{i}") for i, c in enumerate(df.columns)])
+    return df.select(row.alias("_row"), *[c.alias(n) for n, c in named.items()])
+
+
+def unpacked(names: list[str], skip: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of :func:`packed` again, but those whose names are in ``skip``."""
+    gone = {s.lower() for s in skip}
+    return [F.col("_row")[f"c{i}"].alias(c) for i, c in enumerate(names) if c.lower() not in gone]
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder's path below the shared folder in spark.checkpoint.dir."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
