@@ -24,9 +24,9 @@ from gridloom.llm.words import numbered, pieces, texts_of
 SYMBOLS = "#*$%&|<>"  # fixed values: characters counted as symbols
 
 # Limits of the verdict
-REPEAT_WORDS = 8      # substrings shorter than this don't count
-MAX_COVERED = 0.25    # of a text's words in repeated substrings
-MAX_LONGEST = 0.20    # of a text's words in its longest repeated substring
+REPEAT_WORDS = 5      # substrings shorter than this don't count
+MAX_COVERED = 0.35    # of a text's words in repeated substrings; a line that stands twice in a short text is under it
+MAX_LONGEST = 0.25    # of a text's words in its longest repeated substring
 MIN_WORDS = 20        # base rule: shorter texts fail
 
 
