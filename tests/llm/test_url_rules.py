@@ -50,7 +50,7 @@ def test_judging_against_brute_force(spark):
     label_df = spark.createDataFrame(labelled, "url string, bad boolean")
     tokens = {row.url: row.t for row in label_df.select("url", R.tokens(F.col("url")).alias("t")).distinct().collect()}
     pages = data.clashing(spark.createDataFrame([(i, u) for i, u in enumerate(all_urls)] + [(None, all_urls[0]), (3, all_urls[3])], "page_id long, url string"), ["rule", "_v", "tokens", "_bad"])
-    support, confidence = 0.01, 0.8
+    support, confidence = 0.005, 0.8
     mined = {frozenset(x.tokens) for x in R.mine(label_df, support, confidence).collect()}
     want = brute_rules(labelled, tokens, support, confidence)
     assert want and mined == want
