@@ -2,9 +2,9 @@
 
 A rung is (gen, tolerance, filter). The filter is evaluated once per feature
 (on the *source* geometry's measures and attributes, as the reference does),
-giving each feature the list of rungs it belongs to; an explode of that short
-list joined with the per-vertex significance (C2) keeps a vertex in a rung iff
-``sig > tol``. The result is ONE table with a ``gen`` column, meant to be
+giving each feature the list of rungs it belongs to; for each of them the ring keeps
+the vertices whose significance (C2) is above the rung's tolerance. A negative tolerance
+keeps every vertex (full detail). The result is ONE table with a ``gen`` column, meant to be
 written ``partitionBy("gen")`` so a zoom's rung is a partition-pruned scan.
 """
 
@@ -25,22 +25,10 @@ class Rung:
 
 def rung_membership(features: DataFrame, rungs: list[Rung], fid: str = "fid") -> DataFrame:
     """(fid, gen, tol) for every rung whose filter the feature passes."""
-    tagged = F.array(*[
-        F.when(r.condition if r.condition is not None else F.lit(True),
-               F.struct(F.lit(r.gen).alias("gen"), F.lit(float(r.tol)).alias("tol")))
-        for r in rungs
-    ])
-    return features.select(fid, F.explode(F.filter(tagged, lambda s: s.isNotNull())).alias("_r")).select(
+    return features.select(fid, F.explode(rung_array(rungs)).alias("_r")).select(
         fid, F.col("_r.gen").alias("gen"), F.col("_r.tol").alias("tol"))
 
 
-def ladder_vertices(sig_rows: DataFrame, membership: DataFrame, fid: str = "fid") -> DataFrame:
-    """Vertex rows of every rung: (gen, fid, part, ring, seq, x, y)."""
-    j = sig_rows.join(membership, fid)
-    keep = (F.col("sig") > F.col("tol")) | F.col("protect")
-    return j.where(keep).drop("tol", "sig", "protect")
-
-
 def rung_array(rungs: list[Rung]) -> Column:
     """The rungs a feature passes, as ARRAY<STRUCT<gen, tol>> (filters on the
     feature row: source measures and attributes)."""
@@ -52,15 +40,13 @@ def rung_array(rungs: list[Rung]) -> Column:
     return F.filter(tagged, lambda s: s.isNotNull())
 
 
-def ladder_rings(features: DataFrame, rungs: list[Rung], fid: str = "fid", inline_max: int = 4096) -> DataFrame:
+def ladder_rings(features: DataFrame, rungs: list[Rung], fid: str = "fid") -> DataFrame:
     """Every rung of every ring as rows (gen, fid, part, ring, verts).
 
-    Rings up to ``inline_max`` vertices: significance, ring guard and the
-    per-rung vertex filter all run inside the row -- no shuffle at all. Longer
-    rings go through the distributed significance rounds and a vertex-row
-    ladder, then back to arrays per (gen, fid, part, ring).
+    Significance, ring guard and the per-rung vertex filter all work on the ring's
+    own row: no shuffle, and one path for rings of every length.
     """
-    from gridloom.operators.simplify import inline_significance, significance
+    from gridloom.operators.simplify import with_significance
 
     # no filter on the rung list here: a pushed-down filter would copy the rung
     # conditions (and the measures they read) into the scan; an empty list
@@ -68,30 +54,10 @@ def ladder_rings(features: DataFrame, rungs: list[Rung], fid: str = "fid", inlin
     f = features.select(fid, "geom", rung_array(rungs).alias("_rungs"))
     rings = f.select(fid, "_rungs", F.posexplode("geom.parts").alias("part", "_rs")).select(
         fid, "_rungs", "part", F.posexplode("_rs").alias("ring", "_r"))
-    small = rings.where(F.size("_r") <= inline_max).withColumn("_sig", inline_significance(F.col("_r")))
-    first, last = F.element_at("_r", 1), F.element_at("_r", -1)
-    closed = (first["x"] == last["x"]) & (first["y"] == last["y"])
-    inner = F.slice(F.col("_sig"), 2, F.size("_r") - 2)
-    top = F.slice(F.sort_array(F.transform(inner, lambda v, i: F.struct(v.alias("v"), (-(i + 1)).alias("ni"))),
-                               asc=False), 1, 2)
-    small = small.withColumn("_prot", F.when(closed, F.transform(top, lambda t: -t["ni"])).otherwise(
-        F.array().cast("array<int>")))
-    per = small.select(fid, "part", "ring", "_r", "_sig", "_prot", F.explode("_rungs").alias("_g"))
+    per = with_significance(rings).select(fid, "part", "ring", "_r", "_sig", "_prot", F.explode("_rungs").alias("_g"))
     kept = F.transform(
         F.filter(F.arrays_zip(F.col("_r").alias("v"), F.col("_sig").alias("s"),
                               F.sequence(F.lit(0), F.size("_r") - 1).alias("i")),
                  lambda z: (z["s"] > F.col("_g.tol")) | F.array_contains(F.col("_prot"), z["i"])),
         lambda z: z["v"])
-    small_out = per.select(F.col("_g.gen").alias("gen"), fid, "part", "ring", kept.alias("verts"))
-
-    big = rings.where(F.size("_r") > inline_max)
-    bv = big.select(fid, "part", "ring", F.posexplode("_r").alias("seq", "_v")).select(
-        fid, "part", "ring", "seq", F.col("_v.x").alias("x"), F.col("_v.y").alias("y"))
-    sig = significance(bv, [fid, "part", "ring"], only_if_nonempty=True)
-    memb = f.select(fid, F.explode("_rungs").alias("_g")).select(fid, F.col("_g.gen").alias("gen"),
-                                                                  F.col("_g.tol").alias("tol"))
-    lv = ladder_vertices(sig, memb, fid)
-    big_out = lv.groupBy("gen", fid, "part", "ring").agg(
-        F.sort_array(F.collect_list(F.struct("seq", F.struct("x", "y").alias("v")))).alias("_vs")).select(
-        "gen", fid, "part", "ring", F.transform("_vs", lambda s: s["v"]).alias("verts"))
-    return small_out.unionByName(big_out)
+    return per.select(F.col("_g.gen").alias("gen"), fid, "part", "ring", kept.alias("verts"))

@@ -7,8 +7,10 @@ significance (end points: +inf) -- and the simplification at any tolerance is
 ``sig > tol``. A whole ladder of rungs (and simplifying an already simplified
 rung at a larger tolerance) is then a filter, not another DP run.
 
-Distributed rounds, one per level of the split tree: every undecided vertex
-carries its current segment (end seqs and coordinates); a partial-aggregation
+Lines that are rows (a geometry column) are split inside Arrow batches, all lines of a
+batch together, whatever their length (``with_significance``). Lines that are given as
+vertex rows take distributed rounds (``significance``), one per level of the split tree:
+every undecided vertex carries its current segment (end seqs and coordinates); a partial-aggregation
 ``max`` per segment finds the split vertex; a join on the segment key hands the
 split back; vertices left and right of it move to the two child segments.
 Only undecided vertices go into the next round; decided ones are set aside.
@@ -23,8 +25,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions import geometry as G
 from gridloom.session import cut_lineage
@@ -43,16 +48,14 @@ def seg_distance(x, y, ax, ay, bx, by) -> Column:
     return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
 
 
-def significance(vertices: DataFrame, key: list[str], max_rounds: int = 100000,
-                 only_if_nonempty: bool = False) -> DataFrame:
+def significance(vertices: DataFrame, key: list[str]) -> DataFrame:
     """vertices(key..., seq, x, y) -> same rows + sig (inf at the ends) + protect.
 
     ``protect`` marks the two most significant interior vertices of closed
-    rings (kept at every tolerance).
+    rings (kept at every tolerance). For lines that are given as vertex rows;
+    each round decides one vertex of every open segment, so the loop ends.
     """
     v = vertices.select(*key, "seq", "x", "y")
-    if only_if_nonempty and v.limit(1).count() == 0:
-        return v.select(*key, "seq", "x", "y", F.lit(INF).alias("sig"), F.lit(False).alias("protect")).limit(0)
     bounds = v.groupBy(*key).agg(
         F.min("seq").alias("_s0"), F.max("seq").alias("_s1"),
         F.min_by(F.struct("x", "y"), "seq").alias("_p0"), F.max_by(F.struct("x", "y"), "seq").alias("_p1"),
@@ -70,9 +73,7 @@ def significance(vertices: DataFrame, key: list[str], max_rounds: int = 100000,
     )
     state = cut_lineage(state)
     decided = []
-    for _ in range(max_rounds):
-        if state.limit(1).count() == 0:
-            break
+    while state.limit(1).count():
         st = state.withColumn("d", seg_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"),
                                                 F.col("by")))
         best = st.groupBy(*key, "a").agg(F.max(F.struct("d", (-F.col("seq")).alias("ns"), "x", "y")).alias("m"))
@@ -102,91 +103,81 @@ def significance(vertices: DataFrame, key: list[str], max_rounds: int = 100000,
     return allv.join(prot, [*key, "seq"], "left").withColumn("protect", F.coalesce("protect", F.lit(False)))
 
 
-def _bind(value: Column, f) -> Column:
-    return F.element_at(F.transform(F.array(value), f), 1)
+def split_tree(x: np.ndarray, y: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Significance of the vertices of many lines laid end to end (``starts``: one more than lines).
 
-
-def inline_significance(verts: Column) -> Column:
-    """Significance of every vertex of one line, inside its row.
-
-    Douglas-Peucker with an explicit stack run by ``aggregate``: each step pops
-    a segment, finds its farthest interior vertex (ties: smaller index), gives
-    it min(distance, parent significance) and pushes the two halves. A line of
-    n vertices takes 2n-3 steps of O(n) each -- meant for lines up to a few
-    thousand vertices; longer ones go through the distributed rounds.
-    Returns ARRAY<DOUBLE> aligned with ``verts`` (+inf at both ends).
+    All open segments of all lines are split together, one level of the split
+    tree at a time, so a level costs its undecided vertices, however long
+    the lines are.
     """
-    n = F.size(verts)
-    seg_t = "struct<a:int,b:int,ps:double>"
-    init = F.struct(
-        F.array(F.struct(F.lit(0).alias("a"), (n - 1).alias("b"), F.lit(INF).alias("ps"))).cast(f"array<{seg_t}>")
-        .alias("stack"),
-        F.array_repeat(F.lit(INF), n).alias("sig"),
-    )
-
-    def step(st, _):
-        def with_top(top):
-            a, b = top["a"], top["b"]
-            pa, pb = F.element_at(verts, a + 1), F.element_at(verts, b + 1)
-            cand = F.transform(
-                F.sequence(a + 1, F.greatest(b - 1, a + 1)),
-                lambda k: F.struct(
-                    seg_distance(F.element_at(verts, k + 1)["x"], F.element_at(verts, k + 1)["y"],
-                                 pa["x"], pa["y"], pb["x"], pb["y"]).alias("d"),
-                    (-k).alias("nk"),
-                ),
-            )
-
-            def with_best(best):
-                m = -best["nk"]
-                sg = F.least(best["d"], top["ps"])
-                rest = F.slice(st["stack"], 1, F.size(st["stack"]) - 1)
-                split = b - a >= 2
-                stack = F.when(split, F.concat(rest, F.array(
-                    F.struct(m.alias("a"), b.alias("b"), sg.alias("ps")),
-                    F.struct(a.alias("a"), m.alias("b"), sg.alias("ps"))).cast(f"array<{seg_t}>"))).otherwise(rest)
-                sig = F.when(split, F.transform(st["sig"], lambda v, i: F.when(i == m, sg).otherwise(v))) \
-                    .otherwise(st["sig"])
-                return F.struct(stack.alias("stack"), sig.alias("sig"))
-            return _bind(F.array_max(cand), with_best)
-
-        return F.when(F.size(st["stack"]) == 0, st).otherwise(_bind(F.element_at(st["stack"], -1), with_top))
-
-    steps = F.sequence(F.lit(1), F.greatest(2 * n - 3, F.lit(1)))
-    return F.aggregate(steps, init, step, lambda st: st["sig"])
-
-
-def significance_of_lines(lines: DataFrame, fid: str = "fid", inline_max: int = 4096) -> DataFrame:
-    """Hybrid C2 over geometries: (fid, part, ring, seq, x, y, sig, protect).
-
-    Rings/lines up to ``inline_max`` vertices are simplified inside their row
-    (no shuffle); longer ones -- whose row-local cost would be quadratic --
-    take the distributed rounds of :func:`significance`.
+    sig = np.full(len(x), INF)
+    size = np.diff(starts)
+    line = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(x))
+    inner = (at > starts[line]) & (at < starts[line + 1] - 1)
+    at, line = at[inner], line[inner]
+    a, b = starts[line], starts[line + 1] - 1
+    parent = np.full(len(at), INF)
+    while len(at):
+        ax, ay, px, py = x[a], y[a], x[at], y[at]
+        dx, dy = x[b] - ax, y[b] - ay
+        l2 = dx * dx + dy * dy
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = np.where(l2 == 0, 0.0, np.minimum(1.0, np.maximum(0.0, ((px - ax) * dx + (py - ay) * dy) / l2)))
+        qx, qy = ax + t * dx, ay + t * dy
+        d = np.sqrt((px - qx) * (px - qx) + (py - qy) * (py - qy))
+        head = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+        n = np.diff(np.append(head, len(at)))
+        far = np.maximum.reduceat(d, head)
+        place = np.where(d == np.repeat(far, n), np.arange(len(at)), len(at))
+        best = np.minimum.reduceat(place, head)  # ties: the first
+        own = np.minimum(far, parent[head])
+        sig[at[best]] = own
+        split, parent = np.repeat(at[best], n), np.repeat(own, n)
+        a, b = np.where(at < split, a, split), np.where(at < split, split, b)
+        rest = at != split
+        at, a, b, parent = at[rest], a[rest], b[rest], parent[rest]
+    return sig
+
+
+def with_significance(rings: DataFrame, ring: str = "_r") -> DataFrame:
+    """Adds ``_sig`` (one per vertex of ``ring``, +inf at the ends) and ``_prot``.
+
+    ``_prot`` has the places of the two most significant interior vertices of a
+    closed ring. One path for lines of every length: no job, no shuffle; Arrow
+    batches of whole rings are worked through together.
     """
-    from gridloom.operators.assemble import vertex_rows
-
+    schema = T.StructType([*rings.schema.fields, T.StructField("_sig", T.ArrayType(T.DoubleType())),
+                           T.StructField("_prot", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for batch in batches:
+            lines = batch.column(batch.schema.get_field_index(ring))
+            starts = np.concatenate([[0], np.cumsum(lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            flat = lines.flatten()
+            x, y = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("x", "y"))
+            sig = split_tree(x, y, starts)
+            protect = []
+            for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                closed = hi > lo and x[lo] == x[hi - 1] and y[lo] == y[hi - 1]
+                inner = sig[lo + 1:hi - 1]
+                protect.append((np.argsort(-inner, kind="stable")[:2] + 1).tolist() if closed else [])
+            offsets = pa.array(starts, pa.int32())
+            made = [pa.ListArray.from_arrays(offsets, pa.array(sig)), pa.array(protect, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
+
+    return rings.mapInArrow(run, schema)
+
+
+def significance_of_lines(lines: DataFrame, fid: str = "fid") -> DataFrame:
+    """C2 over geometries: (fid, part, ring, seq, x, y, sig, protect)."""
     rings = lines.select(fid, F.posexplode("geom.parts").alias("part", "_rs")).select(
         fid, "part", F.posexplode("_rs").alias("ring", "_r"))
-    small = rings.where(F.size("_r") <= inline_max)
-    big = rings.where(F.size("_r") > inline_max)
-    s = small.withColumn("_sig", inline_significance(F.col("_r")))
-    first, last = F.element_at("_r", 1), F.element_at("_r", -1)
-    closed = (first["x"] == last["x"]) & (first["y"] == last["y"])
-    # ring guard: the two largest interior significances of closed rings
-    inner = F.slice(F.col("_sig"), 2, F.size("_r") - 2)
-    top = F.slice(F.sort_array(F.transform(inner, lambda v, i: F.struct(v.alias("v"), (-(i + 1)).alias("ni"))),
-                               asc=False), 1, 2)
-    s = s.withColumn("_prot", F.when(closed, F.transform(top, lambda t: -t["ni"])).otherwise(F.array().cast(
-        "array<int>")))
-    small_rows = s.select(fid, "part", "ring", "_prot", F.posexplode(F.arrays_zip("_r", "_sig")).alias("seq", "_z"))
-    small_rows = small_rows.select(
+    rows = with_significance(rings).select(
+        fid, "part", "ring", "_prot", F.posexplode(F.arrays_zip("_r", "_sig")).alias("seq", "_z"))
+    return rows.select(
         fid, "part", "ring", "seq", F.col("_z._r.x").alias("x"), F.col("_z._r.y").alias("y"),
         F.col("_z._sig").alias("sig"), F.array_contains("_prot", F.col("seq")).alias("protect"))
-    big_geom = big.select(fid, "part", "ring", "_r")
-    big_v = big_geom.select(fid, "part", "ring", F.posexplode("_r").alias("seq", "_v")).select(
-        fid, "part", "ring", "seq", F.col("_v.x").alias("x"), F.col("_v.y").alias("y"))
-    big_rows = significance(big_v, [fid, "part", "ring"], only_if_nonempty=True)
-    return small_rows.unionByName(big_rows)
 
 
 def kept(sig_rows: DataFrame, tol: float) -> Column:

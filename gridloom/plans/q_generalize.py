@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from gridloom.functions import geometry as G
 from gridloom.operators.assemble import relation_members
 from gridloom.operators.ladder import Rung, ladder_rings
-from gridloom.operators.simplify import significance_of_lines
+from gridloom.operators.assemble import vertex_rows
+from gridloom.operators.simplify import significance, significance_of_lines
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import lines, query
 from gridloom.sources import fixtures as FX
@@ -59,7 +60,7 @@ dp_sig AS (
 dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """
 SELECT gid AS fid, CAST(seq AS INTEGER) AS seq, round(sig, 4) AS sig FROM dp_sig""")
 def q_significance(spark, d):
-    """C2 per-vertex significance, hybrid (in-row for ordinary lines)."""
+    """C2 per-vertex significance, all lines of a batch together."""
     s = significance_of_lines(lines(Tables(spark, d)))
     return s.select("fid", F.col("seq").cast("int").alias("seq"),
                     F.when(F.col("sig") != F.lit(float("inf")), F.round("sig", 4)).alias("sig"))
@@ -69,8 +70,8 @@ def q_significance(spark, d):
 dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """
 SELECT gid AS fid, CAST(seq AS INTEGER) AS seq, round(sig, 4) AS sig FROM dp_sig""")
 def q_significance_rounds(spark, d):
-    """C2 through the distributed rounds only (the path long lines take)."""
-    s = significance_of_lines(lines(Tables(spark, d)), inline_max=0)
+    """C2 over vertex rows, through the distributed rounds."""
+    s = significance(vertex_rows(lines(Tables(spark, d))), ["fid", "part", "ring"])
     return s.select("fid", F.col("seq").cast("int").alias("seq"),
                     F.when(F.col("sig") != F.lit(float("inf")), F.round("sig", 4)).alias("sig"))
 

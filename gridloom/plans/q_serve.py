@@ -26,7 +26,7 @@ def served_features(spark, d):
     osm.label features with their served attributes."""
     t = Tables(spark, d)
     base = roads_base(t)
-    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS] + [Rung(0, 0.0)]
+    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS] + [Rung(0, -1.0)]
     lr = ladder_rings(base, rungs)  # one line per way
     rb = lr.select("gen", "fid", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
     attrs = base.select("fid", "rank", "ref", "layer", "name_de", "name_en", "name")
@@ -56,7 +56,7 @@ base AS (SELECT a.*, l.length FROM way_attrs_r a JOIN (
                lead(y) OVER (PARTITION BY fid ORDER BY seq) AS ny FROM line_verts) GROUP BY fid) l USING (fid)),
 rungs AS (""" + "\n  UNION ALL ".join(
     [f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, fid FROM base WHERE {cond}" for g, tol, cond in ROAD_RUNGS]
-    + ["SELECT 0, CAST(0.0 AS DOUBLE), fid FROM base"]) + """),
+    + ["SELECT 0, CAST(-1.0 AS DOUBLE), fid FROM base"]) + """),
 kept AS (SELECT r.gen, r.fid, v.x, v.y FROM rungs r JOIN line_verts v ON v.fid = r.fid
          JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect),
 zg AS (SELECT unnest([12, 13, 14, 15, 16]) AS z, unnest([12, 13, 14, 15, 0]) AS gen),

@@ -92,8 +92,8 @@ WATER_BANDS = [(0, 2, 2), (2, 3, 3), (3, 4, 4), (4, 5, 5), (5, 6, 6), (6, 7, 7),
 
 
 def band_tolerance(gen: int) -> float:
-    """One pixel of the 4096 tile grid at the rung's zoom; 0 = full detail."""
-    return 0.0 if gen >= 99 else (2.0 * WORLD_EDGE / (2 ** gen)) / TILE_EXTENT
+    """One pixel of the 4096 tile grid at the rung's zoom; -1 = full detail, every vertex."""
+    return -1.0 if gen >= 99 else (2.0 * WORLD_EDGE / (2 ** gen)) / TILE_EXTENT
 
 
 @query("water_bands", "WITH RECURSIVE " + OF.POLY.strip() + """,
