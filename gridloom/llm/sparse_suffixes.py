@@ -159,7 +159,7 @@ def compared(found: DataFrame) -> DataFrame:
         places = np.add.reduceat(new_place.astype(np.int64), head_s)
         all_places = np.add.reduceat(new_place.astype(np.int64), head_h)
         kinds = np.add.reduceat(new_s.astype(np.int64), head_h)
-        edge = (h == h[0]) | (h == h[-1])
+        edge = (of_s == 0) | (of_s == of_s[-1])  # may go on in the next range
         keep = edge | (all_places[of_h] > 1)
         first = table.select(["doc_id", "key", "a"]).take(pa.array(head_s[of_s][keep]))
         out = table.filter(pa.array(keep))
@@ -168,16 +168,15 @@ def compared(found: DataFrame) -> DataFrame:
         yield from out.combine_chunks().to_batches(max_chunksize=1 << 17)
 
     done = stored(found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "suffix-neighbours")
-    inner = done.where("not edge").drop("edge")
-    # the runs at the edges of the ranges, put together
-    edges = done.where("edge").select(*found.columns)
+    # the first and last run of each range, put together: two of them a range at most
     place = F.struct("doc_id", "key", "a")
-    runs = edges.groupBy("h", "s").agg(F.min(place).alias("_f"), F.max(place).alias("_l"))
-    heads = runs.groupBy("h").agg(F.count(F.lit(1)).alias("_kinds"), F.max(F.col("_f") != F.col("_l")).alias("_twice")).where("_kinds > 1 or _twice")
-    joined = edges.join(runs, ["h", "s"]).join(heads, "h").select(
-        *[edges[c] for c in found.columns], F.col("_f.doc_id").alias("f_doc"), F.col("_f.key").alias("f_key"), F.col("_f.a").alias("f_a"),
-        (F.col("_f") != F.col("_l")).alias("many"), (F.col("_kinds") > 1).alias("other"))
-    return inner.unionByName(joined)
+    runs = done.where("edge").groupBy("h", "s").agg(F.min(place).alias("_f"), F.max(place).alias("_l"), F.max("other").alias("_o"))
+    heads = runs.groupBy("h").agg(((F.count(F.lit(1)) > 1) | F.max("_o")).alias("_other"))
+    ends = stored(runs.join(heads, "h").select("h", "s", "_f", (F.col("_f") != F.col("_l")).alias("_many"), "_other"), "suffix-edges")
+    joined = done.join(ends, ["h", "s"], "left")
+    met = F.col("_f").isNotNull()
+    new = {"f_doc": "_f.doc_id", "f_key": "_f.key", "f_a": "_f.a", "many": "_many", "other": "_other"}
+    return joined.select(*found.columns, *[F.when(met, F.col(e)).otherwise(F.col(c)).alias(c) for c, e in new.items()]).where("many or other")
 
 
 def extended(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
