@@ -48,21 +48,30 @@ def _span(lo1, hi1, lo2, hi2):
     return F.greatest(hi2 - lo1, hi1 - lo2)
 
 
-def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id",
-              with_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """-> (cell_of_point(pid, node), edges(u, v[, ub, vb])) for ``points(id, x, y)``.
+def cell_node(eps: float):
+    """Number of a point's cell: both cell coordinates in one BIGINT, 32 bits each.
+
+    Ids play no part, so points of different kinds may share ids.
+    """
+    side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
+    cx, cy = (F.floor(F.col(c) / side).cast("bigint") for c in ("x", "y"))
+    return F.shiftleft(cx, 32).bitwiseOR(cy.bitwiseAND(F.lit((1 << 32) - 1)))
+
+
+def eps_graph(points: DataFrame, eps: float, with_blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """-> (cells(node), edges(u, v[, ub, vb])) for ``points(x, y)``; a node is a cell (:func:`cell_node`).
 
     With ``with_blocks`` each edge also carries the block keys of its two cells.
     """
     side = eps / math.sqrt(2.0) * (1.0 - 1e-9)
     eps2 = float(eps) * float(eps)
-    # read three times below (cells, positions, cell of point): materialize once
+    # read twice below (cells, positions); copies of a position count once
     p = cut_lineage(points.select(
-        F.col(id_col).alias("pid"), "x", "y",
+        "x", "y", cell_node(eps).alias("node"),
         F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy"),
-    ))
-    cells = p.groupBy("cx", "cy").agg(
-        F.min("pid").alias("node"), F.min("x").alias("x0"), F.max("x").alias("x1"),
+    ).distinct())
+    cells = p.groupBy("cx", "cy", "node").agg(
+        F.min("x").alias("x0"), F.max("x").alias("x1"),
         F.min("y").alias("y0"), F.max("y").alias("y1"),
     )
     offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _OFFSETS])
@@ -90,8 +99,8 @@ def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id",
     amb = cand.where(~F.col("_sure"))
     blocks = amb.select("a_node", "b_node", *extra)
 
-    # distinct positions per cell (copies collapse), only near the other box
-    pos = p.select("cx", "cy", "x", "y").distinct()
+    # distinct positions per cell, only near the other box
+    pos = p.select("cx", "cy", "x", "y")
     pa = amb.select("a_node", "b_node", "a_cx", "a_cy", "b_x0", "b_x1", "b_y0", "b_y1").join(
         pos.withColumnRenamed("cx", "a_cx").withColumnRenamed("cy", "a_cy"), ["a_cx", "a_cy"]
     )
@@ -116,58 +125,61 @@ def eps_graph(points: DataFrame, eps: float, id_col: str = "osm_id",
         checked = checked.join(blocks, ["a_node", "b_node"])
     checked = checked.select(F.col("a_node").alias("u"), F.col("b_node").alias("v"), *extra)
     edges = sure.unionByName(checked)
-    cell_of = p.join(cells.select("cx", "cy", "node"), ["cx", "cy"]).select("pid", "node")
-    return cell_of, edges
+    return cells.select("node"), edges
 
 
 BLOCK_CELLS = 64  # block side in cells: a block holds at most 64*64 nodes, whatever the data
 
 
-def _union_find(pdf):
-    """Per-block union-find over (u, v) node pairs -> (node, label = min node)."""
-    import pandas as pd
-    parent: dict = {}
+def _local_labels(inner: DataFrame) -> DataFrame:
+    """Union-find over the (u, v) pairs of each block -> (node, label = smallest node)."""
+
+    def union_find(pdf):
+        import pandas as pd
+        parent: dict = {}
+
+        def find(a):
+            root = a
+            while parent.get(root, root) != root:
+                root = parent[root]
+            while parent.get(a, a) != root:
+                parent[a], a = root, parent[a]
+            return root
 
-    def find(a):
-        root = a
-        while parent.get(root, root) != root:
-            root = parent[root]
-        while parent.get(a, a) != root:
-            parent[a], a = root, parent[a]
-        return root
+        for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist()):
+            ru, rv = find(u), find(v)
+            if ru != rv:
+                parent[max(ru, rv)] = min(ru, rv)
+                parent.setdefault(min(ru, rv), min(ru, rv))
+        nodes = list(parent.keys())
+        return pd.DataFrame({"node": nodes, "label": [find(n) for n in nodes]}, dtype="int64")
 
-    for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist()):
-        ru, rv = find(u), find(v)
-        if ru != rv:
-            parent[max(ru, rv)] = min(ru, rv)
-    nodes = list(parent.keys())
-    return pd.DataFrame({"node": nodes, "label": [find(n) for n in nodes]}, dtype="int64")
+    return inner.groupBy("block").applyInPandas(union_find, "node long, label long")
 
 
-def cluster_ids(points: DataFrame, eps: float, id_col: str = "osm_id") -> DataFrame:
-    """Adds ``cluster_id`` (smallest member id of the component) to points.
+def cluster_ids(points: DataFrame, eps: float) -> DataFrame:
+    """Adds ``cluster_id``, a BIGINT that the points of one cluster share (its smallest cell).
 
     Two levels: links inside a block of BLOCK_CELLS x BLOCK_CELLS cells are
     resolved by a union-find in one task per block (a block's node count is
     bounded by its area in cells, not by how many points fall in it); only the
     links between blocks, rewritten to block-local labels, go through the
-    distributed component rounds.
+    distributed component rounds. Points meet their cluster by their cell, so
+    neither repeated ids nor repeated rows matter.
     """
-    cell_of, edges = eps_graph(points, eps, id_col, with_blocks=BLOCK_CELLS)
+    cells, edges = eps_graph(points, eps, with_blocks=BLOCK_CELLS)
     inner = edges.where(F.col("ub") == F.col("vb")).select(F.col("ub").alias("block"), "u", "v")
-    local = inner.groupBy("block").applyInPandas(_union_find, "node long, label long")
-    local = cut_lineage(local)
+    local = cut_lineage(_local_labels(inner))
     lu = local.select(F.col("node").alias("_u"), F.col("label").alias("_lu"))
     lv = local.select(F.col("node").alias("_v"), F.col("label").alias("_lv"))
     cross = edges.where(F.col("ub") != F.col("vb")).select("u", "v")
     cross = cross.join(lu, cross.u == lu._u, "left").join(lv, cross.v == lv._v, "left").select(
         F.coalesce("_lu", "u").alias("u"), F.coalesce("_lv", "v").alias("v"))
-    nodes = cell_of.select("node").distinct()
-    loc = nodes.join(local, "node", "left").select("node", F.coalesce("label", "node").alias("local"))
+    loc = cells.join(local, "node", "left").select("node", F.coalesce("label", "node").alias("local"))
     glob = connected_components(loc.select(F.col("local").alias("node")).distinct(), cross)
-    comp = loc.join(glob.withColumnRenamed("node", "local"), "local").select("node", "label")
-    lab = cell_of.join(comp, "node").select(F.col("pid").alias(id_col), F.col("label").alias("cluster_id"))
-    return points.join(lab, id_col)
+    comp = loc.join(glob.withColumnRenamed("node", "local"), "local").select(
+        F.col("node").alias("_cell"), F.col("label").alias("cluster_id"))
+    return points.withColumn("_cell", cell_node(eps)).join(comp, "_cell").drop("_cell")
 
 
 FIRST_OF = ("ele", "access", "religion", "parking", "subway")
@@ -178,14 +190,15 @@ def cluster_summary(clustered: DataFrame, id_col: str = "osm_id", first_of=FIRST
 
     id: smallest member id; count: non-NULL ids; name: first non-empty name by
     id (NULL names are kept, '' skipped); other attributes: value at the
-    smallest id; x, y: mean of the distinct member positions.
+    smallest id (of members that share it, the smallest position's); x, y: mean of
+    the distinct member positions.
     """
     keys = ["class", "subclass", "cluster_id"]
     named = F.when(F.col("name").isNull() | (F.col("name") != ""), F.col(id_col))
     pos = clustered.groupBy(*keys, "x", "y").agg(
         F.min(id_col).alias("_id"),
         F.count(id_col).alias("_n"),
-        F.min(named).alias("_nid"),
+        F.min(F.when(named.isNotNull(), F.struct(named.alias("id"), "x", "y"))).alias("_nid"),
         F.min_by("name", named).alias("_name"),
         *[F.min_by(c, F.col(id_col)).alias("_" + c) for c in first_of],
     )
@@ -193,7 +206,7 @@ def cluster_summary(clustered: DataFrame, id_col: str = "osm_id", first_of=FIRST
         F.min("_id").alias("id"),
         F.sum("_n").alias("count"),
         F.min_by("_name", "_nid").alias("name"),
-        *[F.min_by("_" + c, "_id").alias(c) for c in first_of],
+        *[F.min_by("_" + c, F.struct("_id", "x", "y")).alias(c) for c in first_of],
         F.avg("x").alias("x"),
         F.avg("y").alias("y"),
     )
@@ -203,4 +216,4 @@ def cluster_points(points: DataFrame, eps: float, condition=None, id_col: str =
     """``cluster(source, target, distance, filter)`` end to end."""
     if condition is not None:
         points = points.where(condition)
-    return cluster_summary(cluster_ids(points, eps, id_col), id_col)
+    return cluster_summary(cluster_ids(points, eps), id_col)

@@ -29,9 +29,9 @@ from gridloom.session import cut_lineage
 LABEL_CHECKPOINT_EVERY = 4
 
 
-def _jump(parent: DataFrame, max_jumps: int = 64) -> DataFrame:
-    """parent(node, p) -> node pointing at its forest root."""
-    for _ in range(max_jumps):
+def _jump(parent: DataFrame) -> DataFrame:
+    """parent(node, p) -> node pointing at its forest root (pointers only fall, so the loop ends)."""
+    while True:
         b = parent.select(F.col("node").alias("_n"), F.col("p").alias("_pp"))
         j = parent.join(b, parent.p == b._n, "left")
         nxt = j.select("node", F.coalesce("_pp", "p").alias("p"), F.col("_pp").isNotNull().alias("_moved"))
@@ -39,10 +39,9 @@ def _jump(parent: DataFrame, max_jumps: int = 64) -> DataFrame:
         if nxt.where("_moved").limit(1).count() == 0:
             return nxt.drop("_moved")
         parent = nxt.drop("_moved")
-    raise RuntimeError("pointer jumping did not converge")
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes(node BIGINT), edges(u BIGINT, v BIGINT) -> (node, label).
 
     ``label`` is the smallest node id of the component.
@@ -51,9 +50,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     e = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
     e = cut_lineage(e)
     rounds = 0
-    for _ in range(max_rounds):
-        if e.limit(1).count() == 0:
-            return labels
+    while e.limit(1).count():  # each round joins at least two components
         parent = e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("p"))
         parent = _jump(cut_lineage(parent))
         pu = parent.select(F.col("node").alias("_a"), F.col("p").alias("_pa"))
@@ -71,4 +68,4 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
         rounds += 1
         if rounds % LABEL_CHECKPOINT_EVERY == 0:
             labels = cut_lineage(labels)
-    raise RuntimeError("connected components did not converge")
+    return labels

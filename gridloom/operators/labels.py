@@ -22,10 +22,14 @@ _LOCAL_BITS = 33  # monotonically_increasing_id: partition id in the upper bits
 
 
 def global_row_number(df: DataFrame, order: list, name: str = "gid", partitions: int | None = None) -> DataFrame:
-    """Adds a 1-based dense position in ``order`` (ties must be broken by the caller)."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("_mid", F.monotonically_increasing_id()))
+    """Adds a 1-based dense position in ``order`` (ties must be broken by the caller).
+
+    The number of ranges is Spark's own choice by size unless ``partitions`` is
+    given. Choosing the ranges reads the input once more, so it is written first.
+    """
+    df = cut_lineage(df)
+    dealt = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    ranged = cut_lineage(dealt.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     local = F.col("_mid") - F.shiftleft(part, _LOCAL_BITS)
     counts = ranged.groupBy(part.alias("_p")).agg(F.count("*").alias("_c"))

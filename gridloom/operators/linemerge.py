@@ -16,32 +16,40 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
 from gridloom.operators.components import connected_components
+from gridloom.operators.labels import global_row_number
 from gridloom.session import cut_lineage
 
 
 def merge_chains(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
-    """lines(keys..., fid, geom LineString) -> (keys..., chain, n_lines, length, members)."""
-    kcols = [F.col(k) for k in keys]
-    node = F.xxhash64(*kcols, F.col(fid))
-    first = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), 1)
-    last = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), -1)
-    base = lines.select(*keys, fid, node.alias("node"), G.length("geom").alias("_len"),
-                        first.alias("_a"), last.alias("_b"))
-    ends = base.select(*keys, "node", F.col("_a.x").alias("x"), F.col("_a.y").alias("y")).unionByName(
-        base.select(*keys, "node", F.col("_b.x").alias("x"), F.col("_b.y").alias("y")))
+    """lines(keys..., fid, geom) -> (keys..., chain, n_lines, length).
+
+    Every part of a multi-part line is a line of its own; a member that comes
+    several times in a group counts once. Keys may be NULL.
+    """
+    part = _parts(lines, keys, fid)
+    base = cut_lineage(part).withColumn("node", F.monotonically_increasing_id())
+    first, last = F.element_at("_v", 1), F.element_at("_v", -1)
+    ends = base.select(*keys, "node", F.explode(F.array(first, last)).alias("_p")).select(
+        *keys, "node", F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
     deg = ends.groupBy(*keys, "x", "y").agg(F.count("*").alias("deg"), F.min("node").alias("u"),
                                             F.max("node").alias("v"))
     edges = deg.where((F.col("deg") == 2) & (F.col("u") != F.col("v"))).select("u", "v")
     comp = connected_components(base.select("node"), edges)
-    j = base.join(comp, "node")
+    j = base.withColumn("_len", G.length(G.line_geom("_v"))).join(comp, "node")
     return j.groupBy(*keys, "label").agg(
-        F.min(fid).alias("chain"), F.count("*").alias("n_lines"), F.sum("_len").alias("length"),
+        F.min(fid).alias("chain"), F.count_distinct(fid).alias("n_lines"), F.sum("_len").alias("length"),
     ).drop("label")
 
 
+def _parts(lines: DataFrame, keys: list[str], fid: str) -> DataFrame:
+    """(keys..., fid, part, _v): one row for each part of each distinct member of a group."""
+    one = lines.select(*keys, fid, "geom").dropDuplicates([*keys, fid])
+    return one.select(*keys, fid, F.posexplode("geom.parts").alias("part", "_rs")).select(
+        *keys, fid, "part", F.element_at("_rs", 1).alias("_v")).where(F.size("_v") > 1)
+
+
 def _line_states(lines: DataFrame, keys: list[str], fid: str):
-    v = F.element_at(F.element_at("geom.parts", 1), 1)
-    base = lines.select(*keys, fid, v.alias("_v"))
+    base = lines.select(*keys, fid, "_v")
     ends = base.select(*keys, fid, F.explode(F.array(
         F.struct(F.lit(0).alias("end"), F.element_at("_v", 1).alias("p")),
         F.struct(F.lit(1).alias("end"), F.element_at("_v", -1).alias("p")))).alias("_e")).select(
@@ -69,22 +77,24 @@ def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFram
     vertices are not repeated, and the pieces are concatenated per chain.
     Returns (keys..., chain, n_lines, geom).
     """
-    # group keys may be NULL (a route without ref): join on one non-null key
-    key_cols = keys
-    lines = lines.withColumn("_gk", F.to_json(F.struct(*[F.col(k) for k in key_cols])))
-    key_tab = lines.select("_gk", *key_cols).dropDuplicates(["_gk"])
-    lines = lines.drop(*key_cols)
-    keys = ["_gk"]
+    # groups and lines get dense numbers: keys may be NULL, members repeat, lines have parts
+    key_cols, out_fid = keys, fid
+    part = _parts(lines, key_cols, out_fid)
+    key_tab = cut_lineage(part.select(*key_cols).distinct()).withColumn("_gk", F.monotonically_increasing_id())
+    same = F.lit(True)
+    for k in key_cols:
+        same = same & part[k].eqNullSafe(key_tab[k])
+    order = [F.col("_gk"), F.col(out_fid), F.col("part")]
+    numbered = part.join(key_tab, same).select("_gk", part[out_fid], "part", "_v")
+    # numbers follow the ids, so the smallest line of a chain is the one with the smallest id
+    lines = global_row_number(numbered, order, "_line")
+    keys, fid = ["_gk"], "_line"
     base, ends, links = _line_states(lines, keys, fid)
     # chains
-    node = F.xxhash64(*[F.col(k) for k in keys], F.col(fid))
-    lab_src = base.select(*keys, fid, node.alias("node"))
-    edges = links.select(F.xxhash64(*[F.col(k) for k in keys], F.col(fid)).alias("u"),
-                         F.xxhash64(*[F.col(k) for k in keys], F.col("pfid")).alias("v"))
-    comp = connected_components(lab_src.select("node"), edges)
-    lines_l = lab_src.join(comp, "node").select(*keys, fid, F.col("label").alias("_chain"))
-    chain_min = lines_l.groupBy(*keys, "_chain").agg(F.min(fid).alias("chain"))
-    lines_c = lines_l.join(chain_min, [*keys, "_chain"]).drop("_chain")
+    edges = links.select(F.col(fid).alias("u"), F.col("pfid").alias("v"))
+    comp = connected_components(base.select(F.col(fid).alias("node")), edges)
+    lines_c = base.select(*keys, fid).join(comp, base[fid] == comp["node"]).select(
+        *keys, fid, F.col("label").alias("chain"))
     # cycles: chains without a free end are cut at (smallest line, start)
     linked = links.select(*keys, fid, "end").withColumn("_linked", F.lit(True))
     ends_c = ends.join(lines_c, [*keys, fid]).join(linked, [*keys, fid, "end"], "left")
@@ -104,9 +114,7 @@ def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFram
                    F.when(F.col("nfid").isNotNull(), 1).otherwise(0).alias("d"),
                    F.coalesce("nfid", fid).alias("lfid"), F.coalesce("nentry", "entry").alias("lentry"))
     st = cut_lineage(st)
-    for _ in range(64):
-        if st.where(F.col("nfid").isNotNull()).limit(1).count() == 0:
-            break
+    while st.where(F.col("nfid").isNotNull()).limit(1).count():  # distances double: log rounds
         t = st.select(*keys, F.col(fid).alias("nfid"), F.col("entry").alias("nentry"),
                       F.col("nfid").alias("_nn"), F.col("nentry").alias("_ne"), F.col("d").alias("_d"),
                       F.col("lfid").alias("_lf"), F.col("lentry").alias("_le"))
@@ -137,5 +145,7 @@ def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFram
     merged = pieces.groupBy(*keys, "chain").agg(F.count("*").alias("n_lines"),
                                                 F.sort_array(F.collect_list(F.struct("pos", "_o"))).alias("_ps"))
     verts = F.flatten(F.transform("_ps", lambda p: p["_o"]))
-    out = merged.select("_gk", "chain", "n_lines", G.line_geom(verts).alias("geom"))
-    return out.join(key_tab, "_gk").select(*key_cols, "chain", "n_lines", "geom")
+    ids = lines.select("_gk", F.col("_line").alias("chain"), F.col(out_fid).alias("_id"))
+    out = merged.select("_gk", "chain", "n_lines", G.line_geom(verts).alias("geom")).join(ids, ["_gk", "chain"])
+    out = out.join(key_tab, "_gk")
+    return out.select(*key_cols, F.col("_id").alias("chain"), "n_lines", "geom")

@@ -9,6 +9,7 @@ operators need: a *reliable* checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +42,11 @@ def local_session(cpus: int | str = "*", app: str = "gridloom") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting one only when unset.
+    """Return the cluster's checkpoint folder, setting one only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder and
-    is used as is. Only when nothing is configured (local tests) do we pick a
-    fresh scratch folder under the system temp dir.
+    is used as is; without it this is an error, since executors and driver share no
+    local folder. In local mode (tests) a fresh scratch folder is chosen.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     scratch = tempfile.mkdtemp(prefix="gridloom-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
