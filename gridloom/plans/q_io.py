@@ -6,6 +6,8 @@ names), never under a machine-local temp folder.
 
 from __future__ import annotations
 
+import math
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -13,7 +15,10 @@ from pyspark.sql import functions as F
 from gridloom.functions.tiles import LOCAL_TILE_BUFFER, TILE_EXTENT
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import query
+from gridloom.operators.serve import read_store, write_seed
+from gridloom.operators.tiles import tile_join
 from gridloom.plans.q_tiles import cover_sql
+from gridloom.plans.seed import seed_tiles
 from gridloom.session import ensure_checkpoint_dir
 from gridloom.sources import fixtures as FX
 from gridloom.sources.gpx import points_to_geojson, read_geojson_points, read_gpx_points, tracks_to_gpx_rows, \
@@ -22,6 +27,13 @@ from gridloom.sources.tables import Tables
 from gridloom.streaming.reseed import start_reseed
 
 
+def lonlat_edges(min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> tuple[float, ...]:
+    """The box in mercator metres, as constants for SQL."""
+    r = math.pi / 180.0
+    y = [math.log(math.tan(math.pi / 4.0 + lat * r / 2.0)) * 6378137.0 for lat in (min_lat, max_lat)]
+    return (min_lon * r * 6378137.0, y[0], max_lon * r * 6378137.0, y[1])
+
+
 def _scratch(spark, tag: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/io-{tag}-{uuid.uuid4().hex}"
 
@@ -57,23 +69,77 @@ _RESEED_ZOOMS = list(range(9, 15))
 _BUF = LOCAL_TILE_BUFFER / TILE_EXTENT
 
 
-@query("stream_reseed", OF.with_(OF.LABEL, """
-feats AS (SELECT 'label' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS maxx, y AS maxy
-          FROM label_pts, (SELECT unnest(range(9, 15)) AS z) zs)""", cover_sql("feats", _BUF)) + """
-SELECT CAST(z AS INTEGER) AS z, x, y, layer, count(*) AS n FROM hits GROUP BY z, x, y, layer""")
+def _at_zooms(rows: str, zooms=_RESEED_ZOOMS) -> str:
+    return (f"SELECT 'label' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS maxx, y AS maxy "
+            f"FROM {rows}, (SELECT unnest([{', '.join(map(str, zooms))}]) AS z) zs")
+
+
+def _hits(rows: str, tag: str, zooms=_RESEED_ZOOMS) -> str:
+    """CTEs feats_<tag>, hits_<tag>: label rows joined with their tiles."""
+    cte = cover_sql(f"feats_{tag}", _BUF)
+    return f"feats_{tag} AS ({_at_zooms(rows, zooms)}),\n" + re.sub(r"\b(cov|rng2?|txy?|hits)\b", rf"\1_{tag}", cte)
+
+
+def _label_boxes(t):
+    return FX.label_points(t).select(
+        F.lit("label").alias("layer"), F.col("osm_id").alias("fid"), F.col("x").alias("minx"),
+        F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"))
+
+
+@query("stream_reseed", OF.with_(OF.LABEL, _hits("label_pts", "all"),
+       _hits("(SELECT * FROM label_pts WHERE osm_id % 20 < 2) c", "changed")) + """
+SELECT CAST(z AS INTEGER) AS z, x, y, layer, count(*) AS n FROM hits_all h
+WHERE EXISTS (SELECT 1 FROM hits_changed c WHERE c.z = h.z AND c.x = h.x AND c.y = h.y)
+GROUP BY z, x, y, layer""")
 def q_stream_reseed(spark, d):
-    """Changed label features land as files; a streaming query re-seeds
-    the tiles they touch at zooms 9-14 (foreachBatch, dynamic overwrite)."""
+    """A tenth of the label features land as changed, in two files; a streaming
+    query re-seeds the tiles they touch at zooms 9-14 in two micro-batches, each
+    tile from all features that meet it."""
     base = _scratch(spark, "reseed")
     src, sink, ck = base + "/changed", base + "/tiles", base + "/_checkpoint"
-    changed = FX.label_points(Tables(spark, d)).select(
-        F.lit("label").alias("layer"), F.col("osm_id").alias("fid"), F.col("x").alias("minx"),
-        F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"))
-    changed.write.mode("overwrite").parquet(src)
-    q = start_reseed(spark, src, changed.schema, sink, ck, _RESEED_ZOOMS, _BUF)
+    boxes = _label_boxes(Tables(spark, d))
+    for part in range(2):
+        boxes.where(F.col("fid") % 20 == part).coalesce(1).write.mode("append").parquet(src)
+    q = start_reseed(spark, src, boxes.schema, lambda: boxes, sink, ck, _RESEED_ZOOMS, _BUF, files_per_batch=1)
     q.awaitTermination()
-    out = spark.read.parquet(sink)
-    return out.select(F.col("z").cast("int").alias("z"), "x", "y", "layer", "n")
+    if q.exception():
+        raise q.exception()
+    return read_store(spark, sink, "x bigint, y bigint, layer string, n bigint").select("z", "x", "y", "layer", "n")
+
+
+_PART_ZOOMS = [9, 10, 11]
+_PART_BOX = (-20.0, -30.0, 60.0, 40.0)
+_PART_EDGES = lonlat_edges(*_PART_BOX)
+
+
+@query("tile_reseed_partial", OF.with_(OF.LABEL, _hits("label_pts", "old", _PART_ZOOMS),
+       _hits("(SELECT * FROM label_pts WHERE osm_id % 3 <> 0) n", "new", _PART_ZOOMS),
+       _hits("(SELECT * FROM label_pts WHERE osm_id % 50 = 0) l", "list", [10])) + f""",
+tiles AS (SELECT DISTINCT z, x, y FROM hits_old),
+edges AS (SELECT z, x, y, -20037508.342789244 + x * s AS x0, 20037508.342789244 - y * s AS y1, s
+          FROM (SELECT *, 40075016.68557849 / pow(2.0, z) AS s FROM tiles)),
+newest AS (SELECT z, x, y, CASE
+  WHEN x0 <= {_PART_EDGES[2]!r} AND x0 + s >= {_PART_EDGES[0]!r} AND y1 - s <= {_PART_EDGES[3]!r} AND y1 >= {_PART_EDGES[1]!r} THEN 2
+  WHEN EXISTS (SELECT 1 FROM hits_list l WHERE l.z = edges.z AND l.x = edges.x AND l.y = edges.y) THEN 1
+  ELSE 0 END AS seed FROM edges)
+SELECT CAST(h.z AS INTEGER) AS z, h.x, h.y, h.fid AS gid, n.seed AS ver
+FROM newest n JOIN (SELECT *, 0 AS old FROM hits_new UNION ALL SELECT *, 1 FROM hits_old) h
+  ON h.z = n.z AND h.x = n.x AND h.y = n.y AND h.old = CASE WHEN n.seed = 0 THEN 1 ELSE 0 END""")
+def q_tile_reseed_partial(spark, d):
+    """All tiles seeded, then a list of tiles and then a lon/lat box seeded
+    again from changed features (a third gone); all other tiles keep their rows."""
+    path = _scratch(spark, "partial")
+    old = _label_boxes(Tables(spark, d))
+    new = old.where(F.col("fid") % 3 != 0)
+    at = F.explode(F.array(*[F.lit(z) for z in _PART_ZOOMS]))
+    listed = tile_join(old.where(F.col("fid") % 50 == 0).withColumn("z", F.lit(10)), None, _BUF).select("z", "x", "y")
+    boxed = seed_tiles(spark, _PART_ZOOMS[0], _PART_ZOOMS[-1], _PART_BOX)
+    for seed, feats, tiles in ((0, old, None), (1, new, listed), (2, new, boxed)):
+        rows = tile_join(feats.withColumn("z", at), tiles, _BUF).select(
+            "z", "x", "y", "layer", F.col("fid").alias("gid"), F.lit(seed).alias("ver"))
+        write_seed(rows, path, [F.col("gid")], seed, tiles, _PART_ZOOMS)
+    return read_store(spark, path, "x bigint, y bigint, layer string, gid bigint, ver int").select(
+        "z", "x", "y", "gid", "ver")
 
 
 @query("layer_dir_load", OF.with_(OF.TRACK) + f"""

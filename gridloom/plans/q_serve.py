@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import geometry as G
 from gridloom.operators import attributes as A
 from gridloom.operators.ladder import Rung, ladder_rings
-from gridloom.operators.serve import read_tile, tile_rows, write_tile_cache
+from gridloom.operators.serve import read_store, read_tile, tile_rows, write_seed
 from gridloom.operators.tiles import features_at_zooms, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import NAME_SQL, cluster_ctes, query
@@ -16,12 +16,18 @@ from gridloom.plans.q_io import _scratch
 from gridloom.plans.q_points import POS_SQL
 from gridloom.plans.q_tiles import BUF, ROAD_BANDS, cover_sql
 from gridloom.sources import fixtures as FX
+from gridloom.session import cut_lineage
 from gridloom.sources.tables import Tables
 
 SERVE_ZOOMS = (12, 16)
 
 
-def served_features(spark, d):
+TILE_COLUMNS = ["z", "x", "y", "layer", "gid", "ord", "layer_num", "ref_prefix", "ref_num", "name"]
+TILE_SCHEMA = ("x bigint, y bigint, layer string, gid bigint, ord bigint, layer_num int, ref_prefix string, "
+               "ref_num string, name string")
+
+
+def served_features(spark, d, zooms: tuple[int, int] = SERVE_ZOOMS):
     """osm.roads (rung per zoom; name only from zoom 16, the base table) and
     osm.label features with their served attributes."""
     t = Tables(spark, d)
@@ -31,7 +37,7 @@ def served_features(spark, d):
     rb = lr.select("gen", "fid", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
     attrs = base.select("fid", "rank", "ref", "layer", "name_de", "name_en", "name")
     rb = rb.join(attrs, "fid")
-    roads = features_at_zooms(rb, zoom_rungs(SERVE_ZOOMS[0], SERVE_ZOOMS[1], ROAD_BANDS))
+    roads = features_at_zooms(rb, zoom_rungs(zooms[0], zooms[1], ROAD_BANDS))
     roads = roads.select(
         "z", F.lit("roads").alias("layer"), F.col("fid").alias("gid"), "minx", "miny", "maxx", "maxy",
         (-F.col("rank")).cast("long").alias("ord"),
@@ -44,7 +50,7 @@ def served_features(spark, d):
                      (-F.coalesce(F.col("pop"), F.lit(-1))).cast("long").alias("ord"),
                      F.lit(None).cast("int").alias("layer_num"), F.lit(None).cast("string").alias("ref_prefix"),
                      F.lit(None).cast("string").alias("ref_num"), A.name_fallback().alias("name"))
-    lab = features_at_zooms(lab, [(z, 0) for z in range(SERVE_ZOOMS[0], SERVE_ZOOMS[1] + 1)], None)
+    lab = features_at_zooms(lab, [(z, 0) for z in range(zooms[0], zooms[1] + 1)], None)
     return roads.unionByName(lab)
 
 
@@ -84,12 +90,11 @@ SELECT CAST(z AS INTEGER) AS z, x, y, layer, gid, CAST(ord AS BIGINT) AS ord, la
 FROM rows_""")
 def q_tile_materialize(spark, d):
     """T6 + S20: roads and label layers at zooms 12-16 written to the tile
-    cache (Parquet, partitioned by zoom, range-sorted) and read back."""
+    store (Parquet by map, seed and zoom, range-sorted) and read back."""
     path = _scratch(spark, "tiles")
-    rows = tile_rows(served_features(spark, d), None, BUF)
-    cols = ["z", "x", "y", "layer", "gid", "ord", "layer_num", "ref_prefix", "ref_num", "name"]
-    write_tile_cache(rows.select(*cols), path, [F.col("ord"), F.col("gid")])
-    return spark.read.parquet(path).select(F.col("z").cast("int").alias("z"), *cols[1:])
+    rows = tile_rows(served_features(spark, d), None, BUF).select(*TILE_COLUMNS)
+    write_seed(rows, path, [F.col("ord"), F.col("gid")], zooms=list(range(SERVE_ZOOMS[0], SERVE_ZOOMS[1] + 1)))
+    return read_store(spark, path, TILE_SCHEMA).select(*TILE_COLUMNS)
 
 
 @query("tile_one", _SERVE_SQL + """,
@@ -100,19 +105,18 @@ SELECT CAST(r.z AS INTEGER) AS z, r.x, r.y, layer, gid, CAST(ord AS BIGINT) AS o
        name
 FROM rows_ r JOIN pick p ON r.z = p.z AND r.x = p.x AND r.y = p.y""")
 def q_tile_one(spark, d):
-    """One tile (zoom 14, under the label with the smallest id) read back
-    from the tile cache by a partition-pruned, semi-joined scan."""
-    path = _scratch(spark, "tiles")
-    rows = tile_rows(served_features(spark, d), None, BUF)
-    cols = ["z", "x", "y", "layer", "gid", "ord", "layer_num", "ref_prefix", "ref_num", "name"]
-    write_tile_cache(rows.select(*cols), path, [F.col("ord"), F.col("gid")])
+    """One tile (zoom 14, under the label with the smallest id) made and
+    served alone: only the features that meet it are joined, and the store is read for it."""
     lab = FX.label_points(Tables(spark, d))
     first = lab.orderBy("osm_id").limit(1)
     size = F.lit(40075016.68557849) / F.pow(F.lit(2.0), F.lit(14))
-    tile = first.select(F.lit(14).alias("z"),
-                        F.floor((F.col("x") + F.lit(20037508.342789244)) / size).alias("x"),
-                        F.floor((F.lit(20037508.342789244) - F.col("y")) / size).alias("y"))
-    return read_tile(spark, path, tile).select(F.col("z").cast("int").alias("z"), *cols[1:])
+    tile = cut_lineage(first.select(F.lit(14).alias("z"),
+                                    F.floor((F.col("x") + F.lit(20037508.342789244)) / size).alias("x"),
+                                    F.floor((F.lit(20037508.342789244) - F.col("y")) / size).alias("y")))
+    path = _scratch(spark, "tiles")
+    rows = tile_rows(served_features(spark, d, (14, 14)), tile, BUF).select(*TILE_COLUMNS)
+    write_seed(rows, path, [F.col("ord"), F.col("gid")], tiles=tile)
+    return read_tile(spark, path, TILE_SCHEMA, tile).select(*TILE_COLUMNS)
 
 
 # cluster.poi: zoom z in 11..17 serves rung gen z, zoom 18 and above the raw points

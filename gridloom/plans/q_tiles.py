@@ -68,7 +68,7 @@ def q_tile_seed_bounds(spark, d):
     box = lab.agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"),
                   F.max("y").alias("maxy"))
     box = box.withColumn("z", F.explode(F.sequence(F.lit(7), F.lit(14))))
-    return tile_join(box, None, 0.0, repartition_x=8).select("z", "x", "y")
+    return tile_join(box, None, 0.0).select("z", "x", "y")
 
 
 @query("tile_seed_list", OF.with_(OF.POI, """

@@ -24,7 +24,7 @@ _LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # broadcast only what the planner can prove small; our own broadcasts are
-    # explicit and size-checked (see functions.sizing)
+    # explicit and size-checked
     "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
 }
 
