@@ -7,7 +7,7 @@ bits differ in at most k // 2 bits in one of their halves, so the trie is walked
 twice, once as it is and once with the halves swapped, and on its upper 32 levels
 the budget is k // 2; that keeps the number of node pairs near N rather than N^1.4.
 
-Spark walks the upper levels, four at a time, as joins of the table of node pairs
+Spark walks the upper levels, two at a time, as joins of the table of node pairs
 with the table of nodes; a pair whose two nodes hold at most ``leaf`` fingerprints
 is a task of its own, and a heavier one goes deeper, whatever the fingerprints
 share. Inside a task numpy goes on level by level. A task returns a forest with the
@@ -31,7 +31,7 @@ SEED = 42
 SHINGLE = 4       # words
 BITS = 4          # largest distance of a link
 LEAF = 16384      # fingerprints of the two nodes of one task
-STEP = 4          # levels a Spark round goes down
+STEP = 2          # levels a Spark round goes down
 FRONT = 1 << 20   # node pairs that numpy holds at once
 
 
@@ -204,17 +204,20 @@ def links(nodes: DataFrame, bits: int = BITS, leaf: int = LEAF) -> DataFrame:
         task = F.struct("turn", F.lit(depth).alias("depth"), "a", "b")
         sides = found.select("turn", F.col("a").alias("node"), F.lit(0).alias("side"), task.alias("task")).union(
             found.where("a <> b").select("turn", F.col("b").alias("node"), F.lit(1).alias("side"), task.alias("task")))
-        got = turned.select("turn", at(depth).alias("node"), "key").join(sides, ["turn", "node"]).select("task.*", "side", "key")
+        # a node travels as one row of at most ``leaf`` fingerprints
+        used = sides.select("turn", "node").distinct()
+        held = turned.select("turn", at(depth).alias("node"), "key").join(used, ["turn", "node"], "left_semi").groupBy("turn", "node").agg(F.collect_list("key").alias("keys"))
+        got = held.join(sides, ["turn", "node"]).select("task.*", "side", "keys")
         members = got if members is None else members.union(got)
 
     out = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
     def work(key, table):
         turn, depth, a, b = (k.as_py() for k in key)
-        value = table.column("key").to_numpy().view(np.uint64)
-        side = table.column("side").to_numpy()
-        left = np.sort(value[side == 0])
-        right = left if a == b else np.sort(value[side == 1])
+        sides = [np.empty(0, np.uint64)] * 2
+        for side, keys in zip(table.column("side").to_pylist(), table.column("keys"), strict=True):
+            sides[side] = np.sort(keys.values.to_numpy().view(np.uint64))
+        left, right = (sides[0], sides[0]) if a == b else sides
         base = 0 if a == b else len(left)
         everything = left if a == b else np.concatenate([left, right])
         root = forest(len(everything), ((i, j + base) for i, j in joined(left, right, a == b, bits, depth)))
