@@ -55,36 +55,42 @@ def cover_ranges(z, minx, miny, maxx, maxy, buffer_frac: float = 0.0) -> dict[st
     return {"x0": clamp(x0), "x1": clamp(x1), "y0": clamp(y0), "y1": clamp(y1)}
 
 
-BLOCK = 64            # side of a block of tiles
-WIDE = 64             # features that meet more blocks are dealt out again, block by block
+BLOCK = 64  # side of a block of tiles
+WIDE = 64   # features that meet more blocks are dealt out again, block by block
 
 
-def explode_cover(df: DataFrame, z, buffer_frac: float = 0.0, within: DataFrame | None = None) -> DataFrame:
+def explode_cover(df: DataFrame, z, buffer_frac: float = 0.0, seeds: DataFrame | None = None) -> DataFrame:
     """Rows with bbox columns -> one row per covering tile (z, x, y).
 
-    Ranges explode by blocks of BLOCK x BLOCK tiles first. The blocks of a feature
-    that meets many (a world-wide box at a high zoom) are spread over the
-    cluster before the tiles explode, so no task gets more than its share. ``within``
-    (_z, _x0, _x1, _y0, _y1: one row a zoom, so small enough to broadcast) cuts the ranges.
+    Ranges explode by blocks of BLOCK x BLOCK tiles first. With ``seeds`` (z, x, y) only
+    blocks with a wanted tile go on, cut to the range of these tiles; a superset of
+    the wanted tiles comes out. Without, the blocks of a feature that meets many (a
+    world-wide box at a high zoom) are spread over the cluster before the tiles explode.
     """
-    r = cover_ranges(z, "minx", "miny", "maxx", "maxy", buffer_frac)
-    out = df.withColumn("z", _c(z).cast("int")).withColumns(r)
-    if within is not None:
-        out = out.join(F.broadcast(within), F.col("z") == F.col("_z")).withColumns({
-            "x0": F.greatest("x0", "_x0"), "x1": F.least("x1", "_x1"),
-            "y0": F.greatest("y0", "_y0"), "y1": F.least("y1", "_y1")}).drop("_z", "_x0", "_x1", "_y0", "_y1")
-        out = out.where("x0 <= x1 and y0 <= y1")
-
     def block(c):
         return F.floor(F.col(c) / F.lit(BLOCK))
 
-    count = (block("x1") - block("x0") + 1) * (block("y1") - block("y0") + 1)
-    wide = out.where(count > WIDE)
-    wide = wide.withColumn("_bx", F.explode(F.sequence(block("x0"), block("x1"))))
-    wide = wide.withColumn("_by", F.explode(F.sequence(block("y0"), block("y1")))).repartition("z", "_bx", "_by")
+    r = cover_ranges(z, "minx", "miny", "maxx", "maxy", buffer_frac)
+    out = df.withColumn("z", _c(z).cast("int")).withColumns(r)
     low = {f"{c}0": F.greatest(F.col(f"{c}0"), F.col(f"_b{c}") * BLOCK) for c in "xy"}
     high = {f"{c}1": F.least(F.col(f"{c}1"), F.col(f"_b{c}") * BLOCK + BLOCK - 1) for c in "xy"}
-    out = out.where(count <= WIDE).unionByName(wide.withColumns(low | high).drop("_bx", "_by"))
+
+    def blocked(rows):
+        rows = rows.withColumn("_bx", F.explode(F.sequence(block("x0"), block("x1"))))
+        return rows.withColumn("_by", F.explode(F.sequence(block("y0"), block("y1"))))
+
+    if seeds is not None:
+        wanted = seeds.groupBy(F.col("z").cast("int").alias("_z"), block("x").alias("_wx"), block("y").alias("_wy")).agg(
+            *[f(c).alias(f"_{n}{c}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))])
+        met = blocked(out)
+        met = met.join(wanted, (met["z"] == wanted["_z"]) & (met["_bx"] == wanted["_wx"]) & (met["_by"] == wanted["_wy"]))
+        cut = {f"{c}0": F.greatest(low[f"{c}0"], F.col(f"_min{c}")) for c in "xy"} | {
+            f"{c}1": F.least(high[f"{c}1"], F.col(f"_max{c}")) for c in "xy"}
+        out = met.withColumns(cut).where("x0 <= x1 and y0 <= y1").select(*out.columns)
+    else:
+        count = (block("x1") - block("x0") + 1) * (block("y1") - block("y0") + 1)
+        wide = blocked(out.where(count > WIDE)).repartition("z", "_bx", "_by")
+        out = out.where(count <= WIDE).unionByName(wide.withColumns(low | high).drop("_bx", "_by"))
     out = out.withColumn("x", F.explode(F.sequence("x0", "x1")))
     out = out.withColumn("y", F.explode(F.sequence("y0", "y1")))
     return out.drop("x0", "x1", "y0", "y1")

@@ -39,16 +39,13 @@ def features_at_zooms(features: DataFrame, z_gen: list[tuple[int, int]], gen_col
 def tile_join(features: DataFrame, tiles: DataFrame | None, buffer_frac: float = 0.0) -> DataFrame:
     """(feature rows with z and bbox) x tiles -> rows with (z, x, y).
 
-    ``tiles`` restricts the output to a seed set: a feature's tile range is cut to
-    the range of the seed's tiles at its zoom before anything is exploded, then the
-    tiles are semi-joined. None keeps every tile a feature meets.
+    ``tiles`` restricts the output to a seed set: features meet the blocks of tiles
+    that hold a wanted one before single tiles are exploded and semi-joined.
+    None keeps every tile a feature meets.
     """
-    within = None
     if tiles is not None:
         tiles = tiles.select("z", "x", "y").distinct()
-        within = tiles.groupBy(F.col("z").cast("int").alias("_z")).agg(
-            F.min("x").alias("_x0"), F.max("x").alias("_x1"), F.min("y").alias("_y0"), F.max("y").alias("_y1"))
-    cov = explode_cover(features, F.col("z"), buffer_frac, within)
+    cov = explode_cover(features, F.col("z"), buffer_frac, tiles)
     if tiles is not None:
         cov = cov.join(tiles, ["z", "x", "y"], "left_semi")
     return cov.where(bbox_meets_tile(buffer_frac))
