@@ -40,8 +40,8 @@ from gridloom.llm.words import numbered, pieces, scratch, stored, texts_of
 END = xxhash.xxh64_intdigest(b" end")      # no word has a space
 START = xxhash.xxh64_intdigest(b" start")
 TURING = 5                 # counts up to this are discounted by their own counts of counts
-BUCKET_BYTES = 24 << 20    # of text whose occurrences make a bucket
-BATCH_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20    # of text whose occurrences make a bucket
+BATCH_BYTES = 16 << 20
 SAMPLE_DOCS = 2_000        # expected size of the sample in which frequent words are looked for
 FEW = 8                    # bigrams of a context that a bucket sends singly; more are added up first
 
@@ -218,21 +218,23 @@ def _dealt(docs: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
             rank = np.empty(len(own), np.int64)
             rank[by] = np.arange(len(own))
             hashes = own[by]
-            doc = np.repeat(np.arange(docs_n), np.diff(starts) + 1)
-            w = np.empty(size, np.int64)
+            del vocab
+            doc = np.repeat(np.arange(docs_n, dtype=np.int32), np.diff(starts) + 1)
+            w = np.empty(size, np.int32)
             ends = starts[1:] + np.arange(docs_n)
             is_end = np.zeros(size, bool)
             is_end[ends] = True
             w[~is_end] = rank[numbers]
-            w[is_end] = rank[len(vocab)]
-            h = np.empty(size, np.int64)
+            w[is_end] = rank[-2]
+            del numbers, is_end
+            h = np.empty(size, np.int32)
             h[1:] = w[:-1]
-            h[np.concatenate([[0], ends[:-1] + 1])] = rank[len(vocab) + 1]
+            h[np.concatenate([[0], ends[:-1] + 1])] = rank[-1]
             # frequent words' counts stay with the documents
             index = np.searchsorted(hot_hashes, hashes)
             index = np.where((index < len(hot_hashes)) & (hot_hashes[np.minimum(index, max(len(hot_hashes) - 1, 0))] == hashes) if len(hot_hashes) else False, index, -1)
             own_hot = index[w] >= 0
-            pair = doc[own_hot] * max(len(hot), 1) + index[w[own_hot]]
+            pair = doc[own_hot].astype(np.int64) * max(len(hot), 1) + index[w[own_hot]]
             pairs, times = np.unique(pair, return_counts=True)
             info = pack(train.astype(np.int64), np.diff(starts) + 1, pairs, times)
             ids = pa.ListArray.from_arrays(pa.array([0, docs_n], pa.int32()), pa.concat_arrays(table["doc_id"].chunks))
@@ -241,14 +243,17 @@ def _dealt(docs: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
             if own_hot.any():
                 p[own_hot] = (mixed(hashes[w[own_hot]] ^ mixed(hashes[h[own_hot]])) % np.uint64(buckets)).astype(np.int64)
             m = len(hashes)
-            order = np.argsort((p * m + w) * m + h)
-            p, w, h, doc = p[order], w[order], h[order], doc[order]
-            bits = np.packbits(train)
+            key = w.astype(np.int64) * m + h
+            del w, h, own_hot
+            order = np.lexsort((key, p))
+            key, p, doc = key[order], p[order], doc[order]
+            del order
+            bits = np.packbits(train).astype(np.int64)
             for first, n in zip(*(x.tolist() for x in runs(p)), strict=True):
-                at = slice(first, first + n)
-                head, sizes = runs(w[at])
-                contexts, hi = np.unique(h[at], return_inverse=True)
-                blob = pack(steps(hashes[w[at][head]]), sizes, steps(hashes[contexts]), run_steps(hi, sizes), doc[at], bits.astype(np.int64), np.array([docs_n]))
+                own_key = key[first:first + n]
+                head, sizes = runs(own_key // m)
+                contexts, hi = np.unique(own_key % m, return_inverse=True)
+                blob = pack(steps(hashes[own_key[head] // m]), sizes, steps(hashes[contexts]), run_steps(hi, sizes), doc[first:first + n], bits, np.array([docs_n]))
                 yield pa.RecordBatch.from_arrays([pa.array([int(p[first])], pa.int32()), pa.array(["occ"]), pa.array([slot]), pa.array([blob], pa.binary()), pa.nulls(1, ids.type)], names=schema.names)
 
     return docs.select("doc_id", "text", "held").mapInArrow(run, schema)
@@ -301,49 +306,50 @@ def _bucket(occ: list, batches: list, docs_n: int, buckets: int, hot: np.ndarray
     contexts, ci = np.unique(np.concatenate([o[2] for o in occ]), return_inverse=True)
     w_at = np.cumsum([0, *(len(o[0]) for o in occ)])
     c_at = np.cumsum([0, *(len(o[2]) for o in occ)])
-    w = np.concatenate([np.repeat(wi[a:a + len(o[0])], o[1]) for o, a in zip(occ, w_at, strict=False)])
-    h = np.concatenate([ci[a:a + len(o[2])][o[3]] for o, a in zip(occ, c_at, strict=False)])
+    key = np.concatenate([np.repeat(wi[a:a + len(o[0])], o[1]) for o, a in zip(occ, w_at, strict=False)])
+    key *= len(contexts)
+    key += np.concatenate([ci[a:a + len(o[2])][o[3]] for o, a in zip(occ, c_at, strict=False)])
     doc = np.concatenate([o[4] for o in occ])
     train = np.concatenate([o[5] for o in occ])
     occ.clear()
-    key = w * len(contexts) + h
+    del wi, ci
     order = np.argsort(key)
     key, doc, train = key[order], doc[order], train[order]
-    del w, h, order
+    del order
     head, sizes = runs(key)
     pair_w, pair_h = key[head] // len(contexts), key[head] % len(contexts)
     del key
-    r_pair = np.add.reduceat(train.astype(np.int64), head)
-    c_word = np.bincount(pair_w, r_pair, len(words)).astype(np.int64)
+    r = np.add.reduceat(train.astype(np.int32), head).astype(np.int64)
+    del train, head
+    c_word = np.bincount(pair_w, r, len(words)).astype(np.int64)
     at_hot = np.searchsorted(hot, words)
     is_hot = hot[np.minimum(at_hot, max(len(hot) - 1, 0))] == words if len(hot) else np.zeros(len(words), bool)
-    is_end = words == np.uint64(END)
-    code = np.where(is_hot, 0, c_word)  # frequent words: their total isn't known here
-    r = np.repeat(r_pair, sizes)
-    c = np.repeat(code[pair_w], sizes)
-    plain = np.repeat(~is_hot[pair_w], sizes)
-    word = plain & ~np.repeat(is_end[pair_w], sizes)
-    seen = r > 0
-    per = lambda mask: np.bincount(doc[mask], minlength=docs_n)
-    add = lambda mask, x: np.bincount(doc[mask], x[mask], docs_n)
+    # what follows depends on the pair alone: it is spread over the pair's places one thing at a time
+    c = np.where(is_hot, 0, c_word)[pair_w]  # frequent words: their total isn't known here
+    plain = ~is_hot[pair_w]
+    word = plain & (words != np.uint64(END))[pair_w]
+    seen, late = r > 0, r == 0
+    per = lambda mask: np.bincount(doc[np.repeat(mask, sizes)], minlength=docs_n)
+    add = lambda x: np.bincount(doc, np.repeat(x, sizes), docs_n)
     log = lambda x: np.log10(np.maximum(x, 1))
+    unseen = late & plain & (c > 0)
     counts = {f"k{i}": per(seen & (r == i)) for i in range(1, 6)}
     counts["known"] = per(plain & (c > 0))
-    late = ~seen
     for i in range(1, 6):
-        counts[f"u{i}"] = per(late & plain & (c == i))
-    counts["useen"] = per(late & plain & (c > 0))
+        counts[f"u{i}"] = per(unseen & (c == i))
+    counts["useen"] = per(unseen)
     counts["uoov"] = per(late & plain & (c == 0))
     sums = {
-        "a": add(seen, log(r)) - add(word & (c > 0), log(c)) + add(late & plain & (c > 0), log(c)),
-        "s": add(r > TURING, log(r + 1) - log(r)),
-        "s1": add(late & plain & (c > TURING), log(c + 1) - log(c)),
-        "b": add(plain, log(c + 1)),
+        "a": add(log(r) - np.where(word, log(c), 0.0) + np.where(unseen, log(c), 0.0)),
+        "s": add(np.where(r > TURING, log(r + 1) - log(r), 0.0)),
+        "s1": add(np.where(unseen & (c > TURING), log(c + 1) - log(c), 0.0)),
+        "b": add(np.where(plain, log(c + 1), 0.0)),
     }
     out = []
-    hot_late = late & ~plain
+    hot_late = np.repeat(late & ~plain, sizes)
     hot_doc = doc[hot_late]
     hot_index = np.repeat(at_hot[pair_w], sizes)[hot_late]
+    del hot_late
     for slot, first, n in batches:
         at = slice(first, first + n)
         own = (hot_doc >= first) & (hot_doc < first + n)
@@ -351,8 +357,8 @@ def _bucket(occ: list, batches: list, docs_n: int, buckets: int, hot: np.ndarray
         out.append(("part", slot, pack(*(counts[k][at] for k in COUNTS), *(signed(sums[k][at]) for k in SUMS), pairs, times), None))
     # unseen bigrams, to the buckets of their contexts
     if late.any():
-        lh = np.repeat(pair_h, sizes)[late]
-        ld = doc[late].astype(np.int64)
+        lh = np.repeat(pair_h[late], sizes[late])
+        ld = doc[np.repeat(late, sizes)].astype(np.int64)
         of = np.searchsorted(np.array([b[1] for b in batches]), ld, "right") - 1
         q = (mixed(contexts) % np.uint64(buckets)).astype(np.int64)[lh]
         by = np.lexsort((lh, of, q))
@@ -363,8 +369,7 @@ def _bucket(occ: list, batches: list, docs_n: int, buckets: int, hot: np.ndarray
             top, sizes2 = runs(lh[at])
             out.append(("unseen", slot, pack(np.array([int(q[first])]), steps(contexts[lh[at][top]]), sizes2, ld[at] - start), None))
     # the model's bigrams, and counts of counts
-    own = r_pair > 0
-    pw, ph, pr = pair_w[own], pair_h[own], r_pair[own]
+    pw, ph, pr = pair_w[seen], pair_h[seen], r[seen]
     if len(pr):
         top, sizes3 = runs(pw)
         used, hi = np.unique(ph, return_inverse=True)
