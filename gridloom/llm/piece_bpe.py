@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridloom.llm.words import kept
+from gridloom.llm.words import kept, tidy
 
 SPACE = "▁"
 UNKNOWN = "�"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 1 << 19  # entries kept of each memo table before it starts anew
+CACHE = 1 << 18  # entries of each generation of a memo table
 
 
 def _fields(raw: bytes):
@@ -59,6 +59,26 @@ def _fields(raw: bytes):
             at += size
 
 
+class Memo:
+    """A bounded memory: when the young generation is full it becomes the old one, whose entries live on if asked for."""
+
+    def __init__(self, size: int = CACHE):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None and (got := self.old.get(key)) is not None:
+            self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class PieceModel:
     """Pieces, merge ranks and the exact encoder and decoder of one model file."""
 
@@ -107,9 +127,15 @@ class PieceModel:
             self.plain[i] = b
         # no piece holds a line feed or goes on past a space: each unit is encoded by itself
         self.units = re.compile(" *[^ \n]+|\n| +" if "\n" not in chars else " *[^ ]+| +")
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._units: dict[str, tuple[tuple[int, ...], bytes]] = {}
-        self._runs: dict[str, list[int]] = {}
+        self._fits = Memo()   # (left piece, right piece) -> compatible
+        self._units = Memo()  # unit -> ids, the same as decimal text
+        self._runs = Memo(CACHE // 2)  # run -> ids
+
+    def rest(self) -> None:
+        """Between tasks: keep the young generations only."""
+        for memo in (self._fits, self._units, self._runs):
+            memo.old = {}
+        tidy()
 
     def merged(self, text: str) -> list[str]:
         """Merge from characters: always the pair with the best score, the leftmost of equals."""
@@ -128,10 +154,9 @@ class PieceModel:
     def _compatible(self, left: int, right: int) -> bool:
         known = self._fits.get((left, right))
         if known is None:
-            if len(self._fits) >= CACHE:
-                self._fits.clear()
             a, b = self.pieces[left], self.pieces[right]
-            known = self._fits[left, right] = self.merged(a + b) == [a, b]
+            known = self.merged(a + b) == [a, b]
+            self._fits.put((left, right), known)
         return known
 
     def _run(self, text: str) -> list[int]:
@@ -141,7 +166,6 @@ class PieceModel:
         for end, match in self.scan.iter(text):
             found[end - match[0] + 1].append(match)  # shorter ones come first
         failed = bytearray(size // 8 + 1)  # bit p: no segmentation goes on from p
-        fits = self._fits
         out: list[int] = []
         ends, left = [0], [len(found[0])]  # open places and how many of their options are untried
         at = 0
@@ -155,7 +179,7 @@ class PieceModel:
                 if failed[end >> 3] >> (end & 7) & 1:
                     continue
                 if before >= 0:
-                    good = fits.get((before, piece))
+                    good = self._fits.young.get((before, piece))
                     if not (self._compatible(before, piece) if good is None else good):
                         continue
                 left[-1] = k
@@ -185,10 +209,8 @@ class PieceModel:
                 got = memo.get(run)
                 if got is None:
                     got = self._run(run)
-                    if len(memo) >= CACHE:
-                        memo.clear()
                     if len(run) <= 64:
-                        memo[run] = got
+                        memo.put(run, tuple(got))
                 ids += got
                 first = k
         return ids
@@ -216,13 +238,11 @@ class PieceModel:
             text = text.replace(SPACE, " ")
         memo, out = self._units, []
         for unit in self.units.findall(" " + text):
-            got = memo.get(unit)
-            if got is None:
-                if len(memo) >= CACHE:
-                    memo.clear()
+            got = memo.young.get(unit)
+            if got is None and (got := memo.get(unit)) is None:
                 got = self._unit(unit.replace(" ", SPACE))
                 if len(unit) <= 64:
-                    memo[unit] = got
+                    memo.put(unit, got)
             out.append(got)
         return out
 
@@ -285,8 +305,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
     schema = T.StructType([T.StructField(f"k{i}", docs.schema[k].dataType) for i, k in enumerate(keep)] + [T.StructField(n, t) for n, t in added])
 
     def run(batches):
+        model = kept(f"pieces {model_path}", lambda: PieceModel(model_path))
         for batch in batches:
-            model = kept(f"pieces {model_path}", lambda: PieceModel(model_path))
             step = 256
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
@@ -304,5 +324,6 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
                         cols["decoded_sha256"].append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
                 made = [pa.array(cols[n], {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}.get(n, pa.string())) for n, _ in added]
                 yield pa.RecordBatch.from_arrays([*(part.column(f"k{i}") for i in range(len(keep))), *made], names=schema.names)
+        model.rest()
 
     return source.mapInArrow(run, schema).toDF(*keep, *(n for n, _ in added))

@@ -7,6 +7,7 @@ inside a multi-byte UTF-8 character.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -36,6 +37,15 @@ def kept(name: str, make):
     return store[name]
 
 
+def tidy() -> None:
+    """Give freed memory back to the system: idle Python workers live on beside the next task's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
+
+
 def pieces(batches, limit: int = 16 << 20):
     """Regroup Arrow batches into tables of about ``limit`` bytes, in order.
 
@@ -54,6 +64,8 @@ def pieces(batches, limit: int = 16 << 20):
             size += part_size
     if held:
         yield pa.Table.from_batches(held)
+        held = []
+    tidy()
 
 
 def texts_of(table: pa.Table, column: str = "text") -> list[bytes]:
