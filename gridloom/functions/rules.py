@@ -1,16 +1,7 @@
-"""Tag-routing rules and enumerations.
-
-Everything in the FIXED VALUES block must equal the reference's mapping for the
-feature tables to come out the same; it is stated here as plain data in the
-reference's own order. The rest of the module turns that data into a small
-rules DataFrame (a few hundred rows at most, so broadcasting it is safe by
-construction) that the mapping operator joins against.
-"""
+"""Tag rules, enumerations and typed columns of the mapping: plain data, read by the routing operator."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 ANY = None  # "__any__": every value of the key matches
 
@@ -57,9 +48,9 @@ FEATURE_TABLES: dict[str, tuple[str, list[tuple[str, str, list | None]]]] = {
         ("leisure", "leisure", ["nature_reserve"]),
     ]),
     "landcover_import": ("polygon", [
-        ("", "landuse", ["forest", "recreation_ground", "grass", "cemetery"]),
-        ("", "leisure", ["park", "playground", "pitch", "golf_course"]),
-        ("", "natural", ["wood", "scrub", "beach", "wetland", "glacier", "heath"]),
+        ("landuse", "landuse", ["forest", "recreation_ground", "grass", "cemetery"]),
+        ("landuse", "leisure", ["park", "playground", "pitch", "golf_course"]),
+        ("landuse", "natural", ["wood", "scrub", "beach", "wetland", "glacier", "heath"]),
     ]),
     "transportation": ("linestring", [
         ("", "route", ["ferry"]),
@@ -119,36 +110,6 @@ MINIMAL_TABLES: dict[str, tuple[str, list[tuple[str, str, list | None]]]] = {
 }
 # ------------------------------------------------------------------ end of fixed values
 
-RULE_SCHEMA = T.StructType(
-    [
-        T.StructField("table", T.StringType(), False),
-        T.StructField("geom_type", T.StringType(), False),
-        T.StructField("submap", T.StringType(), False),
-        T.StructField("key", T.StringType(), False),
-        T.StructField("value", T.StringType(), True),
-        T.StructField("ord", T.IntegerType(), False),
-    ]
-)
-
-
-def rule_rows(tables=None) -> list[tuple]:
-    """Flatten rule tables to (table, geom_type, submap, key, value|None, ord)."""
-    tables = FEATURE_TABLES if tables is None else tables
-    rows = []
-    for table, (gtype, groups) in tables.items():
-        ord_ = 0
-        for submap, key, values in groups:
-            for v in values if values is not None else [None]:
-                rows.append((table, gtype, submap, key, v, ord_))
-                ord_ += 1
-    return rows
-
-
-def rules_df(spark: SparkSession, tables=None) -> DataFrame:
-    """Rules as a DataFrame; a few hundred rows, so always broadcast-safe."""
-    return spark.createDataFrame(rule_rows(tables), RULE_SCHEMA)
-
-
 # ------------------------------------------------------------------ FIXED VALUES (column extractors)
 # (column, type, tag key). Types: string, integer, bool, enumerate (enum name in ENUMS).
 NAME_COLUMNS = [("name_de", "string", "name:de"), ("name_en", "string", "name:en"), ("name", "string", "name")]
@@ -160,18 +121,30 @@ TABLE_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
     ],
     "label_points": NAME_COLUMNS + [("ele", "integer", "ele"), ("pop", "integer", "population")],
     "housenumbers_temp": [("number", "string", "addr:housenumber")] + NAME_COLUMNS,
-    "buildings_temp": [],
+    "buildings_temp": [("number", "string", "addr:housenumber")] + NAME_COLUMNS,
     "roads_temp": NAME_COLUMNS + [
         ("ref", "string", "ref"), ("oneway", "bool", "oneway"), ("tracktype", "enumerate:tracktype", "tracktype"),
         ("service", "enumerate:service", "service"), ("bicycle", "enumerate:bicycle", "bicycle"),
         ("scale", "integer", "mtb:scale"), ("tunnel", "bool", "tunnel"), ("bridge", "bool", "bridge"),
         ("layer", "integer", "layer"), ("rank", "enumerate:rank", "highway"),
     ],
-    "landuse_import": NAME_COLUMNS,
+    "waterarea": [("area", "area", "")] + NAME_COLUMNS + [("ele", "integer", "ele")],
+    "waterway": [("tunnel", "bool", "tunnel"), ("layer", "integer", "layer")] + NAME_COLUMNS,
+    "landuse_import": [("area", "area", "")] + NAME_COLUMNS,
+    "landcover_import": [("area", "area", ""), ("surface", "string", "surface")] + NAME_COLUMNS,
+    "transportation": NAME_COLUMNS,
+    "manmade_points": [],
+    "manmade_lines": [],
+    "manmade_polygons": [],
+    "piste": [("ref", "string", "ref"), ("difficulty", "enumerate:difficulty", "piste:difficulty")],
+    "cycleroute": [("ref", "string", "ref"), ("name", "string", "name")],
+    "admin": [("ref", "string", "ref"), ("level", "integer", "admin_level")],
     "railway": [("zorder", "wayzorder", ""), ("tunnel", "bool", "tunnel"), ("bridge", "bool", "bridge"),
                 ("service", "string", "service"), ("usage", "enumerate:usage", "usage"),
                 ("attraction", "string", "attraction"), ("layer", "integer", "layer")],
 }
+TABLE_COLUMNS["poi_polygon"] = TABLE_COLUMNS["poi_points"]
+TABLE_COLUMNS["label_polygon"] = TABLE_COLUMNS["label_points"]
 # Tables with a reject filter: tag key -> regex.
 REJECT_REGEXP = {"roads_temp": {"mtb:scale": MTB_SCALE_REJECT}}
 

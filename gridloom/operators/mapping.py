@@ -1,10 +1,10 @@
 """Route tagged elements into typed feature tables.
 
-Plan: explode each element's tag map into (id, key, value) rows, equi-join the
-small rules table (broadcast: its size is fixed by the mapping, a few hundred
-rows), keep the first rule per (element, table, sub-mapping), then extract the
-typed columns from the element's tags. Two equi-joins (exact value, any value)
-instead of one OR-join so both stay hash joins.
+The tags are in the element's row, and the rules are a few groups (key, values)
+for each table, so routing happens in the row: for every (table, sub-mapping) of the element's
+geometry type the first group whose key has one of the values wins. One scan,
+no join, no shuffle, and no key by which elements could be mixed up (nodes and
+ways share ids).
 """
 
 from __future__ import annotations
@@ -12,28 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.rules import ENUMS, REJECT_REGEXP, TABLE_COLUMNS, TRUE_WORDS, WAYZORDER_HIGHWAY_RANK, \
-    WAYZORDER_RAILWAY
+from gridloom.functions import geometry as G
+from gridloom.functions.rules import ENUMS, FEATURE_TABLES, REJECT_REGEXP, TABLE_COLUMNS, TRUE_WORDS, \
+    WAYZORDER_HIGHWAY_RANK, WAYZORDER_RAILWAY
 
 
-def match_rules(elements: DataFrame, rules: DataFrame, id_col: str = "id") -> DataFrame:
-    """M1/M2/M3/M4: (id, table, submap, class, subclass, ord) -- first rule wins.
+def match_rules(elements: DataFrame, tables: dict | None = None) -> DataFrame:
+    """M1/M2/M3/M4: the element rows with (table, submap, class, subclass) -- first rule wins.
 
-    ``elements`` has (id, geom_type, tags MAP<STRING,STRING>). For
-    ``relation_member`` tables the caller passes member rows with
-    geom_type = 'relation_member'.
+    ``elements`` has geom_type and tags MAP<STRING,STRING>; an element comes once for
+    each (table, sub-mapping) that it matches. For ``relation_member`` tables the
+    caller passes member rows with geom_type = 'relation_member'.
     """
-    kv = elements.select(
-        id_col, "geom_type", F.explode(F.map_entries("tags")).alias("_kv")
-    ).select(id_col, "geom_type", F.col("_kv.key").alias("key"), F.col("_kv.value").alias("value"))
-    exact = kv.join(F.broadcast(rules.where(F.col("value").isNotNull())), ["geom_type", "key", "value"])
-    anyv = kv.join(F.broadcast(rules.where(F.col("value").isNull()).drop("value")), ["geom_type", "key"])
-    m = exact.unionByName(anyv)
-    best = m.groupBy(id_col, "table", "submap").agg(F.min(F.struct("ord", "key", "value")).alias("_m"))
-    return best.select(
-        id_col, "table", "submap",
-        F.col("_m.key").alias("class"), F.col("_m.value").alias("subclass"), F.col("_m.ord").alias("ord"),
-    )
+    tables = FEATURE_TABLES if tables is None else tables
+    routes = []
+    for table, (gtype, groups) in tables.items():
+        for submap in dict.fromkeys(g[0] for g in groups):
+            hits = []
+            for _, key, values in (g for g in groups if g[0] == submap):
+                value = F.col("tags")[key]
+                fits = value.isNotNull() if values is None else value.isin(*values)
+                hits.append(F.when(fits, F.struct(F.lit(key).alias("class"), value.alias("subclass"))))
+            first = F.coalesce(*hits)
+            routes.append(F.when((F.col("geom_type") == gtype) & first.isNotNull(), F.struct(
+                F.lit(table).alias("table"), F.lit(submap).alias("submap"), first.alias("hit"))))
+    matched = F.filter(F.array(*routes), lambda r: r.isNotNull())
+    rows = elements.select("*", F.explode(matched).alias("_r"))
+    return rows.select(*elements.columns, "_r.table", "_r.submap", "_r.hit.class", "_r.hit.subclass")
 
 
 def extract(tags: Column, kind: str, key: str) -> Column:
@@ -53,19 +58,27 @@ def extract(tags: Column, kind: str, key: str) -> Column:
     raise ValueError(kind)
 
 
-def feature_table(elements: DataFrame, matches: DataFrame, table: str, id_col: str = "id",
-                  columns: list | None = None) -> DataFrame:
-    """One typed feature table: matches of ``table`` joined back to their
-    element, typed columns extracted, reject filters applied (M5)."""
-    cols = TABLE_COLUMNS.get(table, []) if columns is None else columns
-    m = matches.where(F.col("table") == table).drop("table", "ord")
-    j = m.join(elements.drop("geom_type"), id_col)
+def feature_table(matches: DataFrame, table: str, id_col: str = "id", columns: list | None = None) -> DataFrame:
+    """One typed feature table from the rows of :func:`match_rules`: typed columns
+    extracted, reject filters applied (M5). A table without column list is an error.
+
+    ``area`` (polygons with a geometry column ``geom``) is the geometry's area, else NULL.
+    """
+    if columns is None and table not in TABLE_COLUMNS:
+        raise ValueError(f"no columns are known for table {table}")
+    cols = TABLE_COLUMNS[table] if columns is None else columns
+    rows = matches.where(F.col("table") == table)
     for key, pattern in REJECT_REGEXP.get(table, {}).items():
-        j = j.where(~F.coalesce(F.col("tags")[key].rlike(pattern), F.lit(False)))
+        rows = rows.where(~F.coalesce(F.col("tags")[key].rlike(pattern), F.lit(False)))
     out = [F.col(id_col).alias("osm_id"), "submap", "class", "subclass"]
-    out += [extract(F.col("tags"), kind, key).alias(name) for name, kind, key in cols]
-    keep = [c for c in elements.columns if c not in (id_col, "geom_type", "tags")]
-    return j.select(*out, *keep)
+    for name, kind, key in cols:
+        if kind == "area":
+            value = G.area("geom") if "geom" in matches.columns else F.lit(None).cast("double")
+        else:
+            value = extract(F.col("tags"), kind, key)
+        out.append(value.alias(name))
+    gone = (id_col, "geom_type", "tags", "table", "submap", "class", "subclass")
+    return rows.select(*out, *[c for c in matches.columns if c not in gone])
 
 
 def wayzorder(tags: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.functions.rules import ENUMS, FEATURE_TABLES, MINIMAL_TABLES, WAYZORDER_HIGHWAY_RANK, \
-    WAYZORDER_RAILWAY, rules_df
+    WAYZORDER_RAILWAY
 from gridloom.operators.mapping import feature_table, match_rules
 from gridloom.plans.catalog import query
 from gridloom.plans.oracle_fixtures import _lst, pick
@@ -70,8 +70,38 @@ WHERE geom_type = 'linestring' AND (list_contains({_lst(ROADS)}, t_highway) OR t
 @query("map_features_roads", REGISTRY_SQL_ROADS)
 def q_map_roads(spark, d):
     el = FX.elements(Tables(spark, d))
-    m = match_rules(el, rules_df(spark))
-    return feature_table(el, m, "roads_temp").drop("submap")
+    m = match_rules(el)
+    return feature_table(m, "roads_temp").drop("submap")
+
+
+@query("map_features_roads_shared_ids", REGISTRY_SQL_ROADS.replace("SELECT id AS osm_id", "SELECT id // 3 AS osm_id"))
+def q_map_roads_shared_ids(spark, d):
+    """M1/M4 on ids that a node, a way and an area share."""
+    el = FX.elements(Tables(spark, d)).withColumn("id", F.floor(F.col("id") / 3))
+    return feature_table(match_rules(el), "roads_temp").drop("submap")
+
+
+_COVER = ("CASE WHEN t_landuse IN ('forest', 'recreation_ground', 'grass', 'cemetery') THEN {0} "
+          "WHEN t_leisure IN ('park', 'playground', 'pitch', 'golf_course') THEN {1} END")
+
+
+@query("map_features_landcover", ELEM + f"""
+SELECT id AS osm_id, 'landuse' AS submap, {_COVER.format("'landuse'", "'leisure'")} AS class,
+       {_COVER.format("t_landuse", "t_leisure")} AS subclass, CAST(NULL AS DOUBLE) AS area, '' AS surface,
+       coalesce(t_name_de, '') AS name_de, '' AS name_en, coalesce(t_name, '') AS name
+FROM elem WHERE geom_type = 'polygon' AND {_COVER.format("TRUE", "TRUE")}""")
+def q_map_landcover(spark, d):
+    """M3/M7: landcover areas with their typed columns."""
+    return feature_table(match_rules(FX.elements(Tables(spark, d))), "landcover_import")
+
+
+@query("map_features_buildings", ELEM + """
+SELECT id AS osm_id, 'building' AS class, t_building AS subclass, '' AS number,
+       coalesce(t_name_de, '') AS name_de, '' AS name_en, coalesce(t_name, '') AS name
+FROM elem WHERE geom_type = 'polygon' AND t_building IS NOT NULL""")
+def q_map_buildings(spark, d):
+    """M2/M7: any building, with number and names."""
+    return feature_table(match_rules(FX.elements(Tables(spark, d))), "buildings_temp").drop("submap")
 
 
 @query("map_features_any", ELEM + """
@@ -81,7 +111,7 @@ UNION ALL
 SELECT id, 'buildings_temp', 'building', t_building FROM elem WHERE geom_type = 'polygon' AND t_building IS NOT NULL""")
 def q_map_any(spark, d):
     el = FX.elements(Tables(spark, d))
-    m = match_rules(el, rules_df(spark))
+    m = match_rules(el)
     return m.where(F.col("table").isin("housenumbers_temp", "buildings_temp")).select(
         F.col("id").alias("osm_id"), "table", "class", "subclass")
 
@@ -98,8 +128,8 @@ SELECT id AS osm_id, submap, class, subclass FROM (
   SELECT id, 'leisure', 'leisure', t_leisure FROM elem WHERE geom_type = 'polygon' AND t_leisure = 'nature_reserve')""")
 def q_map_submap(spark, d):
     el = FX.elements(Tables(spark, d))
-    m = match_rules(el, rules_df(spark))
-    return feature_table(el, m, "landuse_import", columns=[]).select("osm_id", "submap", "class", "subclass")
+    m = match_rules(el)
+    return feature_table(m, "landuse_import", columns=[]).select("osm_id", "submap", "class", "subclass")
 
 
 @query("map_features_minimal", ELEM + """
@@ -111,7 +141,7 @@ def q_map_minimal(spark, d):
     """The minimal variant mapping (roads, buildings, admin, amenities)
     through the same routing operator."""
     el = FX.elements(Tables(spark, d))
-    m = match_rules(el, rules_df(spark, MINIMAL_TABLES))
+    m = match_rules(el, MINIMAL_TABLES)
     return m.select(F.col("id").alias("osm_id"), "table", "class", "subclass")
 
 
@@ -134,8 +164,8 @@ def q_railway_layer(spark, d):
     """M9 wayzorder + the osm.railway layer filter."""
     from gridloom.operators.attributes import is_not_true
     el = FX.elements(Tables(spark, d))
-    m = match_rules(el, rules_df(spark))
-    rw = feature_table(el, m, "railway")
+    m = match_rules(el)
+    rw = feature_table(m, "railway")
     rw = rw.where(~F.col("subclass").isin("subway", "tram") & is_not_true(F.col("attraction") != ""))
     return rw.select(F.col("osm_id").alias("gid"), "class", "subclass", "zorder", "bridge", "tunnel", "service",
                      "usage")
@@ -150,5 +180,5 @@ def q_osm_xml_scan(spark, d):
     path = _scratch(spark, "osm")
     write_osm_xml(elements_to_xml_rows(FX.elements(Tables(spark, d))), path)
     el = read_osm_elements(spark, path)
-    m = match_rules(el, rules_df(spark))
-    return feature_table(el, m, "roads_temp").drop("submap")
+    m = match_rules(el)
+    return feature_table(m, "roads_temp").drop("submap")
