@@ -106,6 +106,42 @@ def bbox_meets_tile(buffer_frac: float = 0.0) -> Column:
     )
 
 
+def tile_segments(verts, buffer_frac: float = 0.0) -> Column:
+    """A line's segments cut at the (buffered) tile z, x, y of the row.
+
+    ARRAY<STRUCT<seq, x1, y1, x2, y2>> in the tile's integer coordinates (0 to
+    TILE_EXTENT, y grows south, the buffer beyond); seq is the segment's place in the line.
+    Segments outside are left out, so a line that leaves the tile and comes back has a gap.
+    """
+    v = _c(verts)
+    tb, size = tile_bounds(), tile_size("z")
+    b = size * buffer_frac
+    x0, x1 = tb["tminx"] - b, tb["tminx"] + size + b
+    y0, y1 = tb["tmaxy"] - size - b, tb["tmaxy"] + b
+
+    def span(a, d, lo, hi):
+        enter = F.when(d > 0, (lo - a) / d).when(d < 0, (hi - a) / d).when((a < lo) | (a > hi), 2.0).otherwise(0.0)
+        leave = F.when(d > 0, (hi - a) / d).when(d < 0, (lo - a) / d).otherwise(1.0)
+        return enter, leave
+
+    def cut(i):
+        a, e = F.element_at(v, i), F.element_at(v, i + 1)
+        dx, dy = e["x"] - a["x"], e["y"] - a["y"]
+        (ex, lx), (ey, ly) = span(a["x"], dx, x0, x1), span(a["y"], dy, y0, y1)
+        t0, t1 = F.greatest(F.lit(0.0), ex, ey), F.least(F.lit(1.0), lx, ly)
+        return F.struct((i - 1).alias("seq"), t0.alias("t0"), t1.alias("t1"), a["x"].alias("ax"), a["y"].alias("ay"),
+                        dx.alias("dx"), dy.alias("dy"))
+
+    places = F.when(F.size(v) > 1, F.sequence(F.lit(1), F.size(v) - 1)).otherwise(F.array().cast("array<int>"))
+    met = F.filter(F.transform(places, cut), lambda s: s["t0"] <= s["t1"])
+    return F.transform(met, lambda s: F.struct(
+        s["seq"].alias("seq"),
+        F.floor((s["ax"] + s["t0"] * s["dx"] - tb["tminx"]) / size * TILE_EXTENT + 0.5).cast("int").alias("x1"),
+        F.floor((tb["tmaxy"] - (s["ay"] + s["t0"] * s["dy"])) / size * TILE_EXTENT + 0.5).cast("int").alias("y1"),
+        F.floor((s["ax"] + s["t1"] * s["dx"] - tb["tminx"]) / size * TILE_EXTENT + 0.5).cast("int").alias("x2"),
+        F.floor((tb["tmaxy"] - (s["ay"] + s["t1"] * s["dy"])) / size * TILE_EXTENT + 0.5).cast("int").alias("y2")))
+
+
 def lonlat_box(min_lon: float, min_lat: float, max_lon: float, max_lat: float) -> dict[str, Column]:
     """Seed bounds in lon/lat -> mercator bbox columns."""
     x0, y0 = lonlat_to_mercator(F.lit(min_lon), F.lit(min_lat))

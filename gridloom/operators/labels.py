@@ -39,6 +39,13 @@ def global_row_number(df: DataFrame, order: list, name: str = "gid", partitions:
     return out.select(*df.columns, (F.coalesce("_off", F.lit(0)) + local + 1).alias(name))
 
 
+def first_labels(labels: DataFrame) -> DataFrame:
+    """A8 alone: of the rows that share (pop, name), NULLs included, the one with the smallest osm_id."""
+    rest = [c for c in labels.columns if c not in ("pop", "name", "osm_id")]
+    best = labels.groupBy("pop", "name").agg(F.min(F.struct("osm_id", *rest)).alias("_b"))
+    return best.select(*[F.col(c) if c in ("pop", "name") else F.col(f"_b.{c}").alias(c) for c in labels.columns])
+
+
 def dedup_labels(labels: DataFrame) -> DataFrame:
     """Number by (pop desc nulls last, name, osm_id), then keep the smallest
     osm_id of each (pop, name) with its number."""

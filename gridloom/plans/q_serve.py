@@ -14,7 +14,8 @@ from gridloom.plans.catalog import NAME_SQL, cluster_ctes, query
 from gridloom.plans.q_generalize import ROAD_RUNGS, dp_sql, roads_base
 from gridloom.plans.q_io import _scratch
 from gridloom.plans.q_points import POS_SQL
-from gridloom.plans.q_tiles import BUF, ROAD_BANDS, cover_sql
+from gridloom.operators.labels import first_labels
+from gridloom.plans.q_tiles import BUF, LABEL_ONE, ROAD_BANDS, cover_sql
 from gridloom.sources import fixtures as FX
 from gridloom.session import cut_lineage
 from gridloom.sources.tables import Tables
@@ -44,17 +45,17 @@ def served_features(spark, d, zooms: tuple[int, int] = SERVE_ZOOMS):
         A.null_default("layer").cast("int").alias("layer_num"),
         A.ref_prefix().alias("ref_prefix"), A.ref_number().alias("ref_num"),
         F.when(F.col("gen") == 0, A.name_fallback()).otherwise(F.lit(None).cast("string")).alias("name"))
-    lab = FX.label_points(t)
+    lab = first_labels(FX.label_points(t).select("osm_id", "x", "y", "pop", A.name_fallback().alias("name")))
     lab = lab.select(F.lit("label").alias("layer"), F.col("osm_id").alias("gid"), F.col("x").alias("minx"),
                      F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"),
                      (-F.coalesce(F.col("pop"), F.lit(-1))).cast("long").alias("ord"),
                      F.lit(None).cast("int").alias("layer_num"), F.lit(None).cast("string").alias("ref_prefix"),
-                     F.lit(None).cast("string").alias("ref_num"), A.name_fallback().alias("name"))
+                     F.lit(None).cast("string").alias("ref_num"), "name")
     lab = features_at_zooms(lab, [(z, 0) for z in range(zooms[0], zooms[1] + 1)], None)
     return roads.unionByName(lab)
 
 
-_SERVE_SQL = "WITH RECURSIVE " + ",\n".join([OF.LABEL.strip(), OF.WAY_NODES.strip(), OF.WAY_ATTRS.strip()]) + """,
+_SERVE_SQL = "WITH RECURSIVE " + ",\n".join([OF.LABEL.strip(), OF.WAY_NODES.strip(), OF.WAY_ATTRS.strip(), LABEL_ONE]) + """,
 dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """,
 base AS (SELECT a.*, l.length FROM way_attrs_r a JOIN (
   SELECT fid, sum(CASE WHEN nx IS NULL THEN 0 ELSE sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y)) END) AS length
@@ -71,7 +72,7 @@ feats AS (
          any_value(zg.gen) AS gen
   FROM kept k JOIN zg ON zg.gen = k.gen GROUP BY k.fid, zg.z
   UNION ALL
-  SELECT 'label', osm_id, z, x, y, x, y, NULL FROM label_pts, (SELECT unnest(range(12, 17)) AS z) zs),""" + \
+  SELECT 'label', osm_id, z, x, y, x, y, NULL FROM label_one, (SELECT unnest(range(12, 17)) AS z) zs),""" + \
     cover_sql("feats", BUF) + f""",
 rows_ AS (
   SELECT h.z, h.x, h.y, h.layer, h.fid AS gid, -b.rank AS ord,
@@ -428,3 +429,41 @@ def q_piste_layer(spark, d):
     diff = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in ENUMS["difficulty"]]), tag).cast("int"),
                       F.lit(0))
     return ln.select(F.col("fid").alias("gid"), diff.alias("difficulty"))
+
+
+# ---------------------------------------------------------------- tile-local geometry
+
+_SEG_ZOOM = 13
+_SEG_SQL = "WITH RECURSIVE " + ",\n".join([OF.WAY_NODES.strip()]) + f""",
+feats AS (SELECT 'roads' AS layer, fid, {_SEG_ZOOM} AS z, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy
+          FROM line_verts GROUP BY fid),""" + cover_sql("feats", BUF) + f""",
+pairs AS (SELECT fid, seq, x AS ax, y AS ay, lead(x) OVER w AS ex, lead(y) OVER w AS ey
+          FROM line_verts WINDOW w AS (PARTITION BY fid ORDER BY seq)),
+boxed AS (SELECT h.z, h.x, h.y, p.*, -20037508.342789244 + h.x * h.s AS tx, 20037508.342789244 - h.y * h.s AS ty, h.s,
+                 ex - ax AS dx, ey - ay AS dy FROM hits h JOIN pairs p ON p.fid = h.fid WHERE p.ex IS NOT NULL),
+edges AS (SELECT *, tx - s * {BUF!r} AS x0, tx + s + s * {BUF!r} AS x1, ty - s - s * {BUF!r} AS y0, ty + s * {BUF!r} AS y1
+          FROM boxed),
+cut AS (SELECT *,
+  greatest(0.0, CASE WHEN dx > 0 THEN (x0 - ax) / dx WHEN dx < 0 THEN (x1 - ax) / dx WHEN ax < x0 OR ax > x1 THEN 2.0 ELSE 0.0 END,
+                CASE WHEN dy > 0 THEN (y0 - ay) / dy WHEN dy < 0 THEN (y1 - ay) / dy WHEN ay < y0 OR ay > y1 THEN 2.0 ELSE 0.0 END) AS t0,
+  least(1.0, CASE WHEN dx > 0 THEN (x1 - ax) / dx WHEN dx < 0 THEN (x0 - ax) / dx ELSE 1.0 END,
+             CASE WHEN dy > 0 THEN (y1 - ay) / dy WHEN dy < 0 THEN (y0 - ay) / dy ELSE 1.0 END) AS t1 FROM edges)
+SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, CAST(seq AS INTEGER) AS seq,
+       CAST(floor((ax + t0 * dx - tx) / s * 4096 + 0.5) AS INTEGER) AS x1,
+       CAST(floor((ty - (ay + t0 * dy)) / s * 4096 + 0.5) AS INTEGER) AS y1,
+       CAST(floor((ax + t1 * dx - tx) / s * 4096 + 0.5) AS INTEGER) AS x2,
+       CAST(floor((ty - (ay + t1 * dy)) / s * 4096 + 0.5) AS INTEGER) AS y2
+FROM cut WHERE t0 <= t1"""
+
+
+@query("tile_road_geometry", _SEG_SQL)
+def q_tile_road_geometry(spark, d):
+    """The road lines of each tile at zoom 13, cut at the buffered tile
+    and in the tile's own integer coordinates (segments keep their place in the line)."""
+    from gridloom.functions.tiles import tile_segments
+    from gridloom.plans.catalog import lines
+    ln = lines(Tables(spark, d)).select("fid", "geom", *[v.alias(k) for k, v in G.bbox("geom").items()])
+    hits = tile_rows(ln.withColumn("z", F.lit(_SEG_ZOOM)), None, BUF)
+    rows = hits.select("z", "x", "y", F.col("fid").alias("gid"), F.explode(
+        tile_segments(F.element_at(F.element_at("geom.parts", 1), 1), BUF)).alias("_s"))
+    return rows.select("z", "x", "y", "gid", "_s.seq", "_s.x1", "_s.y1", "_s.x2", "_s.y2")

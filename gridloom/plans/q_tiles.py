@@ -8,7 +8,7 @@ from gridloom.functions import geometry as G
 from gridloom.functions.geometry import WORLD_EDGE
 from gridloom.functions.tiles import LOCAL_TILE_BUFFER, TILE_EXTENT, descendants, parse_tile_list, tile_bounds
 from gridloom.operators.attributes import name_fallback
-from gridloom.operators.labels import dedup_labels
+from gridloom.operators.labels import dedup_labels, first_labels
 from gridloom.operators.ladder import Rung, ladder_rings
 from gridloom.operators.tiles import features_at_zooms, layer_counts, tile_join, top_k_per_tile, zoom_rungs
 from gridloom.plans import oracle_fixtures as OF
@@ -99,9 +99,10 @@ ZMIN, ZMAX = 7, 14
 
 def flagship_features(spark, d):
     t = Tables(spark, d)
-    lab = FX.label_points(t).select(F.lit("label").alias("layer"), F.col("osm_id").alias("fid"),
-                                    F.col("x").alias("minx"), F.col("y").alias("miny"),
-                                    F.col("x").alias("maxx"), F.col("y").alias("maxy"))
+    lab = first_labels(FX.label_points(t).select("osm_id", "x", "y", "pop", name_fallback().alias("name")))
+    lab = lab.select(F.lit("label").alias("layer"), F.col("osm_id").alias("fid"),
+                     F.col("x").alias("minx"), F.col("y").alias("miny"),
+                     F.col("x").alias("maxx"), F.col("y").alias("maxy"))
     lab = features_at_zooms(lab, [(z, 0) for z in range(max(ZMIN, LAYER_GATES["label"]), ZMAX + 1)], None)
     base = roads_base(t)
     rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS]
@@ -117,8 +118,12 @@ def flagship_features(spark, d):
     return lab.unionByName(roads).unionByName(bld)
 
 
+# One label of each (pop, name), the smallest id
+LABEL_ONE = f"""label_one AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY pop, {NAME_SQL} ORDER BY osm_id) AS rn FROM label_pts) WHERE rn = 1)"""
+
 _FLAG_SQL = "WITH RECURSIVE " + ",\n".join([OF.LABEL.strip(), OF.WAY_NODES.strip(), OF.WAY_ATTRS.strip(),
-                                            OF.POLY.strip()]) + """,
+                                            OF.POLY.strip(), LABEL_ONE]) + """,
 dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """,
 base AS (SELECT a.*, l.length FROM way_attrs_r a JOIN (
   SELECT fid, sum(CASE WHEN nx IS NULL THEN 0 ELSE sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y)) END) AS length
@@ -138,7 +143,7 @@ ring_area AS (
 parea AS (SELECT osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM ring_area GROUP BY osm_id),
 feats AS (
   SELECT 'label' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS maxx, y AS maxy
-  FROM label_pts, (SELECT unnest(range(7, 15)) AS z) zs
+  FROM label_one, (SELECT unnest(range(7, 15)) AS z) zs
   UNION ALL
   SELECT 'roads', fid, gen AS z, min(x), min(y), max(x), max(y) FROM kept WHERE gen BETWEEN 8 AND 14
   GROUP BY gen, fid
