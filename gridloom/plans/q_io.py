@@ -65,6 +65,31 @@ def q_geojson_roundtrip(spark, d):
                     F.col("properties")["name"].alias("name"))
 
 
+@query("geojson_shapes", "WITH " + OF.WAY_NODES.strip() + ",\n" + OF.POLY.strip() + """
+SELECT 'LineString' AS type, fid AS id, CAST(1 AS INTEGER) AS n_rings, CAST(count(*) AS INTEGER) AS nv, round(sum(x), 3) AS sum_x,
+       round(sum(y), 3) AS sum_y FROM line_verts GROUP BY fid
+UNION ALL
+SELECT 'Polygon', osm_id, CAST(count(DISTINCT ring) AS INTEGER), CAST(count(*) AS INTEGER), round(sum(x), 3), round(sum(y), 3)
+FROM poly_verts GROUP BY osm_id""")
+def q_geojson_shapes(spark, d):
+    """Way lines written as features, areas as feature collections; both read back with their vertices."""
+    from gridloom.functions import geometry as G
+    from gridloom.plans.catalog import lines
+    from gridloom.sources.geojson import collection_text, feature_text, read_geojson
+    t = Tables(spark, d)
+    path = _scratch(spark, "shapes")
+    ways = lines(t).select(feature_text(F.col("geom"), {"id": F.col("fid")}).alias("value"))
+    areas = FX.polygons(t).select(feature_text(F.col("geom"), {"id": F.col("osm_id")}).alias("value"))
+    write_geojson_lines(ways, f"{path}/ways")
+    write_geojson_lines(collection_text(areas), f"{path}/areas")
+    f = read_geojson(spark, [f"{path}/ways", f"{path}/areas"])
+    vs = G.all_vertices("geom")
+    total = lambda k: F.round(F.aggregate(vs, F.lit(0.0), lambda a, v: a + v[k]), 3)
+    rings = F.aggregate("geom.parts", F.lit(0), lambda a, p: a + F.size(p))
+    return f.select(F.col("geom.type").alias("type"), F.col("properties")["id"].cast("long").alias("id"), rings.alias("n_rings"),
+                    F.size(vs).alias("nv"), total("x").alias("sum_x"), total("y").alias("sum_y"))
+
+
 _RESEED_ZOOMS = list(range(9, 15))
 _BUF = LOCAL_TILE_BUFFER / TILE_EXTENT
 

@@ -81,16 +81,6 @@ def gpx_line_width_px(width_mm: Column) -> Column:
 
 # ---------------------------------------------------------------- GeoJSON
 
-GEOJSON_FEATURE = T.StructType([
-    T.StructField("type", T.StringType()),
-    T.StructField("geometry", T.StructType([
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.DoubleType())),
-    ])),
-    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-])
-
-
 def points_to_geojson(df: DataFrame, x: str = "x", y: str = "y", props: list[str] | None = None) -> DataFrame:
     """S12 sink side: one GeoJSON Feature (text) per row."""
     props = props or []
@@ -108,8 +98,8 @@ def write_geojson_lines(text: DataFrame, path: str) -> None:
 
 
 def read_geojson_points(spark: SparkSession, path: str) -> DataFrame:
-    """S12 scan: GeoJSON features (one per line) -> (x, y, properties)."""
-    f = spark.read.schema(GEOJSON_FEATURE).json(path)
-    f = f.where((F.col("type") == "Feature") & (F.col("geometry.type") == "Point"))
-    return f.select(F.col("geometry.coordinates")[0].alias("x"), F.col("geometry.coordinates")[1].alias("y"),
-                    "properties")
+    """S12 scan: the point features of GeoJSON lines or collections -> (x, y, properties)."""
+    from gridloom.sources.geojson import read_geojson
+    f = read_geojson(spark, path).where(F.col("geom.type") == "Point")
+    at = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), 1)
+    return f.select(at["x"].alias("x"), at["y"].alias("y"), "properties")

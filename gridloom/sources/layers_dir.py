@@ -1,10 +1,10 @@
 """S4 directory load of layers, S6 clip on load, S5 reproject on load.
 
-Every sub-folder of a root holds one layer (GeoJSON feature lines or
-Parquet); the layer is named after its folder. An empty folder is reported
-and skipped. Points are clipped to the web-mercator latitude band (S6) and
+Every sub-folder of a root holds one layer of GeoJSON features of any type, one a line or
+in collections; the layer is named after its folder. A folder without content is reported
+and skipped. Features are clipped to the web-mercator latitude band (S6) and
 projected lon/lat -> EPSG:3857 (S5). All layers are read by one Spark scan
-per format over the whole tree, with the folder name taken from the file path.
+over the whole tree, with the folder name taken from the file path.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions import geometry as G
 from gridloom.functions.geometry import lonlat_to_mercator
-from gridloom.sources.gpx import GEOJSON_FEATURE
+from gridloom.sources.geojson import read_geojson
 
 log = logging.getLogger(__name__)
 
@@ -24,34 +25,34 @@ CLIP_BOX = (-180.0, -85.06, 180.0, 85.06)
 
 
 def layer_names(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
-    """(non-empty layer folders, empty ones) under ``root`` via the Hadoop FS."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(conf)
-    full, empty = [], []
-    for st in fs.listStatus(path):
-        if not st.isDirectory():
-            continue
-        name = st.getPath().getName()
-        data = [f for f in fs.listStatus(st.getPath()) if not f.getPath().getName().startswith(("_", "."))]
-        (full if data else empty).append(name)
-    return sorted(full), sorted(empty)
+    """(non-empty layer folders, empty ones) under ``root``: folders with a file, and those whose files are all empty."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    sizes = found.groupBy(F.element_at(F.split("path", "/"), -2).alias("layer")).agg(F.sum("length").alias("n")).collect()  # a row a layer
+    return sorted(r.layer for r in sizes if r.n), sorted(r.layer for r in sizes if not r.n)
 
 
 def load_geojson_layers(spark: SparkSession, root: str) -> DataFrame:
-    """(layer, x, y, properties) for every point feature of every layer folder."""
-    full, empty = layer_names(spark, root)
+    """(layer, geom, x, y, properties) for every feature of every layer folder; x, y: of points.
+
+    Points outside the clip box are left out; vertices of lines and areas are moved to its edge.
+    """
+    _, empty = layer_names(spark, root)
     for name in empty:
         log.warning("layer folder %s is empty, skipped", name)
-    if not full:
-        return spark.createDataFrame([], "layer string, x double, y double, properties map<string,string>")
-    paths = [f"{root.rstrip('/')}/{n}" for n in full]
-    f = spark.read.schema(GEOJSON_FEATURE).json(paths)
-    f = f.withColumn("layer", F.element_at(F.split(F.input_file_name(), "/"), -2))
-    f = f.where(F.col("geometry.type") == "Point")
-    lon, lat = F.col("geometry.coordinates")[0], F.col("geometry.coordinates")[1]
+    f = read_geojson(spark, f"{root.rstrip('/')}/*")
+    f = f.withColumn("layer", F.element_at(F.split("file", "/"), -2))
     xmin, ymin, xmax, ymax = CLIP_BOX
-    f = f.where((lon >= xmin) & (lon <= xmax) & (lat >= ymin) & (lat <= ymax))
-    x, y = lonlat_to_mercator(lon, lat)
-    return f.select("layer", x.alias("x"), y.alias("y"), "properties")
+
+    def moved(v):
+        lon = F.least(F.greatest(v["x"], F.lit(xmin)), F.lit(xmax))
+        lat = F.least(F.greatest(v["y"], F.lit(ymin)), F.lit(ymax))
+        return G.vertex(*lonlat_to_mercator(lon, lat))
+
+    point = F.col("geom.type") == "Point"
+    at = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), 1)
+    inside = at["x"].between(xmin, xmax) & at["y"].between(ymin, ymax)
+    f = f.where(~point | inside)
+    parts = F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(r, moved)))
+    out = f.select("layer", G.make_geom(F.col("geom.type"), parts).alias("geom"), "properties", point.alias("_point"))
+    first = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), 1)
+    return out.select("layer", "geom", F.when(F.col("_point"), first["x"]).alias("x"), F.when(F.col("_point"), first["y"]).alias("y"), "properties")
