@@ -12,7 +12,6 @@ from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables
 
 CELL, GRID_N = 100.0, 16
-WATER = ("water", "pond", "reservoir", "basin")
 _K = kernel_offsets()
 _KDX = "[" + ", ".join(str(dx) for dx, _, _ in _K) + "]"
 _KDY = "[" + ", ".join(str(dy) for _, dy, _ in _K) + "]"
@@ -20,7 +19,7 @@ _KW = "[" + ", ".join(repr(w) for _, _, w in _K) + "]"
 
 
 @query("coarse_water", OF.with_(OF.POLY, f"""
-wpoly AS (SELECT osm_id FROM poly_base WHERE water_subclass IN {WATER}),
+wpoly AS (SELECT osm_id FROM poly_base),
 edges AS (SELECT osm_id, x, y, nx, ny FROM (
             SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM poly_verts
             WHERE osm_id IN (SELECT osm_id FROM wpoly)
@@ -44,7 +43,7 @@ FROM low GROUP BY 1, 2""")
 def q_coarse_water(spark, d):
     """Water polygons rasterized at 100 m cells, blurred (5x5 kernel),
     kept under level 128, sliced into 16x16-cell grid pieces (C7, J6)."""
-    p = FX.polygons(Tables(spark, d)).where(F.col("water_subclass").isin(*WATER))
+    p = FX.polygons(Tables(spark, d))
     cells = rasterize(p.select(F.col("osm_id").alias("fid"), "geom"), CELL).select("cx", "cy").distinct()
     low = slice_by_grid(blur_threshold(cells), GRID_N)
     return low.groupBy(F.col("gx").cast("long").alias("gx"), F.col("gy").cast("long").alias("gy")).agg(

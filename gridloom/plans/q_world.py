@@ -98,7 +98,7 @@ def band_tolerance(gen: int) -> float:
 
 @query("water_bands", "WITH RECURSIVE " + OF.POLY.strip() + """,
 dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_sql("dp_in") + """,
-water AS (SELECT osm_id FROM poly_base WHERE water_subclass IN ('water', 'pond', 'reservoir', 'basin')),
+water AS (SELECT osm_id FROM poly_base),
 bands AS (""" + "\n  UNION ALL ".join(
     f"SELECT {z} AS z, CAST({band_tolerance(g)!r} AS DOUBLE) AS tol" for lo, hi, g in WATER_BANDS
     for z in range(lo, min(hi, 11))) + """)
@@ -110,7 +110,7 @@ GROUP BY b.z, v.osm_id""")
 def q_water_bands(spark, d):
     """U1 + P8 + T7: the ``world.water`` layer's nine zoom bands as one
     significance pass and one rung per band (tolerance = a tile pixel)."""
-    p = FX.polygons(Tables(spark, d)).where(F.col("water_subclass").isin("water", "pond", "reservoir", "basin"))
+    p = FX.polygons(Tables(spark, d))
     p = p.select(F.col("osm_id").alias("fid"), "geom")
     zooms = [(z, g) for lo, hi, g in WATER_BANDS for z in range(lo, min(hi, 11))]
     rungs = [Rung(z, band_tolerance(g)) for z, g in zooms]
