@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.rules import ENUMS, FEATURE_TABLES, MINIMAL_TABLES, WAYZORDER_HIGHWAY_RANK, \
     WAYZORDER_RAILWAY
 from gridloom.operators.mapping import feature_table, match_rules
 from gridloom.plans.catalog import query
+from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.oracle_fixtures import _lst, pick
 from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables
@@ -182,3 +184,33 @@ def q_osm_xml_scan(spark, d):
     el = read_osm_elements(spark, path)
     m = match_rules(el)
     return feature_table(m, "roads_temp").drop("submap")
+
+
+@query("osm_plain_xml", "WITH " + OF.WAY_NODES.strip() + """
+SELECT fid, CASE WHEN fid % 5 = 0 AND count(*) >= 3 THEN 'Polygon' ELSE 'LineString' END AS type,
+       CAST(count(*) + CASE WHEN fid % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS nv,
+       round(sum(x) + CASE WHEN fid % 5 = 0 THEN arg_min(x, seq) ELSE 0 END, 3) AS sum_x,
+       round(sum(seq * y) + CASE WHEN fid % 5 = 0 THEN count(*) * arg_min(y, seq) ELSE 0 END, 3) AS weighed_y
+FROM line_verts GROUP BY fid""")
+def q_osm_plain_xml(spark, d):
+    """Nodes and ways written as plain OSM XML (nd references), read back, references joined, ways
+    assembled; every fifth way is closed by its first node."""
+    from gridloom.plans.q_io import _scratch
+    from gridloom.sources.osm import read_osm, way_geometries, write_osm_xml
+    w = Window.partitionBy("fid").orderBy("k1", "k2", "k3")
+    n = FX.way_nodes(Tables(spark, d)).withColumn("seq", F.row_number().over(w) - 1)
+    none = F.lit(None).cast("array<struct<_k:string,_v:string>>").alias("tag")
+    node_id = F.col("fid") * 100 + F.col("seq")
+    path = _scratch(spark, "osm-plain")
+    write_osm_xml(n.select(node_id.alias("_id"), F.col("y").alias("_lat"), F.col("x").alias("_lon"), none), f"{path}/nodes", "node")
+    refs = F.transform(F.sort_array(F.collect_list("seq")), lambda s: F.struct((F.col("fid") * 100 + s).alias("_ref")))
+    ways = n.groupBy("fid").agg(refs.alias("nd")).select(
+        F.col("fid").alias("_id"), F.when(F.col("fid") % 5 == 0, F.concat("nd", F.slice("nd", 1, 1))).otherwise(F.col("nd")).alias("nd"), none)
+    write_osm_xml(ways.where(F.size("nd") > 1), f"{path}/ways", "way")
+    nodes, way_rows, _ = read_osm(spark, f"{path}/*")
+    out = way_geometries(nodes, way_rows)
+    vs = F.flatten(F.flatten("geom.parts"))
+    return out.where((F.col("fid") % 5 != 0) | (F.col("nv") > 2)).select(
+        "fid", F.col("geom.type").alias("type"), F.col("nv").cast("int").alias("nv"),
+        F.round(F.aggregate(vs, F.lit(0.0), lambda a, v: a + v["x"]), 3).alias("sum_x"),
+        F.round(F.aggregate(F.transform(vs, lambda v, i: i * v["y"]), F.lit(0.0), lambda a, v: a + v), 3).alias("weighed_y"))
