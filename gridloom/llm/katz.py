@@ -40,7 +40,7 @@ from gridloom.llm.words import numbered, pieces, scratch, stored, texts_of
 END = xxhash.xxh64_intdigest(b" end")      # no word has a space
 START = xxhash.xxh64_intdigest(b" start")
 TURING = 5                 # counts up to this are discounted by their own counts of counts
-BUCKET_BYTES = 16 << 20    # of text whose occurrences make a bucket
+BUCKET_BYTES = 40 << 20    # of text whose occurrences make a bucket
 BATCH_BYTES = 16 << 20
 SAMPLE_DOCS = 2_000        # expected size of the sample in which frequent words are looked for
 FEW = 8                    # bigrams of a context that a bucket sends singly; more are added up first
