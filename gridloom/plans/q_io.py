@@ -21,8 +21,8 @@ from gridloom.plans.q_tiles import cover_sql
 from gridloom.plans.seed import seed_tiles
 from gridloom.session import ensure_checkpoint_dir
 from gridloom.sources import fixtures as FX
-from gridloom.sources.gpx import points_to_geojson, read_geojson_points, read_gpx_points, tracks_to_gpx_rows, \
-    write_geojson_lines, write_gpx
+from gridloom.sources.gpx import points_to_geojson, points_to_gpx_rows, read_geojson_points, read_gpx_points, \
+    read_gpx_routes, read_gpx_waypoints, tracks_to_gpx_rows, write_geojson_lines, write_gpx, write_gpx_rows
 from gridloom.sources.tables import Tables
 from gridloom.streaming.reseed import start_reseed
 
@@ -54,6 +54,42 @@ def q_gpx_roundtrip(spark, d):
         F.round(F.sum("ele"), 4).alias("sum_ele"))
 
 
+@query("gpx_waypoints", OF.with_(OF.POI) + """
+SELECT osm_id, x AS lon, y AS lat, CASE WHEN name <> '' THEN name ELSE CAST(osm_id AS VARCHAR) END AS name,
+       'id=' || osm_id || CASE WHEN name IS NULL THEN '' ELSE chr(10) || 'name=' || name END AS "desc", 'https://example.org/' || osm_id AS href
+FROM poi""")
+def q_gpx_waypoints(spark, d):
+    """POIs as GPX waypoints with title, description and link, read back."""
+    path = _scratch(spark, "wpt")
+    p = FX.poi_points(Tables(spark, d))
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in (("id", F.col("osm_id").cast("string")), ("name", F.col("name")))])
+    props = F.map_from_entries(F.filter(pairs, lambda e: e["value"].isNotNull()))
+    rows = points_to_gpx_rows(p, "x", "y", props, F.concat(F.lit("https://example.org/"), F.col("osm_id").cast("string")))
+    write_gpx_rows(rows, path, "wpt")
+    w = read_gpx_waypoints(spark, path)
+    href = F.col("links")[0]["href"]
+    return w.select(F.regexp_extract(href, r"(\d+)$", 1).cast("bigint").alias("osm_id"), "lon", "lat", F.col("properties")["name"].alias("name"),
+                    F.col("properties")["desc"].alias("desc"), href.alias("href"))
+
+
+@query("gpx_routes", OF.with_(OF.TRACK) + """
+SELECT track_id AS number, 'Route ' || track_id AS name, CAST(count(*) AS INTEGER) AS n_points, round(sum(lon), 6) AS sum_lon,
+       CAST(sum(seq) AS BIGINT) AS sum_seq, round(sum(seq * lat), 6) AS weighed_lat
+FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY time, point_id) - 1 AS seq FROM track_pts) GROUP BY track_id""")
+def q_gpx_routes(spark, d):
+    """Tracks written as GPX routes and scanned back, points in order."""
+    path = _scratch(spark, "rte")
+    pt = F.struct("time", "point_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), "ele")
+    g = FX.track_points(Tables(spark, d)).groupBy("track_id").agg(F.sort_array(F.collect_list(pt)).alias("_p"))
+    rte = F.transform("_p", lambda s: F.struct(s["_lat"].alias("_lat"), s["_lon"].alias("_lon"), s["ele"].alias("ele")))
+    rows = g.select(F.concat(F.lit("Route "), F.col("track_id").cast("string")).alias("name"), F.col("track_id").cast("bigint").alias("number"), rte.alias("rtept"))
+    write_gpx_rows(rows, path, "rte")
+    r = read_gpx_routes(spark, path)
+    return r.groupBy("number", "name").agg(
+        F.count("*").cast("int").alias("n_points"), F.round(F.sum("lon"), 6).alias("sum_lon"), F.sum("seq").cast("bigint").alias("sum_seq"),
+        F.round(F.sum(F.col("seq") * F.col("lat")), 6).alias("weighed_lat"))
+
+
 @query("geojson_roundtrip", OF.with_(OF.POI) + """
 SELECT osm_id, x, y, name FROM poi""")
 def q_geojson_roundtrip(spark, d):

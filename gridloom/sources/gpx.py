@@ -1,5 +1,5 @@
-"""S8/S9/S13/S14 GPX and S12 GeoJSON sources and sinks, on Spark's own XML and
-JSON data sources (one file per partition, read back in parallel)."""
+"""S8/S9/S13/S14 GPX tracks, routes and waypoints, on Spark's own XML source (one
+file per partition, read back in parallel); points as GeoJSON lines (S12)."""
 
 from __future__ import annotations
 
@@ -74,6 +74,53 @@ def read_gpx_points(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- waypoints and routes
+
+_LINKS = "link array<struct<_href:string,text:string>>"
+_POINT = f"_lat double, _lon double, ele double, time string, name string, cmt string, desc string, sym string, type string, {_LINKS}"
+_POINT_TYPE = ("struct<_lat:double,_lon:double,ele:double,time:string,name:string,cmt:string,desc:string,sym:string,type:string,"
+               "link:array<struct<_href:string,text:string>>>")
+_ROUTE = f"name string, cmt string, desc string, type string, number bigint, {_LINKS}, rtept array<{_POINT_TYPE}>"
+
+
+def _properties(keys: tuple[str, ...]) -> Column:
+    """These child elements as a MAP, those that are there."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in keys])
+    return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+
+
+def _links(col: str = "link") -> Column:
+    return F.transform(F.coalesce(col, F.array().cast("array<struct<_href:string,text:string>>")), lambda x: F.struct(
+        x["_href"].alias("href"), x["text"].alias("text")))
+
+
+def read_gpx_waypoints(spark: SparkSession, path: str) -> DataFrame:
+    """S8/S9 scan: <wpt> -> (lon, lat, ele, time, properties, links)."""
+    w = spark.read.format("xml").option("rowTag", "wpt").schema(_POINT).load(path)
+    return w.select(F.col("_lon").alias("lon"), F.col("_lat").alias("lat"), "ele", F.try_to_timestamp("time").alias("time"),
+                    _properties(("name", "cmt", "desc", "sym", "type", "time")).alias("properties"), _links().alias("links"))
+
+
+def read_gpx_routes(spark: SparkSession, path: str) -> DataFrame:
+    """S8/S9 scan: <rte> -> its points (number, name, properties, links, seq, lon, lat, ele)."""
+    r = spark.read.format("xml").option("rowTag", "rte").schema(_ROUTE).load(path)
+    props = _properties(("name", "cmt", "desc", "type"))
+    p = r.select("number", "name", props.alias("properties"), _links().alias("links"), F.posexplode("rtept").alias("seq", "_p"))
+    return p.select("number", "name", "properties", "links", "seq", F.col("_p._lon").alias("lon"), F.col("_p._lat").alias("lat"), F.col("_p.ele").alias("ele"))
+
+
+def points_to_gpx_rows(points: DataFrame, lon: str, lat: str, props: Column, link: Column | None = None, ele: str | None = None) -> DataFrame:
+    """One <wpt> row for each point, titled and described by its properties."""
+    links = F.array().cast("array<struct<_href:string,text:string>>") if link is None else F.array(F.struct(link.alias("_href"), feature_title(props).alias("text")))
+    return points.select(F.col(lat).alias("_lat"), F.col(lon).alias("_lon"), (F.col(ele) if ele else F.lit(None).cast("double")).alias("ele"),
+                         feature_title(props).alias("name"), feature_description(props).alias("desc"), links.alias("link"))
+
+
+def write_gpx_rows(rows: DataFrame, path: str, row_tag: str) -> None:
+    """S13 sink: GPX files of <wpt>, <rte> or <trk> elements."""
+    rows.write.mode("overwrite").format("xml").option("rootTag", "gpx").option("rowTag", row_tag).save(path)
+
+
 def gpx_line_width_px(width_mm: Column) -> Column:
     """S9 line style width: millimetres -> pixels at 96 dpi."""
     return width_mm * 96.0 / 25.4
