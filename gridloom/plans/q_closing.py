@@ -1,4 +1,4 @@
-"""C3 closing rung of the landuse ladder: gen11 = closing(gen13) at tol 50."""
+"""C3 closing rungs of the landuse and landcover ladders: closing(gen13) at each rung's tolerance."""
 
 from __future__ import annotations
 
@@ -13,34 +13,40 @@ from gridloom.plans.q_generalize import dp_sql
 from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables
 
-TOL, SRC_TOL, MIN_AREA = 50.0, 10.0, 50000.0
+SRC_TOL = 10.0
 RADIUS = 2  # 2 * tol in cells of side tol
+# Rung -> tolerance and smallest area of the source (gen13); landcover's gen8 differs by its area
+CLOSING_RUNGS = {"gen12": (20.0, 5000.0), "gen11": (50.0, 50000.0), "gen10": (100.0, 200000.0),
+                 "gen9": (150.0, 2000000.0), "gen8": (200.0, 4000000.0), "landcover_gen8": (200.0, 5000000.0)}
+LARGE = 4.0  # stand-in for the large areas that the coarse rungs need: the test areas enlarged
 _OFFS = disk_offsets(RADIUS)
 _DX = "[" + ", ".join(str(dx) for dx, _ in _OFFS) + "]"
 _DY = "[" + ", ".join(str(dy) for _, dy in _OFFS) + "]"
 
 
-@query("closing_gen11", "WITH RECURSIVE " + OF.POLY.strip() + """,
-dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_sql("dp_in") + f""",
-g13 AS (SELECT v.osm_id, v.ring, v.seq, v.x, v.y FROM poly_verts v
+def _closing_sql(tol: float, min_area: float, scale: float) -> str:
+    return "WITH RECURSIVE " + OF.POLY.strip() + f""",
+pv AS (SELECT osm_id, ring, seq, x * {scale} AS x, y * {scale} AS y FROM poly_verts),""" + """
+dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM pv),""" + dp_sql("dp_in") + f""",
+g13 AS (SELECT v.osm_id, v.ring, v.seq, v.x, v.y FROM pv v
         JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
         WHERE s.sig IS NULL OR s.sig > {SRC_TOL} OR s.protect),
 edges AS (SELECT osm_id, ring, x, y, nx, ny FROM (
             SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM g13
             WINDOW w AS (PARTITION BY osm_id, ring ORDER BY seq)) WHERE nx IS NOT NULL),
 ra AS (SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a FROM edges GROUP BY osm_id, ring),
-src AS (SELECT osm_id FROM ra GROUP BY osm_id HAVING sum(CASE WHEN ring = 0 THEN a ELSE -a END) > {MIN_AREA}),
+src AS (SELECT osm_id FROM ra GROUP BY osm_id HAVING sum(CASE WHEN ring = 0 THEN a ELSE -a END) > {min_area}),
 bb AS (SELECT osm_id, min(y) AS miny, max(y) AS maxy FROM g13 WHERE osm_id IN (SELECT osm_id FROM src)
        GROUP BY osm_id),
-rws AS (SELECT osm_id, unnest(generate_series(CAST(floor(miny / {TOL}) AS BIGINT),
-                                              CAST(floor(maxy / {TOL}) AS BIGINT))) AS cy FROM bb),
-xs AS (SELECT r.osm_id, r.cy, e.x + ((r.cy + 0.5) * {TOL} - e.y) * (e.nx - e.x) / (e.ny - e.y) AS xc
+rws AS (SELECT osm_id, unnest(generate_series(CAST(floor(miny / {tol}) AS BIGINT),
+                                              CAST(floor(maxy / {tol}) AS BIGINT))) AS cy FROM bb),
+xs AS (SELECT r.osm_id, r.cy, e.x + ((r.cy + 0.5) * {tol} - e.y) * (e.nx - e.x) / (e.ny - e.y) AS xc
        FROM rws r JOIN edges e USING (osm_id)
-       WHERE (e.y > (r.cy + 0.5) * {TOL}) <> (e.ny > (r.cy + 0.5) * {TOL})),
+       WHERE (e.y > (r.cy + 0.5) * {tol}) <> (e.ny > (r.cy + 0.5) * {tol})),
 runs AS (SELECT osm_id, cy, xc, (row_number() OVER (PARTITION BY osm_id, cy ORDER BY xc) - 1) // 2 AS run FROM xs),
 rr AS (SELECT osm_id, cy, min(xc) AS l, max(xc) AS r FROM runs GROUP BY osm_id, cy, run),
-cells AS (SELECT osm_id, cy, unnest(generate_series(CAST(ceil(l / {TOL} - 0.5) AS BIGINT),
-                                                    CAST(ceil(r / {TOL} - 0.5) AS BIGINT) - 1)) AS cx FROM rr),
+cells AS (SELECT osm_id, cy, unnest(generate_series(CAST(ceil(l / {tol} - 0.5) AS BIGINT),
+                                                    CAST(ceil(r / {tol} - 0.5) AS BIGINT) - 1)) AS cx FROM rr),
 offs AS (SELECT unnest({_DX}) AS dx, unnest({_DY}) AS dy),
 dil AS (SELECT DISTINCT osm_id, cx + dx AS cx, cy + dy AS cy FROM cells, offs),
 ero AS (SELECT osm_id, cx - dx AS cx, cy - dy AS cy FROM dil, offs),
@@ -48,18 +54,28 @@ closed AS (SELECT osm_id, cx, cy FROM ero GROUP BY osm_id, cx, cy HAVING count(*
 nr AS (SELECT osm_id, count(*) AS n_raster FROM cells GROUP BY osm_id),
 nc AS (SELECT osm_id, count(*) AS n_closed FROM closed GROUP BY osm_id)
 SELECT nr.osm_id AS fid, nr.n_raster, coalesce(nc.n_closed, 0) AS n_closed,
-       CAST(coalesce(nc.n_closed, 0) * {TOL * TOL} AS DOUBLE) AS area
-FROM nr LEFT JOIN nc USING (osm_id)""")
-def q_closing(spark, d):
-    """landuse_gen11: gen13 geometry (DP 10) filtered by its area > 50000,
-    closed by 2 x 50 at cells of 50 (C3)."""
-    p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
-    sig = significance_of_lines(p)
-    g13 = rebuild(sig, ["fid", "part", "ring"], SRC_TOL).select("fid", G.make_geom("Polygon", "parts").alias("geom"))
-    src = g13.where(G.area("geom") > MIN_AREA)
-    cells = rasterize(src, TOL)
-    closed = closing(cells, RADIUS)
-    nr = cells.groupBy("fid").agg(F.count("*").alias("n_raster"))
-    nc = closed.groupBy("fid").agg(F.count("*").alias("n_closed"))
-    out = nr.join(nc, "fid", "left").withColumn("n_closed", F.coalesce("n_closed", F.lit(0)))
-    return out.select("fid", "n_raster", "n_closed", (F.col("n_closed") * (TOL * TOL)).alias("area"))
+       CAST(coalesce(nc.n_closed, 0) * {tol * tol} AS DOUBLE) AS area
+FROM nr LEFT JOIN nc USING (osm_id)"""
+
+
+def _closing(tol: float, min_area: float, scale: float):
+    def run(spark, d):
+        grown = F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(r, lambda v: G.vertex(v["x"] * scale, v["y"] * scale))))
+        p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), G.make_geom("Polygon", grown).alias("geom"))
+        sig = significance_of_lines(p)
+        g13 = rebuild(sig, ["fid", "part", "ring"], SRC_TOL).select("fid", G.make_geom("Polygon", "parts").alias("geom"))
+        src = g13.where(G.area("geom") > min_area)
+        cells = rasterize(src, tol)
+        closed = closing(cells, RADIUS)
+        nr = cells.groupBy("fid").agg(F.count("*").alias("n_raster"))
+        nc = closed.groupBy("fid").agg(F.count("*").alias("n_closed"))
+        out = nr.join(nc, "fid", "left").withColumn("n_closed", F.coalesce("n_closed", F.lit(0)))
+        return out.select("fid", "n_raster", "n_closed", (F.col("n_closed") * (tol * tol)).alias("area"))
+
+    run.__doc__ = f"C3: gen13 geometry (DP 10) of more than {min_area:g} square metres, closed by 2 x {tol:g} at cells of {tol:g}."
+    return run
+
+
+for _name, (_tol, _area) in CLOSING_RUNGS.items():
+    _scale = LARGE if _area >= 2000000.0 else 1.0
+    query(f"closing_{_name}", _closing_sql(_tol, _area, _scale))(_closing(_tol, _area, _scale))
