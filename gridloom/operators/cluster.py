@@ -131,30 +131,26 @@ def eps_graph(points: DataFrame, eps: float, with_blocks: int | None = None) ->
 BLOCK_CELLS = 64  # block side in cells: a block holds at most 64*64 nodes, whatever the data
 
 
-def _local_labels(inner: DataFrame) -> DataFrame:
-    """Union-find over the (u, v) pairs of each block -> (node, label = smallest node)."""
-
-    def union_find(pdf):
-        import pandas as pd
-        parent: dict = {}
-
-        def find(a):
-            root = a
-            while parent.get(root, root) != root:
-                root = parent[root]
-            while parent.get(a, a) != root:
-                parent[a], a = root, parent[a]
-            return root
-
-        for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist()):
-            ru, rv = find(u), find(v)
-            if ru != rv:
-                parent[max(ru, rv)] = min(ru, rv)
-                parent.setdefault(min(ru, rv), min(ru, rv))
-        nodes = list(parent.keys())
-        return pd.DataFrame({"node": nodes, "label": [find(n) for n in nodes]}, dtype="int64")
-
-    return inner.groupBy("block").applyInPandas(union_find, "node long, label long")
+def _union_find(pdf):
+    """Union-find over (u, v) node pairs -> (node, label = smallest node)."""
+    import pandas as pd
+    parent: dict = {}
+
+    def find(a):
+        root = a
+        while parent.get(root, root) != root:
+            root = parent[root]
+        while parent.get(a, a) != root:
+            parent[a], a = root, parent[a]
+        return root
+
+    for u, v in zip(pdf["u"].tolist(), pdf["v"].tolist()):
+        ru, rv = find(u), find(v)
+        if ru != rv:
+            parent[max(ru, rv)] = min(ru, rv)
+            parent.setdefault(min(ru, rv), min(ru, rv))
+    nodes = list(parent.keys())
+    return pd.DataFrame({"node": nodes, "label": [find(n) for n in nodes]}, dtype="int64")
 
 
 def cluster_ids(points: DataFrame, eps: float) -> DataFrame:
@@ -169,7 +165,7 @@ def cluster_ids(points: DataFrame, eps: float) -> DataFrame:
     """
     cells, edges = eps_graph(points, eps, with_blocks=BLOCK_CELLS)
     inner = edges.where(F.col("ub") == F.col("vb")).select(F.col("ub").alias("block"), "u", "v")
-    local = cut_lineage(_local_labels(inner))
+    local = cut_lineage(inner.groupBy("block").applyInPandas(_union_find, "node long, label long"))
     lu = local.select(F.col("node").alias("_u"), F.col("label").alias("_lu"))
     lv = local.select(F.col("node").alias("_v"), F.col("label").alias("_lv"))
     cross = edges.where(F.col("ub") != F.col("vb")).select("u", "v")
