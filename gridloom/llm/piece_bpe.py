@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -27,7 +28,7 @@ from gridloom.llm.words import kept, tidy
 SPACE = "▁"
 UNKNOWN = "�"
 NORMAL, UNK, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE = 1 << 18  # entries of each generation of a memo table
+CACHE = 1 << 17  # entries of each generation of a memo table; some 60 MB in all
 
 
 def _fields(raw: bytes):
@@ -120,20 +121,26 @@ class PieceModel:
             if self.merged(p) == [p]:  # others never come out of merging
                 self.scan.add_word(p, (len(p), i))
         self.scan.make_automaton()
-        # characters that stand side by side in no piece are never merged across
-        self.inside = {p[k:k + 2] for p in normal for k in range(len(p) - 1)}
         self.plain = [b"" if k == CONTROL else " ⁇ ".encode() if k == UNK else p.replace(SPACE, " ").encode() for p, k in zip(self.pieces, kinds, strict=True)]
         for i, b in self.id_bytes.items():
             self.plain[i] = b
-        # no piece holds a line feed or goes on past a space: each unit is encoded by itself
-        self.units = re.compile(" *[^ \n]+|\n| +" if "\n" not in chars else " *[^ ]+| +")
+        self.decimal = [b"%d" % i for i in range(len(self.pieces))]
+        # Merges never cross a place whose two characters stand side by side in no piece, so a text is
+        # encoded unit by unit: before a space, around a line feed, and before the characters (points, digits
+        # and the like) that follow none but each other inside pieces.
+        pairs = {p[k:k + 2] for p in normal for k in range(len(p) - 1)}
+        apart = {c for c in chars if not c.isalpha() and c not in (SPACE, "\n")}
+        while bad := {p[1] for p in pairs if p[1] in apart and p[0] != SPACE and p[0] not in apart}:
+            apart -= bad
+        some = "".join(map(re.escape, sorted(apart))) or "\n"
+        lone = "\n" if "\n" not in chars else " "
+        self.units = re.compile(f" *[^ {lone}{some}]+| *[{some}]+[^ {lone}{some}]*|\n| +")
         self._fits = Memo()   # (left piece, right piece) -> compatible
-        self._units = Memo()  # unit -> ids, the same as decimal text
-        self._runs = Memo(CACHE // 2)  # run -> ids
+        self._units = Memo()  # unit -> ids
 
     def rest(self) -> None:
         """Between tasks: keep the young generations only."""
-        for memo in (self._fits, self._units, self._runs):
+        for memo in (self._fits, self._units):
             memo.old = {}
         tidy()
 
@@ -199,56 +206,44 @@ class PieceModel:
                 at = ends[-1]
         return out
 
-    def _known(self, text: str) -> list[int]:
-        """Ids of characters of the model, run by run between places that no merge crosses."""
-        ids: list[int] = []
-        first, memo = 0, self._runs
-        for k in range(1, len(text) + 1):
-            if k == len(text) or text[k - 1:k + 1] not in self.inside:
-                run = text[first:k]
-                got = memo.get(run)
-                if got is None:
-                    got = self._run(run)
-                    if len(run) <= 64:
-                        memo.put(run, tuple(got))
-                ids += got
-                first = k
-        return ids
-
-    def _unit(self, text: str) -> tuple[tuple[int, ...], bytes]:
-        """Ids of one unit and the same as decimal text; characters outside the model become bytes."""
+    def _unit(self, text: str) -> tuple[int, ...]:
+        """Ids of one unit; characters outside the model become bytes."""
         if self.chars.issuperset(text):
-            ids = self._known(text)
-        else:
-            ids, known = [], ""
-            for c in text:
-                if c in self.chars:
-                    known += c
-                    continue
-                ids += self._known(known)
+            return tuple(self._run(text))
+        ids, known = [], ""
+        for c in text:
+            if c in self.chars:
+                known += c
+                continue
+            if known:
+                ids += self._run(known)
                 known = ""
-                ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
-            ids += self._known(known)
-        return tuple(ids), ",".join(map(str, ids)).encode()
+            ids += [self.byte_ids[b] for b in c.encode("utf-8", "surrogatepass")]
+        return tuple(ids + self._run(known) if known else ids)
 
-    def units_of(self, text: str) -> list[tuple[tuple[int, ...], bytes]]:
+    def units_of(self, text: str) -> list[tuple[int, ...]]:
+        """Ids of each unit of a text."""
         if not text:
             return []
         if SPACE in text:
             text = text.replace(SPACE, " ")
-        memo, out = self._units, []
-        for unit in self.units.findall(" " + text):
-            got = memo.young.get(unit)
-            if got is None and (got := memo.get(unit)) is None:
-                got = self._unit(unit.replace(" ", SPACE))
-                if len(unit) <= 64:
-                    memo.put(unit, got)
-            out.append(got)
+        units = self.units.findall(" " + text)
+        memo = self._units
+        out = list(map(memo.young.get, units))
+        if None in out:
+            for k, got in enumerate(out):
+                if got is None:
+                    unit = units[k]
+                    if (got := memo.get(unit)) is None:
+                        got = self._unit(unit.replace(" ", SPACE))
+                        if len(unit) <= 64:
+                            memo.put(unit, got)
+                    out[k] = got
         return out
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; null counts as empty."""
-        return [i for ids, _ in self.units_of(text or "") for i in ids]
+        return list(chain.from_iterable(self.units_of(text or "")))
 
     def decode(self, ids) -> str:
         """Text of ids: byte pieces are read as UTF-8 (each faulty byte becomes U+FFFD), one leading space goes."""
@@ -312,15 +307,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: list[
                 part = batch.slice(at, step)
                 cols: dict[str, list] = {n: [] for n, _ in added}
                 for text in part.column("text").to_pylist():
-                    units = model.units_of(text or "")
-                    flat = [i for u in units for i in u[0]]
+                    flat = model.encode(text)
                     back = model.decode(flat)
                     if ids:
                         cols["ids"].append(flat)
                         cols["decoded"].append(back)
                     if digests:
                         cols["n_tokens"].append(len(flat))
-                        cols["ids_sha256"].append(hashlib.sha256(b",".join([u[1] for u in units])).hexdigest())
+                        cols["ids_sha256"].append(hashlib.sha256(b",".join(map(model.decimal.__getitem__, flat))).hexdigest())
                         cols["decoded_sha256"].append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
                 made = [pa.array(cols[n], {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64()}.get(n, pa.string())) for n, _ in added]
                 yield pa.RecordBatch.from_arrays([*(part.column(f"k{i}") for i in range(len(keep))), *made], names=schema.names)
