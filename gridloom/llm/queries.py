@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import katz, latent_leaks, licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
-from gridloom.llm.words import scratch
+from gridloom.llm.words import lean, scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 8
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return lean(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op1_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

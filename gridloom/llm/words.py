@@ -8,6 +8,7 @@ inside a multi-byte UTF-8 character.
 from __future__ import annotations
 
 import ctypes
+import re
 import sys
 import types
 import uuid
@@ -83,6 +84,22 @@ def numbered(word_lists) -> tuple[np.ndarray, np.ndarray, Vocab]:
     return np.array(numbers, dtype=np.int64), np.array(starts, dtype=np.int64), vocab
 
 
+ARROW_BYTES = 4 << 20
+
+
+def lean(spark: SparkSession) -> SparkSession:
+    """Bound the Arrow batches between Spark and Python by bytes.
+
+    The usual bound is ten thousand rows, which for whole texts means tens of MB at once in
+    each of several buffers of every task, outside the heap. A smaller bound of the session stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+    if not held or int(held[1]) > ARROW_BYTES:
+        spark.conf.set(key, f"{ARROW_BYTES}b")
+    return spark
+
+
 def packed(df: DataFrame, **named: Column) -> DataFrame:
     """``df`` as one column ``_row`` besides the ``named`` ones, so no column's name can clash with another's."""
     row = F.struct(*[df[c].alias(f"c{i}") for i, c in enumerate(df.columns)])
