@@ -14,30 +14,33 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import latent_leaks, piece_bpe, repetition, simhash_trie, sparse_suffixes
 from gridloom.llm.queries import TOKENIZER
-from gridloom.llm.words import packed, stored, unpacked
+from gridloom.llm.words import lean, packed, stored, unpacked
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the suffix-array repetition rules reject."""
+    lean(spark)
     judged = repetition.measure(packed(docs, text=docs["text"]), id_col="_row", keep=["_row"], spans=False)
     return judged.where("kept").select(*unpacked(docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one with the smallest id (null first; ties: by row hash)."""
+    lean(spark)
     key = F.struct(docs["doc_id"].alias("id"), F.xxhash64(*[docs[c] for c in docs.columns]).alias("row"))
     keyed = docs.select(key.alias("_id"), docs["text"].alias("_text"))
     found = stored(simhash_trie.near_duplicates(keyed, "_id", "_text"), "pipeline-components")
-    stay = found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count()
-    stay = stored(stay.select(F.col("doc_id.row").alias("_row"), "count"), "pipeline-stay")
-    kept = packed(docs, row=key["row"]).join(stay.select(F.col("_row").alias("row")), "row", "left_semi")
-    if stay.where("count > 1").limit(1).count():  # the same row several times: one of them
+    # what goes is the smaller table: where it is small, Spark needs no shuffle of texts
+    gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.row").alias("row")).distinct(), "pipeline-gone")
+    kept = packed(docs, row=key["row"]).join(gone, "row", "left_anti")
+    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():  # the same row several times: one of them
         kept = kept.dropDuplicates(["row"])
     return kept.select(*unpacked(docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every passage of 50 words or more that repeats, but at its first place; a text with no word left goes."""
+    lean(spark)
     cut = sparse_suffixes.without_repeats(docs)
     left = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))  # in its place
     return left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -45,11 +48,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that leak a benchmark item."""
+    lean(spark)
     return latent_leaks.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and the text they decode to, with counts and digests."""
+    lean(spark)
     return piece_bpe.encode(docs, TOKENIZER, digests=True)
 
 

@@ -144,7 +144,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
         return len(lines) - len(set(lines))
 
     def run(batches):
-        for table in pieces(batches, 4 << 20):
+        for table in pieces(batches, 1 << 20):
             texts = texts_of(table)
             numbers, starts, _ = numbered(t.split() for t in texts)
             n = np.diff(starts)

@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
 
     def run(batches):
-        for table in pieces(batches, 4 << 20):
+        for table in pieces(batches, 1 << 20):
             made = np.array([fingerprint(t, shingle) for t in texts_of(table)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.concat_arrays(table.column("doc_id").chunks), pa.array(made)], names=["doc_id", "fp"])
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.words import numbered, packed, pieces, stored, texts_of, unpacked
+from gridloom.llm.words import numbered, packed, pieces, stored, texts_of, tidy
 
 LEAST = 50  # words of the shortest passage that counts
 K = 10      # words of a minimiser; LEAST - K + 1 sequences are in a window, 63 at most
@@ -113,7 +113,7 @@ def suffixes(rows: DataFrame, least: int, k: int) -> DataFrame:
         T.StructField("key", T.LongType()), T.StructField("a", T.IntegerType()), T.StructField("n", T.IntegerType())])
 
     def run(batches):
-        for table in pieces(batches, 8 << 20):
+        for table in pieces(batches, 2 << 20):
             hashed = Hashed(texts_of(table))
             text, at, first, n = retained(hashed, least, k)
             if not len(text):
@@ -188,7 +188,7 @@ def extended(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
         T.StructField("key", T.LongType()), T.StructField("at", T.IntegerType())])
 
     def run(batches):
-        for table in pieces(batches, 8 << 20):
+        for table in pieces(batches, 2 << 20):
             hashed = Hashed(texts_of(table))
             todo = table["_todo"].combine_chunks()
             todo = todo if isinstance(todo, pa.Array) else pa.concat_arrays(todo.chunks)
@@ -213,11 +213,12 @@ def repeated_windows(rows: DataFrame, least: int = LEAST, k: int = K) -> DataFra
     first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("key") == F.col("f_key")) & (F.col("a") == F.col("f_a"))
     windows = stored(extended(rows, near.where(F.col("other") & first).select("key", "s", "a", "n").distinct(), least), "suffix-windows")
     place = F.struct("doc_id", "key", "at")
-    twice = windows.groupBy("w").agg(F.min(place).alias("_f"), F.max(place).alias("_l")).where("_f <> _l").select(F.col("w").alias("_w"), "_f")
+    # both are written, so that the joins below are plain ones, whose hot keys Spark can split
+    twice = stored(windows.groupBy("w").agg(F.min(place).alias("_f"), F.max(place).alias("_l")).where("_f <> _l").select(F.col("w").alias("_w"), "_f"), "suffix-twice")
     bit = F.expr("shiftleft(1L, i)")
-    marked = (
+    marked = stored(
         windows.join(twice, windows["w"] == twice["_w"]).groupBy(F.col("s").alias("_s"))
-        .agg(F.bit_or(bit).alias("_all"), F.bit_or(F.when(place == F.col("_f"), bit).otherwise(F.lit(0).cast("bigint"))).alias("_first")))
+        .agg(F.bit_or(bit).alias("_all"), F.bit_or(F.when(place == F.col("_f"), bit).otherwise(F.lit(0).cast("bigint"))).alias("_first")), "suffix-marks")
     joined = near.join(marked, near["s"] == marked["_s"], "left")
     full = F.expr("shiftleft(1L, n) - 1")
     there, kept_here = F.coalesce("_all", F.lit(0).cast("bigint")), F.coalesce("_first", F.lit(0).cast("bigint"))
@@ -279,19 +280,26 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = with_keys(docs, id_col, text_col)
     found = stored(passages(rows, least, k).where(F.size("lose") > 0).select("key", "lose"), "suffix-cuts")
 
-    @F.pandas_udf(T.StringType())
-    def cut(texts, spans):
-        import pandas as pd
-
-        return pd.Series([_cut(t, s) for t, s in zip(texts, spans, strict=True)])
-
     names = docs.columns
+    place = names.index(next(c for c in names if c.lower() == text_col.lower()))
     keyed = packed(docs, key=F.xxhash64(docs[id_col], docs[text_col]))
-    joined = keyed.join(found, "key", "left")
-    text = next(c for c in names if c.lower() == text_col.lower())
-    own = F.col("_row")[f"c{names.index(text)}"]
-    new = F.when(F.col("lose").isNull(), own).otherwise(cut(own, F.col("lose"))).alias(text)
-    return joined.select(*[new if c == text else old for c, old in zip(names, unpacked(names), strict=True)])
+    joined = keyed.join(found, "key", "left").select("_row.*", "lose")
+    schema = T.StructType([T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)])
+
+    def run(batches):
+        for batch in batches:
+            cols = [batch.column(f"c{i}") for i in range(len(names))]
+            hit = np.flatnonzero(batch.column("lose").is_valid().to_numpy(zero_copy_only=False))
+            if len(hit):
+                texts = cols[place].to_pylist()
+                spans = batch.column("lose").take(pa.array(hit)).to_pylist()
+                for i, own in zip(hit.tolist(), spans, strict=True):
+                    texts[i] = _cut(texts[i], own)
+                cols[place] = pa.array(texts, cols[place].type)
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+        tidy()
+
+    return joined.mapInArrow(run, schema).toDF(*names)
 
 
 def _cut(text: str | None, spans) -> str | None:
