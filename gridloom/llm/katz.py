@@ -17,7 +17,9 @@ only at the end (N, the discounts), so a bucket returns a few numbers for each d
 Bigrams not seen in training are sent on to the bucket of h, where the back-off weights are
 made, and the parts meet by batch. Words so frequent that a bucket would be too large (found
 in a bounded sample; only the balance depends on it) are dealt by w and h; their own totals are few
-numbers, added up apart.
+numbers, added up apart. Bigrams as frequent as that aren't dealt at all: how often each document
+has them stays with the batch, as do unseen bigrams of frequent contexts, and what these add
+is reckoned where the batch's parts meet.
 
 Tables written: ``bigrams`` and ``contexts``, by bucket (see :func:`bigram_rows`, :func:`context_rows`).
 """
@@ -159,8 +161,8 @@ class Discounts:
 class Totals:
     """What all training documents give: tokens, types, discounts, frequent words' counts."""
 
-    def __init__(self, rows, hot: int):
-        by: dict[str, dict[int, int]] = {"uni": {}, "bi": {}, "hot": {}, "docs": {}}
+    def __init__(self, rows, hot: int, often: int):
+        by: dict[str, dict[int, int]] = {"uni": {}, "bi": {}, "hot": {}, "docs": {}, "often": {}}
         for r in rows:
             by[r["what"]][r["r"]] = r["n"]
         self.hot = np.array([by["hot"].get(i, 0) for i in range(hot)], np.int64)
@@ -171,7 +173,11 @@ class Totals:
         r, n = ordered(uni)
         self.tokens, self.types = int((r * n).sum()), int(n.sum())
         self.docs = by["docs"].get(0, 0)
-        self.one, self.two = Discounts(r, n), Discounts(*ordered(by["bi"]))
+        self.often = np.array([by["often"].get(i, 0) for i in range(often)], np.int64)
+        bi = dict(by["bi"])
+        for c in self.often[self.often > 0].tolist():
+            bi[c] = bi.get(c, 0) + 1
+        self.one, self.two = Discounts(r, n), Discounts(*ordered(bi))
         self.unknown = 1.0 - float((n * r * self.one(r)).sum()) / self.tokens if self.tokens else 1.0
 
     def word(self, c: np.ndarray) -> np.ndarray:
@@ -181,28 +187,62 @@ class Totals:
 
 # ---------------------------------------------------------------- the four passes
 
-def _frequent(docs: DataFrame, buckets: int, share: float) -> list[int]:
-    """Hashes of words with over a quarter of a bucket's share of the tokens, in a sample; at most 4 x buckets."""
+def _frequent(docs: DataFrame, buckets: int, share: float) -> tuple[list[int], list[tuple[int, int]]]:
+    """Hashes of words, and of bigrams (h, w), with over a quarter of a bucket's share of the tokens, in a sample; at most 4 x buckets of each."""
     sample = docs.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(2)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+    schema = T.StructType([T.StructField("before", T.BinaryType()), T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
 
     def run(batches):
         for table in pieces(batches, 4 << 20):
-            numbers, _, vocab = numbered(t.lower().split() for t in texts_of(table))
-            n = np.bincount(numbers, minlength=len(vocab))
-            yield pa.RecordBatch.from_arrays([pa.array([*vocab, b" end"], pa.binary()), pa.array(np.append(n, table.num_rows), pa.int64())], names=schema.names)
-
-    words = stored(sample.select("text").mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n")), "katz-sample")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    heavy = words.where(F.col("n") * (4 * buckets) > total).collect()
-    return sorted(xxhash.xxh64_intdigest(bytes(r["word"])) for r in heavy)
-
-
-def _dealt(docs: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
+            numbers, starts, vocab = numbered(t.lower().split() for t in texts_of(table))
+            names = [*vocab, b" end", b" start"]
+            w, h = _places(numbers, starts, len(vocab), len(vocab) + 1)
+            n = np.bincount(w, minlength=len(vocab) + 1)
+            key, times = np.unique(w * len(names) + h, return_counts=True)
+            before = [None] * len(n) + [names[i] for i in (key % len(names)).tolist()]
+            word = names[:-1] + [names[i] for i in (key // len(names)).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(before, pa.binary()), pa.array(word, pa.binary()), pa.array(np.concatenate([n, times]), pa.int64())], names=schema.names)
+
+    found = stored(sample.select("text").mapInArrow(run, schema).groupBy("before", "word").agg(F.sum("n").alias("n")), "katz-sample")
+    total = found.where("before is null").agg(F.sum("n")).first()[0] or 0
+    heavy = found.where(F.col("n") * (4 * buckets) > total).collect()
+    digest = lambda x: xxhash.xxh64_intdigest(bytes(x))
+    # the words of a frequent bigram are frequent themselves (the start as often as the end)
+    return sorted(digest(r["word"]) for r in heavy if r["before"] is None), sorted((digest(r["before"]), digest(r["word"])) for r in heavy if r["before"] is not None)
+
+
+def _places(numbers: np.ndarray, starts: np.ndarray, end: int, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word and context of each place: the words of each text and one ``end``, ``start`` before the first."""
+    ends = starts[1:] + np.arange(len(starts) - 1)
+    w = np.empty(len(numbers) + len(ends), np.int64)
+    is_end = np.zeros(len(w), bool)
+    is_end[ends] = True
+    w[~is_end], w[is_end] = numbers, end
+    h = np.empty_like(w)
+    h[1:] = w[:-1]
+    h[np.concatenate([[0], ends[:-1] + 1])] = start
+    return w, h
+
+
+def _as_contexts(hot: list[int]) -> np.ndarray:
+    """Frequent words as contexts: the start stands for the end."""
+    return np.array(sorted(START if x == END else x for x in hot), np.uint64)
+
+
+def _found(sorted_in: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Place of each x in an ascending array, -1 where it isn't there."""
+    if not len(sorted_in):
+        return np.full(len(x), -1)
+    at = np.minimum(np.searchsorted(sorted_in, x), len(sorted_in) - 1)
+    return np.where(sorted_in[at] == x, at, -1)
+
+
+def _dealt(docs: DataFrame, buckets: int, hot: list[int], often: list[tuple[int, int]]) -> DataFrame:
     """Packed occurrences by bucket of w, and each batch's documents."""
     schema = T.StructType([T.StructField("p", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("slot", T.LongType()), T.StructField("blob", T.BinaryType()),
                            T.StructField("ids", T.ArrayType(docs.schema["doc_id"].dataType))])
     hot_hashes = np.array(hot, np.uint64)
+    often_h, often_w = (np.array([x[i] for x in often], np.uint64) for i in (0, 1))
 
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -236,15 +276,28 @@ def _dealt(docs: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
             own_hot = index[w] >= 0
             pair = doc[own_hot].astype(np.int64) * max(len(hot), 1) + index[w[own_hot]]
             pairs, times = np.unique(pair, return_counts=True)
-            info = pack(train.astype(np.int64), np.diff(starts) + 1, pairs, times)
+            # so do frequent bigrams, and nothing else is sent of them
+            m = len(hashes)
+            oh, ow = _found(hashes, often_h), _found(hashes, often_w)
+            here = np.flatnonzero((oh >= 0) & (ow >= 0))
+            own_often = ow[here] * m + oh[here]
+            here, own_often = here[np.argsort(own_often)], np.sort(own_often)
+            at_hot = np.flatnonzero(own_hot)
+            which = _found(own_often, w[at_hot].astype(np.int64) * m + h[at_hot])
+            at_hot, which = at_hot[which >= 0], which[which >= 0]
+            many, many_times = np.unique(doc[at_hot].astype(np.int64) * max(len(often), 1) + here[which], return_counts=True)
+            sent = np.ones(size, bool)
+            sent[at_hot] = False
+            del at_hot, which
+            info = pack(train.astype(np.int64), np.diff(starts) + 1, pairs, times, many, many_times)
             ids = pa.ListArray.from_arrays(pa.array([0, docs_n], pa.int32()), pa.concat_arrays(table["doc_id"].chunks))
             yield pa.RecordBatch.from_arrays([pa.array([slot % buckets], pa.int32()), pa.array(["docs"]), pa.array([slot]), pa.array([info], pa.binary()), ids], names=schema.names)
             p = (mixed(hashes) % np.uint64(buckets)).astype(np.int64)[w]
             if own_hot.any():
                 p[own_hot] = (mixed(hashes[w[own_hot]] ^ mixed(hashes[h[own_hot]])) % np.uint64(buckets)).astype(np.int64)
-            m = len(hashes)
+            w, h, p, doc = w[sent], h[sent], p[sent], doc[sent]
             key = w.astype(np.int64) * m + h
-            del w, h, own_hot
+            del w, h, own_hot, sent
             order = np.lexsort((key, p))
             key, p, doc = key[order], p[order], doc[order]
             del order
@@ -264,7 +317,7 @@ def _table(schema: T.StructType, ids_type, rows: list[tuple]) -> pa.Table:
     return pa.table({"kind": pa.array(cols[0], pa.string()), "slot": pa.array(cols[1], pa.int64()), "blob": pa.array(cols[2], pa.binary()), "ids": pa.array(cols[3], ids_type)})
 
 
-def _counted(dealt: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
+def _counted(dealt: DataFrame, buckets: int, hot: list[int], often: list[tuple[int, int]]) -> DataFrame:
     """For each bucket of w: its bigrams, what each document gets from it, unseen bigrams by bucket of h, counts of counts."""
     id_type = dealt.schema["ids"].dataType
     schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("slot", T.LongType()), T.StructField("blob", T.BinaryType()), T.StructField("ids", id_type)])
@@ -275,16 +328,19 @@ def _counted(dealt: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
         out: list[tuple] = []
         occ, offset = [], 0
         kinds, slots, blobs = table["kind"].to_pylist(), table["slot"].to_pylist(), table["blob"]
-        hot_total, train_docs = np.zeros(len(hot), np.int64), 0
+        hot_total, often_total, train_docs = np.zeros(len(hot), np.int64), np.zeros(len(often), np.int64), 0
         batches = []  # (slot, first document, documents)
         for i, kind in enumerate(kinds):
             if kind == "docs":
                 blob = blobs[i].as_py()
-                train, _, pairs, times = unpack(blob)
+                train, _, pairs, times, many, many_times = unpack(blob)
                 train_docs += int(train.sum())
                 if len(pairs):
                     own = train[pairs // len(hot)] > 0
                     np.add.at(hot_total, (pairs % len(hot))[own], times[own])
+                if len(many):
+                    own = train[many // len(often)] > 0
+                    np.add.at(often_total, (many % len(often))[own], many_times[own])
                 out.append(("docs", slots[i], blob, table["ids"][i].as_py()))
                 continue
             words, sizes, contexts, hi, doc, bits, (docs_n,) = unpack(blobs[i].as_py())
@@ -292,7 +348,7 @@ def _counted(dealt: DataFrame, buckets: int, hot: list[int]) -> DataFrame:
             occ.append((summed(words), sizes, summed(contexts), run_summed(hi, sizes), (doc + offset).astype(np.int32), train[doc]))
             batches.append((slots[i], offset, int(docs_n)))
             offset += int(docs_n)
-        out.append(("stats", 0, pack(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), hot_total, np.array([train_docs])), None))
+        out.append(("stats", 0, pack(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), hot_total, np.array([train_docs]), often_total), None))
         if occ:
             out += _bucket(occ, batches, offset, buckets, hot_hashes, key[0].as_py())
         return _table(schema, ids_type, out)
@@ -346,7 +402,13 @@ def _bucket(occ: list, batches: list, docs_n: int, buckets: int, hot: np.ndarray
         "b": add(np.where(plain, log(c + 1), 0.0)),
     }
     out = []
-    hot_late = np.repeat(late & ~plain, sizes)
+    hot_contexts = _as_contexts(hot.tolist())
+    at_context = _found(hot_contexts, contexts)[pair_h]
+    late_of_hot = np.repeat(late & (at_context >= 0), sizes)
+    far_doc, far_index = doc[late_of_hot], np.repeat(at_context, sizes)[late_of_hot]
+    late &= at_context < 0  # those of other contexts are sent on
+    del late_of_hot
+    hot_late = np.repeat((r == 0) & ~plain, sizes)
     hot_doc = doc[hot_late]
     hot_index = np.repeat(at_hot[pair_w], sizes)[hot_late]
     del hot_late
@@ -354,7 +416,9 @@ def _bucket(occ: list, batches: list, docs_n: int, buckets: int, hot: np.ndarray
         at = slice(first, first + n)
         own = (hot_doc >= first) & (hot_doc < first + n)
         pairs, times = np.unique((hot_doc[own].astype(np.int64) - first) * max(len(hot), 1) + hot_index[own], return_counts=True)
-        out.append(("part", slot, pack(*(counts[k][at] for k in COUNTS), *(signed(sums[k][at]) for k in SUMS), pairs, times), None))
+        own = (far_doc >= first) & (far_doc < first + n)
+        far, far_times = np.unique((far_doc[own].astype(np.int64) - first) * max(len(hot), 1) + far_index[own], return_counts=True)
+        out.append(("part", slot, pack(*(counts[k][at] for k in COUNTS), *(signed(sums[k][at]) for k in SUMS), pairs, times, far, far_times), None))
     # unseen bigrams, to the buckets of their contexts
     if late.any():
         lh = np.repeat(pair_h[late], sizes[late])
@@ -377,22 +441,22 @@ def _bucket(occ: list, batches: list, docs_n: int, buckets: int, hot: np.ndarray
         out.append(("bigrams", number, pack(steps(words[pw[top]]), sizes3, flag, steps(contexts[used]), run_steps(hi, sizes3), pr), None))
         bi_r, bi_n = np.unique(pr, return_counts=True)
         uni_r, uni_n = np.unique(c_word[(c_word > 0) & ~is_hot], return_counts=True)
-        out.append(("stats", 0, pack(uni_r, uni_n, bi_r, bi_n, np.zeros(len(hot), np.int64), np.zeros(1, np.int64)), None))
+        out.append(("stats", 0, pack(uni_r, uni_n, bi_r, bi_n, np.zeros(len(hot), np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)), None))
     return out
 
 
-def _totals(stats: DataFrame, hot: int) -> Totals:
+def _totals(stats: DataFrame, hot: int, often: int) -> Totals:
     schema = T.StructType([T.StructField("what", T.StringType()), T.StructField("r", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches):
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
-                ur, un, br, bn, hot_n, docs = unpack(blob)
-                what = ["uni"] * len(ur) + ["bi"] * len(br) + ["hot"] * len(hot_n) + ["docs"]
-                yield pa.RecordBatch.from_arrays([pa.array(what), pa.array(np.concatenate([ur, br, np.arange(len(hot_n)), [0]]), pa.int64()), pa.array(np.concatenate([un, bn, hot_n, docs]), pa.int64())], names=schema.names)
+                ur, un, br, bn, hot_n, docs, often_n = unpack(blob)
+                what = ["uni"] * len(ur) + ["bi"] * len(br) + ["hot"] * len(hot_n) + ["docs"] + ["often"] * len(often_n)
+                yield pa.RecordBatch.from_arrays([pa.array(what), pa.array(np.concatenate([ur, br, np.arange(len(hot_n)), [0], np.arange(len(often_n))]), pa.int64()), pa.array(np.concatenate([un, bn, hot_n, docs, often_n]), pa.int64())], names=schema.names)
 
     # N tokens have at most sqrt(2 N) different counts
-    return Totals(stats.select("blob").mapInArrow(run, schema).groupBy("what", "r").agg(F.sum("n").alias("n")).collect(), hot)
+    return Totals(stats.select("blob").mapInArrow(run, schema).groupBy("what", "r").agg(F.sum("n").alias("n")).collect(), hot, often)
 
 
 def _to_contexts(bigrams: DataFrame, buckets: int, totals: Totals) -> DataFrame:
@@ -424,8 +488,9 @@ def _to_contexts(bigrams: DataFrame, buckets: int, totals: Totals) -> DataFrame:
     return bigrams.select("blob").mapInArrow(run, schema)
 
 
-def _weighed(met: DataFrame, totals: Totals) -> DataFrame:
-    """For each bucket of h: the back-off weights, and what they add to documents with unseen bigrams."""
+def _weighed(met: DataFrame, totals: Totals, hot: list[int]) -> DataFrame:
+    """For each bucket of h: the back-off weights, those of frequent contexts again apart, and what they add to documents with unseen bigrams."""
+    hot_contexts = _as_contexts(hot)
     schema = T.StructType([T.StructField("kind", T.StringType()), T.StructField("slot", T.LongType()), T.StructField("blob", T.BinaryType())])
 
     def work(key, table):
@@ -457,6 +522,9 @@ def _weighed(met: DataFrame, totals: Totals) -> DataFrame:
             alpha = (1 - kept / c) / (1 - taken)
             g = np.log10(alpha) + np.log10(c)
             rows.append(("contexts", key[0].as_py(), pack(steps(contexts), c.astype(np.int64), alpha)))
+            at = _found(hot_contexts, contexts)
+            if (at >= 0).any():
+                rows.append(("hot", 0, pack(at[at >= 0], g[at >= 0])))
         for slot, (_, h, times, doc) in late:
             h = summed(h)
             at = np.minimum(np.searchsorted(contexts, h), max(len(contexts) - 1, 0))
@@ -470,15 +538,15 @@ def _weighed(met: DataFrame, totals: Totals) -> DataFrame:
     return met.groupBy("q").applyInArrow(work, schema)
 
 
-def _scored(parts: DataFrame, totals: Totals, hot: int, id_type) -> DataFrame:
-    """The parts of each batch added up: one row for each document."""
+def _scored(parts: DataFrame, totals: Totals, hot: int, often: np.ndarray, far: np.ndarray, id_type) -> DataFrame:
+    """The parts of each batch added up: one row for each document. ``often`` is what a frequent bigram adds, ``far`` what a frequent context adds to an unseen one."""
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
                            T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())])
 
     def work(table):
         kinds, blobs = table["kind"].to_pylist(), table["blob"]
         at = kinds.index("docs")
-        train, tokens, pairs, times = unpack(blobs[at].as_py())
+        train, tokens, pairs, times, many, many_times = unpack(blobs[at].as_py())
         ids = table["ids"].combine_chunks()
         ids = (ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks))[at].values
         n = len(train)
@@ -494,12 +562,16 @@ def _scored(parts: DataFrame, totals: Totals, hot: int, id_type) -> DataFrame:
                     counts[k] += x.astype(np.int64)
                 for k, x in zip(SUMS, got[len(COUNTS):], strict=False):
                     sums[k] += unsigned(x)
-                p, t = got[-2:]
+                p, t, p2, t2 = got[-4:]
+                if len(p2):
+                    np.add.at(score, p2 // hot, t2 * far[p2 % hot])
                 if len(p):
                     np.add.at(score, p // hot, t * word[p % hot])
             elif kind == "late":
                 docs, add = unpack(blobs[i].as_py())
                 score[docs] += unsigned(add)
+        if len(many):
+            np.add.at(score, many // len(often), many_times * often[many % len(often)])
         if len(pairs):
             d, k, c = pairs // hot, pairs % hot, totals.hot[pairs % hot]
             np.add.at(base, d, times * log(c + 1))
@@ -521,6 +593,28 @@ def _scored(parts: DataFrame, totals: Totals, hot: int, id_type) -> DataFrame:
     return parts.groupBy("slot").applyInArrow(work, schema)
 
 
+def _often_rows(spark: SparkSession, often: list[tuple[int, int]], hot: list[int], totals: Totals, number: int, schema: T.StructType) -> DataFrame:
+    """The model's frequent bigrams, as a bucket of their own."""
+    own = sorted((w, h, r) for (h, w), r in zip(often, totals.often.tolist(), strict=True) if r)
+    w, h = (np.array([x[i] for x in own], np.uint64) for i in (0, 1))
+    top, sizes = runs(w)
+    used, hi = np.unique(h, return_inverse=True)
+    flag = 2 * _found(np.array(hot, np.uint64), w[top]) + 1
+    blob = pack(steps(w[top]), sizes, flag, steps(used), run_steps(hi, sizes), np.array([x[2] for x in own], np.int64))
+    values = {"kind": "bigrams", "slot": number, "blob": bytearray(blob), "ids": None}
+    return spark.createDataFrame([tuple(values[n] for n in schema.names)], schema)
+
+
+def _gains(often: list[tuple[int, int]], hot: list[int], totals: Totals, far: np.ndarray) -> np.ndarray:
+    """What a place of each frequent bigram adds to the score, the context's count apart; unseen ones back off."""
+    if not often:
+        return np.zeros(0)
+    h, w = (np.array([x[i] for x in often], np.uint64) for i in (0, 1))
+    word = totals.word(totals.hot)[_found(np.array(hot, np.uint64), w)]
+    r = np.maximum(totals.often, 1)
+    return np.where(totals.often > 0, np.log10(totals.two(r) * r), np.log10(word) + far[_found(_as_contexts(hot), h)])
+
+
 def train_and_score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> tuple[DataFrame, str]:
     """Scores of all documents by a model of those for which ``held_out`` isn't true, and the folder of the model's tables.
 
@@ -533,13 +627,16 @@ def train_and_score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     size, n = rows.agg(F.sum(F.octet_length("text") + 1), F.count(F.lit(1))).first()
     buckets = max(1, -(-(size or 0) // BUCKET_BYTES))
-    hot = _frequent(rows, buckets, min(1.0, SAMPLE_DOCS / max(n, 1))) if buckets > 1 else []
+    hot, often = _frequent(rows, buckets, min(1.0, SAMPLE_DOCS / max(n, 1))) if buckets > 1 else ([], [])
     path = path or scratch(spark, "katz")
-    counted = _counted(_dealt(rows, buckets, hot), buckets, hot)
+    counted = _counted(_dealt(rows, buckets, hot, often), buckets, hot, often)
     counted.write.partitionBy("kind").parquet(f"{path}/counted")
     tables = spark.read.schema(counted.schema).parquet(f"{path}/counted")
     kind = lambda k: tables.where(F.col("kind") == k)
-    totals = _totals(kind("stats"), len(hot))
+    totals = _totals(kind("stats"), len(hot), len(often))
+    if (totals.often > 0).any():
+        _often_rows(spark, often, hot, totals, buckets, counted.schema).write.mode("append").partitionBy("kind").parquet(f"{path}/counted")
+        tables = spark.read.schema(counted.schema).parquet(f"{path}/counted")
     totals.hot_end = np.array(hot, np.uint64) == np.uint64(END)
     schema = "q int, slot bigint, blob binary"
 
@@ -549,11 +646,17 @@ def train_and_score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([pa.array([int(unpack(b)[0][0]) for b in blobs], pa.int32()), batch.column("slot"), batch.column("blob")], names=["q", "slot", "blob"])
 
     unseen = kind("unseen").select("slot", "blob").mapInArrow(bucket_of, schema).select("q", F.lit("unseen").alias("kind"), "slot", "blob")
-    weighed = _weighed(_to_contexts(kind("bigrams"), buckets, totals).unionByName(unseen), totals)
+    weighed = _weighed(_to_contexts(kind("bigrams"), buckets, totals).unionByName(unseen), totals, hot)
     weighed.write.partitionBy("kind").parquet(f"{path}/weighed")
-    late = spark.read.schema(weighed.schema).parquet(f"{path}/weighed").where("kind = 'late'")
+    met = spark.read.schema(weighed.schema).parquet(f"{path}/weighed")
+    late = met.where("kind = 'late'")
+    far = np.zeros(len(hot))
+    for r in met.where("kind = 'hot'").select("blob").collect():  # 4 x buckets numbers at most
+        at, g = unpack(bytes(r["blob"]))
+        far[at] = g
+    gains = _gains(often, hot, totals, far)
     parts = tables.where("kind in ('docs', 'part')").unionByName(late.withColumn("ids", F.lit(None).cast(counted.schema["ids"].dataType)))
-    return _scored(parts, totals, len(hot), rows.schema["doc_id"].dataType), path
+    return _scored(parts, totals, len(hot), gains, far, rows.schema["doc_id"].dataType), path
 
 
 def bigram_rows(spark: SparkSession, path: str) -> DataFrame:

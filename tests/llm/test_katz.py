@@ -86,6 +86,35 @@ def test_scores_and_tables(spark, monkeypatch):
             assert weights[name(h)] == (ctx[h], pytest.approx(a, rel=1e-9))
 
 
+def test_one_bigram_or_context_does_not_fill_a_bucket(spark, monkeypatch):
+    """Places by bucket, for a bigram with a third of the rows, one found only in held-out texts, and a context with many unseen words."""
+    rows = [(i, "the " * 60 + " ".join(f"w{i}x{j}" for j in range(60)), False) for i in range(60)]
+    rows += [(100 + i, "qq rr " * 60 + " ".join(f"the v{i}x{j}" for j in range(60)), True) for i in range(30)]
+    rows += [(200, None, False), (None, "the the w1x1", True)]
+    monkeypatch.setattr(K, "BUCKET_BYTES", 4_000)
+    real_counted, real_weighed, places = K._counted, K._weighed, {}
+
+    def counted(dealt, *rest):
+        for r in dealt.where("kind = 'occ'").select("p", "blob").collect():
+            places["w", r.p] = places.get(("w", r.p), 0) + len(K.unpack(bytes(r.blob))[4])
+        return real_counted(dealt, *rest)
+
+    def weighed(met, *rest):
+        for r in met.where("kind = 'unseen'").select("q", "blob").collect():
+            places["h", r.q] = places.get(("h", r.q), 0) + len(K.unpack(bytes(r.blob))[3])
+        return real_weighed(met, *rest)
+
+    monkeypatch.setattr(K, "_counted", counted)
+    monkeypatch.setattr(K, "_weighed", weighed)
+    got, path = K.train_and_score(data.frame(spark, rows, "doc_id long, text string, h boolean"), F.col("h"))
+    want, (alpha, _, bi, _, _, _) = plain(rows)
+    check(got.collect(), want)
+    assert sum(r.n for r in K.bigram_rows(spark, path).collect()) == sum(bi.values())
+    assert K.bigram_rows(spark, path).count() == len(bi) and K.context_rows(spark, path).count() == len(alpha)
+    tokens = sum(r[2] for r in want)
+    assert max(places.values()) < tokens / 12
+
+
 def test_every_context_sums_to_one():
     _, (alpha, _, _, uni, p, _) = plain(rows_of(data.documents(60)))
     for h in list(alpha)[:40] + [b"never seen"]:
