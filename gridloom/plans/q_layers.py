@@ -20,7 +20,7 @@ from gridloom.sources.tables import Tables
 # Zoom bands of the admin layer (zoom from, zoom below, rung) and the area of a large building
 ADMIN_BANDS = [(0, 6, 4), (6, 8, 6), (8, 10, 8), (10, 12, 10), (12, 14, 12), (14, 99, 14)]
 LARGE_BUILDING = 10000
-ZOOMS = (3, 12)  # the zooms these queries seed
+ZOOMS = (3, 12)  # the zooms these queries seed, unless asked for others
 
 _RING_AREA = """ring_area AS (
   SELECT osm_id, ring, abs(sum(x * ny - nx * y)) / 2.0 AS a
@@ -45,31 +45,31 @@ def _gated(features, min_zoom, zooms=ZOOMS):
 feats AS (SELECT 'places' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS maxx, y AS maxy, {NAME_SQL} AS name, subclass,
                  osm_id % 11 AS scalerank FROM label_pts, {_ZS} WHERE osm_id % 8 <= z)""", cover_sql("feats", BUF)) + """
 SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, name, subclass, scalerank FROM hits""")
-def q_places(spark, d):
+def q_places(spark, d, zooms=ZOOMS):
     """world.places: names by min_zoom; O3: scalerank is the draw order in the tile (a column, so no tile is sorted alone)."""
     p = FX.label_points(Tables(spark, d))
     p = p.select(F.col("osm_id").alias("gid"), A.name_fallback().alias("name"), "subclass", (F.col("osm_id") % 11).alias("scalerank"),
                  F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"), F.col("y").alias("maxy"))
-    return tile_rows(_gated(p, F.col("gid") % 8), None, BUF).select("z", "x", "y", "gid", "name", "subclass", "scalerank")
+    return tile_rows(_gated(p, F.col("gid") % 8, zooms), None, BUF).select("z", "x", "y", "gid", "name", "subclass", "scalerank")
 
 
 @query("world_urban_areas", OF.with_(OF.POLY, _RING_AREA, f"""
 feats AS (SELECT 'urban' AS layer, osm_id AS fid, z, minx, miny, maxx, maxy FROM pbox, {_ZS} WHERE osm_id % 9 <= z)""", cover_sql("feats", BUF)) + """
 SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid FROM hits""")
-def q_urban_areas(spark, d):
+def q_urban_areas(spark, d, zooms=ZOOMS):
     """world.urban_areas: areas by min_zoom."""
     p = FX.polygons(Tables(spark, d)).select(F.col("osm_id").alias("gid"), *_box())
-    return tile_rows(_gated(p, F.col("gid") % 9), None, BUF).select("z", "x", "y", "gid")
+    return tile_rows(_gated(p, F.col("gid") % 9, zooms), None, BUF).select("z", "x", "y", "gid")
 
 
 @query("buildings_large", OF.with_(OF.POLY, _RING_AREA, f"""
 feats AS (SELECT 'large' AS layer, osm_id AS fid, z, minx, miny, maxx, maxy FROM pbox JOIN parea USING (osm_id), {_ZS}
           WHERE area > {LARGE_BUILDING})""", cover_sql("feats", BUF)) + """
 SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid FROM hits""")
-def q_buildings_large(spark, d):
+def q_buildings_large(spark, d, zooms=ZOOMS):
     """osm.buildings-large: buildings of more than 10,000 square metres."""
     p = FX.polygons(Tables(spark, d)).where(G.area("geom") > LARGE_BUILDING).select(F.col("osm_id").alias("gid"), *_box())
-    p = features_at_zooms(p, [(z, 0) for z in range(ZOOMS[0], ZOOMS[1] + 1)], None)
+    p = features_at_zooms(p, [(z, 0) for z in range(zooms[0], zooms[1] + 1)], None)
     return tile_rows(p, None, BUF).select("z", "x", "y", "gid")
 
 
@@ -77,11 +77,11 @@ def q_buildings_large(spark, d):
 feats AS (SELECT 'admin' AS layer, fid, z, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy FROM line_verts, {_ZS} GROUP BY fid, z)""",
     cover_sql("feats", BUF)) + """
 SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, 'A' || (fid % 17) AS ref, CAST(fid % 10 + 1 AS INTEGER) AS level FROM hits""")
-def q_osm_admin(spark, d):
+def q_osm_admin(spark, d, zooms=ZOOMS):
     """S15 osm.admin: a layer that is a table as it stands (id, geometry, ref, level)."""
     ln = lines(Tables(spark, d)).select(F.col("fid").alias("gid"), F.concat(F.lit("A"), (F.col("fid") % 17).cast("string")).alias("ref"),
                                         (F.col("fid") % 10 + 1).cast("int").alias("level"), *_box())
-    ln = features_at_zooms(ln, [(z, 0) for z in range(ZOOMS[0], ZOOMS[1] + 1)], None)
+    ln = features_at_zooms(ln, [(z, 0) for z in range(zooms[0], zooms[1] + 1)], None)
     return tile_rows(ln, None, BUF).select("z", "x", "y", "gid", "ref", "level")
 
 
@@ -96,11 +96,11 @@ feats AS (SELECT 'admin' AS layer, r.fid, zg.z, min(v.x) AS minx, min(v.y) AS mi
           FROM rungs r JOIN zg ON zg.gen = r.gen JOIN line_verts v ON v.fid = r.fid JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq
           WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect GROUP BY r.fid, zg.z),""" + cover_sql("feats", BUF) + """
 SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, admin_level, maritime FROM hits""")
-def q_admin_bands(spark, d):
+def q_admin_bands(spark, d, zooms=ZOOMS):
     """world.admin: each zoom serves its rung of the border ladder."""
     ln = lines(Tables(spark, d)).withColumns({"admin_level": (F.col("fid") % 10 + 1).cast("int"), "maritime": F.col("fid") % 5 == 0})
     lr = ladder_rings(ln, [Rung(g, tol, F.expr(c)) for g, tol, c in BORDER_RUNGS])
     rb = lr.select("gen", F.col("fid").alias("gid"), *_box(G.line_geom(F.col("verts"))))
-    rb = features_at_zooms(rb, zoom_rungs(*ZOOMS, ADMIN_BANDS)).withColumns(
+    rb = features_at_zooms(rb, zoom_rungs(*zooms, ADMIN_BANDS)).withColumns(
         {"admin_level": (F.col("gid") % 10 + 1).cast("int"), "maritime": F.col("gid") % 5 == 0})
     return tile_rows(rb, None, BUF).select("z", "x", "y", "gid", "admin_level", "maritime")

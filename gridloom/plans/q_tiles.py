@@ -46,10 +46,10 @@ feats AS (SELECT 'poi' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS ma
           FROM poi, (SELECT unnest(range(10, 15)) AS z) zs)""", cover_sql("feats", 0.0)) + f"""
 SELECT fid AS osm_id, CAST(z AS INTEGER) AS z, x, y, round(-{E} + x * s, 3) AS tminx, round({E} - y * s, 3) AS tmaxy
 FROM hits""")
-def q_tile_cover(spark, d):
+def q_tile_cover(spark, d, zooms=(10, 14)):
     p = FX.poi_points(Tables(spark, d)).select("osm_id", F.col("x").alias("minx"), F.col("y").alias("miny"),
                                               F.col("x").alias("maxx"), F.col("y").alias("maxy"))
-    p = p.withColumn("z", F.explode(F.sequence(F.lit(10), F.lit(14))))
+    p = p.withColumn("z", F.explode(F.sequence(F.lit(zooms[0]), F.lit(zooms[1]))))
     hits = tile_join(p, None, 0.0)
     tb = tile_bounds()
     return hits.select("osm_id", "z", "x", "y", F.round(tb["tminx"], 3).alias("tminx"),
@@ -174,11 +174,11 @@ SELECT * FROM (
   SELECT CAST(z AS INTEGER) AS z, x, y, fid AS osm_id,
          CAST(row_number() OVER (PARTITION BY z, x, y ORDER BY pop DESC NULLS LAST, name NULLS LAST, fid) AS INTEGER) AS rank
   FROM hits) WHERE rank <= {TOPK}""")
-def q_tile_topk(spark, d):
+def q_tile_topk(spark, d, zooms=(7, 9)):
     lab = FX.label_points(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "pop", "name",
                                                    F.col("x").alias("minx"), F.col("y").alias("miny"),
                                                    F.col("x").alias("maxx"), F.col("y").alias("maxy"))
-    lab = features_at_zooms(lab, [(z, 0) for z in range(7, 10)], None)
+    lab = features_at_zooms(lab, [(z, 0) for z in range(zooms[0], zooms[1] + 1)], None)
     hits = tile_join(lab, None, BUF)
     top = top_k_per_tile(hits, TOPK, [F.col("pop").desc_nulls_last(), F.col("name").asc_nulls_last(), F.col("fid")], id_col="fid")
     return top.select(F.col("z").cast("int").alias("z"), "x", "y", F.col("fid").alias("osm_id"),

@@ -77,12 +77,12 @@ SELECT gid, name, subclass, scalerank, minzoom, z, src_key FROM (
   SELECT row_number() OVER (ORDER BY src, src_key) AS gid, """ + NAME_SQL + """ AS name, featurecla AS subclass,
          scalerank, min_zoom AS minzoom, src_key FROM u) n, (SELECT unnest(range(0, 9)) AS z) zs
 WHERE minzoom <= z""")
-def q_lakes(spark, d):
-    """S19 lakes union + the ``world.lakes`` layer gate (minzoom <= z, P9)."""
+def q_lakes(spark, d, zooms=(0, 8)):
+    """S19 lakes union + the ``world.lakes`` layer gate (minzoom <= z, P9) at the zooms from, to."""
     u = typed_union(lake_sources(Tables(spark, d)), LAKE_SCHEMA, "src_key")
     u = u.select("gid", A.name_fallback().alias("name"), F.col("featurecla").alias("subclass"), "scalerank",
                  F.col("min_zoom").alias("minzoom"), "src_key")
-    z = u.withColumn("z", F.explode(F.sequence(F.lit(0), F.lit(8))))
+    z = u.withColumn("z", F.explode(F.sequence(F.lit(zooms[0]), F.lit(zooms[1]))))
     return z.where(F.col("minzoom") <= F.col("z")).select("gid", "name", "subclass", "scalerank", "minzoom",
                                                           F.col("z").cast("long").alias("z"), "src_key")
 
@@ -107,13 +107,12 @@ FROM water w JOIN poly_verts v ON v.osm_id = w.osm_id
 JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq, bands b
 WHERE s.sig IS NULL OR s.sig > b.tol OR s.protect
 GROUP BY b.z, v.osm_id""")
-def q_water_bands(spark, d):
+def q_water_bands(spark, d, zooms=(0, 10)):
     """U1 + P8 + T7: the ``world.water`` layer's nine zoom bands as one
-    significance pass and one rung per band (tolerance = a tile pixel)."""
+    significance pass and one rung per band (tolerance = a tile pixel), at the zooms from, to."""
     p = FX.polygons(Tables(spark, d))
     p = p.select(F.col("osm_id").alias("fid"), "geom")
-    zooms = [(z, g) for lo, hi, g in WATER_BANDS for z in range(lo, min(hi, 11))]
-    rungs = [Rung(z, band_tolerance(g)) for z, g in zooms]
+    rungs = [Rung(z, band_tolerance(g)) for lo, hi, g in WATER_BANDS for z in range(max(lo, zooms[0]), min(hi, zooms[1] + 1))]
     lr = ladder_rings(p, rungs)
     return lr.groupBy("gen", "fid").agg(F.sum(F.size("verts")).cast("int").alias("nv")).select(
         F.col("gen").cast("int").alias("z"), F.col("fid").alias("osm_id"), "nv")
