@@ -153,15 +153,18 @@ SELECT CAST(z AS INTEGER) AS z, x, y, layer, count(*) AS n FROM hits_all h
 WHERE EXISTS (SELECT 1 FROM hits_changed c WHERE c.z = h.z AND c.x = h.x AND c.y = h.y)
 GROUP BY z, x, y, layer""")
 def q_stream_reseed(spark, d):
-    """A tenth of the label features land as changed, in two files; a streaming
-    query re-seeds the tiles they touch at zooms 9-14 in two micro-batches, each
+    """A tenth of the label features land as changed, in two sets of files; a streaming
+    query re-seeds the tiles they touch at zooms 9-14 in micro-batches of as many files as the larger set has, each
     tile from all features that meet it."""
     base = _scratch(spark, "reseed")
     src, sink, ck = base + "/changed", base + "/tiles", base + "/_checkpoint"
     boxes = _label_boxes(Tables(spark, d))
+    files = [0]
     for part in range(2):
-        boxes.where(F.col("fid") % 20 == part).coalesce(1).write.mode("append").parquet(src)
-    q = start_reseed(spark, src, boxes.schema, lambda: boxes, sink, ck, _RESEED_ZOOMS, _BUF, files_per_batch=1)
+        boxes.where(F.col("fid") % 20 == part).write.mode("append").parquet(src)
+        files.append(len(spark.read.schema(boxes.schema).parquet(src).inputFiles()))
+    per_batch = max(1, *(b - a for a, b in zip(files, files[1:], strict=False)))
+    q = start_reseed(spark, src, boxes.schema, lambda: boxes, sink, ck, _RESEED_ZOOMS, _BUF, files_per_batch=per_batch)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
