@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from gridloom.llm.words import numbered, packed, pieces, stored, texts_of, tidy
 
@@ -128,64 +129,117 @@ def suffixes(rows: DataFrame, least: int, k: int) -> DataFrame:
     return rows.select("key", "doc_id", "text").mapInArrow(run, schema)
 
 
+HOLD = 1 << 17  # rows of an open run held back before it is sent on unsettled
+NEAR, OPEN, SEEN = 0, 1, 2  # settled suffix, suffix of an unsettled run, what a task has seen of such a run
+
+
+def _runs(table: pa.Table, schema, settled: bool) -> pa.Table:
+    """Judge whole runs (``settled``), or pass rows on with a summary of each of their runs, to be judged later."""
+    h, s, key, a = (table[c].to_numpy() for c in ("h", "s", "key", "a"))
+    new_h = np.ones(len(h), bool)
+    new_h[1:] = h[1:] != h[:-1]
+    new_s = new_h.copy()
+    new_s[1:] |= s[1:] != s[:-1]
+    head_s = np.flatnonzero(new_s)
+    if not settled:
+        last = np.append(head_s[1:], len(h)) - 1
+        ends = [table.take(pa.array(at)) for at in (head_s, last)]
+        out = table
+        for name in ("f_doc", "f_key", "f_a", "many", "other"):
+            out = out.append_column(schema.field(name), pa.nulls(len(h), schema.field(name).type))
+        out = out.append_column("kind", pa.array(np.full(len(h), OPEN, np.int32)))
+        seen = ends[0].append_column(schema.field("f_doc"), ends[1]["doc_id"]).append_column("f_key", ends[1]["key"]).append_column("f_a", ends[1]["a"])
+        none = pa.nulls(len(head_s), pa.bool_())
+        seen = seen.append_column("many", none).append_column("other", none).append_column("kind", pa.array(np.full(len(head_s), SEEN, np.int32)))
+        return pa.concat_tables([out, seen])
+    new_place = new_s.copy()  # repeated rows are one place
+    new_place[1:] |= (key[1:] != key[:-1]) | (a[1:] != a[:-1])
+    head_h = np.flatnonzero(new_h)
+    of_h = np.cumsum(new_h, dtype=np.int32) - 1
+    keep = np.flatnonzero((np.add.reduceat(new_place, head_h, dtype=np.int32) > 1)[of_h])
+    other = (np.add.reduceat(new_s, head_h, dtype=np.int32) > 1)[of_h[keep]]
+    of_s = (np.cumsum(new_s, dtype=np.int32) - 1)[keep]
+    many = (np.add.reduceat(new_place, head_s, dtype=np.int32) > 1)[of_s]
+    first = table.select(["doc_id", "key", "a"]).take(pa.array(head_s[of_s]))
+    out = table.take(pa.array(keep))
+    for name, col in (("f_doc", first["doc_id"]), ("f_key", first["key"]), ("f_a", first["a"]), ("many", pa.array(many)), ("other", pa.array(other)), ("kind", pa.array(np.full(len(keep), NEAR, np.int32)))):
+        out = out.append_column(name, col)
+    return out
+
+
+def neighbours(batches, schema, hold: int):
+    """Judge the suffixes of one sorted range piece by piece, with the last run of each piece held back.
+
+    The first and the last run of a range may go on in the next one, and a run of more than ``hold`` rows isn't
+    held: these leave unsettled, with a summary for each piece. Memory is bounded by piece and ``hold``.
+    """
+    held, loose = None, None  # the open run; the first words whose run leaves unsettled
+    for table in pieces(batches, 4 << 20):
+        table = table if held is None else pa.concat_tables([held, table])
+        h = table["h"].to_numpy()
+        if loose is None:
+            loose = h[0]  # the first run of the range
+        start = int(np.searchsorted(h != loose, True)) if h[0] == loose else 0
+        if start:
+            yield _runs(table.slice(0, start), schema, False)
+        if start == len(h):
+            held = None
+            continue
+        last = int(np.flatnonzero(h != h[-1])[-1]) + 1 if h[-1] != h[start] else start
+        if last > start:
+            yield _runs(table.slice(start, last - start), schema, True)
+        held = table.slice(last)
+        if len(held) > hold:
+            yield _runs(held, schema, False)
+            loose, held = h[-1], None
+        else:
+            held = pa.Table.from_batches(held.combine_chunks().to_batches())
+    if held is not None:
+        yield _runs(held, schema, False)
+    tidy()
+
+
 def compared(found: DataFrame) -> DataFrame:
     """Suffixes whose first words stand at two places or more, with the first place of their run (f_doc, f_key, f_a),
     whether the run has several places (many) and whether other runs share the first words (other)."""
     order = ["h", "s", "doc_id", "key", "a"]
-    schema = T.StructType([*found.schema.fields, T.StructField("f_doc", found.schema["doc_id"].dataType), T.StructField("f_key", T.LongType()), T.StructField("f_a", T.IntegerType()),
-                           T.StructField("many", T.BooleanType()), T.StructField("other", T.BooleanType()), T.StructField("edge", T.BooleanType())])
+    extra = [T.StructField("f_doc", found.schema["doc_id"].dataType), T.StructField("f_key", T.LongType()), T.StructField("f_a", T.IntegerType()),
+             T.StructField("many", T.BooleanType()), T.StructField("other", T.BooleanType()), T.StructField("kind", T.IntegerType())]
+    schema = T.StructType([*found.schema.fields, *extra])
 
     def run(batches):
-        held = [b for b in batches if b.num_rows]  # one range: its size is set by the partitioning
-        if not held:
-            return
-        table = pa.Table.from_batches(held).combine_chunks()
-        h, s = table["h"].to_numpy(), table["s"].to_numpy()
-        key, a = table["key"].to_numpy(), table["a"].to_numpy()
-        n = len(h)
-
-        def groups(new):
-            head = np.flatnonzero(new)
-            return head, np.cumsum(new) - 1, np.diff(np.append(head, n))
-
-        new_h = np.ones(n, bool)
-        new_h[1:] = h[1:] != h[:-1]
-        new_s = new_h.copy()
-        new_s[1:] |= s[1:] != s[:-1]
-        new_place = new_s.copy()  # repeated rows are one place
-        new_place[1:] |= (key[1:] != key[:-1]) | (a[1:] != a[:-1])
-        head_h, of_h, _ = groups(new_h)
-        head_s, of_s, _ = groups(new_s)
-        places = np.add.reduceat(new_place.astype(np.int64), head_s)
-        all_places = np.add.reduceat(new_place.astype(np.int64), head_h)
-        kinds = np.add.reduceat(new_s.astype(np.int64), head_h)
-        edge = (of_s == 0) | (of_s == of_s[-1])  # may go on in the next range
-        keep = edge | (all_places[of_h] > 1)
-        first = table.select(["doc_id", "key", "a"]).take(pa.array(head_s[of_s][keep]))
-        out = table.filter(pa.array(keep))
-        for name, col in (("f_doc", first["doc_id"]), ("f_key", first["key"]), ("f_a", first["a"]), ("many", pa.array(places[of_s][keep] > 1)), ("other", pa.array(kinds[of_h][keep] > 1)), ("edge", pa.array(edge[keep]))):
-            out = out.append_column(name, col)
-        yield from out.combine_chunks().to_batches(max_chunksize=1 << 17)
+        schema_ = to_arrow_schema(schema)
+        for table in neighbours(batches, schema_, HOLD):
+            yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
 
     done = stored(found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "suffix-neighbours")
-    # the first and last run of each range, put together: two of them a range at most
-    place = F.struct("doc_id", "key", "a")
-    runs = done.where("edge").groupBy("h", "s").agg(F.min(place).alias("_f"), F.max(place).alias("_l"), F.max("other").alias("_o"))
-    heads = runs.groupBy("h").agg(((F.count(F.lit(1)) > 1) | F.max("_o")).alias("_other"))
-    ends = stored(runs.join(heads, "h").select("h", "s", "_f", (F.col("_f") != F.col("_l")).alias("_many"), "_other"), "suffix-edges")
-    joined = done.join(ends, ["h", "s"], "left")
-    met = F.col("_f").isNotNull()
-    new = {"f_doc": "_f.doc_id", "f_key": "_f.key", "f_a": "_f.a", "many": "_many", "other": "_other"}
-    return joined.select(*found.columns, *[F.when(met, F.col(e)).otherwise(F.col(c)).alias(c) for c, e in new.items()]).where("many or other")
+    # runs that left unsettled, put together from what their tasks have seen of them
+    place, last = F.struct("doc_id", "key", "a"), F.struct(F.col("f_doc").alias("doc_id"), F.col("f_key").alias("key"), F.col("f_a").alias("a"))
+    runs = done.where(F.col("kind") == SEEN).groupBy("h", "s").agg(F.min(place).alias("_f"), F.max(last).alias("_l"))
+    heads = runs.groupBy("h").agg((F.count(F.lit(1)) > 1).alias("_other"))
+    ends = stored(runs.join(heads, "h").select("h", "s", "_f", (F.col("_f") != F.col("_l")).alias("_many"), "_other").where("_many or _other"), "suffix-edges")
+    late = done.where(F.col("kind") == OPEN).select(*found.columns).join(ends, ["h", "s"]).select(
+        *found.columns, F.col("_f.doc_id").alias("f_doc"), F.col("_f.key").alias("f_key"), F.col("_f.a").alias("f_a"), F.col("_many").alias("many"), F.col("_other").alias("other"))
+    return done.where((F.col("kind") == NEAR) & (F.col("many") | F.col("other"))).select(*late.columns).unionAll(late)
+
+
+def numbered_suffixes(near: DataFrame) -> DataFrame:
+    """(u, key, s, a, n): one suffix of each run that shares its first words with others, numbered in order of place.
+
+    64 u + i is thus one number for the place of window i, in the same order as (doc_id, key, word).
+    """
+    first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("key") == F.col("f_key")) & (F.col("a") == F.col("f_a"))
+    order = ["doc_id", "key", "a"]
+    wanted = near.where(F.col("other") & first).select(*order, "s", "n").distinct()
+    return stored(wanted.repartitionByRange(*order).sortWithinPartitions(*order).select(F.monotonically_increasing_id().alias("u"), "key", "s", "a", "n"), "suffix-wanted")
 
 
 def extended(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """(w, s, i, doc_id, key, at): hash of each window of the suffixes ``wanted`` (key, s, a, n), read from the texts."""
-    per_doc = wanted.groupBy("key").agg(F.collect_set(F.struct("s", "a", "n")).alias("_todo"))  # no more than a text's own suffixes
-    joined = rows.join(per_doc, "key").select("key", "doc_id", "text", "_todo")
-    schema = T.StructType([
-        T.StructField("w", T.LongType()), T.StructField("s", T.LongType()), T.StructField("i", T.IntegerType()), T.StructField("doc_id", rows.schema["doc_id"].dataType),
-        T.StructField("key", T.LongType()), T.StructField("at", T.IntegerType())])
+    """(w, p): hash and place of each window of the suffixes ``wanted`` (u, key, a, n), read from the texts."""
+    per_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("u", "a", "n")).alias("_todo"))  # no more than a text's own suffixes
+    # the lists are the smaller side; hashed, so that the texts needn't be sorted
+    joined = rows.select("key", "text").join(per_doc.hint("shuffle_hash"), "key").select("text", "_todo")
+    schema = T.StructType([T.StructField("w", T.LongType()), T.StructField("p", T.LongType())])
 
     def run(batches):
         for table in pieces(batches, 2 << 20):
@@ -194,14 +248,14 @@ def extended(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
             todo = todo if isinstance(todo, pa.Array) else pa.concat_arrays(todo.chunks)
             text = np.repeat(np.arange(len(todo)), todo.value_lengths().to_numpy())
             flat = todo.flatten()
-            s, a, n = (flat.field(x).to_numpy() for x in range(3))
-            row = np.repeat(np.arange(len(n)), n)
-            i = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            at = a[row] + i
-            own = table.select(["doc_id", "key"]).take(pa.array(text[row]))
-            w = hashed(hashed.starts[text[row]] + at, least).view(np.int64)
-            made = pa.Table.from_arrays([pa.array(w), pa.array(s[row]), pa.array(i.astype(np.int32)), own["doc_id"], own["key"], pa.array(at.astype(np.int32))], names=schema.names)
-            yield from made.combine_chunks().to_batches(max_chunksize=1 << 17)
+            u, a, n = (flat.field(x).to_numpy() for x in range(3))
+            for lo in range(0, len(n), 4096):
+                own = slice(lo, lo + 4096)
+                size = n[own].astype(np.int64)
+                row = np.repeat(np.arange(len(size)), size)
+                i = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+                w = hashed((hashed.starts[text[own]] + a[own])[row] + i, least).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(u[own][row] * 64 + i)], names=schema.names)
 
     return joined.mapInArrow(run, schema)
 
@@ -210,34 +264,41 @@ def repeated_windows(rows: DataFrame, least: int = LEAST, k: int = K) -> DataFra
     """(doc_id, key, a, lose, keep) of each retained suffix with repeated windows: bit i tells of the window at word a + i."""
     found = stored(suffixes(rows, least, k), "suffixes")
     near = stored(compared(found), "suffix-runs")
-    first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("key") == F.col("f_key")) & (F.col("a") == F.col("f_a"))
-    windows = stored(extended(rows, near.where(F.col("other") & first).select("key", "s", "a", "n").distinct(), least), "suffix-windows")
-    place = F.struct("doc_id", "key", "at")
+    wanted = numbered_suffixes(near)
+    windows = stored(extended(rows, wanted, least), "suffix-windows")
     # both are written, so that the joins below are plain ones, whose hot keys Spark can split
-    twice = stored(windows.groupBy("w").agg(F.min(place).alias("_f"), F.max(place).alias("_l")).where("_f <> _l").select(F.col("w").alias("_w"), "_f"), "suffix-twice")
-    bit = F.expr("shiftleft(1L, i)")
-    marked = stored(
-        windows.join(twice, windows["w"] == twice["_w"]).groupBy(F.col("s").alias("_s"))
-        .agg(F.bit_or(bit).alias("_all"), F.bit_or(F.when(place == F.col("_f"), bit).otherwise(F.lit(0).cast("bigint"))).alias("_first")), "suffix-marks")
+    twice = stored(windows.groupBy("w").agg(F.min("p").alias("_f"), F.max("p").alias("_l")).where("_f <> _l").select(F.col("w").alias("_w"), "_f"), "suffix-twice")
+    bit, none = F.expr("shiftleft(1L, cast(p & 63 as int))"), F.lit(0).cast("bigint")
+    marked = windows.join(twice, windows["w"] == twice["_w"]).groupBy(F.expr("shiftright(p, 6)").alias("u")).agg(
+        F.bit_or(bit).alias("_all"), F.bit_or(F.when(F.col("p") == F.col("_f"), bit).otherwise(none)).alias("_first"))
+    marked = stored(marked.join(wanted.select("u", F.col("s").alias("_s")), "u").select("_s", "_all", "_first"), "suffix-marks")
     joined = near.join(marked, near["s"] == marked["_s"], "left")
+    first = F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("key") == F.col("f_key")) & (F.col("a") == F.col("f_a"))
     full = F.expr("shiftleft(1L, n) - 1")
-    there, kept_here = F.coalesce("_all", F.lit(0).cast("bigint")), F.coalesce("_first", F.lit(0).cast("bigint"))
+    there, kept_here = F.coalesce("_all", none), F.coalesce("_first", none)
     again = F.when(F.col("many"), full).otherwise(there)
-    keeps = F.when(first, kept_here.bitwiseOR(full.bitwiseAND(F.bitwise_not(there)))).otherwise(F.lit(0).cast("bigint"))
+    keeps = F.when(first, kept_here.bitwiseOR(full.bitwiseAND(F.bitwise_not(there)))).otherwise(none)
     out = joined.select("doc_id", "key", "a", again.bitwiseAND(F.bitwise_not(keeps)).alias("lose"), again.bitwiseAND(keeps).alias("keep"))
     return out.where("lose <> 0 or keep <> 0")
 
 
-def _spans(places: list[dict], field: str, least: int) -> list[tuple[int, int]]:
-    """Union of the windows whose bits are set, as (first word, words)."""
-    at = sorted(p["a"] + i for p in places for i in range(64) if p[field] >> i & 1)
-    out: list[tuple[int, int]] = []
-    for x in at:
-        if out and x <= out[-1][0] + out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], x + least - out[-1][0]))
-        else:
-            out.append((x, least))
-    return out
+def spans_of(owner: np.ndarray, a: np.ndarray, bits: np.ndarray, owners: int, least: int) -> pa.Array:
+    """Each owner's union of the windows whose bits are set, as a list of (first word, words)."""
+    own, at = [], []
+    for lo in range(0, len(bits), 1 << 14):
+        part = slice(lo, lo + (1 << 14))
+        row, i = np.nonzero(np.unpackbits(bits[part].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        own.append(owner[part][row])
+        at.append(a[part][row] + i)
+    own, at = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (own, at))
+    by = np.lexsort((at, own))
+    own, at = own[by], at[by]
+    new = np.ones(len(at), bool)
+    new[1:] = (own[1:] != own[:-1]) | (at[1:] > at[:-1] + least)
+    head = np.flatnonzero(new)
+    last = np.append(head[1:], len(at)) - 1
+    values = pa.StructArray.from_arrays([pa.array(at[head].astype(np.int32)), pa.array((at[last] + least - at[head]).astype(np.int32))], names=["first_word", "n"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(own[head], np.arange(owners + 1)).astype(np.int32)), values)
 
 
 SPANS = "array<struct<first_word:int,n:int>>"
@@ -247,12 +308,15 @@ def passages(rows: DataFrame, least: int = LEAST, k: int = K) -> DataFrame:
     """(key, doc_id, lose, keep) of each document with repeated passages: word spans that it loses, and that it keeps as the first."""
     marks = repeated_windows(rows, least, k).groupBy("key", "doc_id").agg(F.collect_set(F.struct("a", "lose", "keep")).alias("_m"))
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("doc_id", rows.schema["doc_id"].dataType), *T._parse_datatype_string(f"lose {SPANS}, keep {SPANS}").fields])
-    kind = pa.list_(pa.struct([("first_word", pa.int32()), ("n", pa.int32())]))
 
     def run(batches):
-        for batch in batches:
-            cols = [[[{"first_word": x, "n": y} for x, y in _spans(m, f, least)] for m in batch.column("_m").to_pylist()] for f in ("lose", "keep")]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), *(pa.array(c, kind) for c in cols)], names=schema.names)
+        for table in pieces(batches, 2 << 20):
+            for batch in table.combine_chunks().to_batches():
+                marks_ = batch.column("_m")
+                owner = np.repeat(np.arange(len(marks_)), marks_.value_lengths().to_numpy())
+                a, lose, keep = (marks_.flatten().field(x).to_numpy() for x in range(3))
+                cols = [spans_of(owner, a.astype(np.int64), x, len(marks_), least) for x in (lose, keep)]
+                yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), *cols], names=schema.names)
 
     return marks.mapInArrow(run, schema)
 
@@ -287,17 +351,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     schema = T.StructType([T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(names)])
 
     def run(batches):
-        for batch in batches:
-            cols = [batch.column(f"c{i}") for i in range(len(names))]
-            hit = np.flatnonzero(batch.column("lose").is_valid().to_numpy(zero_copy_only=False))
-            if len(hit):
-                texts = cols[place].to_pylist()
-                spans = batch.column("lose").take(pa.array(hit)).to_pylist()
-                for i, own in zip(hit.tolist(), spans, strict=True):
-                    texts[i] = _cut(texts[i], own)
-                cols[place] = pa.array(texts, cols[place].type)
-            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-        tidy()
+        for table in pieces(batches, 4 << 20):
+            for batch in table.to_batches():
+                cols = [batch.column(f"c{i}") for i in range(len(names))]
+                lose = batch.column("lose")
+                if lose.null_count < len(lose):
+                    texts = cols[place]
+                    cols[place] = pa.array((_cut(texts[i].as_py(), x) if (x := lose[i].as_py()) else texts[i].as_py() for i in range(len(texts))), texts.type)
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return joined.mapInArrow(run, schema).toDF(*names)
 

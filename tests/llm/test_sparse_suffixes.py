@@ -41,6 +41,14 @@ def test_against_all_windows(spark, least, k):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_runs_that_are_not_held(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOLD", 3)
+    rows = data.hard_texts() + [(9000 + i, "one line that very many texts have " * 9 + f"and {i}") for i in range(60)]
+    lose, keep = places(rows, 12)
+    want = {(d, *s, f) for m, f in ((lose, False), (keep, True)) for d, x in m.items() for s in spans(x, 12)}
+    assert {tuple(r) for r in S.repeated_passages(data.frame(spark, rows), least=12, k=3).collect()} == want
+
+
 def test_cutting(spark):
     rows = data.hard_texts()
     lose, _ = places(rows, 50)
