@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import katz, latent_leaks, licence_rules, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
+from gridloom.llm import katz, latent_leaks, licence_rules, merkle, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
 from gridloom.llm.words import lean, scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
@@ -91,6 +91,19 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, labelled)
 
 
+def op13_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof, and the root that the leaf leads to where a seventh are tampered with."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [docs[c] for c in docs.columns]
+    changed = [docs[c] + 1 if c == "n_chars" else docs[c] for c in docs.columns]
+    tampered = F.coalesce(F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    leaves = docs.select("doc_id", "lang", merkle.leaf(fields).alias("leaf"), F.when(tampered, merkle.leaf(changed)).alias("other"))
+    proved = merkle.prove(leaves, "doc_id", "lang", "leaf")
+    folded = merkle.fold(F.coalesce("other", "leaf"), F.col("path"))
+    out = proved.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")).cast("binary"), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 OP3_SQL = """
 with p as (select page_id, coalesce(html, '') as html from pages),
      d as (select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes, sha1(html) as payload_digest from p),
@@ -100,11 +113,66 @@ select page_id, payload_bytes, payload_digest, case when again then 'revisit' el
        case when again then top end as refers_to from g
 """
 
+OP13_SQL = """
+with recursive
+bits(b, k, c) as (
+    select b, 0, b from range(256) t(b)
+    union all select b, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from bits where k < 8),
+crc_table as (select b, c from bits where k = 8),
+d as (
+    select row_number() over () as r, doc_id, lang, cast(doc_id as varchar) as id_text,
+           coalesce(strlen(cast(doc_id as varchar)) || ':' || cast(doc_id as varchar), '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as head,
+           coalesce(strlen(cast(n_chars as varchar)) || ':' || cast(n_chars as varchar), '-') as chars,
+           coalesce(strlen(cast(n_chars + 1 as varchar)) || ':' || cast(n_chars + 1 as varchar), '-') as chars_more,
+           coalesce(strlen(text) || ':' || text, '-') as body
+    from documents),
+crc(r, i, c) as (
+    select r, 0, 4294967295 from d where id_text is not null
+    union all
+    select crc.r, crc.i + 1, xor(crc.c >> 8, t.c)
+    from crc join d using (r) join crc_table t on t.b = xor(crc.c, ascii(substr(d.id_text, cast(crc.i + 1 as int), 1))) & 255
+    where crc.i < length(d.id_text)),
+hit as (select crc.r from crc join d using (r) where crc.i = length(d.id_text) and xor(crc.c, 4294967295) % 7 = 0),
+leaves as (
+    select r, doc_id, lang, sha256(head || chars || body) as leaf,
+           case when r in (select r from hit) then sha256(head || chars_more || body) else sha256(head || chars || body) end as seen from d),
+ranked as (
+    select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as p, count(*) over (partition by lang) as n from leaves),
+tree(k, lang, p, h, n) as (
+    select 0, lang, p, leaf, n from ranked
+    union all
+    select k + 1, lang, p // 2, sha256(string_agg(h, '' order by p)), (n + 1) // 2 from tree where n > 1 group by k, lang, p // 2, (n + 1) // 2),
+subroots as (
+    select lang, h, row_number() over (order by encode(lang) nulls first) - 1 as p, count(*) over () as n from tree where n = 1),
+upper_tree(k, p, h, n) as (
+    select 0, p, h, n from subroots
+    union all
+    select k + 1, p // 2, sha256(string_agg(h, '' order by p)), (n + 1) // 2 from upper_tree where n > 1 group by k, p // 2, (n + 1) // 2),
+walk(r, k, p, path, h) as (
+    select r, 0, p, '', seen from ranked
+    union all
+    select w.r, w.k + 1, w.p // 2, w.path || coalesce(s.h, ''),
+           sha256(case when w.p % 2 = 0 then w.h || coalesce(s.h, '') else s.h || w.h end)
+    from walk w join ranked d using (r) join tree t on t.k = w.k and t.lang is not distinct from d.lang and t.p = w.p and t.n > 1
+    left join tree s on s.k = w.k and s.lang is not distinct from d.lang and s.p = w.p + 1 - 2 * (w.p % 2)),
+up(r, k, p, path, h) as (
+    select w.r, 0, s.p, w.path, w.h from (select * from walk qualify row_number() over (partition by r order by k desc) = 1) w
+    join ranked d using (r) join subroots s on s.lang is not distinct from d.lang
+    union all
+    select w.r, w.k + 1, w.p // 2, w.path || coalesce(s.h, ''),
+           sha256(case when w.p % 2 = 0 then w.h || coalesce(s.h, '') else s.h || w.h end)
+    from up w join upper_tree t on t.k = w.k and t.p = w.p and t.n > 1 left join upper_tree s on s.k = w.k and s.p = w.p + 1 - 2 * (w.p % 2))
+select d.doc_id, d.leaf, s.h as subroot, t.h as root, sha256(u.path) as proof_sha256, u.h as folded_root, u.h = t.h as verified
+from (select * from up qualify row_number() over (partition by r order by k desc) = 1) u
+join ranked d using (r) join subroots s on s.lang is not distinct from d.lang join upper_tree t on t.n = 1
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op6_katz, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules)}
+        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op6_katz, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules, op13_merkle_rollup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_seekable_warc": OP3_SQL, "op5_licence_rules": licence_rules.sql()}
+    return {"op3_seekable_warc": OP3_SQL, "op5_licence_rules": licence_rules.sql(), "op13_merkle_rollup": OP13_SQL}
