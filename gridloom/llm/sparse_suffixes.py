@@ -218,9 +218,10 @@ def compared(found: DataFrame) -> DataFrame:
     runs = done.where(F.col("kind") == SEEN).groupBy("h", "s").agg(F.min(place).alias("_f"), F.max(last).alias("_l"))
     heads = runs.groupBy("h").agg((F.count(F.lit(1)) > 1).alias("_other"))
     ends = stored(runs.join(heads, "h").select("h", "s", "_f", (F.col("_f") != F.col("_l")).alias("_many"), "_other").where("_many or _other"), "suffix-edges")
-    late = done.where(F.col("kind") == OPEN).select(*found.columns).join(ends, ["h", "s"]).select(
-        *found.columns, F.col("_f.doc_id").alias("f_doc"), F.col("_f.key").alias("f_key"), F.col("_f.a").alias("f_a"), F.col("_many").alias("many"), F.col("_other").alias("other"))
-    return done.where((F.col("kind") == NEAR) & (F.col("many") | F.col("other"))).select(*late.columns).unionAll(late)
+    # settled runs have no row in ``ends``, which is small: two runs of each range, and the long ones
+    joined, late = done.where(F.col("kind") != SEEN).join(ends, ["h", "s"], "left"), F.col("kind") == OPEN
+    new = {"f_doc": "_f.doc_id", "f_key": "_f.key", "f_a": "_f.a", "many": "_many", "other": "_other"}
+    return joined.select(*found.columns, *[F.when(late, F.col(e)).otherwise(F.col(c)).alias(c) for c, e in new.items()]).where("many or other")
 
 
 def numbered_suffixes(near: DataFrame) -> DataFrame:
