@@ -13,7 +13,8 @@ Re-aimed as a morphological closing per feature on a grid of side ``cell``:
 
 The closed area is (cells kept) x cell^2. This approximates the exact buffer
 pair at cell resolution (holes narrower than the disk close, concave notches
-fill); the outline is not rebuilt as a polygon.
+fill). ``row_runs`` stops at runs of cells; ``operators.outline`` closes those, at a cost
+that follows the outline, and traces them back into polygons.
 """
 
 from __future__ import annotations
@@ -39,8 +40,8 @@ def _range(a: Column, b: Column) -> Column:
     return F.when(b >= a, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
 
 
-def rasterize(polys: DataFrame, cell: float, fid: str = "fid", spread: int | None = None) -> DataFrame:
-    """(fid, geom Polygon) -> (fid, cx, cy) cells whose centre is inside.
+def row_runs(polys: DataFrame, cell: float, fid: str = "fid", spread: int | None = None) -> DataFrame:
+    """(fid, geom Polygon) -> (fid, cy, c0, c1) runs of cells whose centre is inside.
 
     Edge-driven, so no row ever carries a whole ring: every edge explodes to
     the cell rows whose centre line it crosses (half-open: the lower end
@@ -71,7 +72,13 @@ def rasterize(polys: DataFrame, cell: float, fid: str = "fid", spread: int | Non
     right = F.element_at("_xs", (2 * F.col("_j") + 2).cast("int"))
     c0 = F.ceil(left / cell - 0.5)
     c1 = F.ceil(right / cell - 0.5) - 1
-    return runs.select(fid, "cy", F.explode(_range(c0, c1)).alias("cx"))
+    return runs.select(fid, "cy", c0.cast("bigint").alias("c0"), c1.cast("bigint").alias("c1")).where("c1 >= c0")
+
+
+def rasterize(polys: DataFrame, cell: float, fid: str = "fid", spread: int | None = None) -> DataFrame:
+    """(fid, geom Polygon) -> (fid, cx, cy) cells whose centre is inside."""
+    runs = row_runs(polys, cell, fid, spread)
+    return runs.select(fid, "cy", F.explode(F.sequence("c0", "c1")).alias("cx"))
 
 
 def closing(cells: DataFrame, radius: int, fid: str = "fid") -> DataFrame:

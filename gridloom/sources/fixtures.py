@@ -187,6 +187,12 @@ def polygons(t: Tables) -> DataFrame:
     )
 
 
+def grown_polygons(t: Tables, scale: float) -> DataFrame:
+    """(fid, geom) of the polygons enlarged about the origin: stand-ins for the large areas of coarse rungs."""
+    grown = F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(r, lambda v: G.vertex(v["x"] * scale, v["y"] * scale))))
+    return polygons(t).select(F.col("osm_id").alias("fid"), G.make_geom("Polygon", grown).alias("geom"))
+
+
 # ---------------------------------------------------------------- tagged elements
 
 def elements(t: Tables) -> DataFrame:
