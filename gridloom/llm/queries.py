@@ -12,10 +12,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import katz, latent_leaks, licence_rules, merkle, piece_bpe, repetition, sharding, simhash_trie, sparse_suffixes, url_rules, warc_bundles
+from gridloom.llm import (
+    collocations,
+    katz,
+    latent_leaks,
+    licence_rules,
+    merkle,
+    piece_bpe,
+    repetition,
+    sharding,
+    simhash_trie,
+    sparse_suffixes,
+    token_files,
+    url_rules,
+    warc_bundles,
+)
 from gridloom.llm.words import lean, scratch
 
 TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 SHARDS = 8
 
 
@@ -91,6 +106,18 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(pages, labelled)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two and three words."""
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to range-coded files, then read back from them."""
+    folder = scratch(spark, "token-files")
+    token_files.write_tokens(_read(spark, sf_dir, "documents"), folder, BYTE_TOKENIZER)
+    return token_files.read_tokens(spark, folder, ids=False)
+
+
 def op13_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, roots and proof, and the root that the leaf leads to where a seventh are tampered with."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
@@ -113,6 +140,40 @@ select page_id, payload_bytes, payload_digest, case when again then 'revisit' el
        case when again then top end as refers_to from g
 """
 
+OP11_SQL = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, row_number() over () as d,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+numbered as (select lang, row_number() over () as p, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+words as (select lang, p, unnest(w) as w1, unnest(range(len(w))) as i from numbered),
+ahead as (select lang, w1, lead(w1) over s as w2, lead(w1, 2) over s as w3 from words window s as (partition by p order by i)),
+one as (select lang, w1 as phrase, count(*) as n from ahead group by all),
+two as (select lang, w1, w2, count(*) as n from ahead where w2 is not null group by all),
+three as (select lang, w1, w2, w3, count(*) as n from ahead where w3 is not null group by all having count(*) >= 10),
+cuts as (
+    select lang, w1 || ' ' || w2 as phrase, 2 as words, w1, w2, null as w3, t.n as a, 1 as k, x.n as l, y.n as r
+    from two t join one x using (lang) join one y using (lang) where t.n >= 10 and x.phrase = t.w1 and y.phrase = t.w2
+    union all
+    select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 3, t.w1, t.w2, t.w3, t.n, 1, x.n, y.n
+    from three t join one x on x.lang = t.lang and x.phrase = t.w1 join two y on y.lang = t.lang and y.w1 = t.w2 and y.w2 = t.w3
+    union all
+    select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, 3, t.w1, t.w2, t.w3, t.n, 2, x.n, y.n
+    from three t join two x on x.lang = t.lang and x.w1 = t.w1 and x.w2 = t.w2 join one y on y.lang = t.lang and y.phrase = t.w3),
+scored as (
+    select *, (1000000::hugeint * a * a) // (l::hugeint * r) as score from cuts),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_parts as (
+    select lang, w1, w2, max(n) as most from (select lang, w1, w2, n from three union all select lang, w2, w3, n from three) group by all),
+kept as (
+    select s.* from weakest s left join inner_parts i on i.lang = s.lang and s.words = 2 and i.w1 = s.w1 and i.w2 = s.w2
+    where i.most is null or 100 * i.most < 50 * s.a),
+totals as (select lang, sum(n)::bigint as n from one group by lang)
+select k.lang, row_number() over (partition by k.lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, t.n, score::bigint as score
+from kept k join totals t using (lang)
+qualify rank <= 2000
+"""
+
 OP13_SQL = """
 with recursive
 bits(b, k, c) as (
@@ -171,8 +232,9 @@ join ranked d using (r) join subroots s on s.lang is not distinct from d.lang jo
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op6_katz, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules, op13_merkle_rollup)}
+        op1_jump_sharding, op2_latent_leaks, op3_seekable_warc, op4_suffix_array_repetition, op5_licence_rules, op6_katz, op7_simhash_trie, op8_sentencepiece, op9_sparse_suffixes, op10_url_rules,
+        op11_collocations, op12_token_files, op13_merkle_rollup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_seekable_warc": OP3_SQL, "op5_licence_rules": licence_rules.sql(), "op13_merkle_rollup": OP13_SQL}
+    return {"op3_seekable_warc": OP3_SQL, "op5_licence_rules": licence_rules.sql(), "op11_collocations": OP11_SQL, "op13_merkle_rollup": OP13_SQL}
