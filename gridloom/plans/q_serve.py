@@ -367,9 +367,9 @@ WATERAREA_BANDS = [(0, 9, 8)] + [(z, z + 1, z) for z in range(9, 15)] + [(15, 99
 WATERAREA_ZOOMS = (8, 15)
 
 
-def _waterarea_sql() -> str:
+def waterarea_sql(zooms: tuple[int, int]) -> str:
     from gridloom.plans.q_generalize import WATERAREA_BASE_RUNGS, WATERAREA_CASCADE
-    zg = zoom_rungs(WATERAREA_ZOOMS[0], WATERAREA_ZOOMS[1], WATERAREA_BANDS)
+    zg = zoom_rungs(*zooms, WATERAREA_BANDS)
     rung_sql = "\n  UNION ALL ".join(
         [f"SELECT {g} AS gen, CAST({tol} AS DOUBLE) AS tol, osm_id FROM base WHERE {c}"
          for g, tol, c in WATERAREA_BASE_RUNGS + WATERAREA_CASCADE] + ["SELECT 0, -1.0, osm_id FROM base"])
@@ -399,7 +399,7 @@ feats AS (SELECT 'waterarea' AS layer, k.osm_id AS fid, zg.z, min(x) AS minx, mi
 SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid FROM hits"""
 
 
-@query("tile_waterarea_bands", _waterarea_sql())
+@query("tile_waterarea_bands", waterarea_sql(WATERAREA_ZOOMS))
 def q_tile_waterarea_bands(spark, d):
     """osm.waterarea at zooms 8-15: each zoom's rung of the cascaded ladder
     (gen8..14, base from 15), joined to tiles by the rung's bbox."""
