@@ -238,7 +238,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_plans() -> None:
     """Plan modules register their queries on import."""
-    from gridloom.plans import q_areas, q_borders, q_closing, q_coarse, q_generalize, q_io, q_layers, q_lines, q_mapping, q_points, q_quality, q_serve, q_tiles, q_world  # noqa: F401,E501
+    from gridloom.plans import q_areas, q_borders, q_closing, q_coarse, q_generalize, q_io, q_layers, q_lines, q_mapping, q_points, q_quality, q_serve, q_store, q_tiles, q_world  # noqa: F401,E501
 
 
 _load_plans()

@@ -142,17 +142,12 @@ SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, count, subclass FROM hits"""
 def q_tile_poi_clusters(spark, d):
     """cluster.poi layer: each zoom 11-17 serves its clustering rung (C1 +
     A1-A5), zoom 18 the raw points; features joined to their tiles (J1)."""
-    from gridloom.operators.cluster import cluster_points
+    from gridloom.operators.cluster import cluster_rungs
     p = FX.poi_points(Tables(spark, d))
-    feats = []
-    for g, (eps, cond) in sorted(_poi_rungs().items()):
-        c = cluster_points(p, eps, F.expr(cond) if cond else None)
-        feats.append(c.select(F.lit(g).alias("z"), F.col("id").alias("gid"), "count", "subclass", "x", "y"))
-    feats.append(p.select(F.lit(18).alias("z"), F.col("osm_id").alias("gid"), F.lit(1).cast("long").alias("count"),
-                          "subclass", "x", "y"))
-    u = feats[0]
-    for f in feats[1:]:
-        u = u.unionByName(f)
+    c = cluster_rungs(p, [(g, eps, cond) for g, (eps, cond) in sorted(_poi_rungs().items())])
+    u = c.select(F.col("gen").alias("z"), F.col("id").alias("gid"), "count", "subclass", "x", "y")
+    u = u.unionByName(p.select(F.lit(18).alias("z"), F.col("osm_id").alias("gid"), F.lit(1).cast("long").alias("count"),
+                               "subclass", "x", "y"))
     u = u.select("*", F.col("x").alias("minx"), F.col("y").alias("miny"), F.col("x").alias("maxx"),
                  F.col("y").alias("maxy"))
     hits = tile_rows(u, None, BUF)
