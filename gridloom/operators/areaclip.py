@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -412,3 +413,112 @@ def cut_by_grid(areas: DataFrame, side: str) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([*cols, pa.array(gx[at]), pa.array(gy), _geometry(part)], names=schema.names)
 
     return areas.select(*keys, "parts").mapInArrow(run, schema)
+
+
+# ---------------------------------------------------------------- S6
+
+def clip_lines(a: Areas, line: float, axis: int, low: bool) -> Areas:
+    """The parts of open lines at or below (``low``) or above a line; a line that leaves and comes back has several."""
+    p, q = (a.x, a.y) if axis == 0 else (a.y, a.x)
+    inside = p <= line if low else p >= line
+    last = np.zeros(len(p), bool)
+    last[a.start[1:] - 1] = True
+    i = np.flatnonzero((inside[:-1] != inside[1:]) & ~last[:-1])
+    at_q = q[i] + (line - p[i]) / (p[i + 1] - p[i]) * (q[i + 1] - q[i])
+    own = np.flatnonzero(inside)
+    key = np.concatenate([2 * own, 2 * i + 1])
+    by = np.argsort(key)
+    node_p, node_q = np.concatenate([p[own], np.full(len(i), line)])[by], np.concatenate([q[own], at_q])[by]
+    first = np.zeros(len(p), bool)
+    first[a.start[:-1]] = True
+    begins = np.concatenate([first[own], inside[i + 1]])[by]  # a line's first vertex, or a crossing into the box
+    owner = np.repeat(a.of, np.diff(a.start))
+    start = np.append(np.flatnonzero(begins), len(begins))
+    of = np.concatenate([owner[own], owner[i]])[by][start[:-1]]
+    size = np.diff(start)
+    keep = size > 1
+    x, y = (node_p, node_q) if axis == 0 else (node_q, node_p)
+    rows = np.repeat(keep, size)
+    return Areas(x[rows], y[rows], np.concatenate([[0], np.cumsum(size[keep])]), of[keep], a.n)
+
+
+def _open_geometry(a: Areas) -> pa.Array:
+    """``parts`` of lines or points: every one a part of its own."""
+    order = np.argsort(a.of, kind="stable")
+    size = np.diff(a.start)[order]
+    at = np.repeat(a.start[:-1][order], size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    points = pa.StructArray.from_arrays([pa.array(a.x[at]), pa.array(a.y[at])], names=["x", "y"])
+    rings = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), points)
+    parts = pa.ListArray.from_arrays(pa.array(np.arange(len(order) + 1, dtype=np.int32)), rings)
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(a.of[order], np.arange(a.n + 1)).astype(np.int32)), parts)
+
+
+def _all_rings(parts: pa.Array) -> Areas:
+    rings = parts.flatten()
+    verts = rings.flatten()
+    points = verts.flatten()
+    of = np.repeat(np.repeat(np.arange(len(parts)), parts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), rings.value_lengths().to_numpy(zero_copy_only=False))
+    size = verts.value_lengths().to_numpy(zero_copy_only=False)
+    x, y = (points.field(k).to_numpy(zero_copy_only=False) for k in ("x", "y"))
+    real = size > 0
+    return Areas(x, y, np.concatenate([[0], np.cumsum(size[real])]).astype(np.int64), of[real], len(parts))
+
+
+_SINGLE = {"MultiPoint": "Point", "MultiLineString": "LineString", "MultiPolygon": "Polygon"}
+
+
+def clip_to_box(features: DataFrame, box: tuple[float, float, float, float], geom: str = "geom") -> DataFrame:
+    """Features cut at a box (xmin, ymin, xmax, ymax), their other columns as they are.
+
+    Points outside go; lines are cut where they cross, into several parts if they come back; areas are closed along the box. A
+    geometry in several parts gets the type for them, one of which nothing is left goes with its row. Geometries inside the box, null
+    ones and other types stay untouched.
+    """
+    lines = ((box[0], 0, False), (box[2], 0, True), (box[1], 1, False), (box[3], 1, True))
+
+    def cut(batch: pa.RecordBatch, rows: np.ndarray, kind: str) -> pa.Array:
+        own = batch.take(pa.array(rows))
+        parts = own.column("_parts")
+        if kind == "Polygon":
+            a = _read(pa.RecordBatch.from_arrays([parts], names=["parts"]))
+            for at, axis, low in lines:
+                a = clip(a, np.full(a.n, at), axis, low)
+            return _geometry(a)
+        a = _all_rings(parts)
+        if kind == "LineString":
+            for at, axis, low in lines:
+                a = clip_lines(a, at, axis, low)
+            return _open_geometry(a)
+        there = (a.x >= box[0]) & (a.x <= box[2]) & (a.y >= box[1]) & (a.y <= box[3])
+        owner = np.repeat(a.of, np.diff(a.start))[there]
+        return _open_geometry(Areas(a.x[there], a.y[there], np.arange(len(owner) + 1), owner, a.n))
+
+    names = features.columns
+
+    def run(batches):
+        for batch in batches:
+            g = batch.column(geom)
+            parts = g.field("parts") if g.null_count == 0 else pa.compute.struct_field(g, "parts")
+            kinds = [_SINGLE.get(k, k) for k in pa.compute.struct_field(g, "type").to_pylist()]
+            a = _all_rings(parts)
+            outside = (a.x < box[0]) | (a.x > box[2]) | (a.y < box[1]) | (a.y > box[3])
+            met = np.zeros(batch.num_rows, bool)
+            met[np.repeat(a.of, np.diff(a.start))[outside]] = True
+            pieces, places = [parts], np.arange(batch.num_rows)
+            size = batch.num_rows
+            own = pa.RecordBatch.from_arrays([parts], names=["_parts"])
+            for kind in ("Point", "LineString", "Polygon"):
+                rows = np.array([i for i in np.flatnonzero(met).tolist() if kinds[i] == kind], np.int64)
+                if len(rows):
+                    pieces.append(cut(own, rows, kind).cast(parts.type))
+                    places[rows] = size + np.arange(len(rows))
+                    size += len(rows)
+            made = pa.concat_arrays(pieces).take(pa.array(places))
+            n = made.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            types = [None if k is None else "Multi" + k if met[i] and n[i] > 1 and k in _SINGLE.values() else k if met[i] else old
+                     for i, (k, old) in enumerate(zip(kinds, pa.compute.struct_field(g, "type").to_pylist(), strict=True))]
+            geoms = pa.StructArray.from_arrays([pa.array(types, pa.string()), made], names=["type", "parts"], mask=pa.compute.is_null(g) if g.null_count else None)
+            cols = [geoms if c == geom else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(~met | (n > 0)))
+
+    return features.mapInArrow(run, features.schema)

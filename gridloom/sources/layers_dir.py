@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
-from gridloom.functions.geometry import lonlat_to_mercator
+from gridloom.operators.areaclip import clip_to_box
 from gridloom.sources.geojson import read_geojson
 
 log = logging.getLogger(__name__)
@@ -34,25 +34,15 @@ def layer_names(spark: SparkSession, root: str) -> tuple[list[str], list[str]]:
 def load_geojson_layers(spark: SparkSession, root: str) -> DataFrame:
     """(layer, geom, x, y, properties) for every feature of every layer folder; x, y: of points.
 
-    Points outside the clip box are left out; vertices of lines and areas are moved to its edge.
+    Everything is cut at the clip box, in lon/lat: points outside are left out, lines are cut into the parts inside,
+    areas are closed along the box, and what lies outside altogether is left out.
     """
     _, empty = layer_names(spark, root)
     for name in empty:
         log.warning("layer folder %s is empty, skipped", name)
     f = read_geojson(spark, f"{root.rstrip('/')}/*")
     f = f.withColumn("layer", F.element_at(F.split("file", "/"), -2))
-    xmin, ymin, xmax, ymax = CLIP_BOX
-
-    def moved(v):
-        lon = F.least(F.greatest(v["x"], F.lit(xmin)), F.lit(xmax))
-        lat = F.least(F.greatest(v["y"], F.lit(ymin)), F.lit(ymax))
-        return G.vertex(*lonlat_to_mercator(lon, lat))
-
-    point = F.col("geom.type") == "Point"
-    at = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), 1)
-    inside = at["x"].between(xmin, xmax) & at["y"].between(ymin, ymax)
-    f = f.where(~point | inside)
-    parts = F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.transform(r, moved)))
-    out = f.select("layer", G.make_geom(F.col("geom.type"), parts).alias("geom"), "properties", point.alias("_point"))
+    f = clip_to_box(f.select("layer", "geom", "properties"), CLIP_BOX)
+    out = f.select("layer", G.reproject_geom("geom").alias("geom"), "properties", (F.col("geom.type") == "Point").alias("_point"))
     first = F.element_at(F.element_at(F.element_at("geom.parts", 1), 1), 1)
     return out.select("layer", "geom", F.when(F.col("_point"), first["x"]).alias("x"), F.when(F.col("_point"), first["y"]).alias("y"), "properties")

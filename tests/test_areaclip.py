@@ -112,3 +112,26 @@ def test_grid_squares(spark):
         for _ in range(200):
             x, y = q.uniform(min(xs), max(xs)), q.uniform(min(ys), max(ys))
             assert inside(by.get((fid, math.floor(x / size), math.floor(y / size)), []), x, y) == inside(rings, x, y)
+
+
+def test_clip_to_box(spark):
+    rows = [
+        (1, "LineString", [[[(-5, 0), (5, 0), (5, 20), (-5, 20), (-5, 5)]]]),  # leaves and comes back
+        (2, "LineString", [[[(30, 0), (30, 5)]]]),                               # wholly outside
+        (3, "LineString", [[[(0, 0), (1, 1)]]]),                                 # inside
+        (4, "Polygon", [[[(-20, -5), (20, -5), (20, 5), (-20, 5), (-20, -5)], [(-1, -1), (-1, 1), (1, 1), (1, -1), (-1, -1)]]]),
+        (5, "Polygon", [[[(-5, 5), (5, 5), (5, 15), (3, 15), (3, 7), (-3, 7), (-3, 15), (-5, 15), (-5, 5)]]]),
+        (6, "Polygon", [[[(-5, 15), (5, 15), (5, 8), (3, 8), (3, 13), (-3, 13), (-3, 8), (-5, 8), (-5, 15)]]]),  # falls apart
+        (7, "Point", [[[(0, 11)]]]), (8, "Point", [[[(10, 10)]]]), (9, "MultiPoint", [[[(0, 0)]], [[(99, 0)]]]),
+        (10, "MultiLineString", [[[(0, 0), (0, 50)]], [[(0, 60), (0, 70)]]]), (11, None, None)]
+    df = spark.createDataFrame([(i, (t, [[[{"x": float(x), "y": float(y)} for x, y in r] for r in p] for p in ps]) if t else None, {"k": str(i)}) for i, t, ps in rows],
+                               "id long, geom struct<type:string,parts:array<array<array<struct<x:double,y:double>>>>>, props map<string,string>").repartition(2)
+    out = {r.id: r for r in A.clip_to_box(df, (-10.0, -10.0, 10.0, 10.0)).collect()}
+    assert set(out) == {1, 3, 4, 5, 6, 8, 9, 10, 11} and out[11].geom is None and out[4].props == {"k": "4"}
+    verts = lambda i: [[[(v.x, v.y) for v in r] for r in p] for p in out[i].geom.parts]
+    assert out[1].geom.type == "MultiLineString" and verts(1) == [[[(-5, 0), (5, 0), (5, 10)]], [[(-5, 10), (-5, 5)]]]
+    assert verts(3) == [[[(0, 0), (1, 1)]]] and out[10].geom.type == "LineString" and verts(10) == [[[(0, 0), (0, 10)]]]
+    assert out[9].geom.type == "Point" and verts(9) == [[[(0, 0)]]] and out[8].geom.type == "Point"
+    areas = {r.id: r.a for r in A.clip_to_box(df, (-10.0, -10.0, 10.0, 10.0)).select("id", G.area("geom").alias("a")).collect()}
+    assert (areas[4], areas[5], areas[6]) == (196.0, 10 * 2 + 2 * 2 * 3.0, 2 * 2 * 2.0)
+    assert out[6].geom.type == "MultiPolygon" and len(out[6].geom.parts) == 2 and out[5].geom.type == "Polygon"
