@@ -17,7 +17,7 @@ from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables
 
 E = repr(WORLD_EDGE)
-WATERAREA_SERVED = (8, 16)
+WATERAREA_SERVED = (7, 16)
 
 
 def _geometry_sql(bands: str, rung: str, zooms: str) -> str:
@@ -93,5 +93,5 @@ def q_tile_landuse_geometry(spark, d):
 @query("tile_water_geometry", _geometry_sql(S.waterarea_sql(WATERAREA_SERVED), "gen", " UNION ALL ".join(
     f"SELECT {z} AS z, {g} AS rung" for z, g in S.zoom_rungs(*WATERAREA_SERVED, S.WATERAREA_BANDS))))
 def q_tile_water_geometry(spark, d):
-    """osm.waterarea at zooms 8-16 with geometry, from the cascaded ladder."""
+    """osm.waterarea at zooms 7-16 with geometry, from the cascaded ladder."""
     return _told(area_tiles(waterarea_rungs(spark, d), S.zoom_rungs(*WATERAREA_SERVED, S.WATERAREA_BANDS)))

@@ -20,7 +20,8 @@ from gridloom.sources import fixtures as FX
 from gridloom.session import cut_lineage
 from gridloom.sources.tables import Tables
 
-SERVE_ZOOMS = (12, 16)
+SERVE_ZOOMS = (7, 16)
+ROAD_GATE = 8  # Fixed value: labels are served from 7 on, roads from here
 
 
 TILE_COLUMNS = ["z", "x", "y", "layer", "gid", "ord", "layer_num", "ref_prefix", "ref_num", "name"]
@@ -38,7 +39,7 @@ def served_features(spark, d, zooms: tuple[int, int] = SERVE_ZOOMS):
     rb = lr.select("gen", "fid", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
     attrs = base.select("fid", "rank", "ref", "layer", "name_de", "name_en", "name")
     rb = rb.join(attrs, "fid")
-    roads = features_at_zooms(rb, zoom_rungs(zooms[0], zooms[1], ROAD_BANDS))
+    roads = features_at_zooms(rb, zoom_rungs(max(zooms[0], ROAD_GATE), zooms[1], ROAD_BANDS))
     roads = roads.select(
         "z", F.lit("roads").alias("layer"), F.col("fid").alias("gid"), "minx", "miny", "maxx", "maxy",
         (-F.col("rank")).cast("long").alias("ord"),
@@ -66,13 +67,14 @@ rungs AS (""" + "\n  UNION ALL ".join(
     + ["SELECT 0, CAST(-1.0 AS DOUBLE), fid FROM base"]) + """),
 kept AS (SELECT r.gen, r.fid, v.x, v.y FROM rungs r JOIN line_verts v ON v.fid = r.fid
          JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect),
-zg AS (SELECT unnest([12, 13, 14, 15, 16]) AS z, unnest([12, 13, 14, 15, 0]) AS gen),
+zg AS (SELECT unnest(""" + str([z for z, _ in zoom_rungs(ROAD_GATE, SERVE_ZOOMS[1], ROAD_BANDS)]) + """) AS z,
+              unnest(""" + str([g for _, g in zoom_rungs(ROAD_GATE, SERVE_ZOOMS[1], ROAD_BANDS)]) + """) AS gen),
 feats AS (
   SELECT 'roads' AS layer, k.fid, zg.z, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy,
          any_value(zg.gen) AS gen
   FROM kept k JOIN zg ON zg.gen = k.gen GROUP BY k.fid, zg.z
   UNION ALL
-  SELECT 'label', osm_id, z, x, y, x, y, NULL FROM label_one, (SELECT unnest(range(12, 17)) AS z) zs),""" + \
+  SELECT 'label', osm_id, z, x, y, x, y, NULL FROM label_one, (SELECT unnest(range(7, 17)) AS z) zs),""" + \
     cover_sql("feats", BUF) + f""",
 rows_ AS (
   SELECT h.z, h.x, h.y, h.layer, h.fid AS gid, -b.rank AS ord,
@@ -90,7 +92,7 @@ rows_ AS (
 SELECT CAST(z AS INTEGER) AS z, x, y, layer, gid, CAST(ord AS BIGINT) AS ord, layer_num, ref_prefix, ref_num, name
 FROM rows_""")
 def q_tile_materialize(spark, d):
-    """T6 + S20: roads and label layers at zooms 12-16 written to the tile
+    """T6 + S20: roads (from zoom 8) and labels (from 7) up to zoom 16 written to the tile
     store (Parquet by map, seed and zoom, range-sorted) and read back."""
     path = _scratch(spark, "tiles")
     rows = tile_rows(served_features(spark, d), None, BUF).select(*TILE_COLUMNS)
@@ -201,7 +203,7 @@ def q_tile_landuse_bands(spark, d):
 WATERWAY_RUNGS = [(12, 20.0, "length > 50"), (10, 50.0, "subclass IN ('river', 'canal', 'stream') AND length > 200"),
                   (8, 100.0, "subclass IN ('river', 'canal') AND length > 400"), (0, -1.0, None)]
 WATERWAY_BANDS = [(0, 10, 8), (10, 12, 10), (12, 14, 12), (14, 99, 0)]
-WATERWAY_ZOOMS = (9, 14)
+WATERWAY_ZOOMS = (7, 16)
 
 
 def _waterway_sql() -> str:
@@ -231,7 +233,7 @@ SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, subclass FROM hits"""
 
 @query("tile_waterway_bands", _waterway_sql())
 def q_tile_waterway_bands(spark, d):
-    """osm.waterway at zooms 9-14: ladder rungs gen8/10/12 (subclass and
+    """osm.waterway at zooms 7-16: ladder rungs gen8/10/12 (subclass and
     length filters on the base line, P4/P7) and the base table, by zoom band."""
     from gridloom.operators.tiles import features_at_zooms, zoom_rungs
     from gridloom.plans.catalog import lines
@@ -359,7 +361,7 @@ def q_housenumbers_layer(spark, d):
 
 # osm.waterarea: <9 gen8, 9..14 gen z, >= 15 base
 WATERAREA_BANDS = [(0, 9, 8)] + [(z, z + 1, z) for z in range(9, 15)] + [(15, 99, 0)]
-WATERAREA_ZOOMS = (8, 15)
+WATERAREA_ZOOMS = (7, 16)
 
 
 def waterarea_sql(zooms: tuple[int, int]) -> str:
@@ -396,7 +398,7 @@ SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid FROM hits"""
 
 @query("tile_waterarea_bands", waterarea_sql(WATERAREA_ZOOMS))
 def q_tile_waterarea_bands(spark, d):
-    """osm.waterarea at zooms 8-15: each zoom's rung of the cascaded ladder
+    """osm.waterarea at zooms 7-16: each zoom's rung of the cascaded ladder
     (gen8..14, base from 15), joined to tiles by the rung's bbox."""
     from gridloom.plans.q_generalize import waterarea_rungs
     lr = waterarea_rungs(spark, d)

@@ -43,10 +43,10 @@ hits AS (SELECT * FROM txy
 
 @query("tile_cover", OF.with_(OF.POI, """
 feats AS (SELECT 'poi' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS maxx, y AS maxy
-          FROM poi, (SELECT unnest(range(10, 15)) AS z) zs)""", cover_sql("feats", 0.0)) + f"""
+          FROM poi, (SELECT unnest(range(0, 17)) AS z) zs)""", cover_sql("feats", 0.0)) + f"""
 SELECT fid AS osm_id, CAST(z AS INTEGER) AS z, x, y, round(-{E} + x * s, 3) AS tminx, round({E} - y * s, 3) AS tmaxy
 FROM hits""")
-def q_tile_cover(spark, d, zooms=(10, 14)):
+def q_tile_cover(spark, d, zooms=(0, 16)):
     p = FX.poi_points(Tables(spark, d)).select("osm_id", F.col("x").alias("minx"), F.col("y").alias("miny"),
                                               F.col("x").alias("maxx"), F.col("y").alias("maxy"))
     p = p.withColumn("z", F.explode(F.sequence(F.lit(zooms[0]), F.lit(zooms[1]))))
@@ -169,12 +169,12 @@ TOPK = 1000  # Fixed value: the per-layer query limit of the reference's trial s
 
 @query("tile_topk", OF.with_(OF.LABEL, """
 feats AS (SELECT 'label' AS layer, osm_id AS fid, z, x AS minx, y AS miny, x AS maxx, y AS maxy, pop, name
-          FROM label_pts, (SELECT unnest(range(7, 10)) AS z) zs)""", cover_sql("feats", BUF)) + f"""
+          FROM label_pts, (SELECT unnest(range(7, 17)) AS z) zs)""", cover_sql("feats", BUF)) + f"""
 SELECT * FROM (
   SELECT CAST(z AS INTEGER) AS z, x, y, fid AS osm_id,
          CAST(row_number() OVER (PARTITION BY z, x, y ORDER BY pop DESC NULLS LAST, name NULLS LAST, fid) AS INTEGER) AS rank
   FROM hits) WHERE rank <= {TOPK}""")
-def q_tile_topk(spark, d, zooms=(7, 9)):
+def q_tile_topk(spark, d, zooms=(7, 16)):
     lab = FX.label_points(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "pop", "name",
                                                    F.col("x").alias("minx"), F.col("y").alias("miny"),
                                                    F.col("x").alias("maxx"), F.col("y").alias("maxy"))

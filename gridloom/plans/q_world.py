@@ -75,9 +75,9 @@ def lake_sources(t: Tables):
   FROM customer)
 SELECT gid, name, subclass, scalerank, minzoom, z, src_key FROM (
   SELECT row_number() OVER (ORDER BY src, src_key) AS gid, """ + NAME_SQL + """ AS name, featurecla AS subclass,
-         scalerank, min_zoom AS minzoom, src_key FROM u) n, (SELECT unnest(range(0, 9)) AS z) zs
+         scalerank, min_zoom AS minzoom, src_key FROM u) n, (SELECT unnest(range(0, 17)) AS z) zs
 WHERE minzoom <= z""")
-def q_lakes(spark, d, zooms=(0, 8)):
+def q_lakes(spark, d, zooms=(0, 16)):
     """S19 lakes union + the ``world.lakes`` layer gate (minzoom <= z, P9) at the zooms from, to."""
     u = typed_union(lake_sources(Tables(spark, d)), LAKE_SCHEMA, "src_key")
     u = u.select("gid", A.name_fallback().alias("name"), F.col("featurecla").alias("subclass"), "scalerank",
@@ -101,13 +101,13 @@ dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM poly_verts),""" + dp_
 water AS (SELECT osm_id FROM poly_base),
 bands AS (""" + "\n  UNION ALL ".join(
     f"SELECT {z} AS z, CAST({band_tolerance(g)!r} AS DOUBLE) AS tol" for lo, hi, g in WATER_BANDS
-    for z in range(lo, min(hi, 11))) + """)
+    for z in range(lo, min(hi, 17))) + """)
 SELECT CAST(b.z AS INTEGER) AS z, v.osm_id, CAST(count(*) AS INTEGER) AS nv
 FROM water w JOIN poly_verts v ON v.osm_id = w.osm_id
 JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq, bands b
 WHERE s.sig IS NULL OR s.sig > b.tol OR s.protect
 GROUP BY b.z, v.osm_id""")
-def q_water_bands(spark, d, zooms=(0, 10)):
+def q_water_bands(spark, d, zooms=(0, 16)):
     """U1 + P8 + T7: the ``world.water`` layer's nine zoom bands as one
     significance pass and one rung per band (tolerance = a tile pixel), at the zooms from, to."""
     p = FX.polygons(Tables(spark, d))
