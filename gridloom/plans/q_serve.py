@@ -432,14 +432,17 @@ def q_piste_layer(spark, d):
 
 # ---------------------------------------------------------------- tile-local geometry
 
-_SEG_ZOOM = 13
-_SEG_SQL = "WITH RECURSIVE " + ",\n".join([OF.WAY_NODES.strip()]) + f""",
-feats AS (SELECT 'roads' AS layer, fid, {_SEG_ZOOM} AS z, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy
-          FROM line_verts GROUP BY fid),""" + cover_sql("feats", BUF) + f""",
-pairs AS (SELECT fid, seq, x AS ax, y AS ay, lead(x) OVER w AS ex, lead(y) OVER w AS ey
-          FROM line_verts WINDOW w AS (PARTITION BY fid ORDER BY seq)),
+_SEG_ZOOMS = zoom_rungs(ROAD_GATE, SERVE_ZOOMS[1], ROAD_BANDS)
+_SEG_SQL = _SERVE_SQL.split("kept AS (")[0] + f"""kept AS (
+  SELECT r.gen, r.fid, v.x, v.y, row_number() OVER (PARTITION BY r.gen, r.fid ORDER BY v.seq) - 1 AS seq FROM rungs r JOIN line_verts v ON v.fid = r.fid
+  JOIN dp_sig s ON s.gid = v.fid AND s.seq = v.seq WHERE s.sig IS NULL OR s.sig > r.tol OR s.protect),
+zg AS (SELECT unnest({[z for z, _ in _SEG_ZOOMS]}) AS z, unnest({[g for _, g in _SEG_ZOOMS]}) AS gen),
+feats AS (SELECT 'roads' AS layer, k.fid, zg.z, zg.gen, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy
+          FROM kept k JOIN zg ON zg.gen = k.gen GROUP BY k.fid, zg.z, zg.gen),""" + cover_sql("feats", BUF) + f""",
+pairs AS (SELECT gen, fid, seq, x AS ax, y AS ay, lead(x) OVER w AS ex, lead(y) OVER w AS ey
+          FROM kept WINDOW w AS (PARTITION BY gen, fid ORDER BY seq)),
 boxed AS (SELECT h.z, h.x, h.y, p.*, -20037508.342789244 + h.x * h.s AS tx, 20037508.342789244 - h.y * h.s AS ty, h.s,
-                 ex - ax AS dx, ey - ay AS dy FROM hits h JOIN pairs p ON p.fid = h.fid WHERE p.ex IS NOT NULL),
+                 ex - ax AS dx, ey - ay AS dy FROM hits h JOIN pairs p ON p.fid = h.fid AND p.gen = h.gen WHERE p.ex IS NOT NULL),
 edges AS (SELECT *, tx - s * {BUF!r} AS x0, tx + s + s * {BUF!r} AS x1, ty - s - s * {BUF!r} AS y0, ty + s * {BUF!r} AS y1
           FROM boxed),
 cut AS (SELECT *,
@@ -447,7 +450,7 @@ cut AS (SELECT *,
                 CASE WHEN dy > 0 THEN (y0 - ay) / dy WHEN dy < 0 THEN (y1 - ay) / dy WHEN ay < y0 OR ay > y1 THEN 2.0 ELSE 0.0 END) AS t0,
   least(1.0, CASE WHEN dx > 0 THEN (x1 - ax) / dx WHEN dx < 0 THEN (x0 - ax) / dx ELSE 1.0 END,
              CASE WHEN dy > 0 THEN (y1 - ay) / dy WHEN dy < 0 THEN (y0 - ay) / dy ELSE 1.0 END) AS t1 FROM edges)
-SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, CAST(seq AS INTEGER) AS seq,
+SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, CAST(0 AS INTEGER) AS part, CAST(seq AS INTEGER) AS seq,
        CAST(floor((ax + t0 * dx - tx) / s * 4096 + 0.5) AS INTEGER) AS x1,
        CAST(floor((ty - (ay + t0 * dy)) / s * 4096 + 0.5) AS INTEGER) AS y1,
        CAST(floor((ax + t1 * dx - tx) / s * 4096 + 0.5) AS INTEGER) AS x2,
@@ -455,14 +458,19 @@ SELECT CAST(z AS INTEGER) AS z, x, y, fid AS gid, CAST(seq AS INTEGER) AS seq,
 FROM cut WHERE t0 <= t1"""
 
 
+def road_segments(features, zooms):
+    """(z, x, y, fid, part, seq, x1, y1, x2, y2): every part of every line, from the rung (gen, fid, part, ring, verts) of each zoom."""
+    from gridloom.functions.tiles import tile_segments
+    own = features.select("gen", "fid", "part", "verts", *[v.alias(k) for k, v in G.bbox(G.line_geom(F.col("verts"))).items()])
+    hits = tile_rows(features_at_zooms(own, zooms), None, BUF)
+    rows = hits.select("z", "x", "y", "fid", "part", F.explode(tile_segments("verts", BUF)).alias("_s"))
+    return rows.select("z", "x", "y", "fid", "part", "_s.seq", "_s.x1", "_s.y1", "_s.x2", "_s.y2")
+
+
 @query("tile_road_geometry", _SEG_SQL)
 def q_tile_road_geometry(spark, d):
-    """The road lines of each tile at zoom 13, cut at the buffered tile
-    and in the tile's own integer coordinates (segments keep their place in the line)."""
-    from gridloom.functions.tiles import tile_segments
-    from gridloom.plans.catalog import lines
-    ln = lines(Tables(spark, d)).select("fid", "geom", *[v.alias(k) for k, v in G.bbox("geom").items()])
-    hits = tile_rows(ln.withColumn("z", F.lit(_SEG_ZOOM)), None, BUF)
-    rows = hits.select("z", "x", "y", F.col("fid").alias("gid"), F.explode(
-        tile_segments(F.element_at(F.element_at("geom.parts", 1), 1), BUF)).alias("_s"))
-    return rows.select("z", "x", "y", "gid", "_s.seq", "_s.x1", "_s.y1", "_s.x2", "_s.y2")
+    """The road lines of each tile at zooms 8-16, each zoom's rung, cut at the buffered tile
+    and in the tile's own integer coordinates (segments keep their part and their place in it)."""
+    rungs = [Rung(g, tol, F.expr(c)) for g, tol, c in ROAD_RUNGS] + [Rung(0, -1.0)]
+    rows = road_segments(ladder_rings(roads_base(Tables(spark, d)), rungs), _SEG_ZOOMS)
+    return rows.withColumnRenamed("fid", "gid")
