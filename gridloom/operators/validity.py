@@ -2,11 +2,11 @@
 
 Report per feature: repeated consecutive vertices, unclosed rings, rings
 under 4 vertices, and pairs of non-adjacent edges of one ring that intersect
-(touching counts). The crossing test is a cell-keyed self-join: each edge is
-registered in the grid cells its bbox covers, with the cell side set per ring
-from that ring's own mean edge length, so a cell holds a handful of one ring's
-edges and the candidate pairs stay local; the exact orientation test runs on
-the candidates. Rows with any fault can be quarantined by the caller.
+(touching counts). Crossings are found by a sweep over the edges sorted by their left ends, all rings of
+an Arrow batch at the same time: an edge meets those that begin before it ends. Edges that meet
+few others are compared step by step, one step of all of them at once; an edge that meets many (the
+closing edge of a long ring) is compared with its whole run in one go, so it costs its run and not the cells of its box. Rows
+with any fault can be quarantined by the caller.
 
 Repairs (``repair``): drop repeated consecutive vertices, close open rings,
 drop rings that end with fewer than 4 vertices. A full polygon repair
@@ -15,69 +15,89 @@ drop rings that end with fewer than 4 vertices. A full polygon repair
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.functions import geometry as G
 
 
-def _orient(ax, ay, bx, by, cx, cy) -> Column:
-    v = (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
-    return F.signum(v)
-
-
-def _on_seg(ax, ay, bx, by, cx, cy) -> Column:
-    """c collinear with a-b lies within its bbox"""
-    return (F.least(ax, bx) <= cx) & (cx <= F.greatest(ax, bx)) & (F.least(ay, by) <= cy) & (cy <= F.greatest(ay, by))
-
-
-def segments_intersect(p1x, p1y, p2x, p2y, q1x, q1y, q2x, q2y) -> Column:
-    o1 = _orient(p1x, p1y, p2x, p2y, q1x, q1y)
-    o2 = _orient(p1x, p1y, p2x, p2y, q2x, q2y)
-    o3 = _orient(q1x, q1y, q2x, q2y, p1x, p1y)
-    o4 = _orient(q1x, q1y, q2x, q2y, p2x, p2y)
-    proper = (o1 != o2) & (o3 != o4)
-    touch = (
-        ((o1 == 0) & _on_seg(p1x, p1y, p2x, p2y, q1x, q1y)) | ((o2 == 0) & _on_seg(p1x, p1y, p2x, p2y, q2x, q2y))
-        | ((o3 == 0) & _on_seg(q1x, q1y, q2x, q2y, p1x, p1y)) | ((o4 == 0) & _on_seg(q1x, q1y, q2x, q2y, p2x, p2y))
-    )
-    return proper | touch
-
-
-def ring_edges(rings: DataFrame, key: list[str]) -> DataFrame:
-    """ring rows (key..., _r ARRAY<STRUCT<x,y>>) -> edges (key..., i, ax, ay, bx, by, m, mean_len).
-
-    Built inside each ring's row (zip of consecutive vertices + posexplode),
-    so no window sorts a ring's vertices again.
-    """
-    legs = G._legs(F.col("_r"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    m = (F.size("_r") - 1).cast("long")
-    r = rings.select(*key, legs.alias("_legs"), m.alias("m"),
-                     (G.ring_length(F.col("_r")) / F.greatest(m, F.lit(1))).alias("mean_len"))
-    e = r.select(*key, "m", "mean_len", F.posexplode("_legs").alias("i", "_e"))
-    return e.select(*key, "i", F.col("_e.a.x").alias("ax"), F.col("_e.a.y").alias("ay"),
-                    F.col("_e.b.x").alias("bx"), F.col("_e.b.y").alias("by"), "m", "mean_len")
+FEW = 64       # edges met, up to which an edge is compared step by step
+RUN = 1 << 20  # candidates compared at once
+
+
+def _intersect(x0, y0, x1, y1, i, j) -> np.ndarray:
+    """Whether edges i and j share a point."""
+    def orient(a, cx, cy):
+        return np.sign((x1[a] - x0[a]) * (cy - y0[a]) - (y1[a] - y0[a]) * (cx - x0[a]))
+
+    o1, o2 = orient(i, x0[j], y0[j]), orient(i, x1[j], y1[j])
+    o3, o4 = orient(j, x0[i], y0[i]), orient(j, x1[i], y1[i])
+
+    def on(a, cx, cy):
+        return (np.minimum(x0[a], x1[a]) <= cx) & (cx <= np.maximum(x0[a], x1[a])) & (np.minimum(y0[a], y1[a]) <= cy) & (cy <= np.maximum(y0[a], y1[a]))
+
+    return ((o1 != o2) & (o3 != o4)) | ((o1 == 0) & on(i, x0[j], y0[j])) | ((o2 == 0) & on(i, x1[j], y1[j])) | ((o3 == 0) & on(j, x0[i], y0[i])) | ((o4 == 0) & on(j, x1[i], y1[i]))
+
+
+def sweep_crossings(x: np.ndarray, y: np.ndarray, start: np.ndarray):
+    """(ring, i, j) arrays of crossing, non-adjacent edges i < j of rings laid end to end (``start``: one more than rings)."""
+    size = np.maximum(np.diff(start) - 1, 0)  # edges
+    ring = np.repeat(np.arange(len(size)), size)
+    place = np.arange(len(ring)) - np.repeat(np.cumsum(size) - size, size)
+    at = start[ring] + place
+    x0, y0, x1, y1 = x[at], y[at], x[at + 1], y[at + 1]
+    left, right, low, high = np.minimum(x0, x1), np.maximum(x0, x1), np.minimum(y0, y1), np.maximum(y0, y1)
+    n = len(ring)
+    order = np.lexsort((left, ring))
+    # how many edges, rings before included, begin up to the end of each
+    both = np.lexsort((np.repeat([0, 1], n), np.concatenate([left, right]), np.concatenate([ring, ring])))
+    begun = np.cumsum(both < n)
+    until = np.empty(n, np.int64)
+    until[both[both >= n] - n] = begun[both >= n]
+    span = until[order] - np.arange(n) - 1  # by place in the order
+
+    def told(a, b):
+        i, j = order[a], order[b]
+        near = (low[i] <= high[j]) & (low[j] <= high[i])
+        i, j = i[near], j[near]
+        i, j = np.where(place[i] < place[j], i, j), np.where(place[i] < place[j], j, i)
+        apart = (place[j] - place[i] != 1) & ~((place[i] == 0) & (place[j] == size[ring[i]] - 1))
+        i, j = i[apart], j[apart]
+        hit = _intersect(x0, y0, x1, y1, i, j)
+        return ring[i[hit]], place[i[hit]], place[j[hit]]
+
+    few = np.flatnonzero((span > 0) & (span <= FEW))
+    for k in range(1, FEW + 1):
+        few = few[span[few] >= k]
+        if not len(few):
+            break
+        for lo in range(0, len(few), RUN):
+            yield told(few[lo:lo + RUN], few[lo:lo + RUN] + k)
+    for a in np.flatnonzero(span > FEW).tolist():
+        for lo in range(a + 1, a + 1 + int(span[a]), RUN):
+            b = np.arange(lo, min(lo + RUN, a + 1 + int(span[a])))
+            yield told(np.full(len(b), a), b)
 
 
 def crossing_pairs(rings: DataFrame, key: list[str]) -> DataFrame:
-    """(key..., i, j) for intersecting non-adjacent edge pairs i < j of a ring."""
-    e = ring_edges(rings, key)
-    side = F.greatest(F.col("mean_len"), F.lit(1e-9))
-    cells = e.select(
-        *key, "i", "ax", "ay", "bx", "by", "m",
-        F.explode(F.sequence(F.floor(F.least("ax", "bx") / side), F.floor(F.greatest("ax", "bx") / side)))
-        .alias("gx"), F.floor(F.least("ay", "by") / side).alias("gy0"),
-        F.floor(F.greatest("ay", "by") / side).alias("gy1"),
-    ).select("*", F.explode(F.sequence("gy0", "gy1")).alias("gy")).drop("gy0", "gy1")
-    a = cells.select(*key, "gx", "gy", "i", "ax", "ay", "bx", "by", "m")
-    b = cells.select(*key, "gx", "gy", F.col("i").alias("j"), F.col("ax").alias("cx"), F.col("ay").alias("cy"),
-                     F.col("bx").alias("dx"), F.col("by").alias("dy"))
-    c = a.join(b, [*key, "gx", "gy"]).where(F.col("i") < F.col("j"))
-    adjacent = (F.col("j") - F.col("i") == 1) | ((F.col("i") == 0) & (F.col("j") == F.col("m") - 1))
-    c = c.where(~adjacent)
-    hit = segments_intersect(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"),
-                             F.col("cx"), F.col("cy"), F.col("dx"), F.col("dy"))
-    return c.where(hit).select(*key, "i", "j").distinct()
+    """(key..., i, j) for intersecting non-adjacent edge pairs i < j of a ring (key..., _r); no shuffle."""
+    schema = T.StructType([*(rings.schema[k] for k in key), T.StructField("i", T.LongType()), T.StructField("j", T.LongType())])
+
+    def run(batches):
+        for batch in batches:
+            lines = batch.column("_r")
+            start = np.concatenate([[0], np.cumsum(lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            flat = lines.flatten()
+            x, y = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("x", "y"))
+            for ring, i, j in sweep_crossings(x, y, start):
+                if len(ring):
+                    own = [batch.column(k).take(pa.array(ring)) for k in key]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array(i), pa.array(j)], names=schema.names)
+
+    return rings.select(*key, "_r").mapInArrow(run, schema)
 
 
 def validity_report(geoms: DataFrame, fid: str = "fid") -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.operators.validity import validity_report
+from gridloom.functions import geometry as G
+from gridloom.operators.validity import repair, validity_report
 from gridloom.plans.catalog import query
 from gridloom.plans.oracle_fixtures import _OCT
 from gridloom.sources import fixtures as FX
@@ -62,3 +63,15 @@ def q_validity(spark, d):
     """Faults per polygon (repeated vertices, open / short rings, edge crossings)."""
     g = FX.faulty_polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), "geom")
     return validity_report(g).select("fid", "n_repeated", "n_unclosed", "n_short", "n_crossings", "valid")
+
+
+@query("validity_repair", VALIDITY_SQL[:VALIDITY_SQL.index("st AS (SELECT")] + """
+steps AS (SELECT osm_id, seq, x, y, lag(x) OVER w AS px, lag(y) OVER w AS py FROM vv WINDOW w AS (PARTITION BY osm_id ORDER BY seq)),
+kept AS (SELECT osm_id, seq, x, y FROM steps WHERE px IS NULL OR NOT (x = px AND y = py)),
+ends AS (SELECT osm_id, count(*) AS n, arg_min(x, seq) AS x0, arg_min(y, seq) AS y0, arg_max(x, seq) AS x1, arg_max(y, seq) AS y1 FROM kept GROUP BY osm_id)
+SELECT osm_id AS fid, CAST(n + CASE WHEN x0 = x1 AND y0 = y1 THEN 0 ELSE 1 END AS INTEGER) AS n_vertices
+FROM ends WHERE n + CASE WHEN x0 = x1 AND y0 = y1 THEN 0 ELSE 1 END >= 4""")
+def q_validity_repair(spark, d):
+    """The faulty polygons with repeated vertices dropped, open rings closed and short rings left out."""
+    g = FX.faulty_polygons(Tables(spark, d)).select(F.col("osm_id").alias("fid"), repair("geom").alias("geom"))
+    return g.where(F.size("geom.parts") > 0).select("fid", G.num_vertices("geom").alias("n_vertices"))
