@@ -298,8 +298,8 @@ def outline(runs: DataFrame, cell: float) -> DataFrame:
     return rings.select("fid", "ring", "shell", F.transform("verts", lambda p: G.vertex(p["x"] * cell, p["y"] * cell)).alias("verts"))
 
 
-def simplified(rings: DataFrame, tol: float) -> DataFrame:
-    """Rings (..., verts) at a tolerance; a ring keeps its two most significant corners besides its ends."""
+def simplified(rings: DataFrame, tol: float | Column) -> DataFrame:
+    """Rings (..., verts) at a tolerance, the row's own if it is a column; a ring keeps its two most significant corners besides its ends."""
     names = rings.columns
     per = with_significance(rings.withColumnRenamed("verts", "_r"))
     zipped = F.arrays_zip(F.col("_r").alias("v"), F.col("_sig").alias("s"), F.sequence(F.lit(0), F.size("_r") - 1).alias("i"))

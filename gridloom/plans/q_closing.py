@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
 from gridloom.operators.closing import disk_offsets, row_runs
-from gridloom.operators.outline import closed_runs, outline, simplified, sweep
+from gridloom.operators.outline import closed_runs, outline, simplified, sweep, to_polygons
 from gridloom.operators.simplify import rebuild, significance_of_lines
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import query
@@ -25,9 +25,9 @@ _DX = "[" + ", ".join(str(dx) for dx, _ in _OFFS) + "]"
 _DY = "[" + ", ".join(str(dy) for _, dy in _OFFS) + "]"
 
 
-def _closed_sql(tol: float, min_area: float, scale: float) -> str:
+def _closed_sql(tol: float, min_area: float, scale: float, only: str = "TRUE") -> str:
     return "WITH RECURSIVE " + OF.POLY.strip() + f""",
-pv AS (SELECT osm_id, ring, seq, x * {scale} AS x, y * {scale} AS y FROM poly_verts),""" + """
+pv AS (SELECT osm_id, ring, seq, x * {scale} AS x, y * {scale} AS y FROM poly_verts WHERE {only}),""" + """
 dp_in AS (SELECT osm_id * 10 + ring AS gid, seq, x, y FROM pv),""" + dp_sql("dp_in") + f""",
 g13 AS (SELECT v.osm_id, v.ring, v.seq, v.x, v.y FROM pv v
         JOIN dp_sig s ON s.gid = v.osm_id * 10 + v.ring AND s.seq = v.seq
@@ -113,13 +113,18 @@ ring_shells AS (
   GROUP BY h.ring)"""
 
 
-def _outline_sql(tol: float, min_area: float, scale: float) -> str:
-    return _closed_sql(tol, min_area, scale) + "," + trace_sql("closed", "osm_id") + f""",
+def _rings_sql(tol: float, min_area: float, scale: float, only: str = "TRUE") -> str:
+    """Up to ``left_over`` (ring, seq, x, y, nx, ny), the simplified outlines."""
+    return _closed_sql(tol, min_area, scale, only) + "," + trace_sql("closed", "osm_id") + f""",
 dq_in AS (SELECT ring AS gid, seq, x * {tol} AS x, y * {tol} AS y FROM ring_closed),""" + dp_sql("dq_in").replace("dp_", "dq_") + f""",
 left_over AS (
   SELECT v.gid AS ring, v.seq, v.x, v.y, lead(v.x) OVER w AS nx, lead(v.y) OVER w AS ny
   FROM dq_in v JOIN dq_sig s ON s.gid = v.gid AND s.seq = v.seq
-  WHERE s.sig IS NULL OR s.sig > {tol} OR s.protect WINDOW w AS (PARTITION BY v.gid ORDER BY v.seq))
+  WHERE s.sig IS NULL OR s.sig > {tol} OR s.protect WINDOW w AS (PARTITION BY v.gid ORDER BY v.seq))"""
+
+
+def _outline_sql(tol: float, min_area: float, scale: float) -> str:
+    return _rings_sql(tol, min_area, scale) + f"""
 SELECT a.key AS fid, CAST(i.sx * {tol} AS DOUBLE) AS x, CAST(i.sy * {tol} AS DOUBLE) AS y,
        CAST(p.sx * {tol} AS DOUBLE) AS shell_x, CAST(p.sy * {tol} AS DOUBLE) AS shell_y, r.shell <> r.ring AS hole,
        count(*) AS n_vertices, CAST(coalesce(sum(l.x * l.ny - l.nx * l.y), 0) / 2.0 AS DOUBLE) AS area,
@@ -128,13 +133,34 @@ FROM left_over l JOIN ring_areas a USING (ring) JOIN ring_ids i USING (ring) JOI
 GROUP BY ALL"""
 
 
+def gen13(polygons):
+    """(fid, geom) simplified by 10, the source of the closed rungs."""
+    return rebuild(significance_of_lines(polygons), ["fid", "part", "ring"], SRC_TOL).select("fid", G.make_geom("Polygon", "parts").alias("geom"))
+
+
 def _source_runs(spark, d, tol: float, min_area: float, scale: float):
     """Row runs at cells of ``tol`` of the gen13 areas (DP 10) above ``min_area``."""
-    sig = significance_of_lines(FX.grown_polygons(Tables(spark, d), scale))
-    g13 = rebuild(sig, ["fid", "part", "ring"], SRC_TOL).select("fid", G.make_geom("Polygon", "parts").alias("geom"))
+    g13 = gen13(FX.grown_polygons(Tables(spark, d), scale))
     return sweep(row_runs(g13.where(G.area("geom") > min_area), tol))
 
 
+def closed_rungs(source, rungs: dict[int, tuple[float, float]]):
+    """(gen, fid, parts) of all closed rungs {gen: (tolerance, smallest area)} of gen13 areas (fid, geom), closed and traced together.
+
+    A feature's copies of the rungs are told apart by one number, 32 fid + gen; each counts in cells of its own.
+    """
+    runs = None
+    for gen, (tol, area) in rungs.items():
+        own = row_runs(source.where(G.area("geom") > area), tol).withColumn("fid", F.col("fid") * 32 + gen)
+        runs = own if runs is None else runs.unionByName(own)
+    tol = F.element_at(F.create_map(*[x for gen, (t, _) in rungs.items() for x in (F.lit(gen), F.lit(float(t)))]), F.col("gen"))
+    rings = outline(closed_runs(sweep(runs), RADIUS), 1.0).withColumn("gen", F.col("fid").bitwiseAND(F.lit(31)).cast("int"))
+    rings = rings.withColumn("tol", tol)
+    rings = simplified(rings.withColumn("verts", F.transform("verts", lambda v: G.vertex(v["x"] * F.col("tol"), v["y"] * F.col("tol")))), F.col("tol"))
+    polys = to_polygons(rings.select("fid", "ring", "shell", "verts"))
+    return polys.select(F.col("fid").bitwiseAND(F.lit(31)).cast("int").alias("gen"), F.shiftright("fid", 5).alias("fid"), F.col("geom.parts").alias("parts"))
+
+
 def _closing(tol: float, min_area: float, scale: float):
     def run(spark, d):
         runs = _source_runs(spark, d, tol, min_area, scale)
