@@ -11,7 +11,7 @@ here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import geometry as G
@@ -64,8 +64,8 @@ def _line_states(lines: DataFrame, keys: list[str], fid: str):
     return base, ends, links
 
 
-def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
-    """C4 with geometry: one LineString per chain, members ordered and oriented.
+def _ordered(lines: DataFrame, keys: list[str], fid: str = "fid") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(_gk, chain, pos, _o) members of all chains, ordered and oriented; (_gk, chain, _id); (keys..., _gk).
 
     Chains come from :func:`merge_chains`' rule (degree-2 end points). Each
     line has two traversal states (entered at its start or at its end); a
@@ -74,8 +74,7 @@ def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFram
     checkpoint each) gives every state its distance to the chain end; the
     states that end where the chain's first state ends are the forward path,
     in order. Members are reversed where entered at their end, junction
-    vertices are not repeated, and the pieces are concatenated per chain.
-    Returns (keys..., chain, n_lines, geom).
+    vertices are not repeated.
     """
     # groups and lines get dense numbers: keys may be NULL, members repeat, lines have parts
     key_cols, out_fid = keys, fid
@@ -142,10 +141,44 @@ def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFram
     pieces = pieces.select(*keys, "chain", "pos",
                            F.when(F.col("pos") == 0, F.col("_o")).otherwise(F.slice("_o", 2, F.size("_o")))
                            .alias("_o"))
-    merged = pieces.groupBy(*keys, "chain").agg(F.count("*").alias("n_lines"),
+    ids = lines.select("_gk", F.col("_line").alias("chain"), F.col(out_fid).alias("_id"))
+    return pieces, ids, key_tab
+
+
+def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
+    """C4 with geometry: one LineString per chain, members ordered and oriented.
+
+    Returns (keys..., chain, n_lines, geom); a chain is one row (``merge_rows`` bounds it).
+    """
+    pieces, ids, key_tab = _ordered(lines, keys, fid)
+    merged = pieces.groupBy("_gk", "chain").agg(F.count("*").alias("n_lines"),
                                                 F.sort_array(F.collect_list(F.struct("pos", "_o"))).alias("_ps"))
     verts = F.flatten(F.transform("_ps", lambda p: p["_o"]))
-    ids = lines.select("_gk", F.col("_line").alias("chain"), F.col(out_fid).alias("_id"))
     out = merged.select("_gk", "chain", "n_lines", G.line_geom(verts).alias("geom")).join(ids, ["_gk", "chain"])
     out = out.join(key_tab, "_gk")
-    return out.select(*key_cols, F.col("_id").alias("chain"), "n_lines", "geom")
+    return out.select(*keys, F.col("_id").alias("chain"), "n_lines", "geom")
+
+
+def merge_rows(lines: DataFrame, keys: list[str], fid: str = "fid", most: int = 10_000) -> DataFrame:
+    """Chains in rows of at most ``most`` vertices, (keys..., chain, seq, geom) with seq from 0.
+
+    A row begins with the vertex that the last one ended with, so the rows of a chain are one line. Without keys all
+    lines are one group; no row and no task holds a whole chain: vertices are placed by running sums over narrow rows
+    (chain, place of the member, its vertices) and collected by row.
+    """
+    if most < 2:
+        raise ValueError("a row needs two vertices at least")
+    one = lines if keys else lines.withColumn("_all", F.lit(0))
+    pieces, ids, key_tab = _ordered(one, keys or ["_all"], fid)
+    pieces = cut_lineage(pieces)
+    order = Window.partitionBy("_gk", "chain").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    first = pieces.select("_gk", "chain", "pos", F.size("_o").alias("n")).select(
+        "_gk", "chain", "pos", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_first"))
+    v = pieces.join(first, ["_gk", "chain", "pos"]).select("_gk", "chain", "_first", F.posexplode("_o").alias("_i", "v"))
+    at = F.col("_first") + F.col("_i")
+    row = F.floor(at / (most - 1))
+    # a vertex between two rows is in both
+    v = v.select("_gk", "chain", at.alias("at"), "v", F.explode(F.when((at % (most - 1) == 0) & (at > 0), F.array(row - 1, row)).otherwise(F.array(row))).alias("seq"))
+    rows = v.groupBy("_gk", "chain", "seq").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("_vs")).where((F.size("_vs") > 1) | (F.col("seq") == 0))
+    out = rows.select("_gk", "chain", "seq", G.line_geom(F.transform("_vs", lambda x: x["v"])).alias("geom"))
+    return out.join(ids, ["_gk", "chain"]).join(key_tab, "_gk").select(*keys, F.col("_id").alias("chain"), F.col("seq").cast("bigint").alias("seq"), "geom")

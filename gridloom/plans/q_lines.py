@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gridloom.operators.assemble import relation_members
 from gridloom.operators.labels import global_row_number
 from gridloom.functions import geometry as G
-from gridloom.operators.linemerge import merge_chains, merge_lines
+from gridloom.operators.linemerge import merge_chains, merge_lines, merge_rows
 from gridloom.plans import oracle_fixtures as OF
 from gridloom.plans.catalog import lines, query
 from gridloom.sources import fixtures as FX
@@ -99,3 +99,23 @@ def q_line_merge_geom(spark, d):
                       F.element_at(v, 1)["x"].alias("x0"), F.element_at(v, 1)["y"].alias("y0"),
                       F.element_at(v, -1)["x"].alias("x1"), F.element_at(v, -1)["y"].alias("y1"),
                       F.round(G.length("geom"), 3).alias("length"))
+
+
+MOST = 5  # vertices of a row, few here so that chains have several
+_GLOBAL_SQL = MEMBERS_SQL.replace("CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE 'C' || CAST(o_custkey % 17 AS VARCHAR) END AS ref", "0 AS ref").replace(
+    "'Route ' || CAST(o_custkey % 23 AS VARCHAR) AS name", "0 AS name")
+
+
+@query("merge_global", "WITH RECURSIVE " + OF.WAY_NODES.strip() + "," + _GLOBAL_SQL + f""",
+nv AS (SELECT cl.chain, sum(n.nv) - (any_value(c.n_lines) - 1) AS nv, any_value(c.length) AS length
+       FROM cl JOIN chains c ON c.chain = cl.chain JOIN (SELECT fid, count(*) AS nv FROM line_verts GROUP BY fid) n ON n.fid = cl.node GROUP BY cl.chain)
+SELECT chain, CAST(greatest(1, ceil((nv - 1) / {float(MOST - 1)})) AS BIGINT) AS n_rows, CAST(nv AS BIGINT) AS n_vertices, round(length, 3) AS length, TRUE AS bounded FROM nv""")
+def q_merge_global(spark, d):
+    """All bicycle-route members merged as one group, in rows of at most MOST vertices."""
+    t = Tables(spark, d)
+    m = relation_members(FX.route_relations(t), lines(t)).where(F.col("route") == "bicycle")
+    rows = merge_rows(m.where(F.col("geom.type") == "LineString").select("fid", "geom"), [], most=MOST)
+    n = G.num_vertices("geom")
+    out = rows.groupBy("chain").agg(F.count(F.lit(1)).alias("n_rows"), (F.sum(n) - F.count(F.lit(1)) + 1).alias("n_vertices"),
+                                    F.round(F.sum(G.length("geom")), 3).alias("length"), F.max(n).alias("most"))
+    return out.select("chain", "n_rows", "n_vertices", "length", (F.col("most") <= MOST).alias("bounded"))

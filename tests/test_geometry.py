@@ -213,3 +213,25 @@ def test_repair_cheap_faults(spark):
     again = {r.fid: r for r in validity_report(fixed).collect()}
     assert again[1].valid and again[2].valid
     assert {r.fid: r.a for r in fixed.select("fid", G.area("geom").alias("a")).collect()} == {1: 100.0, 2: 100.0}
+
+
+def test_a_chain_in_bounded_rows(spark):
+    """Thirty members of three vertices, some reversed, and a cycle: rows of at most seven vertices, end to end."""
+    from gridloom.operators.linemerge import merge_lines, merge_rows
+    rows = []
+    for i in range(30):
+        v = [(float(2 * i + k), float(k % 2)) for k in range(3)]
+        rows.append((100 + i, v[::-1] if i % 4 == 1 else v))
+    rows += [(500 + i, [p, q]) for i, (p, q) in enumerate([((0.0, 50.0), (9.0, 50.0)), ((9.0, 50.0), (5.0, 59.0)), ((5.0, 59.0), (0.0, 50.0))])]
+    df = spark.createDataFrame([(f, [{"x": x, "y": y} for x, y in v]) for f, v in rows], "fid long, v array<struct<x:double,y:double>>")
+    df = df.select("fid", G.line_geom("v").alias("geom")).repartition(4)
+    whole = {r.chain: [(p.x, p.y) for p in r.geom.parts[0][0]] for r in merge_lines(df.withColumn("k", F.lit(1)), ["k"]).collect()}
+    got = {}
+    for r in sorted(merge_rows(df, [], most=7).collect(), key=lambda r: (r.chain, r.seq)):
+        v = [(p.x, p.y) for p in r.geom.parts[0][0]]
+        assert 2 <= len(v) <= 7 and r.seq == len(got.get(r.chain, []))
+        got.setdefault(r.chain, []).append(v)
+    assert set(got) == set(whole) == {100, 500} and len(got[100]) == 10
+    for chain, parts in got.items():
+        assert all(a[-1] == b[0] for a, b in zip(parts, parts[1:]))
+        assert parts[0] + [p for x in parts[1:] for p in x[1:]] == whole[chain]
