@@ -25,6 +25,7 @@ from gridloom.sources.tables import Tables
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
 
+# Fixed value: the name fallback of the layers, as SQL
 NAME_SQL = ("CASE WHEN (name_de <> '') IS NOT FALSE THEN name_de WHEN (name_en <> '') IS NOT FALSE THEN name_en "
             "ELSE name END")
 
@@ -152,6 +153,7 @@ def q_is_closed(spark, d):
 
 # ---------------------------------------------------------------- C1: clustering
 
+# Radius and filter of every clustering rung
 _CLUSTER_RUNGS = {
     # rung: (eps, filter) -- the POI ladder
     "cluster_gen11": (300, "subclass IN ('station', 'halt') AND subway = 0"),

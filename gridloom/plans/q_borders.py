@@ -12,6 +12,7 @@ from gridloom.plans.q_io import _scratch
 from gridloom.sources.tables import Tables
 from gridloom.sources.tsv import coords_text, read_borders, write_borders
 
+# Rung, tolerance and filter
 BORDER_RUNGS = [(14, 5, "admin_level <= 6"), (12, 10, "admin_level <= 6"), (10, 50, "admin_level <= 6"),
                 (8, 100, "admin_level <= 4"), (6, 1000, "admin_level <= 4"), (4, 10000, "admin_level <= 2"),
                 (2, 10000000, "admin_level <= 2")]

@@ -78,6 +78,7 @@ def q_significance_rounds(spark, d):
 
 # roads ladder (tolerance, filter over the base table's attributes and length)
 _MINOR6 = "('path', 'track', 'footway', 'bridleway', 'service', 'cycleway')"
+# Rung, tolerance and filter
 ROAD_RUNGS = [
     (15, 3, "(service <= 1) OR (length > 50)"),
     (14, 5, f"rank <= 15 OR bridge OR (subclass IN {_MINOR6} AND length > 100)"),
@@ -136,6 +137,7 @@ def q_ladder_roads(spark, d):
                      F.round(G.ring_length(F.col("verts")), 3).alias("length"))
 
 
+# Rung, tolerance and filter
 LANDUSE_RUNGS = [(14, 5, "area > 1000"), (13, 10, "area > 2000")]
 
 
@@ -271,6 +273,7 @@ def q_relation_members(spark, d):
 
 # waterarea ladder: gen14/13 from the base, gen12..8 from gen13 -- their filters
 # read the area of the gen13 geometry (the source rung), not the base area
+# Rung, tolerance and filter
 WATERAREA_BASE_RUNGS = [(14, 5, "area > 1000"), (13, 10, "area > 2000")]
 WATERAREA_CASCADE = [(12, 20, "area13 > 5000"), (11, 50, "area13 > 50000"), (10, 100, "area13 > 200000"),
                      (9, 200, "area13 > 2000000"), (8, 250, "area13 > 5000000")]

@@ -59,6 +59,7 @@ def q_merge_to_point(spark, d):
                       "name")
 
 
+# Rung and filter
 WATERLABEL_RUNGS = [(14, "area > 100000"), (12, "area > 1000000"), (10, "area > 10000000"), (8, "area > 100000000")]
 _WL_COND = ("water_subclass NOT IN ('riverbank', 'swimming_pool') AND ((name_de <> '') IS NOT FALSE "
             "OR (name_en <> '') IS NOT FALSE OR (name <> '') IS NOT FALSE)")

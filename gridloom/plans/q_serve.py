@@ -200,6 +200,7 @@ def q_tile_landuse_bands(spark, d):
 
 
 # osm.waterway: <10 -> gen8, 10-11 -> gen10, 12-13 -> gen12, >= 14 -> base (ladder filters on the base line)
+# Rung, tolerance and filter; zoom bands
 WATERWAY_RUNGS = [(12, 20.0, "length > 50"), (10, 50.0, "subclass IN ('river', 'canal', 'stream') AND length > 200"),
                   (8, 100.0, "subclass IN ('river', 'canal') AND length > 400"), (0, -1.0, None)]
 WATERWAY_BANDS = [(0, 10, 8), (10, 12, 10), (12, 14, 12), (14, 99, 0)]
@@ -360,6 +361,7 @@ def q_housenumbers_layer(spark, d):
 
 
 # osm.waterarea: <9 gen8, 9..14 gen z, >= 15 base
+# Zoom bands
 WATERAREA_BANDS = [(0, 9, 8)] + [(z, z + 1, z) for z in range(9, 15)] + [(15, 99, 0)]
 WATERAREA_ZOOMS = (7, 16)
 

@@ -92,6 +92,7 @@ def q_tile_seed_list(spark, d):
 
 # ---------------------------------------------------------------- T6 flagship
 
+# Zoom bands of the road rungs, smallest zoom of the counted layers
 ROAD_BANDS = [(0, 9, 8)] + [(z, z + 1, z) for z in range(9, 16)] + [(16, 99, 0)]
 LAYER_GATES = {"label": 7, "roads": 8, "buildings": 14}
 ZMIN, ZMAX = 7, 14

@@ -88,6 +88,7 @@ def q_lakes(spark, d, zooms=(0, 16)):
 
 
 # water bands: zoom -> table (z2..z8 rungs, then simplified, then full)
+# Fixed values
 WATER_BANDS = [(0, 2, 2), (2, 3, 3), (3, 4, 4), (4, 5, 5), (5, 6, 6), (6, 7, 7), (7, 8, 8), (8, 9, 9), (9, 99, 99)]
 
 
