@@ -80,3 +80,22 @@ def test_long_empty_and_clashing(spark):
     assert (got[1].n_words, got[2].n_words, got[3].n_words) == (1, 30_000, 0)
     assert got[2].kept and not got[1].kept and got[3].base_failed and got[2].k0 == "clash"
     assert R.measure(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_each_limit_rejects_what_the_others_let_through(spark):
+    """The limits as literals: 30 % covered by repeats of five words or more, 15 % in the longest repeat."""
+    assert (R.MAX_COVERED, R.MAX_LONGEST, R.REPEAT_WORDS) == (0.30, 0.15, 5)
+    fresh = iter(f"w{i}" for i in range(100_000))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    short = []  # forty phrases of six words, each standing twice between other words: no window of eight repeats
+    phrases = [some(6) for _ in range(40)]
+    for p in phrases * 2:
+        short += p + some(6)
+    run = some(420) + ["spam"] * 100 + some(80)  # 16.5 % in one repeat that overlaps itself, 16.7 % covered
+    under = some(430) + ["spam"] * 85 + some(85)
+    rows = [(1, " ".join(short)), (2, " ".join(run)), (3, " ".join(under)), (4, " ".join(some(300)))]
+    got = {r.doc_id: r for r in R.measure(data.frame(spark, rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {d: r.kept for d, r in got.items()} == {1: False, 2: False, 3: True, 4: True}
+    assert got[1].n_covered > 0.30 * got[1].n_words and got[1].longest_repeat <= 0.15 * got[1].n_words
+    assert got[2].n_covered <= 0.30 * got[2].n_words and got[2].longest_repeat > 0.15 * got[2].n_words
