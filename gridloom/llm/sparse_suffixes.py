@@ -297,7 +297,7 @@ def spans_of(owner: np.ndarray, a: np.ndarray, bits: np.ndarray, owners: int, le
     new = np.ones(len(at), bool)
     new[1:] = (own[1:] != own[:-1]) | (at[1:] > at[:-1] + least)
     head = np.flatnonzero(new)
-    last = np.append(head[1:], len(at)) - 1
+    last = np.append(head[1:], len(at))[:len(head)] - 1  # none where no bit is set
     values = pa.StructArray.from_arrays([pa.array(at[head].astype(np.int32)), pa.array((at[last] + least - at[head]).astype(np.int32))], names=["first_word", "n"])
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(own[head], np.arange(owners + 1)).astype(np.int32)), values)
 

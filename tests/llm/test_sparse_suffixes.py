@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from gridloom.llm import sparse_suffixes as S
@@ -73,3 +74,12 @@ def test_cutting(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.repeated_passages(df).collect() == [] and S.without_repeats(df).collect() == []
+
+
+def test_batch_without_spans():
+    """A batch whose documents only keep passages has none that they lose."""
+    none = S.spans_of(np.array([0, 1]), np.array([3, 70]), np.zeros(2, np.int64), 2, 50)
+    assert none.to_pylist() == [[], []]
+    assert S.spans_of(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), 0, 50).to_pylist() == []
+    some = S.spans_of(np.array([0, 1]), np.array([3, 70]), np.array([0, 5], np.int64), 2, 50)
+    assert some.to_pylist() == [[], [{"first_word": 70, "n": 52}]]
