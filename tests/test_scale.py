@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gridloom.plans import catalog  # noqa: F401  (first: the plans import each other through it)
 from gridloom.plans.q_generalize import waterarea_rungs
 from gridloom.sources import fixtures as FX
 from gridloom.sources.tables import Tables, spread
@@ -15,7 +16,7 @@ def test_polygons_are_not_broadcast(spark, sf_dir):
 
 def test_features_of_a_small_file_are_spread(spark, tmp_path):
     """A file of many narrow rows is one split; its features are dealt out, all of them once."""
-    rows = spark.range(50_000).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"))
+    rows = spark.range(50_000).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"), F.lit("n").alias("c_name"), F.lit(1.0).alias("c_acctbal"))
     rows.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     for build in (FX.label_points, FX.poi_points):
         made = build(Tables(spark, str(tmp_path)))
