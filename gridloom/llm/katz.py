@@ -37,12 +37,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.words import numbered, pieces, scratch, stored, texts_of
+from gridloom.llm.words import numbered, pieces, scratch, stored, texts_of, tidy
 
 END = xxhash.xxh64_intdigest(b" end")      # no word has a space
 START = xxhash.xxh64_intdigest(b" start")
 TURING = 5                 # counts up to this are discounted by their own counts of counts
-BUCKET_BYTES = 40 << 20    # of text whose occurrences make a bucket
+BUCKET_BYTES = 24 << 20    # of text whose occurrences make a bucket; only the memory of a task depends on it
 BATCH_BYTES = 16 << 20
 SAMPLE_DOCS = 2_000        # expected size of the sample in which frequent words are looked for
 FEW = 8                    # bigrams of a context that a bucket sends singly; more are added up first
@@ -351,6 +351,7 @@ def _counted(dealt: DataFrame, buckets: int, hot: list[int], often: list[tuple[i
         out.append(("stats", 0, pack(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), hot_total, np.array([train_docs]), often_total), None))
         if occ:
             out += _bucket(occ, batches, offset, buckets, hot_hashes, key[0].as_py())
+        tidy()
         return _table(schema, ids_type, out)
 
     return dealt.groupBy("p").applyInArrow(work, schema)
