@@ -49,23 +49,24 @@ def _parts(lines: DataFrame, keys: list[str], fid: str) -> DataFrame:
 
 
 def _line_states(lines: DataFrame, keys: list[str], fid: str):
-    base = lines.select(*keys, fid, "_v")
-    ends = base.select(*keys, fid, F.explode(F.array(
+    """(fid, _v), (fid, end, x, y) and the links between ends that only two lines of a group share; ``fid`` is unique over all groups."""
+    base = lines.select(fid, "_v")
+    ends = lines.select(*keys, fid, F.explode(F.array(
         F.struct(F.lit(0).alias("end"), F.element_at("_v", 1).alias("p")),
         F.struct(F.lit(1).alias("end"), F.element_at("_v", -1).alias("p")))).alias("_e")).select(
         *keys, fid, F.col("_e.end").alias("end"), F.col("_e.p.x").alias("x"), F.col("_e.p.y").alias("y"))
     node = ends.groupBy(*keys, "x", "y").agg(F.count("*").alias("deg"), F.min(F.struct(fid, "end")).alias("m1"),
                                              F.max(F.struct(fid, "end")).alias("m2"))
     two = node.where((F.col("deg") == 2) & (F.col("m1")[fid] != F.col("m2")[fid]))
-    links = two.select(*keys, F.col("m1")[fid].alias(fid), F.col("m1.end").alias("end"),
+    links = two.select(F.col("m1")[fid].alias(fid), F.col("m1.end").alias("end"),
                        F.col("m2")[fid].alias("pfid"), F.col("m2.end").alias("pend")).unionByName(
-        two.select(*keys, F.col("m2")[fid].alias(fid), F.col("m2.end").alias("end"),
+        two.select(F.col("m2")[fid].alias(fid), F.col("m2.end").alias("end"),
                    F.col("m1")[fid].alias("pfid"), F.col("m1.end").alias("pend")))
-    return base, ends, links
+    return base, ends.select(fid, "end", "x", "y"), links
 
 
-def _ordered(lines: DataFrame, keys: list[str], fid: str = "fid") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(_gk, chain, pos, _o) members of all chains, ordered and oriented; (_gk, chain, _id); (keys..., _gk).
+def _ordered(lines: DataFrame, keys: list[str], fid: str = "fid") -> tuple[DataFrame, DataFrame]:
+    """(chain, pos, _o) members of all chains, ordered and oriented; (keys..., chain, _id).
 
     Chains come from :func:`merge_chains`' rule (degree-2 end points). Each
     line has two traversal states (entered at its start or at its end); a
@@ -76,73 +77,66 @@ def _ordered(lines: DataFrame, keys: list[str], fid: str = "fid") -> tuple[DataF
     in order. Members are reversed where entered at their end, junction
     vertices are not repeated.
     """
-    # groups and lines get dense numbers: keys may be NULL, members repeat, lines have parts
-    key_cols, out_fid = keys, fid
-    part = _parts(lines, key_cols, out_fid)
-    key_tab = cut_lineage(part.select(*key_cols).distinct()).withColumn("_gk", F.monotonically_increasing_id())
-    same = F.lit(True)
-    for k in key_cols:
-        same = same & part[k].eqNullSafe(key_tab[k])
-    order = [F.col("_gk"), F.col(out_fid), F.col("part")]
-    numbered = part.join(key_tab, same).select("_gk", part[out_fid], "part", "_v")
-    # numbers follow the ids, so the smallest line of a chain is the one with the smallest id
-    lines = global_row_number(numbered, order, "_line")
-    keys, fid = ["_gk"], "_line"
-    base, ends, links = _line_states(lines, keys, fid)
+    # lines get dense numbers of their own (keys may be NULL, members repeat, lines have parts), and joins go by them
+    # alone: one by the group would meet a large group in one task. Numbers follow the ids, so the smallest line
+    # of a chain is the one with the smallest id.
+    lines = global_row_number(_parts(lines, keys, fid), [F.col(c) for c in (*keys, fid, "part")], "_line")
+    ids = lines.select(*keys, F.col("_line").alias("chain"), F.col(fid).alias("_id"))
+    base, ends, links = _line_states(lines, keys, "_line")
+    fid = "_line"
     # chains
     edges = links.select(F.col(fid).alias("u"), F.col("pfid").alias("v"))
     comp = connected_components(base.select(F.col(fid).alias("node")), edges)
-    lines_c = base.select(*keys, fid).join(comp, base[fid] == comp["node"]).select(
-        *keys, fid, F.col("label").alias("chain"))
+    lines_c = base.select(fid).join(comp, base[fid] == comp["node"]).select(
+        fid, F.col("label").alias("chain"))
     # cycles: chains without a free end are cut at (smallest line, start)
-    linked = links.select(*keys, fid, "end").withColumn("_linked", F.lit(True))
-    ends_c = ends.join(lines_c, [*keys, fid]).join(linked, [*keys, fid, "end"], "left")
-    free = ends_c.groupBy(*keys, "chain").agg(F.sum(F.when(F.col("_linked").isNull(), 1).otherwise(0))
+    linked = links.select(fid, "end").withColumn("_linked", F.lit(True))
+    ends_c = ends.join(lines_c, fid).join(linked, [fid, "end"], "left")
+    free = ends_c.groupBy("chain").agg(F.sum(F.when(F.col("_linked").isNull(), 1).otherwise(0))
                                               .alias("_free"))
-    cut = free.where(F.col("_free") == 0).select(*keys, F.col("chain").alias(fid), F.lit(0).alias("end"))
-    cut_pairs = links.join(cut, [*keys, fid, "end"], "left_semi")
-    drop = cut_pairs.select(*keys, fid, "end").unionByName(
-        cut_pairs.select(*keys, F.col("pfid").alias(fid), F.col("pend").alias("end")))
-    links = links.join(drop, [*keys, fid, "end"], "left_anti")
+    cut = free.where(F.col("_free") == 0).select(F.col("chain").alias(fid), F.lit(0).alias("end"))
+    cut_pairs = links.join(cut, [fid, "end"], "left_semi")
+    drop = cut_pairs.select(fid, "end").unionByName(
+        cut_pairs.select(F.col("pfid").alias(fid), F.col("pend").alias("end")))
+    links = links.join(drop, [fid, "end"], "left_anti")
     # states (fid, entry); successor through the exit end
-    st = lines_c.select(*keys, fid, "chain", F.explode(F.array(F.lit(0), F.lit(1))).alias("entry"))
-    nx = links.select(*keys, fid, F.col("end").alias("_exit"), F.col("pfid").alias("nfid"),
+    st = lines_c.select(fid, "chain", F.explode(F.array(F.lit(0), F.lit(1))).alias("entry"))
+    nx = links.select(fid, F.col("end").alias("_exit"), F.col("pfid").alias("nfid"),
                       F.col("pend").alias("nentry"))
-    st = st.withColumn("_exit", 1 - F.col("entry")).join(nx, [*keys, fid, "_exit"], "left").drop("_exit")
-    st = st.select(*keys, fid, "entry", "chain", "nfid", "nentry",
+    st = st.withColumn("_exit", 1 - F.col("entry")).join(nx, [fid, "_exit"], "left").drop("_exit")
+    st = st.select(fid, "entry", "chain", "nfid", "nentry",
                    F.when(F.col("nfid").isNotNull(), 1).otherwise(0).alias("d"),
                    F.coalesce("nfid", fid).alias("lfid"), F.coalesce("nentry", "entry").alias("lentry"))
     st = cut_lineage(st)
     while st.where(F.col("nfid").isNotNull()).limit(1).count():  # distances double: log rounds
-        t = st.select(*keys, F.col(fid).alias("nfid"), F.col("entry").alias("nentry"),
+        t = st.select(F.col(fid).alias("nfid"), F.col("entry").alias("nentry"),
                       F.col("nfid").alias("_nn"), F.col("nentry").alias("_ne"), F.col("d").alias("_d"),
                       F.col("lfid").alias("_lf"), F.col("lentry").alias("_le"))
-        j = st.join(t, [*keys, "nfid", "nentry"], "left")
+        # only states that go on meet their successor (which is a state, so always found): in a join of all, those that
+        # have ended would all be in one task, that of NULL
+        j = st.where(F.col("nfid").isNotNull()).join(t, ["nfid", "nentry"])
         st = cut_lineage(j.select(
-            *keys, fid, "entry", "chain",
-            F.when(F.col("nfid").isNotNull(), F.col("_nn")).alias("nfid"),
-            F.when(F.col("nfid").isNotNull(), F.col("_ne")).alias("nentry"),
-            (F.col("d") + F.coalesce("_d", F.lit(0))).alias("d"),
-            F.coalesce("_lf", "lfid").alias("lfid"), F.coalesce("_le", "lentry").alias("lentry")))
+            fid, "entry", "chain", F.col("_nn").alias("nfid"), F.col("_ne").alias("nentry"),
+            (F.col("d") + F.col("_d")).alias("d"), F.col("_lf").alias("lfid"), F.col("_le").alias("lentry")).unionByName(
+            st.where(F.col("nfid").isNull())))
     # start state per chain: smallest free (fid, end), entered there
-    free_ends = ends_c.join(drop.withColumn("_cut", F.lit(True)), [*keys, fid, "end"], "left").where(
+    free_ends = ends_c.join(drop.withColumn("_cut", F.lit(True)), [fid, "end"], "left").where(
         F.col("_linked").isNull() | F.col("_cut").isNotNull())
-    start = free_ends.groupBy(*keys, "chain").agg(F.min(F.struct(fid, "end")).alias("_s"))
-    start = start.join(st.select(*keys, F.col(fid).alias("_sf"), F.col("entry").alias("_se"), "chain",
+    start = free_ends.groupBy("chain").agg(F.min(F.struct(fid, "end")).alias("_s"))
+    start = start.join(st.select(F.col(fid).alias("_sf"), F.col("entry").alias("_se"), "chain",
                                  F.col("d").alias("_sd"), F.col("lfid").alias("_slf"),
-                                 F.col("lentry").alias("_sle")), [*keys, "chain"]).where(
+                                 F.col("lentry").alias("_sle")), "chain").where(
         (F.col("_sf") == F.col("_s")[fid]) & (F.col("_se") == F.col("_s.end")))
-    fwd = st.join(start.select(*keys, "chain", "_sd", "_slf", "_sle"), [*keys, "chain"]).where(
+    fwd = st.join(start.select("chain", "_sd", "_slf", "_sle"), "chain").where(
         (F.col("lfid") == F.col("_slf")) & (F.col("lentry") == F.col("_sle")))
-    fwd = fwd.select(*keys, "chain", fid, "entry", (F.col("_sd") - F.col("d")).alias("pos"))
-    pieces = fwd.join(base, [*keys, fid]).select(
-        *keys, "chain", "pos",
+    fwd = fwd.select("chain", fid, "entry", (F.col("_sd") - F.col("d")).alias("pos"))
+    pieces = fwd.join(base, fid).select(
+        "chain", "pos",
         F.when(F.col("entry") == 0, F.col("_v")).otherwise(F.reverse("_v")).alias("_o"))
-    pieces = pieces.select(*keys, "chain", "pos",
+    pieces = pieces.select("chain", "pos",
                            F.when(F.col("pos") == 0, F.col("_o")).otherwise(F.slice("_o", 2, F.size("_o")))
                            .alias("_o"))
-    ids = lines.select("_gk", F.col("_line").alias("chain"), F.col(out_fid).alias("_id"))
-    return pieces, ids, key_tab
+    return pieces, ids
 
 
 def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
@@ -150,12 +144,11 @@ def merge_lines(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFram
 
     Returns (keys..., chain, n_lines, geom); a chain is one row (``merge_rows`` bounds it).
     """
-    pieces, ids, key_tab = _ordered(lines, keys, fid)
-    merged = pieces.groupBy("_gk", "chain").agg(F.count("*").alias("n_lines"),
-                                                F.sort_array(F.collect_list(F.struct("pos", "_o"))).alias("_ps"))
+    pieces, ids = _ordered(lines, keys, fid)
+    merged = pieces.groupBy("chain").agg(F.count("*").alias("n_lines"),
+                                         F.sort_array(F.collect_list(F.struct("pos", "_o"))).alias("_ps"))
     verts = F.flatten(F.transform("_ps", lambda p: p["_o"]))
-    out = merged.select("_gk", "chain", "n_lines", G.line_geom(verts).alias("geom")).join(ids, ["_gk", "chain"])
-    out = out.join(key_tab, "_gk")
+    out = merged.select("chain", "n_lines", G.line_geom(verts).alias("geom")).join(ids, "chain")
     return out.select(*keys, F.col("_id").alias("chain"), "n_lines", "geom")
 
 
@@ -168,17 +161,16 @@ def merge_rows(lines: DataFrame, keys: list[str], fid: str = "fid", most: int =
     """
     if most < 2:
         raise ValueError("a row needs two vertices at least")
-    one = lines if keys else lines.withColumn("_all", F.lit(0))
-    pieces, ids, key_tab = _ordered(one, keys or ["_all"], fid)
+    pieces, ids = _ordered(lines, keys, fid)
     pieces = cut_lineage(pieces)
-    order = Window.partitionBy("_gk", "chain").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    first = pieces.select("_gk", "chain", "pos", F.size("_o").alias("n")).select(
-        "_gk", "chain", "pos", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_first"))
-    v = pieces.join(first, ["_gk", "chain", "pos"]).select("_gk", "chain", "_first", F.posexplode("_o").alias("_i", "v"))
+    order = Window.partitionBy("chain").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    first = pieces.select("chain", "pos", F.size("_o").alias("n")).select(
+        "chain", "pos", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("_first"))
+    v = pieces.join(first, ["chain", "pos"]).select("chain", "_first", F.posexplode("_o").alias("_i", "v"))
     at = F.col("_first") + F.col("_i")
     row = F.floor(at / (most - 1))
     # a vertex between two rows is in both
-    v = v.select("_gk", "chain", at.alias("at"), "v", F.explode(F.when((at % (most - 1) == 0) & (at > 0), F.array(row - 1, row)).otherwise(F.array(row))).alias("seq"))
-    rows = v.groupBy("_gk", "chain", "seq").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("_vs")).where((F.size("_vs") > 1) | (F.col("seq") == 0))
-    out = rows.select("_gk", "chain", "seq", G.line_geom(F.transform("_vs", lambda x: x["v"])).alias("geom"))
-    return out.join(ids, ["_gk", "chain"]).join(key_tab, "_gk").select(*keys, F.col("_id").alias("chain"), F.col("seq").cast("bigint").alias("seq"), "geom")
+    v = v.select("chain", at.alias("at"), "v", F.explode(F.when((at % (most - 1) == 0) & (at > 0), F.array(row - 1, row)).otherwise(F.array(row))).alias("seq"))
+    rows = v.groupBy("chain", "seq").agg(F.sort_array(F.collect_list(F.struct("at", "v"))).alias("_vs")).where((F.size("_vs") > 1) | (F.col("seq") == 0))
+    out = rows.select("chain", "seq", G.line_geom(F.transform("_vs", lambda x: x["v"])).alias("geom"))
+    return out.join(ids, "chain").select(*keys, F.col("_id").alias("chain"), F.col("seq").cast("bigint").alias("seq"), "geom")
