@@ -18,6 +18,7 @@ from gridloom.functions import geometry as G
 from gridloom.operators.components import connected_components
 from gridloom.operators.labels import global_row_number
 from gridloom.session import cut_lineage
+from gridloom.sources.tables import SPREAD_ROWS, spread
 
 
 def merge_chains(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFrame:
@@ -26,18 +27,24 @@ def merge_chains(lines: DataFrame, keys: list[str], fid: str = "fid") -> DataFra
     Every part of a multi-part line is a line of its own; a member that comes
     several times in a group counts once. Keys may be NULL.
     """
-    part = _parts(lines, keys, fid)
-    base = cut_lineage(part).withColumn("node", F.monotonically_increasing_id())
+    part = cut_lineage(_parts(lines, keys, fid))
+    n = part.count()
+    base = part.withColumn("node", F.monotonically_increasing_id())
     first, last = F.element_at("_v", 1), F.element_at("_v", -1)
     ends = base.select(*keys, "node", F.explode(F.array(first, last)).alias("_p")).select(
         *keys, "node", F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
+    # here and below few rows share a group, so the tasks of a group-by or join follow the rows
+    ends = spread(ends, *keys, "x", "y", rows=5 * SPREAD_ROWS, count=2 * n)
     deg = ends.groupBy(*keys, "x", "y").agg(F.count("*").alias("deg"), F.min("node").alias("u"),
                                             F.max("node").alias("v"))
     edges = deg.where((F.col("deg") == 2) & (F.col("u") != F.col("v"))).select("u", "v")
     comp = connected_components(base.select("node"), edges)
-    j = base.withColumn("_len", G.length(G.line_geom("_v"))).join(comp, "node")
-    return j.groupBy(*keys, "label").agg(
-        F.min(fid).alias("chain"), F.count_distinct(fid).alias("n_lines"), F.sum("_len").alias("length"),
+    j = base.select(*keys, fid, "node", G.length(G.line_geom("_v")).alias("_len"))
+    j = spread(j, "node", rows=5 * SPREAD_ROWS, count=n).join(comp, "node")
+    member = spread(j.select(*keys, "label", fid, "_len"), "label", fid, rows=5 * SPREAD_ROWS, count=n).groupBy(
+        *keys, "label", fid).agg(F.sum("_len").alias("_len"))
+    return member.groupBy(*keys, "label").agg(
+        F.min(fid).alias("chain"), F.count(fid).alias("n_lines"), F.sum("_len").alias("length"),
     ).drop("label")
 
 
