@@ -36,6 +36,39 @@ def test_stretches_give_the_ids_of_whole_texts(library):
         assert [np.frombuffer(x, "<u4").tolist() for x in coder(texts)] == want
 
 
+def test_new_stretches_are_put_to_the_library_together(library):
+    """Each once, in lines of many: a call of the library for every stretch took most of the tokenizer's time."""
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    coder = K.Coder(PATH)
+    coder.library = Counting()
+    texts = [" ".join(f"w{(i * 7 + k) % 3000}x" for k in range(300)) for i in range(50)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder(texts)] == want
+    assert 0 < len(asked) <= 80 + 50 and sum(len(t.split()) for t in asked) <= 3000 + 50
+
+
+def test_stretches_remembered_are_bounded(library):
+    coder = K.Coder(PATH, size=100)
+    for k in range(30):
+        texts = [" ".join(f"{k} v{k}{j} " for j in range(90)), "z" * 300 + f"{k}", "", " \n a  b "]
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert max(len(coder.young), len(coder.old), len(coder.sizes)) <= 500
+
+
+def test_broken_utf8(library):
+    raw = [b"a \xff\xe2 \x82 b", b"\xf0\x9f", b"ok ok"]
+    ids, sizes = K.Coder(PATH).ids(K.pa.array(raw, K.pa.binary()))
+    want = [e.ids for e in library.encode_batch([t.decode("utf-8", "replace") for t in raw], add_special_tokens=False)]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
 @pytest.mark.parametrize("kind", ["random", "equal", "ends", "periodic", "words", "rising"])
 def test_blocks_come_back(kind):
     r = np.random.default_rng(3)
